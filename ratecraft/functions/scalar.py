@@ -76,3 +76,20 @@ def mask_below(c, threshold: float) -> Column:
     """Keep values with |x| >= threshold, others become NULL (not removed)."""
     col = _col(c)
     return F.when(F.abs(col) >= F.lit(threshold), col)
+
+
+def round_sig(c, digits: int = 6) -> Column:
+    """Round to ``digits`` significant digits (report presentation).
+
+    Scaling uses only exact powers of ten (multiply for small values, divide for
+    large), so two engines that agree to ~1e-13 relative agree after rounding.
+    """
+    x = _col(c).cast("double")
+    e = F.floor(F.log10(F.abs(x)))
+    up = F.pow(F.lit(10.0), -e)
+    down = F.pow(F.lit(10.0), e)
+    small = F.round(x * up, digits - 1) / up
+    large = F.round(x / down, digits - 1) * down
+    return (F.when(x.isNull(), F.lit(None).cast("double"))
+            .when(F.isnan(x) | (x == 0), x)
+            .when(e < 0, small).otherwise(large))

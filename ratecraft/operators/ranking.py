@@ -50,8 +50,12 @@ def hash_key(keys: Sequence[str], seed: int) -> F.Column:
 
 
 def sample_n(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """K5: ``n`` rows chosen by a seeded hash of the key; all rows when fewer exist."""
-    return df.orderBy(hash_key(keys, seed), *keys).limit(n)
+    """K5: ``n`` rows chosen by a seeded hash of the key; all rows when fewer exist.
+
+    The remaining columns break ties, so a key that repeats still gives one answer.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    return df.orderBy(hash_key(keys, seed), *keys, *rest).limit(n)
 
 
 def first_n(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:

@@ -83,7 +83,7 @@ def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (per.join(tot, ["nk", "yr"])
             .select("nk", "yr", F.lit("order status").alias("measure"),
                     F.col("o_orderstatus").alias("response"),
-                    F.round(F.col("_n") / F.col("_t") * 100, 6).alias("data_value")))
+                    (F.col("_n") / F.col("_t") * 100).alias("data_value")))
 
 
 def rate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,3 +95,46 @@ def rate_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     r = left_join(counts(spark, sf_dir), population(spark, sf_dir), ["nk", "yr"])
     return r.withColumn("rate", truncate_int(rate_per("cnt", "population")))
+
+
+def order_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiling frame with real gaps: every order, its returned-item totals (NULL when
+    the order has no returned line) and a price column with NaN for open orders."""
+    rr = (table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R")
+          .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+          .agg(F.sum("l_quantity").alias("r_qty"), F.avg("l_extendedprice").alias("r_price"),
+               F.count(F.lit(1)).alias("r_lines")))
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus",
+        F.year("o_orderdate").cast("long").alias("yr"),
+        F.when(F.col("o_orderstatus") == "O", F.lit(float("nan")))
+        .otherwise(F.col("o_totalprice")).alias("price_nan"))
+    return o.join(rr, "o_orderkey", "left")
+
+
+def trial_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events read as a search log: user = trial, (ts, event_id) = step order, value = loss."""
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("trial_id"), "ts", "event_id", "event_type",
+        F.col("value").alias("loss"),
+        (F.unix_date(F.to_date("ts"))).cast("long").alias("epoch"))
+
+
+def trial_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(trial_id, value, n_steps, state): one row per trial.
+
+    value = mean loss; state from the trial's last event: 'error' -> FAIL,
+    'signup' -> PRUNED, anything else -> COMPLETE.
+    """
+    m = trial_metrics(spark, sf_dir)
+    last = F.max_by("event_type", F.struct("ts", "event_id"))
+    return (m.groupBy("trial_id")
+            .agg(F.avg("loss").alias("value"), F.count(F.lit(1)).alias("n_steps"),
+                 last.alias("_last"))
+            .select("trial_id", "value", "n_steps",
+                    F.when(F.col("_last") == "error", "FAIL")
+                    .when(F.col("_last") == "signup", "PRUNED")
+                    .otherwise("COMPLETE").alias("state")))
+
+
+LINE_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
