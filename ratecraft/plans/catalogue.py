@@ -367,6 +367,114 @@ def regression_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_doubles(regression_metrics(p, {t: t + "_pred" for t in FIXED_MODEL}))
 
 
+def _line_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ratecraft.operators.explain import linear_attribution as x1
+    li = T.table(spark, sf_dir, "lineitem")
+    feats = sorted({f for c in FIXED_MODEL.values() for f in c if f != "intercept"})
+    # Centre at the column means rounded to 6 decimals (a fixed reference point).
+    row = li.agg(*[F.round(F.avg(f), 6).alias(f) for f in feats]).first()
+    means = {f: row[f] for f in feats}
+    parts = [x1(li, coefs, ["l_orderkey", "l_linenumber"], means=means, target=t)
+             for t, coefs in FIXED_MODEL.items()]
+    out = parts[0]
+    for q in parts[1:]:
+        out = out.unionByName(q)
+    return out
+
+
+def linear_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per line item and target, phi = w * (x - mean(x)) of the fixed scorer."""
+    return _line_attributions(spark, sf_dir)
+
+
+def topk_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A14 + X6: features ranked by mean |phi| per target (top 10)."""
+    from ratecraft.operators.explain import mean_abs_topk
+    return _round_doubles(mean_abs_topk(_line_attributions(spark, sf_dir), 10))
+
+
+# -- fitted models (row-count checks; unit tests carry the proofs) ----------------------
+
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+MODEL_SPEC = FE.FeatureSpec(
+    num=["l_quantity", "l_discount", "p_size", "p_retailprice"],
+    cat=["p_type", "l_returnflag", "l_linestatus"],
+    target=["l_extendedprice", "l_tax"])
+GBT_PARAMS = {"n_estimators": 8, "max_depth": 4, "learning_rate": 0.2, "subsample": 1.0, "seed": 7}
+
+
+def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with their part's size, price and type: features and targets."""
+    li = T.table(spark, sf_dir, "lineitem")
+    p = T.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"), "p_size", "p_retailprice", "p_type")
+    return li.join(p, "l_partkey", "left")
+
+
+def fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 + F10 + M1 + M6: boosted trees per target fitted on the training rows,
+    every row scored."""
+    from ratecraft.operators.models import fit_multi_target
+    df = FE.holdout_split(model_table(spark, sf_dir), LINE_KEYS, 0.2, 42)
+    train = df.where(~F.col("is_test"))
+    model = fit_multi_target(train, MODEL_SPEC, MODEL_SPEC.target, GBT_PARAMS, fit_on=train,
+                             parallelism=2)
+    return model.predict(df).select(*LINE_KEYS, "is_test", "l_extendedprice_pred", "l_tax_pred")
+
+
+def fit_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: 95% bootstrap intervals (20 weighted linear refits) for every row."""
+    from ratecraft.operators.models import predict_interval
+    df = FE.holdout_split(model_table(spark, sf_dir), LINE_KEYS, 0.2, 42)
+    train = df.where(~F.col("is_test"))
+    out = predict_interval(df, train, MODEL_SPEC, MODEL_SPEC.target, LINE_KEYS, iterations=20)
+    return out.select(*LINE_KEYS, *[c for c in out.columns if c.endswith(("_pred", "_95"))])
+
+
+SEARCH_SPACE = {"n_estimators": ("int", 3, 8), "max_depth": ("int", 2, 4),
+                "learning_rate": ("logfloat", 0.05, 0.3), "subsample": ("float", 0.6, 1.0)}
+
+
+def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 + M8 + A17: 4 hash-sampled candidates scored by mean hold-out RMSE; trial log."""
+    from ratecraft.operators.models import trial_search
+    log = trial_search(model_table(spark, sf_dir), MODEL_SPEC, MODEL_SPEC.target, SEARCH_SPACE,
+                       n_trials=4, seed=11, keys=LINE_KEYS, parallelism=2)
+    return log.select("trial_id", "step", "value", "state",
+                      F.to_json("params").alias("params"))
+
+
+def search_space(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: the candidate table itself, one row per customer as a candidate id space."""
+    from ratecraft.operators.models import sample_space
+    n = T.table(spark, sf_dir, "customer").count()
+    return sample_space(spark, SEARCH_SPACE, n, seed=11).select(
+        "trial_id", *SEARCH_SPACE.keys())
+
+
+def part_model(spark: SparkSession, sf_dir: str):
+    from ratecraft.operators.models import fit_multi_target
+    p = T.table(spark, sf_dir, "part")
+    spec = FE.FeatureSpec(num=["p_size"], cat=["p_brand", "p_type"], target=["p_retailprice"])
+    return p, fit_multi_target(p, spec, spec.target, GBT_PARAMS)
+
+
+def sampled_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 + X4: permutation Shapley values of a boosted model of part price, every
+    part explained against a 5-centre k-means background."""
+    from ratecraft.operators.explain import background_kmeans, sampled_attribution as x2
+    p, model = part_model(spark, sf_dir)
+    bg = background_kmeans(p, ["p_size"], ["p_brand", "p_type"], k=5)
+    return x2(p, model, ["p_size", "p_brand", "p_type"], ["p_partkey"], bg, permutations=2)
+
+
+def background_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15 k-means centres of the line-item measures with their weights."""
+    from ratecraft.operators.explain import background_kmeans
+    li = T.table(spark, sf_dir, "lineitem")
+    return background_kmeans(li, list(T.LINE_NUMERIC), ["l_returnflag"], k=15)
+
+
 CATALOGUE = {
     "rate_pivot": rate_pivot,
     "rate_with_economy": rate_with_economy,
@@ -408,4 +516,12 @@ CATALOGUE = {
     "median_prune": median_prune,
     "resume": resume,
     "regression_metrics": regression_metrics_q,
+    "linear_attribution": linear_attribution,
+    "topk_features": topk_features,
+    "fit_score": fit_score,
+    "fit_interval": fit_interval,
+    "search": search,
+    "search_space": search_space,
+    "sampled_attribution": sampled_attribution,
+    "background_centres": background_centres,
 }

@@ -465,6 +465,32 @@ def _regression_metrics() -> str:
             f"{sig('1 - mse / nullif(v, 0)')} AS r2 FROM ({_union(parts)})")
 
 
+def _linear_attribution() -> str:
+    feats = sorted({f for c in FIXED_MODEL.values() for f in c if f != "intercept"})
+    mu = ", ".join(f"round(avg({f}), 6) AS m_{f}" for f in feats)
+    parts = []
+    for t, coefs in FIXED_MODEL.items():
+        for f in coefs:
+            if f == "intercept":
+                continue
+            parts.append(f"SELECT l_orderkey, l_linenumber, '{t}' AS target, '{f}' AS feature, "
+                         f"CAST({coefs[f]!r} AS DOUBLE) * ({f} - m_{f}) AS phi FROM lineitem, mu")
+    return f"WITH mu AS (SELECT {mu} FROM lineitem), a AS ({_union(parts)})"
+
+
+LINEAR_ATTRIBUTION = _linear_attribution() + f"""
+SELECT l_orderkey, l_linenumber, target, feature, phi FROM a
+"""
+
+TOPK_FEATURES = _linear_attribution() + f"""
+SELECT target, feature, {sig('m')} AS mean_abs_phi, rank FROM (
+  SELECT target, feature, m,
+         CAST(row_number() OVER (PARTITION BY target ORDER BY m DESC, feature) AS BIGINT) AS rank
+  FROM (SELECT target, feature, avg(abs(phi)) AS m FROM a GROUP BY ALL))
+WHERE rank <= 10
+"""
+
+
 SQL: dict[str, str] = {
     "rate_pivot": RATE_PIVOT,
     "rate_with_economy": RATE_WITH_ECONOMY,
@@ -506,4 +532,6 @@ SQL: dict[str, str] = {
     "median_prune": MEDIAN_PRUNE,
     "resume": RESUME,
     "regression_metrics": _regression_metrics(),
+    "linear_attribution": LINEAR_ATTRIBUTION,
+    "topk_features": TOPK_FEATURES,
 }
