@@ -155,9 +155,10 @@ def fit_multi_target(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
     def one(t: str):
         rows = data.where(F.col(t).isNotNull())
         if kind == "gbt":
-            est = GBTRegressor(featuresCol=FEATURES, labelCol=t, **gbt_params(params))
+            extra = {}
             if validation_col:
-                est = est.setValidationIndicatorCol(validation_col).setValidationTol(validation_tol)
+                extra = {"validationIndicatorCol": validation_col, "validationTol": validation_tol}
+            est = GBTRegressor(featuresCol=FEATURES, labelCol=t, **gbt_params(params), **extra)
         elif kind == "linear":
             est = LinearRegression(featuresCol=FEATURES, labelCol=t,
                                    regParam=float(params.get("reg", 0.0)),
@@ -286,7 +287,7 @@ def random_search_cv(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], s
             grid = [{getattr(est, k): v for k, v in gbt_params(p).items()} for _, p in cand]
             cv = CrossValidator(estimator=est, estimatorParamMaps=grid,
                                 evaluator=RegressionEvaluator(labelCol=t, metricName="r2"),
-                                foldCol="_fold", parallelism=parallelism, seed=seed)
+                                foldCol="_fold", numFolds=folds, parallelism=parallelism, seed=seed)
             m = cv.fit(feats.where(F.col(t).isNotNull()))
             for (tid, _), s in zip(cand, m.avgMetrics):
                 scores[tid].append(s)
