@@ -131,19 +131,26 @@ def sampled_attribution(df: DataFrame, model, features: Sequence[str], keys: Seq
     composite = expanded.select(*keys, "_perm", "_order", "_k", F.col("_bg.b").alias("_b"),
                                 F.col("_bg.w").alias("_w"), *[v.alias(f) for f, v in comp.items()])
     scored = model.predict(composite)
-    w = Window.partitionBy(*keys, "_perm", "_b").orderBy("_k")
+    # Marginal change of the feature added at step k is f(k) - f(k-1). Each scored
+    # prefix row therefore adds +f to the feature it added (k > 0) and -f to the
+    # next feature in its order (k < p); summing these signed parts per (row,
+    # feature) with a partial aggregate gives the same totals as pairing rows with
+    # a window, without shuffling the expanded rows.
+    total_w = float(permutations) * sum(float(r["_weight"]) for r in bg)
+    names = F.array(*[F.lit(f) for f in features])
     parts = []
     for t in targets:
-        pred = F.col(t + "_pred")
-        step = (scored.select(*keys, "_perm", "_b", "_w", "_k", "_order",
-                              (pred - F.lag(pred).over(w)).alias("_delta"))
-                .where(F.col("_k") > 0)
-                .withColumn("_j", F.element_at(F.col("_order"), F.col("_k"))))
-        phi = (step.groupBy(*keys, "_j")
-               .agg((F.sum(F.col("_delta") * F.col("_w")) / F.sum("_w")).alias("phi")))
-        names = F.array(*[F.lit(f) for f in features])
-        parts.append(phi.select(*keys, F.lit(t).alias("target"),
-                                F.element_at(names, F.col("_j") + 1).alias("feature"), "phi"))
+        fw = F.col(t + "_pred") * F.col("_w")
+        plus = F.when(F.col("_k") > 0, F.struct(
+            F.element_at(F.col("_order"), F.greatest(F.col("_k"), F.lit(1))).alias("j"), fw.alias("v")))
+        minus = F.when(F.col("_k") < p, F.struct(
+            F.element_at(F.col("_order"), F.col("_k") + 1).alias("j"), (-fw).alias("v")))
+        contrib = (scored.select(*keys, F.explode(F.array(plus, minus)).alias("_c"))
+                   .where(F.col("_c").isNotNull())
+                   .groupBy(*keys, F.col("_c.j").alias("_j"))
+                   .agg((F.sum("_c.v") / F.lit(total_w)).alias("phi")))
+        parts.append(contrib.select(*keys, F.lit(t).alias("target"),
+                                    F.element_at(names, F.col("_j") + 1).alias("feature"), "phi"))
     out = parts[0]
     for q in parts[1:]:
         out = out.unionByName(q)

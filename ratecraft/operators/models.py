@@ -130,6 +130,13 @@ def read_run_metadata(spark: SparkSession, path: str) -> dict:
     return json.loads(rows[0][0])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a frame at least one partition per core before it is cached for repeated
+    fits. Large inputs already have more splits than cores and pass unchanged."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _prepared(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
               fit_on: DataFrame | None) -> tuple[PipelineModel, DataFrame]:
     prep = preprocess_pipeline(df, spec, FEATURES, fit_on=fit_on)
@@ -150,7 +157,7 @@ def fit_multi_target(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
     _check(df, spec, targets)
     params = dict(params or {})
     prep, data = _prepared(df, spec, targets, fit_on)
-    data = data.persist()
+    data = spread(data).persist()
 
     def one(t: str):
         rows = data.where(F.col(t).isNotNull())
@@ -279,7 +286,7 @@ def random_search_cv(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], s
     cand = [(r["trial_id"], _typed(r["params"])) for r in trials]
     data = kfold_assign(df, keys or df.columns[:1], folds, seed, col="_fold")
     prep, feats = _prepared(data, spec, targets, None)
-    feats = feats.persist()
+    feats = spread(feats).persist()
     try:
         scores = {tid: [] for tid, _ in cand}
         for t in targets:
@@ -326,7 +333,7 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
     if done is not None:
         grid = remaining_trials(grid, done)
     todo = [(r["trial_id"], r["params"]) for r in grid.select("trial_id", "params").collect()]
-    data = holdout_split(df, keys or df.columns[:1], fraction, seed, col="_is_test").persist()
+    data = spread(holdout_split(df, keys or df.columns[:1], fraction, seed, col="_is_test")).persist()
     train, test = data.where(~F.col("_is_test")), data.where(F.col("_is_test"))
 
     def run(item):
@@ -366,99 +373,167 @@ def poisson_weight(keys: Sequence[str], replicate: int, seed: int) -> F.Column:
     return w
 
 
+def _gram_partials(q: int, n_boot: int, n_targets: int):
+    """Per-task weighted normal equations for every (replicate, target) pair.
+
+    Emits long rows (b, t, idx, v): idx < q*q are entries of X'WX, the next q are
+    X'Wy, the last is the weighted row count. Rows with a NULL target are left out
+    of that target's system; rows with a non-finite feature are left out entirely.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def run(batches):
+        G = np.zeros((n_boot, n_targets, q, q))
+        R = np.zeros((n_boot, n_targets, q))
+        N = np.zeros((n_boot, n_targets))
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            X = np.column_stack([np.ones(len(pdf)), np.stack(pdf["_x"].to_numpy())])
+            W = np.stack(pdf["_w"].to_numpy()).astype(float)
+            ok = np.isfinite(X).all(axis=1)
+            for t in range(n_targets):
+                y = pdf[f"_y{t}"].to_numpy(dtype=float)
+                m = ok & np.isfinite(y)
+                Xm, Wm, ym = X[m], W[m], y[m]
+                for b in range(n_boot):
+                    xw = Xm * Wm[:, b:b + 1]
+                    G[b, t] += xw.T @ Xm
+                    R[b, t] += xw.T @ ym
+                    N[b, t] += Wm[:, b].sum()
+        bb, tt = np.meshgrid(np.arange(n_boot), np.arange(n_targets), indexing="ij")
+        vals = np.concatenate([G.reshape(n_boot, n_targets, -1), R, N[..., None]], axis=2)
+        k = vals.shape[2]
+        yield pd.DataFrame({
+            "b": np.repeat(bb.ravel(), k).astype("int32"),
+            "t": np.repeat(tt.ravel(), k).astype("int32"),
+            "idx": np.tile(np.arange(k), n_boot * n_targets).astype("int32"),
+            "v": vals.reshape(-1)})
+
+    return run
+
+
 @dataclass
 class BootstrapEnsemble:
-    """M7: B weighted refits per target over one shared preprocessing pipeline."""
+    """M7: B weighted linear refits per target over one shared preprocessing pipeline.
+
+    ``coefs[t]`` is a (B, 1 + p) array of intercept and slopes in the preprocessed
+    (z-scored, one-hot) feature space.
+    """
     prep: PipelineModel
-    models: dict  # target -> list of B fitted models
+    coefs: dict
     spec: FeatureSpec
     targets: list
 
     @classmethod
     def fit(cls, train: DataFrame, spec: FeatureSpec, targets: Sequence[str], keys: Sequence[str],
-            iterations: int = 50, params: Mapping | None = None, seed: int = 42,
-            parallelism: int = 4) -> "BootstrapEnsemble":
-        """Each replicate is a weighted fit: Poisson(1) weights from the key hash, so the
-        training data is never copied or resampled physically."""
+            iterations: int = 50, params: Mapping | None = None, seed: int = 42) -> "BootstrapEnsemble":
+        """All B replicates in ONE pass over the data.
+
+        Replicate b weighs each row by Poisson(1) drawn from a hash of (seed, b, key),
+        so nothing is copied or resampled. Every task accumulates the weighted normal
+        equations of all B x T systems (numpy, per partition); Spark sums the partials
+        (parameter-sized: B x T x (p+1)^2 numbers) and the driver solves them.
+        ``params['reg']`` adds a ridge penalty reg * sum(w) on the slopes.
+        """
+        import numpy as np
+        from pyspark.ml.functions import vector_to_array
+
         targets = list(targets)
         _check(train, spec, targets)
         if iterations < 2:
             raise ValidationError("an interval needs at least 2 iterations")
-        params = dict(params or {})
+        reg = float((params or {}).get("reg", 0.0))
         prep = preprocess_pipeline(train, spec, FEATURES)
-        tr = prep.transform(train).persist()
-
-        def one(job):
-            b, t = job
-            wtr = tr.withColumn("_w", poisson_weight(keys, b, seed))
-            est = LinearRegression(featuresCol=FEATURES, labelCol=t, weightCol="_w",
-                                   regParam=float(params.get("reg", 0.0)),
-                                   elasticNetParam=float(params.get("mix", 0.0)))
-            return est.fit(wtr.where(F.col(t).isNotNull()))
-
-        jobs = [(b, t) for b in range(iterations) for t in targets]
-        try:
-            with ThreadPoolExecutor(max(1, parallelism)) as pool:
-                fitted = list(pool.map(one, jobs))
-        finally:
-            tr.unpersist()
-        models: dict = {t: [] for t in targets}
-        for (b, t), m in zip(jobs, fitted):
-            models[t].append(m)
-        return cls(prep, models, spec, targets)
+        feats = prep.transform(train)
+        p = len(feats.select(FEATURES).schema[FEATURES].metadata["ml_attr"]["attrs"]
+                .get("numeric", [])) + sum(
+            len(v) for k, v in feats.schema[FEATURES].metadata["ml_attr"]["attrs"].items()
+            if k != "numeric")
+        q = p + 1
+        tr = feats.select(
+            vector_to_array(F.col(FEATURES)).alias("_x"),
+            F.array(*[poisson_weight(keys, b, seed) for b in range(iterations)]).alias("_w"),
+            *[F.col(t).cast("double").alias(f"_y{i}") for i, t in enumerate(targets)])
+        stats = (tr.mapInPandas(_gram_partials(q, iterations, len(targets)),
+                                "b int, t int, idx int, v double")
+                 .groupBy("b", "t", "idx").agg(F.sum("v").alias("v")))
+        k = q * q + q + 1
+        arr = np.zeros((iterations, len(targets), k))
+        for r in stats.collect():  # iterations x targets x k numbers
+            arr[r["b"], r["t"], r["idx"]] = r["v"]
+        coefs = {}
+        for ti, t in enumerate(targets):
+            out = np.zeros((iterations, q))
+            for b in range(iterations):
+                G = arr[b, ti, :q * q].reshape(q, q)
+                rhs = arr[b, ti, q * q:q * q + q]
+                pen = np.eye(q) * reg * arr[b, ti, -1]
+                pen[0, 0] = 0.0
+                out[b] = np.linalg.lstsq(G + pen, rhs, rcond=None)[0]
+            coefs[t] = out
+        return cls(prep, coefs, spec, targets)
 
     def predict_interval(self, df: DataFrame, lo: float = 2.5, hi: float = 97.5) -> DataFrame:
         """Adds ``<t>_pred`` (bootstrap mean), ``<t>_lower_95``, ``<t>_upper_95``.
 
-        All B predictions of a row sit in one array, so the mean and the linear-
-        interpolated percentiles are computed row by row without a shuffle.
+        Only the feature array crosses to Python, in Arrow batches: one matrix
+        product scores all B replicates of a batch, then the mean and the linear-
+        interpolated percentiles are taken across replicates, row by row. No shuffle.
         """
+        import numpy as np
+        import pandas as pd
+        from pyspark.ml.functions import vector_to_array
+
         need = [c for c in list(self.spec.num) + list(self.spec.cat) if c not in df.columns]
         if need:
             raise MissingColumnsError(f"feature columns missing: {need}")
+        targets = list(self.targets)
+        coefs = {t: np.asarray(self.coefs[t], dtype=float) for t in targets}
+        fields = [f"{t}{sfx}" for t in targets for sfx in ("_pred", "_lower_95", "_upper_95")]
+        schema = ", ".join(f"`{f}` double" for f in fields)
+        qs = [lo / 100, hi / 100]
+
+        def score(xs):
+            if len(xs) == 0:
+                return pd.DataFrame({f: pd.Series([], dtype=float) for f in fields})
+            X = np.column_stack([np.ones(len(xs)), np.stack(xs.to_numpy())])
+            out = {}
+            for t in targets:
+                P = X @ coefs[t].T  # rows x B
+                out[f"{t}_pred"] = P.mean(axis=1)
+                lo_v, hi_v = np.quantile(P, qs, axis=1, method="linear")
+                out[f"{t}_lower_95"], out[f"{t}_upper_95"] = lo_v, hi_v
+            return pd.DataFrame(out)
+
+        score.__annotations__ = {"xs": pd.Series, "return": pd.DataFrame}
+        score_udf = F.pandas_udf(score, schema)
         sc = self.prep.transform(df)
-        cols: dict[str, list[str]] = {}
-        for t in self.targets:
-            cols[t] = []
-            for b, m in enumerate(self.models[t]):
-                c = f"__b{b}_{t}"
-                sc = m.setPredictionCol(c).transform(sc)
-                cols[t].append(c)
-        out = {}
-        for t, cs in cols.items():
-            n = len(cs)
-            arr = F.array_sort(F.array(*[F.col(c) for c in cs]))
-            out[t + "_pred"] = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / F.lit(float(n))
-            for name, p in ((t + "_lower_95", lo / 100), (t + "_upper_95", hi / 100)):
-                pos = p * (n - 1)
-                i_lo, i_hi = int(pos // 1), int(-(-pos // 1))
-                vlo, vhi = F.element_at(arr, i_lo + 1), F.element_at(arr, i_hi + 1)
-                out[name] = vlo + F.lit(pos - i_lo) * (vhi - vlo)
-        res = sc.withColumns(out)
-        return strip_helpers(res).drop(FEATURES, *[c for cs in cols.values() for c in cs])
+        res = sc.withColumn("__s", score_udf(vector_to_array(F.col(FEATURES))))
+        res = res.select(*df.columns, *[F.col(f"__s.`{f}`").alias(f) for f in fields])
+        return res
 
     def save(self, path: str) -> None:
+        spark = SparkSession.getActiveSession()
         self.prep.write().overwrite().save(os.path.join(path, "prep"))
-        for t, ms in self.models.items():
-            for b, m in enumerate(ms):
-                m.write().overwrite().save(os.path.join(path, "targets", t, str(b)))
-        write_run_metadata(SparkSession.getActiveSession(), os.path.join(path, "meta"), {
+        write_run_metadata(spark, os.path.join(path, "meta"), {
             "kind": "bootstrap", "targets": self.targets,
-            "iterations": len(next(iter(self.models.values()))),
+            "coefs": {t: c.tolist() for t, c in self.coefs.items()},
             "num": list(self.spec.num), "cat": list(self.spec.cat)})
 
     @classmethod
     def load(cls, path: str) -> "BootstrapEnsemble":
+        import numpy as np
         spark = SparkSession.getActiveSession()
         try:
             meta = read_run_metadata(spark, os.path.join(path, "meta"))
             prep = PipelineModel.load(os.path.join(path, "prep"))
-            models = {t: [LinearRegressionModel.load(os.path.join(path, "targets", t, str(b)))
-                          for b in range(meta["iterations"])] for t in meta["targets"]}
         except Exception as e:
             raise AssetLoadError(f"cannot load ensemble from {path}: {e}") from e
         spec = FeatureSpec(cat=meta["cat"], num=meta["num"], target=meta["targets"])
-        return cls(prep, models, spec, meta["targets"])
+        coefs = {t: np.array(c) for t, c in meta["coefs"].items()}
+        return cls(prep, coefs, spec, meta["targets"])
 
 
 def predict_interval(df: DataFrame, train: DataFrame, spec: FeatureSpec, targets: Sequence[str],

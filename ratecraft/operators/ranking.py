@@ -20,8 +20,14 @@ def rank_groups(df: DataFrame, key: str, value: str, rank_col: str | None = None
     """
     ordered = [F.desc_nulls_last(value), F.asc_nulls_last(key)]
     if rank_col:
-        w = Window.orderBy(*ordered)
-        return df.withColumn(rank_col, F.row_number().over(w).cast("long"))
+        # Row numbers from distributed ranks (range partitions), not a global window
+        # that would pull every group into one task.
+        from ratecraft.operators.ordered import ordered_scan
+        tagged = df.withColumns({
+            "_r_null": F.col(value).isNull(), "_r_neg": -F.col(value),
+            "_r_knull": F.col(key).isNull()})
+        ranked = ordered_scan(tagged, [], ["_r_null", "_r_neg", "_r_knull", key], index="_r_idx")
+        return ranked.select(*df.columns, (F.col("_r_idx") + 1).cast("long").alias(rank_col))
     return df.orderBy(*ordered)
 
 
