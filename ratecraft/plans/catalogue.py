@@ -448,8 +448,8 @@ def search_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: the candidate table itself, one row per customer as a candidate id space."""
     from ratecraft.operators.models import sample_space
     n = T.table(spark, sf_dir, "customer").count()
-    return sample_space(spark, SEARCH_SPACE, n, seed=11).select(
-        "trial_id", *SEARCH_SPACE.keys())
+    return _round_doubles(sample_space(spark, SEARCH_SPACE, n, seed=11).select(
+        "trial_id", *SEARCH_SPACE.keys()))
 
 
 def part_model(spark: SparkSession, sf_dir: str):

@@ -10,7 +10,7 @@ cast to BIGINT; ``x / 0.0`` is infinity in DuckDB, so divisors go through
 from __future__ import annotations
 
 from ratecraft.plans.catalogue import (
-    FIXED_MODEL, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, VIF_COLS,
+    FIXED_MODEL, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, SEARCH_SPACE, VIF_COLS,
 )
 from ratecraft.plans.tables import LINE_NUMERIC
 
@@ -491,6 +491,29 @@ WHERE rank <= 10
 """
 
 
+def _search_space() -> str:
+    cols = []
+    for name, spec in SEARCH_SPACE.items():
+        u = (f"(CAST(('0x' || substr(md5(concat_ws('|', CAST(trial_id AS VARCHAR), '{name}', '11')), 1, 13))"
+             f"::BIGINT AS DOUBLE) / {float(16 ** 13)!r})")
+        kind = spec[0]
+        if kind in ("int", "int_excl"):
+            lo, hi = int(spec[1]), int(spec[2]) + (1 if kind == "int" else 0)
+            cols.append(f"CAST(floor({u} * {hi - lo}) + {lo} AS BIGINT) AS {name}")
+        elif kind == "float":
+            lo, hi = float(spec[1]), float(spec[2])
+            cols.append(f"{sig(f'CAST({lo!r} AS DOUBLE) + {u} * CAST({hi - lo!r} AS DOUBLE)')} AS {name}")
+        elif kind == "logfloat":
+            lo, hi = float(spec[1]), float(spec[2])
+            e = f"exp(ln(CAST({lo!r} AS DOUBLE)) + {u} * (ln(CAST({hi!r} AS DOUBLE)) - ln(CAST({lo!r} AS DOUBLE))))"
+            cols.append(f"{sig(e)} AS {name}")
+    return ("SELECT trial_id, " + ", ".join(cols)
+            + " FROM (SELECT CAST(range AS BIGINT) AS trial_id FROM range((SELECT count(*) FROM customer)))")
+
+
+SEARCH_SPACE_SQL = _search_space()
+
+
 SQL: dict[str, str] = {
     "rate_pivot": RATE_PIVOT,
     "rate_with_economy": RATE_WITH_ECONOMY,
@@ -534,4 +557,5 @@ SQL: dict[str, str] = {
     "regression_metrics": _regression_metrics(),
     "linear_attribution": LINEAR_ATTRIBUTION,
     "topk_features": TOPK_FEATURES,
+    "search_space": SEARCH_SPACE_SQL,
 }
