@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,11 +49,17 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     if salt:
         work = work.withColumn("_salt", F.rand(seed=20240101))
         sort_cols = sort_cols + ["_salt"]
-    chunked = (work.repartitionByRange(n, *sort_cols)
-               .sortWithinPartitions(*sort_cols)
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_pos", F.monotonically_increasing_id()))
-    chunked = cut_lineage(chunked)
+    # The range bounds are sampled by one job and the shuffle is written by another;
+    # keeping the input cached between them evaluates the upstream plan once.
+    work = work.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        chunked = (work.repartitionByRange(n, *sort_cols)
+                   .sortWithinPartitions(*sort_cols)
+                   .withColumn("_pid", F.spark_partition_id())
+                   .withColumn("_pos", F.monotonically_increasing_id()))
+        chunked = cut_lineage(chunked)
+    finally:
+        work.unpersist()
 
     stat_aggs = [F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0")]
     for i, (how, col, _out, _inc) in enumerate(running):

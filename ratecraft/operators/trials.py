@@ -28,8 +28,12 @@ def epoch_loss(batches: DataFrame, trial: str, epoch: str, loss: str,
     return batches.groupBy(trial, epoch).agg(F.avg(loss).alias(out))
 
 
-def early_stop(metrics: DataFrame, trial: str, step: str, loss: str, patience: int = 7,
-               delta: float = 0.0) -> DataFrame:
+def _order_cols(step: str | Sequence[str]) -> list[str]:
+    return [step] if isinstance(step, str) else list(step)
+
+
+def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss: str,
+               patience: int = 7, delta: float = 0.0) -> DataFrame:
     """(trial, stop_index, best_loss) under the patience rule.
 
     score = -loss. The first row sets best; a row with score < best + delta adds
@@ -43,12 +47,15 @@ def early_stop(metrics: DataFrame, trial: str, step: str, loss: str, patience: i
     scans (skew-safe). Other deltas move best only on improvement, a sequential
     fold: it runs per trial in a grouped pandas function.
     """
-    base = metrics.select(F.col(trial).alias("trial_id"), F.col(step).alias("_step"),
+    order = _order_cols(step)
+    base = metrics.select(F.col(trial).alias("trial_id"),
+                          *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                           (-F.col(loss).cast("double")).alias("_score")).where(
         F.col("_score").isNotNull())
+    okeys = [f"_o{i}" for i in range(len(order))]
     if delta != 0.0:
-        return _early_stop_fold(base, patience, delta)
-    s = ordered_scan(base, ["trial_id"], ["_step"], index="_i",
+        return _early_stop_fold(base, okeys, patience, delta)
+    s = ordered_scan(base, ["trial_id"], okeys, index="_i",
                      running=[("max", "_score", "_best_prev", False)])
     s = s.withColumn("_imp", F.when(F.col("_best_prev").isNull() |
                                     (F.col("_score") >= F.col("_best_prev")), F.col("_i")))
@@ -64,9 +71,9 @@ def early_stop(metrics: DataFrame, trial: str, step: str, loss: str, patience: i
                     F.coalesce("_best_at_stop", "_best_end").alias("best_loss")))
 
 
-def _early_stop_fold(base: DataFrame, patience: int, delta: float) -> DataFrame:
+def _early_stop_fold(base: DataFrame, okeys: list[str], patience: int, delta: float) -> DataFrame:
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_step", kind="mergesort")
+        pdf = pdf.sort_values(okeys, kind="mergesort")
         best, counter, stop = None, 0, None
         for i, sc in enumerate(pdf["_score"].to_numpy()):
             if best is None:
@@ -85,27 +92,31 @@ def _early_stop_fold(base: DataFrame, patience: int, delta: float) -> DataFrame:
     return base.groupBy("trial_id").applyInPandas(fold, schema)
 
 
-def median_prune(metrics: DataFrame, trial: str, step: str, value: str, warmup: int = 0,
-                 min_trials: int = 5) -> DataFrame:
-    """(trial, pruned_step): first step at which the trial's best value so far
+def median_prune(metrics: DataFrame, trial: str, step: str | Sequence[str], value: str,
+                 warmup: int = 0, min_trials: int = 5) -> DataFrame:
+    """(trial, pruned_step): first step index at which the trial's best value so far
     (running minimum) is worse than the median of all trials' values at that step.
 
     Only steps >= ``warmup`` that at least ``min_trials`` trials reached can prune.
     The per-step median is an exact distributed quantile; the running minimum a
     prefix scan. pruned_step is NULL when the trial is never pruned.
     """
-    base = metrics.select(F.col(trial).alias("trial_id"), F.col(step).alias("step"),
+    order = _order_cols(step)
+    base = metrics.select(F.col(trial).alias("trial_id"),
+                          *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
                           F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    run = ordered_scan(base, ["trial_id"], ["step"], index=None,
+    # one ordered pass gives both the 0-based step index and the running minimum
+    run = ordered_scan(base, ["trial_id"], [f"_o{i}" for i in range(len(order))], index="step",
                        running=[("min", "_v", "_best", True)])
-    med = exact_quantiles(base, "_v", [0.5], keys=["step"]).select("step", F.col("q").alias("_med"))
-    cnt = base.groupBy("step").agg(F.count(F.lit(1)).alias("_k"))
+    med = exact_quantiles(run, "_v", [0.5], keys=["step"]).select("step", F.col("q").alias("_med"))
+    cnt = run.groupBy("step").agg(F.count(F.lit(1)).alias("_k"))
     per_step = med.join(cnt, "step")
     flagged = run.join(per_step, "step").where(
         (F.col("step") >= warmup) & (F.col("_k") >= min_trials) & (F.col("_best") > F.col("_med")))
     first = flagged.groupBy("trial_id").agg(F.min("step").alias("pruned_step"))
     trials = base.select("trial_id").distinct()
-    return trials.join(first, "trial_id", "left")
+    return trials.join(first, "trial_id", "left").select(
+        "trial_id", F.col("pruned_step").cast("long"))
 
 
 def best_trial(results: DataFrame, trial: str = "trial_id", value: str = "value",

@@ -322,15 +322,13 @@ def epoch_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patience-3 early stop over each trial's losses in (ts, event_id) order."""
     m = T.trial_metrics(spark, sf_dir)
-    steps = TR.step_index(m, "trial_id", ["ts", "event_id"])
-    return _round_doubles(TR.early_stop(steps, "trial_id", "step", "loss", patience=3))
+    return _round_doubles(TR.early_stop(m, "trial_id", ["ts", "event_id"], "loss", patience=3))
 
 
 def median_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First step where a trial's best-so-far loss is worse than the step median."""
     m = T.trial_metrics(spark, sf_dir)
-    steps = TR.step_index(m, "trial_id", ["ts", "event_id"])
-    return TR.median_prune(steps, "trial_id", "step", "loss", warmup=0, min_trials=5)
+    return TR.median_prune(m, "trial_id", ["ts", "event_id"], "loss", warmup=0, min_trials=5)
 
 
 def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
