@@ -49,7 +49,7 @@ def _unpivot_row(one_row: DataFrame, items: Sequence[tuple[str, dict]]) -> DataF
     return one_row.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
 
 
-def missing_summary(df: DataFrame, sort: bool = True, digits: int = 2) -> DataFrame:
+def missing_summary(df: DataFrame, sort: bool = True, digits: int | None = 2) -> DataFrame:
     """A3: (column, missing_count, missing_percent, dtype), NULL and NaN both missing.
 
     Sorted by percent descending, stable on column position, then rounded
@@ -66,8 +66,8 @@ def missing_summary(df: DataFrame, sort: bool = True, digits: int = 2) -> DataFr
     long = _unpivot_row(one, items)
     if sort:
         long = long.orderBy(F.desc_nulls_last("_pct"), F.asc("position"))
-    return long.select("column", "missing_count",
-                       F.bround("_pct", digits).alias("missing_percent"), "dtype")
+    pct = F.col("_pct") if digits is None else F.bround("_pct", digits)
+    return long.select("column", "missing_count", pct.alias("missing_percent"), "dtype")
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -95,8 +95,11 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
             .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int = 2) -> DataFrame:
-    """A5: describe joined with dtype, missing count and percent by column name."""
+def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = None) -> DataFrame:
+    """A5: describe joined with dtype, missing count and percent by column name.
+
+    The percent is unrounded by default (rounding in the reference is display only).
+    """
     d = describe(df, cols)
     m = missing_summary(df, sort=False, digits=digits)
     return d.join(m, "column", "left").select(

@@ -146,8 +146,7 @@ def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5: describe + dtype + missing count and percent."""
-    return _round_doubles(PR.profile(T.order_returns(spark, sf_dir), PROFILE_NUMERIC),
-                          skip=("missing_percent",))
+    return _round_doubles(PR.profile(T.order_returns(spark, sf_dir), PROFILE_NUMERIC))
 
 
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,7 +197,7 @@ WITH f AS ({_ORDER_RETURNS}),
 d AS ({_union(_describe_parts())}),
 m AS ({_union(_missing_parts())})
 SELECT d."column", m.dtype, d.count, d.mean, d.std, d.min, d.p25, d.p50, d.p75, d.max,
-       m.missing_count, round_even(m._pct, 2) AS missing_percent
+       m.missing_count, {sig('m._pct')} AS missing_percent
 FROM d LEFT JOIN m ON d."column" = m."column"
 """
 
