@@ -472,6 +472,50 @@ def background_centres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return background_kmeans(li, list(T.LINE_NUMERIC), ["l_returnflag"], k=15)
 
 
+def distinct_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct non-NULL market segments of the customers."""
+    return A.distinct_values(T.table(spark, sf_dir, "customer"), "c_mktsegment")
+
+
+PART_SPEC = FE.FeatureSpec(num=["p_size"], cat=["p_brand", "p_type"], target=["p_retailprice"])
+
+
+def fit_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: boosting on part prices that watches a 20% hashed hold-out (may stop early)."""
+    from ratecraft.operators.models import fit_with_validation
+    p = T.table(spark, sf_dir, "part")
+    model = fit_with_validation(p, PART_SPEC, PART_SPEC.target,
+                                {"n_estimators": 20, "max_depth": 3, "learning_rate": 0.3},
+                                keys=["p_partkey"], tol=0.001)
+    return model.predict(p).select("p_partkey", "p_retailprice", "p_retailprice_pred")
+
+
+def cv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 + M5: 3 candidates x 2 hashed folds by mean R^2, best refitted on all rows;
+    returns the candidate table with the chosen one flagged."""
+    from ratecraft.operators.models import random_search_cv, refit_best
+    p = T.table(spark, sf_dir, "part")
+    space = {"n_estimators": ("int", 3, 6), "max_depth": ("int", 2, 4)}
+    best, table = random_search_cv(p, PART_SPEC, PART_SPEC.target, space, n_iter=3, folds=2,
+                                   seed=5, keys=["p_partkey"], parallelism=3)
+    refit_best(p, PART_SPEC, PART_SPEC.target, best, rows="all")
+    chosen = F.create_map(*[x for k, v in best.items() for x in (F.lit(k), F.lit(str(v)))])
+    return table.select("trial_id", F.to_json("params").alias("params"), "mean_r2",
+                        (F.to_json("params") == F.to_json(chosen)).alias("chosen"))
+
+
+def saved_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S9 + S10 + S11: fit, save to the shared checkpoint folder, load and score."""
+    import uuid
+    from ratecraft.operators.models import fit_multi_target
+    from ratecraft.plans.score_job import score
+    from ratecraft.session import scratch_dir
+    p = T.table(spark, sf_dir, "part")
+    path = scratch_dir(spark, f"models/part-{uuid.uuid4().hex}")
+    fit_multi_target(p, PART_SPEC, PART_SPEC.target, {"n_estimators": 5, "max_depth": 3}).save(path)
+    return score(spark, f"{sf_dir.rstrip('/')}/part.parquet", path)
+
+
 CATALOGUE = {
     "rate_pivot": rate_pivot,
     "rate_with_economy": rate_with_economy,
@@ -521,4 +565,8 @@ CATALOGUE = {
     "search_space": search_space,
     "sampled_attribution": sampled_attribution,
     "background_centres": background_centres,
+    "distinct_segments": distinct_segments,
+    "fit_validated": fit_validated,
+    "cv_search": cv_search,
+    "saved_model_score": saved_model_score,
 }

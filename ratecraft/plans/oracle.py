@@ -558,4 +558,5 @@ SQL: dict[str, str] = {
     "linear_attribution": LINEAR_ATTRIBUTION,
     "topk_features": TOPK_FEATURES,
     "search_space": SEARCH_SPACE_SQL,
+    "distinct_segments": "SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL",
 }
