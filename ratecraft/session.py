@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # delete reliable checkpoint files once their DataFrame is no longer referenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # let Python data sources (the SQLite reader) evaluate filters at the source
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

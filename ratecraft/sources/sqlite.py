@@ -4,6 +4,8 @@ Partitions are rowid ranges, so tasks read disjoint slices in parallel. The file
 is opened read-only on the executors (it must sit on storage they can reach).
 Options: ``database`` (file), ``table``, ``numPartitions`` (default 4). The schema
 is taken from the table's declared column types unless given with ``.schema``.
+Comparisons, IN and NULL tests are evaluated inside SQLite when
+``spark.sql.python.filterPushdown.enabled`` is on (the session defaults turn it on).
 """
 
 from __future__ import annotations
@@ -35,12 +37,44 @@ class _RangePartition(InputPartition):
         self.lo, self.hi = lo, hi
 
 
+_OPS = {"EqualTo": "=", "GreaterThan": ">", "GreaterThanOrEqual": ">=", "LessThan": "<",
+        "LessThanOrEqual": "<="}
+
+
 class SQLiteReader(DataSourceReader):
     def __init__(self, options: dict, schema: StructType):
         self.database = options["database"]
         self.table = options["table"]
         self.parts = int(options.get("numPartitions", 4))
         self.schema = schema
+        self.where: list = []   # (sql, params) pushed into every partition query
+        self.pushed: list = []  # names of pushed filters (for tests and explain)
+
+    def pushFilters(self, filters):
+        """Evaluate comparisons, IN and NULL tests on top-level columns inside SQLite.
+
+        Anything else (and anything on a nested path) is returned for Spark to apply.
+        """
+        names = {f.name for f in self.schema.fields}
+        for f in filters:
+            kind = type(f).__name__
+            attr = getattr(f, "attribute", None)
+            if not attr or len(attr) != 1 or attr[0] not in names:
+                yield f
+                continue
+            col = '"' + attr[0].replace('"', '""') + '"'
+            if kind in _OPS and f.value is not None:
+                self.where.append((f"{col} {_OPS[kind]} ?", (f.value,)))
+            elif kind == "In" and f.value and all(v is not None for v in f.value):
+                self.where.append((f"{col} IN ({', '.join('?' * len(f.value))})", tuple(f.value)))
+            elif kind == "IsNull":
+                self.where.append((f"{col} IS NULL", ()))
+            elif kind == "IsNotNull":
+                self.where.append((f"{col} IS NOT NULL", ()))
+            else:
+                yield f
+                continue
+            self.pushed.append(kind)
 
     def _connect(self):
         import sqlite3
@@ -59,10 +93,13 @@ class SQLiteReader(DataSourceReader):
 
     def read(self, partition):
         cols = ", ".join(f'"{f.name}"' for f in self.schema.fields)
+        cond = " AND ".join(["rowid BETWEEN ? AND ?"] + [w for w, _ in self.where])
+        params: tuple = (partition.lo, partition.hi)
+        for _, p in self.where:
+            params = params + tuple(p)
         con = self._connect()
         try:
-            cur = con.execute(f'SELECT {cols} FROM "{self.table}" WHERE rowid BETWEEN ? AND ?',
-                              (partition.lo, partition.hi))
+            cur = con.execute(f'SELECT {cols} FROM "{self.table}" WHERE {cond}', params)
             for row in cur:
                 yield tuple(row)
         finally:

@@ -62,6 +62,10 @@ def test_sqlite_table(spark, tmpdir_path):
     assert df.schema.simpleString() == "struct<fips:string,year:bigint,sex:string,population:bigint,r:double>"
     assert df.count() == 25 and df.rdd.getNumPartitions() == 3
     assert df.where("fips = '01'").first()["population"] == 1001
+    picked = df.where((F.col("year") >= 2001) & F.col("fips").isin("03", "04", "05") & (F.col("r") < 2.1))
+    assert sorted(r["fips"] for r in picked.collect()) == ["04"]
+    plan = spark._jvm.PythonSQLUtils.explainString(picked._jdf.queryExecution(), "formatted")
+    assert "In(fips" in plan and "GreaterThanOrEqual(year" in plan
 
 
 def test_sinks_and_metadata(spark, tmpdir_path):
