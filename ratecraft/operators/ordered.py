@@ -31,20 +31,12 @@ def _n_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
 
 
-def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
-                 index: str | None = "_idx",
-                 running: Sequence[tuple[str, str, str, bool]] = (),
-                 salt: bool = False, num_partitions: int | None = None) -> DataFrame:
-    """Add a 0-based row index within each key group and running aggregates.
-
-    ``running`` items are ``(how, column, out_name, inclusive)`` with how in
-    {'max', 'min'}; ``inclusive=False`` aggregates over the rows strictly before.
-    ``salt`` adds a seeded random tie-breaker so equal order values of a hot key
-    still spread over partitions (use when ``order`` is not unique in a group).
-    """
-    keys, order = list(keys), list(order)
+def chunk(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, salt: bool = False,
+          num_partitions: int | None = None) -> DataFrame:
+    """Step 1: range-partition by (keys, order[, salt]), sort, tag ``_pid``/``_pos``,
+    and write a reliable checkpoint. Returns the checkpointed frame."""
     n = num_partitions or _n_parts(df)
-    sort_cols = keys + order
+    sort_cols = list(keys) + list(order)
     work = df
     if salt:
         work = work.withColumn("_salt", F.rand(seed=20240101))
@@ -57,10 +49,25 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                    .sortWithinPartitions(*sort_cols)
                    .withColumn("_pid", F.spark_partition_id())
                    .withColumn("_pos", F.monotonically_increasing_id()))
-        chunked = cut_lineage(chunked)
+        return cut_lineage(chunked)
     finally:
         work.unpersist()
 
+
+def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
+                 index: str | None = "_idx",
+                 running: Sequence[tuple[str, str, str, bool]] = (),
+                 salt: bool = False, num_partitions: int | None = None) -> DataFrame:
+    """Add a 0-based row index within each key group and running aggregates.
+
+    ``running`` items are ``(how, column, out_name, inclusive)`` with how in
+    {'max', 'min'}; ``inclusive=False`` aggregates over the rows strictly before.
+    ``salt`` adds a seeded random tie-breaker so equal order values of a hot key
+    still spread over partitions (use when ``order`` is not unique in a group).
+    """
+    keys, order = list(keys), list(order)
+    chunked = chunk(df, keys, order, salt=salt, num_partitions=num_partitions)
+
     stat_aggs = [F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_p0")]
     for i, (how, col, _out, _inc) in enumerate(running):
         stat_aggs.append(_AGG[how][0](col).alias(f"_c{i}"))
@@ -139,12 +146,14 @@ def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     The result is parameter-sized (columns x probs) so it comes back to the driver.
     """
     columns = list(columns)
+    # integer column ids keep the shuffled and checkpointed rows narrow
     stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val")) for c in columns]))
+        F.struct(F.lit(i).alias("_col"), F.col(c).cast("double").alias("_val"))
+        for i, c in enumerate(columns)]))
     long = df.select(stack.alias("_s")).select("_s._col", "_s._val")
     res = exact_quantiles(long, "_val", probs, keys=["_col"]).collect()
     out = {c: [None] * len(probs) for c in columns}
     index = {float(p): i for i, p in enumerate(probs)}
     for r in res:
-        out[r["_col"]][index[float(r["p"])]] = r["q"]
+        out[columns[r["_col"]]][index[float(r["p"])]] = r["q"]
     return out

@@ -85,13 +85,14 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                   "std": F.col(f"_s{i}"), "min": F.col(f"_lo{i}"), "max": F.col(f"_hi{i}")})
              for i, c in enumerate(cols)]
     moments = _unpivot_row(one, items)
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("_val"))
-                                for c in cols]))
-    long = clean.select(stack.alias("_s")).select("_s.column", "_s._val")
-    q = (exact_quantiles(long, "_val", [0.25, 0.5, 0.75], keys=["column"])
-         .groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")))
-    q = q.toDF("column", "p25", "p50", "p75")
-    return (moments.join(q, "column", "left").orderBy("position")
+    # integer column ids keep the shuffled and checkpointed rows narrow
+    stack = F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.col(c).alias("_val"))
+                                for i, c in enumerate(cols)]))
+    long = clean.select(stack.alias("_s")).select("_s.position", "_s._val")
+    q = (exact_quantiles(long, "_val", [0.25, 0.5, 0.75], keys=["position"])
+         .groupBy("position").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")))
+    q = q.toDF("position", "p25", "p50", "p75")
+    return (moments.join(q, "position", "left").orderBy("position")
             .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
 

@@ -52,3 +52,18 @@ def test_empty_group_gives_no_row(spark):
     df = spark.createDataFrame([("a", None), ("b", 1.0)], "k string, v double")
     out = exact_quantiles(df, "v", [0.5], keys=["k"]).collect()
     assert [(r["k"], r["q"]) for r in out] == [("b", 1.0)]
+
+
+def test_hot_key_is_split_across_partitions(spark):
+    """A key holding a third of the rows lands in several balanced range partitions."""
+    from ratecraft.operators.ordered import chunk
+    n = 6000
+    rows = [(0 if i % 3 == 0 else 1 + i % 50, i, float(i % 7)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, t int, v double")
+    parts = 12
+    for order, salt in ((["t"], False), (["v"], True)):  # unique order / heavy ties + salt
+        c = chunk(df, ["k"], order, salt=salt, num_partitions=parts)
+        sizes = {r["_pid"]: r["n"] for r in c.groupBy("_pid").count().withColumnRenamed("count", "n").collect()}
+        hot = c.where("k = 0").select("_pid").distinct().count()
+        assert hot >= 3                      # the hot key spans several partitions
+        assert max(sizes.values()) <= 3 * n / parts  # and no partition holds the whole key
