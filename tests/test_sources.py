@@ -14,14 +14,13 @@ from ratecraft.sources.files import column_from_filename, scan_json_records, sca
 from ratecraft.sources.sinks import sink_csv, sink_parquet
 from ratecraft.sources.sqlite import scan_sqlite_table
 
-COUNTS_SCHEMA = ("Notes string, States string, `States Code` string, Year bigint, "
-                 "`Year Code` string, `Leading Cancer Sites` string, Sex string, `Sex Code` string, "
-                 "Count string")
+COUNTS_SCHEMA = ("Notes string, Area string, `Area Code` string, Year bigint, "
+                 "`Year Code` string, Site string, Sex string, `Sex Code` string, Count string")
 
 
 def _write_sectioned(path, rows):
-    head = "\t".join(['"Notes"', '"States"', '"States Code"', '"Year"', '"Year Code"',
-                      '"Leading Cancer Sites"', '"Sex"', '"Sex Code"', '"Count"'])
+    head = "\t".join(['"Notes"', '"Area"', '"Area Code"', '"Year"', '"Year Code"',
+                      '"Site"', '"Sex"', '"Sex Code"', '"Count"'])
     body = "\n".join("\t".join(r) for r in rows)
     notes = '"---"\n"Dataset: counts"\n"Query Date: x"\n"---"\n'
     with open(path, "w") as f:
@@ -31,22 +30,22 @@ def _write_sectioned(path, rows):
 def test_sectioned_tsv_and_filename(spark, tmpdir_path):
     p1 = os.path.join(tmpdir_path, "counts_agegte25lt45.txt")
     p2 = os.path.join(tmpdir_path, "counts_agegte65.txt")
-    _write_sectioned(p1, [["", "Alabama", "01", "2001", "2001", "Breast", "Female", "F", "120"],
-                          ["", "Alabama", "01", "2001", "2001", "Melanoma", "Male", "M", "Suppressed"]])
-    _write_sectioned(p2, [["", "Alaska", "02", "2002", "2002", "Breast", "Female", "F", "7"]])
+    _write_sectioned(p1, [["", "North", "01", "2001", "2001", "Alpha", "Female", "F", "120"],
+                          ["", "North", "01", "2001", "2001", "Beta", "Male", "M", "Suppressed"]])
+    _write_sectioned(p2, [["", "South", "02", "2002", "2002", "Alpha", "Female", "F", "7"]])
     df = scan_sectioned_tsv(spark, [p1, p2], COUNTS_SCHEMA, file_column="age_group")
-    rows = sorted(df.collect(), key=lambda r: (r["States"], r["Leading Cancer Sites"]))
+    rows = sorted(df.collect(), key=lambda r: (r["Area"], r["Site"]))
     assert "Notes" not in df.columns and len(rows) == 3
-    assert rows[0]["States Code"] == "01" and rows[0]["age_group"] == "agegte25lt45"
+    assert rows[0]["Area Code"] == "01" and rows[0]["age_group"] == "agegte25lt45"
     assert rows[1]["Count"] == "Suppressed" and rows[2]["age_group"] == "agegte65"
 
 
 def test_json_records(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "survey.json")
     with open(p, "w") as f:
-        json.dump([{"year": 2001, "locationabbr": "AL", "data_value": 55.5},
-                   {"year": 2002, "locationabbr": "AK", "data_value": None}], f)
-    df = scan_json_records(spark, p, "year bigint, locationabbr string, data_value double")
+        json.dump([{"year": 2001, "area": "N", "data_value": 55.5},
+                   {"year": 2002, "area": "S", "data_value": None}], f)
+    df = scan_json_records(spark, p, "year bigint, area string, data_value double")
     assert df.count() == 2 and df.where(F.col("data_value").isNull()).count() == 1
 
 
