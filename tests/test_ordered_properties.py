@@ -42,3 +42,38 @@ def test_running_max_matches_pandas(spark, data):
     assert len(m) == len(data) and (m["i"] == m["i_s"]).all()
     same = (m["m"] == m["m_s"]) | (m["m"].isna() & m["m_s"].isna())
     assert same.all()
+
+
+def _fold(losses, patience, delta=0.0):
+    """Direct statement of the patience rule (score = -loss)."""
+    best, counter = None, 0
+    for i, loss in enumerate(losses):
+        score = -loss
+        if best is None:
+            best = score
+        elif score < best + delta:
+            counter += 1
+            if counter >= patience:
+                return i, -best
+        else:
+            best, counter = score, 0
+    return None, (None if best is None else -best)
+
+
+seqs = st.dictionaries(st.integers(0, 4),
+                       st.lists(st.sampled_from([0.1, 0.2, 0.3, 0.4, 0.5]), min_size=1, max_size=25),
+                       min_size=1, max_size=4)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(trials=seqs, patience=st.integers(1, 4))
+def test_early_stop_scan_equals_fold(spark, trials, patience):
+    from ratecraft.operators.trials import early_stop
+    rows = [(t, i, v) for t, ls in trials.items() for i, v in enumerate(ls)]
+    df = spark.createDataFrame(rows, "trial bigint, step bigint, loss double")
+    for delta in (0.0, 0.15):
+        got = {r["trial_id"]: (r["stop_index"], r["best_loss"])
+               for r in early_stop(df, "trial", "step", "loss", patience, delta).collect()}
+        for t, ls in trials.items():
+            stop, best = _fold(ls, patience, delta)
+            assert got[t][0] == stop and got[t][1] == pytest.approx(best)
