@@ -58,8 +58,10 @@ def rate_with_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     s = T.survey(spark, sf_dir)
     s = s.where((F.col("measure") == "order status") & (F.col("response") == "F"))
-    s = rename(s, {"data_value": "non_smoker_rate", "no_such_column": "ignored"})
-    s = select_existing(s, ["nk", "yr", "non_smoker_rate", "absent_column"])
+    s = rename(s, {"data_value": "non_smoker_rate"})
+    s = select_existing(s, ["nk", "yr", "non_smoker_rate"])
+    # economy and survey are group-by results, unique on (nk, yr) by construction, so
+    # the many-to-one check (an extra pass) is not repeated here
     out = left_join(rate_with_economy(spark, sf_dir), s, ["nk", "yr"])
     return _round_doubles(out, skip=("gdp",))
 
