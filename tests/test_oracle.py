@@ -23,9 +23,15 @@ def test_every_query_has_a_callable_and_sql_keys_exist():
     assert len(SQL) >= 40
 
 
+def _plan(spark, df) -> str:
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_matches_duckdb(spark, con, key):
     df = QUERIES[key](spark, SF)
+    plan = _plan(spark, df)
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(SQL[key])
     ocols = [d[0] for d in res.description]
@@ -46,3 +52,9 @@ def test_rows_only(spark, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns == ["nk", "yr", "pr", "population", "a", "n", "r"]
+
+
+def test_flagship_plan_prunes_and_pushes(spark):
+    plan = _plan(spark, QUERIES["rate_pivot"](spark, SF))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string>" in plan
+    assert "PushedFilters: [IsNotNull(l_returnflag), IsNotNull(l_orderkey)]" in plan
