@@ -99,20 +99,57 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     return joined.select(*out_cols, *extra)
 
 
+# Above this many (key, distinct value) pairs, order statistics come from a sort.
+HISTOGRAM_LIMIT = 200_000
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                     keys: Sequence[str] = (), *, prob_col: str = "p",
-                    out_col: str = "q") -> DataFrame:
+                    out_col: str = "q", histogram_limit: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per key group (long output).
 
     Same definition as Spark ``percentile`` / DuckDB ``quantile_cont``:
     position = p * (n - 1) over the non-NULL, non-NaN values; the two neighbouring
-    order statistics are interpolated. Unlike ``percentile`` no task ever holds a
-    whole group: order statistics come from :func:`ordered_scan` ranks.
-    Groups with no value produce no row.
+    order statistics are interpolated. Groups with no value produce no row.
+
+    Two exact strategies, neither of which puts a whole group in one task:
+    few distinct values (estimated with HyperLogLog in one pass, total under
+    ``histogram_limit``) -> a (key, value, count) histogram built with partial
+    aggregation, ranks from cumulative counts; otherwise -> ranks from
+    :func:`ordered_scan` over range partitions.
     """
     keys = list(keys)
+    limit = HISTOGRAM_LIMIT if histogram_limit is None else histogram_limit
     v = F.col(value).cast("double")
     data = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if limit > 0:
+        card = data.groupBy(*keys).agg(F.approx_count_distinct("_v", 0.05).alias("_nd"))
+        if len(keys) == 1:
+            # few keys (e.g. profiled columns): decide per key
+            rows = card.limit(MAX_KEYS_PER_KEY_CHOICE + 1).collect()
+            if len(rows) <= MAX_KEYS_PER_KEY_CHOICE:
+                low = [r[0] for r in rows if r["_nd"] <= limit]
+                high = [r[0] for r in rows if r["_nd"] > limit]
+                if not high:
+                    return _histogram_quantiles(data, keys, probs, prob_col, out_col)
+                if low:
+                    k = F.col(keys[0])
+                    a = _histogram_quantiles(data.where(k.isin(low)), keys, probs, prob_col, out_col)
+                    b = _sorted_quantiles(data.where(k.isin(high)), keys, probs, prob_col, out_col)
+                    return a.unionByName(b)
+                return _sorted_quantiles(data, keys, probs, prob_col, out_col)
+        est = card.agg(F.sum("_nd")).first()[0]
+        if est is None or est <= limit:
+            return _histogram_quantiles(data, keys, probs, prob_col, out_col)
+    return _sorted_quantiles(data, keys, probs, prob_col, out_col)
+
+
+# Per-key strategy choice is made on the driver only for at most this many keys.
+MAX_KEYS_PER_KEY_CHOICE = 1000
+
+
+def _sorted_quantiles(data: DataFrame, keys: list, probs: Sequence[float], prob_col: str,
+                      out_col: str) -> DataFrame:
     ranked = ordered_scan(data, keys, ["_v"], index="_r", salt=True)
     counts = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
     probe = F.array(*[F.lit(float(p)) for p in probs])
@@ -139,6 +176,44 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
                       .alias(out_col))
 
 
+def _histogram_quantiles(data: DataFrame, keys: list, probs: Sequence[float], prob_col: str,
+                         out_col: str) -> DataFrame:
+    """Order statistics from a small exact histogram: value v covers the ranks
+    [cum - cnt, cum - 1] of its group; the rank-lo and rank-hi values are picked by
+    an equi-join on the group and a range test on the small histogram."""
+    gk = keys or ["_g"]
+    if not keys:
+        data = data.withColumn("_g", F.lit(0))
+    hist = data.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*gk).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    hist = (hist.withColumn("_cum", F.sum("_c").over(w))
+            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk))))
+    probe = F.array(*[F.lit(float(p)) for p in probs])
+    need = (hist.select(*gk, "_n").distinct()
+            .select(*gk, "_n", F.explode(probe).alias(prob_col))
+            .withColumn("_pos", F.col(prob_col) * (F.col("_n") - 1))
+            .withColumn("_lo", F.floor("_pos").cast("long"))
+            .withColumn("_hi", F.ceil("_pos").cast("long"))
+            .withColumn("_frac", F.col("_pos") - F.col("_lo")))
+    tag = "__h_"
+    h = hist.select(*[F.col(c).alias(tag + c) if c in gk else F.col(c) for c in hist.columns if c != "_n"])
+    cond = None
+    for k in gk:
+        c = need[k].eqNullSafe(h[tag + k])
+        cond = c if cond is None else cond & c
+    first = F.col("_cum") - F.col("_c")
+    has_lo = (first <= F.col("_lo")) & (F.col("_lo") < F.col("_cum"))
+    has_hi = (first <= F.col("_hi")) & (F.col("_hi") < F.col("_cum"))
+    picked = need.join(h, cond, "inner").where(has_lo | has_hi).select(
+        *gk, prob_col, "_frac",
+        F.when(has_lo, F.col("_v")).alias("_vlo"), F.when(has_hi, F.col("_v")).alias("_vhi"))
+    res = picked.groupBy(*gk, prob_col).agg(
+        F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi"), F.first("_frac").alias("_frac"))
+    q = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
+    return res.select(*keys, prob_col, F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(q)
+                      .alias(out_col))
+
+
 def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
     """Exact quantiles of several columns in one distributed pass.
 

@@ -34,10 +34,11 @@ def test_index_and_running(hot):
     assert ((m["mn_prev"] == m["mn_prev_s"]) | (m["mn_prev"].isna() & m["mn_prev_s"].isna())).all()
 
 
-def test_exact_quantiles_grouped(hot):
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_exact_quantiles_grouped(hot, limit):
     pdf, df = hot
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    out = exact_quantiles(df, "v", probs, keys=["k"]).toPandas()
+    out = exact_quantiles(df, "v", probs, keys=["k"], histogram_limit=limit).toPandas()
     for (k, p), q in out.set_index(["k", "p"])["q"].items():
         assert q == pytest.approx(np.quantile(pdf.loc[pdf.k == k, "v"], p), abs=1e-12)
 

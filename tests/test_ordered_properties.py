@@ -17,10 +17,14 @@ probs = st.lists(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.75, 0.975, 1.0]), min_s
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=rows, ps=probs)
-def test_quantiles_match_numpy(spark, data, ps):
+@given(data=rows, ps=probs, limit=st.sampled_from([0, 10_000]), keyed=st.booleans())
+def test_quantiles_match_numpy(spark, data, ps, limit, keyed):
+    """limit 0 forces the range-partition strategy, 10,000 the histogram one."""
+    if not keyed:
+        data = [(0, v) for _, v in data]
     df = spark.createDataFrame(data, "k int, v double")
-    got = {(r["k"], r["p"]): r["q"] for r in exact_quantiles(df, "v", ps, keys=["k"]).collect()}
+    out = exact_quantiles(df, "v", ps, keys=["k"] if keyed else [], histogram_limit=limit)
+    got = {(r["k"] if keyed else 0, r["p"]): r["q"] for r in out.collect()}
     pdf = pd.DataFrame(data, columns=["k", "v"]).dropna()
     want = {(k, p): float(np.quantile(g["v"].to_numpy(), p)) for k, g in pdf.groupby("k") for p in ps}
     assert set(got) == set(want)
