@@ -27,13 +27,15 @@ def _write_sectioned(path, rows):
         f.write(head + "\n" + body + "\n" + notes)
 
 
-def test_sectioned_tsv_and_filename(spark, tmpdir_path):
+@pytest.mark.parametrize("whole_file", [False, True])
+def test_sectioned_tsv_and_filename(spark, tmpdir_path, whole_file):
     p1 = os.path.join(tmpdir_path, "counts_agegte25lt45.txt")
     p2 = os.path.join(tmpdir_path, "counts_agegte65.txt")
     _write_sectioned(p1, [["", "North", "01", "2001", "2001", "Alpha", "Female", "F", "120"],
                           ["", "North", "01", "2001", "2001", "Beta", "Male", "M", "Suppressed"]])
     _write_sectioned(p2, [["", "South", "02", "2002", "2002", "Alpha", "Female", "F", "7"]])
-    df = scan_sectioned_tsv(spark, [p1, p2], COUNTS_SCHEMA, file_column="age_group")
+    df = scan_sectioned_tsv(spark, [p1, p2], COUNTS_SCHEMA, file_column="age_group",
+                            whole_file=whole_file)
     rows = sorted(df.collect(), key=lambda r: (r["Area"], r["Site"]))
     assert "Notes" not in df.columns and len(rows) == 3
     assert rows[0]["Area Code"] == "01" and rows[0]["age_group"] == "agegte25lt45"
@@ -123,3 +125,19 @@ def test_score_stream(spark, tmpdir_path):
                      os.path.join(tmpdir_path, "ckpt"))
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(tmpdir_path, "scored")).count() == 100
+
+
+def test_sectioned_large_file_line_mode(spark, tmpdir_path):
+    """A file bigger than one split: body lines kept in order, notes dropped."""
+    p = os.path.join(tmpdir_path, "big_agegte65.txt")
+    body = [["", f"A{i}", f"{i % 100:02d}", "2001", "2001", "S", "F", "F", str(i)] for i in range(60000)]
+    _write_sectioned(p, body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    try:
+        df = scan_sectioned_tsv(spark, p, COUNTS_SCHEMA, file_column="age_group")
+        assert df.rdd.getNumPartitions() >= 1
+        rows = df.select("Count", "age_group").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 60000 and {r["age_group"] for r in rows} == {"agegte65"}
+    assert sorted(int(r["Count"]) for r in rows) == list(range(60000))
