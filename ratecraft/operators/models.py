@@ -19,7 +19,6 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import (
     GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
 )
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -274,7 +273,8 @@ def _typed(row_params: Mapping) -> dict:
 def random_search_cv(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space: Mapping,
                      n_iter: int = 20, folds: int = 3, seed: int = 42, keys: Sequence[str] = (),
                      parallelism: int = 4) -> tuple[dict, DataFrame]:
-    """M3: k-fold search of one parameter set shared by all targets (mean R^2).
+    """M3: k-fold search of one parameter set shared by all targets (mean R^2 over
+    folds, then over targets).
 
     Folds come from the key hash (F11); preprocessing is fitted once on all rows
     (as the reference's pipeline inside its search). Returns (best params, table
@@ -287,17 +287,33 @@ def random_search_cv(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], s
     data = kfold_assign(df, keys or df.columns[:1], folds, seed, col="_fold")
     prep, feats = _prepared(data, spec, targets, None)
     feats = spread(feats).persist()
+    # k-fold loop as CrossValidator runs it (parallel fits per fold), without its
+    # final per-target refit: the shared best set is refitted once by refit_best.
     try:
         scores = {tid: [] for tid, _ in cand}
         for t in targets:
             est = GBTRegressor(featuresCol=FEATURES, labelCol=t)
-            grid = [{getattr(est, k): v for k, v in gbt_params(p).items()} for _, p in cand]
-            cv = CrossValidator(estimator=est, estimatorParamMaps=grid,
-                                evaluator=RegressionEvaluator(labelCol=t, metricName="r2"),
-                                foldCol="_fold", numFolds=folds, parallelism=parallelism, seed=seed)
-            m = cv.fit(feats.where(F.col(t).isNotNull()))
-            for (tid, _), s in zip(cand, m.avgMetrics):
-                scores[tid].append(s)
+            ev = RegressionEvaluator(labelCol=t, metricName="r2")
+            rows_t = feats.where(F.col(t).isNotNull())
+            per_fold = {tid: [] for tid, _ in cand}
+            for k in range(folds):
+                train = rows_t.where(F.col("_fold") != k).persist()
+                valid = rows_t.where(F.col("_fold") == k).persist()
+
+                def score(item, train=train, valid=valid, est=est, ev=ev):
+                    tid, p = item
+                    m = est.copy({getattr(est, a): v for a, v in gbt_params(p).items()}).fit(train)
+                    return tid, ev.evaluate(m.transform(valid))
+
+                try:
+                    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+                        for tid, r2 in pool.map(score, cand):
+                            per_fold[tid].append(r2)
+                finally:
+                    train.unpersist()
+                    valid.unpersist()
+            for tid, vals in per_fold.items():
+                scores[tid].append(sum(vals) / len(vals))
     finally:
         feats.unpersist()
     rows = [(int(tid), {k: str(v) for k, v in p.items()}, float(sum(scores[tid]) / len(scores[tid])))
