@@ -44,8 +44,10 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
     the end).
 
     At delta 0 best is the running maximum of score, so the rule is two prefix
-    scans (skew-safe). Other deltas move best only on improvement, a sequential
-    fold: it runs per trial in a grouped pandas function.
+    scans. With delta > 0 improvements are prefix-maximum records and the
+    improvement chain is found by pointer doubling (see ``_early_stop_chain``).
+    Both are skew-safe. A negative delta (best may fall) keeps the sequential fold
+    per trial in a grouped pandas function.
     """
     order = _order_cols(step)
     base = metrics.select(F.col(trial).alias("trial_id"),
@@ -53,7 +55,9 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
                           (-F.col(loss).cast("double")).alias("_score")).where(
         F.col("_score").isNotNull())
     okeys = [f"_o{i}" for i in range(len(order))]
-    if delta != 0.0:
+    if delta > 0.0:
+        return _early_stop_chain(base, okeys, patience, delta)
+    if delta < 0.0:
         return _early_stop_fold(base, okeys, patience, delta)
     s = ordered_scan(base, ["trial_id"], okeys, index="_i",
                      running=[("max", "_score", "_best_prev", False)])
@@ -71,6 +75,69 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
                     F.coalesce("_best_at_stop", "_best_end").alias("best_loss")))
 
 
+def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: float) -> DataFrame:
+    """W1 with delta > 0, distributed and skew-safe.
+
+    With delta > 0 each improvement beats every earlier score, so improvements are
+    strict prefix-maximum records, and the improvement chain is: start at the first
+    row; from a record with score v the next improvement is the first record with
+    score >= v + delta. Steps:
+    1. prefix scan -> records (trial, rid, pos, v), v strictly increasing in rid;
+    2. next pointers: each record also emits a probe at v + delta; in one ordered
+       scan (descending key) the smallest record id at or above a probe is its next;
+    3. chain from rid 0 by pointer doubling: after round k the first 2^k chain
+       members are known (O(log n) rounds of joins on unique (trial, rid) keys);
+    4. the trial stops at the first member whose next improvement (or the end)
+       is more than ``patience`` steps away, at member position + patience.
+    """
+    from ratecraft.session import cut_lineage
+
+    s = ordered_scan(base, ["trial_id"], okeys, index="_i",
+                     running=[("max", "_score", "_prev", False)])
+    n_rows = s.groupBy("trial_id").agg(F.count(F.lit(1)).alias("_n"))
+    rec = s.where(F.col("_prev").isNull() | (F.col("_score") > F.col("_prev"))).select(
+        "trial_id", F.col("_i").alias("pos"), F.col("_score").alias("v"))
+    rec = ordered_scan(rec, ["trial_id"], ["pos"], index="rid")
+    rows = (rec.select("trial_id", F.col("v").alias("_key"), F.lit(1).alias("_typ"),
+                       F.col("rid").alias("_rrid"), F.lit(None).cast("long").alias("_src"))
+            .unionByName(rec.select("trial_id", (F.col("v") + F.lit(delta)).alias("_key"),
+                                    F.lit(0).alias("_typ"), F.lit(None).cast("long").alias("_rrid"),
+                                    F.col("rid").alias("_src"))))
+    rows = rows.withColumn("_nk", -F.col("_key")).withColumn("_nt", -F.col("_typ"))
+    succ = ordered_scan(rows, ["trial_id"], ["_nk", "_nt"], index=None,
+                        running=[("min", "_rrid", "_succ", True)])
+    nxt = cut_lineage(succ.where(F.col("_typ") == 0).select(
+        "trial_id", F.col("_src").alias("rid"), F.col("_succ").alias("nxt")))
+    # pointer doubling from the first record of every trial
+    members = cut_lineage(rec.where(F.col("rid") == 0).select("trial_id", "rid"))
+    jump = nxt.select("trial_id", "rid", F.col("nxt").alias("j"))
+    count = members.count()
+    while True:
+        new = (members.join(jump, ["trial_id", "rid"]).where(F.col("j").isNotNull())
+               .select("trial_id", F.col("j").alias("rid")))
+        grown = cut_lineage(members.unionByName(new).distinct())
+        grown_count = grown.count()
+        if grown_count == count:
+            break
+        members, count = grown, grown_count
+        j2 = jump.select("trial_id", F.col("rid").alias("j"), F.col("j").alias("j2"))
+        jump = cut_lineage(jump.join(j2, ["trial_id", "j"], "left")
+                           .select("trial_id", "rid", F.col("j2").alias("j")))
+    m = (members.join(rec.select("trial_id", "rid", "pos", "v"), ["trial_id", "rid"])
+         .join(nxt, ["trial_id", "rid"], "left")
+         .join(rec.select("trial_id", F.col("rid").alias("nxt"), F.col("pos").alias("_npos")),
+               ["trial_id", "nxt"], "left")
+         .join(n_rows, "trial_id"))
+    end = F.coalesce(F.col("_npos"), F.col("_n"))
+    cand = F.when(end - F.col("pos") - 1 >= patience, F.col("pos") + patience)
+    return (m.groupBy("trial_id")
+            .agg(F.min(cand).alias("stop_index"),
+                 F.min_by(F.col("v"), F.when(cand.isNotNull(), F.col("pos"))).alias("_vs"),
+                 F.max("v").alias("_vend"))
+            .select("trial_id", F.col("stop_index").cast("long"),
+                    (-F.coalesce(F.col("_vs"), F.col("_vend"))).alias("best_loss")))
+
+
 def _early_stop_fold(base: DataFrame, okeys: list[str], patience: int, delta: float) -> DataFrame:
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(okeys, kind="mergesort")

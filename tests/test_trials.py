@@ -57,3 +57,25 @@ def test_interval_bounds(spark, bounded):
     for r in out:
         assert r["lower_95"] == pytest.approx(2.5) and r["upper_95"] == pytest.approx(97.5)
         assert r["lower_95"] <= r["mean"] <= r["upper_95"]
+
+
+@pytest.mark.parametrize("delta,patience", [(0.0, 5), (0.02, 3), (0.05, 8), (0.3, 2)])
+def test_early_stop_long_hot_trial(spark, delta, patience):
+    """One trial with most of the rows, spread over many range partitions."""
+    import numpy as np
+    from tests.test_ordered_properties import _fold
+    rng = np.random.default_rng(11)
+    long = np.round(2.0 / np.sqrt(np.arange(1, 3001)) + rng.normal(0, 0.02, 3000), 4)
+    short = {t: np.round(rng.uniform(0.1, 1.0, 30), 4) for t in range(1, 6)}
+    rows = [(0, i, float(v)) for i, v in enumerate(long)] + \
+           [(t, i, float(v)) for t, ls in short.items() for i, v in enumerate(ls)]
+    df = spark.createDataFrame(rows, "trial bigint, step bigint, loss double")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        got = {r["trial_id"]: (r["stop_index"], r["best_loss"])
+               for r in early_stop(df, "trial", "step", "loss", patience, delta).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for t, ls in [(0, long)] + list(short.items()):
+        stop, best = _fold([float(x) for x in ls], patience, delta)
+        assert got[t][0] == stop and got[t][1] == pytest.approx(best)
