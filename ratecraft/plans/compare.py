@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
+
+# RATECRAFT_EXACT_FLOATS=1 hashes the exact repr of every double (no tolerance)
+_EXACT = os.environ.get("RATECRAFT_EXACT_FLOATS") == "1"
 
 from ratecraft.plans.tables import TABLES
 
@@ -12,7 +16,9 @@ def _norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9))
+        if math.isnan(v):
+            return "nan"
+        return repr(v) if _EXACT else repr(round(v, 9))
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
@@ -35,3 +41,16 @@ def duck_connect(sf_dir: str):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con
+
+
+# DuckDB result type -> Spark simple type name, for schema comparison
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz",
+                 "FLOAT": "float", "SMALLINT": "smallint", "TINYINT": "tinyint"}
+
+
+def type_diff(spark_df, duck_rel) -> dict:
+    """{column: (spark type, duckdb type)} for columns whose types differ."""
+    st = {f.name: f.dataType.simpleString() for f in spark_df.schema.fields}
+    dt = {n: DUCK_TO_SPARK.get(str(t), str(t)) for n, t in zip(duck_rel.columns, duck_rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}

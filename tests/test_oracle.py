@@ -6,7 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from ratecraft.plans.compare import digest, duck_connect
+from ratecraft.plans.compare import digest, duck_connect, type_diff
 
 SF = os.environ.get("RATECRAFT_TEST_SF", "/root/testdata/sf0.001")
 QUERIES = E.queries()
@@ -37,6 +37,7 @@ def test_matches_duckdb(spark, con, key):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert type_diff(df, con.sql(SQL[key])) == {}
     assert len(rows) == len(orows)
     h1, l1 = digest(df.columns, rows)
     h2, l2 = digest(ocols, orows)
