@@ -122,6 +122,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     limit = HISTOGRAM_LIMIT if histogram_limit is None else histogram_limit
     v = F.col(value).cast("double")
     data = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    # The eager steps below (cardinality estimate, histogram, range sampling, sorted
+    # chunks) all read this narrow input: keep it cached while they run; the plan
+    # returned reads only checkpoints, so the cache is released before returning.
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _exact_quantiles(data, keys, probs, prob_col, out_col, limit)
+    finally:
+        data.unpersist()
+
+
+def _exact_quantiles(data: DataFrame, keys: list, probs: Sequence[float], prob_col: str,
+                     out_col: str, limit: int) -> DataFrame:
     if limit > 0:
         card = data.groupBy(*keys).agg(F.approx_count_distinct("_v", 0.05).alias("_nd"))
         if len(keys) == 1:
@@ -184,7 +196,8 @@ def _histogram_quantiles(data: DataFrame, keys: list, probs: Sequence[float], pr
     gk = keys or ["_g"]
     if not keys:
         data = data.withColumn("_g", F.lit(0))
-    hist = data.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # small by construction (bounded by the histogram limit): pin it with a checkpoint
+    hist = cut_lineage(data.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c")))
     w = Window.partitionBy(*gk).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     hist = (hist.withColumn("_cum", F.sum("_c").over(w))
             .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk))))
