@@ -146,8 +146,13 @@ def _exact_quantiles(data: DataFrame, keys: list, probs: Sequence[float], prob_c
                     return _histogram_quantiles(data, keys, probs, prob_col, out_col)
                 if low:
                     k = F.col(keys[0])
-                    a = _histogram_quantiles(data.where(k.isin(low)), keys, probs, prob_col, out_col)
-                    b = _sorted_quantiles(data.where(k.isin(high)), keys, probs, prob_col, out_col)
+
+                    def member(vals):  # isin never matches NULL: test it separately
+                        cond = k.isin([x for x in vals if x is not None])
+                        return cond | k.isNull() if None in vals else cond
+
+                    a = _histogram_quantiles(data.where(member(low)), keys, probs, prob_col, out_col)
+                    b = _sorted_quantiles(data.where(member(high)), keys, probs, prob_col, out_col)
                     return a.unionByName(b)
                 return _sorted_quantiles(data, keys, probs, prob_col, out_col)
         est = card.agg(F.sum("_nd")).first()[0]

@@ -68,3 +68,13 @@ def test_hot_key_is_split_across_partitions(spark):
         hot = c.where("k = 0").select("_pid").distinct().count()
         assert hot >= 3                      # the hot key spans several partitions
         assert max(sizes.values()) <= 3 * n / parts  # and no partition holds the whole key
+
+
+@pytest.mark.parametrize("limit", [0, 5, 1_000_000])
+def test_null_key_group_kept(spark, limit):
+    """A NULL key is a group of its own in every strategy (limit 5 mixes them)."""
+    rows = [(None, float(i)) for i in range(4)] + [("a", float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    out = {r["k"]: r["q"] for r in exact_quantiles(df, "v", [0.5], keys=["k"],
+                                                   histogram_limit=limit).collect()}
+    assert out == {None: 1.5, "a": 9.5}
