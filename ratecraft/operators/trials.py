@@ -229,4 +229,5 @@ def interval_summary(samples: DataFrame, keys: Sequence[str], value: str, lo: fl
     q = (exact_quantiles(clean, "_v", [lo / 100, hi / 100], keys=keys)
          .groupBy(*keys).pivot("p", [lo / 100, hi / 100]).agg(F.first("q")))
     q = q.toDF(*keys, "lower_95", "upper_95")
-    return means.join(q, keys, "left")
+    from ratecraft.operators.joins import left_join
+    return left_join(means, q, keys)  # null-safe: a NULL key keeps its bounds

@@ -79,3 +79,9 @@ def test_early_stop_long_hot_trial(spark, delta, patience):
     for t, ls in [(0, long)] + list(short.items()):
         stop, best = _fold([float(x) for x in ls], patience, delta)
         assert got[t][0] == stop and got[t][1] == pytest.approx(best)
+
+
+def test_interval_null_key(spark):
+    rows = [(None, float(v)) for v in range(11)]
+    out = interval_summary(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").first()
+    assert out["k"] is None and out["lower_95"] == pytest.approx(0.25) and out["upper_95"] == pytest.approx(9.75)
