@@ -33,13 +33,14 @@ def _order_cols(step: str | Sequence[str]) -> list[str]:
 
 
 def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss: str,
-               patience: int = 7, delta: float = 0.0) -> DataFrame:
+               patience: int = 7, delta: float = 0.0, strict: bool = False) -> DataFrame:
     """(trial, stop_index, best_loss) under the patience rule.
 
     score = -loss. The first row sets best; a row with score < best + delta adds
     one to the counter (stop when it reaches ``patience``); any other row sets
     best := score and resets the counter. An equal loss at delta 0 is an
-    improvement. ``stop_index`` is the 0-based position of the stopping row (NULL
+    improvement (``strict=True`` gives the other variant of the rule, where only a
+    strictly better value improves). ``stop_index`` is the 0-based position of the stopping row (NULL
     when the trial never stops); ``best_loss`` is the best loss at the stop (or at
     the end).
 
@@ -56,13 +57,14 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
         F.col("_score").isNotNull())
     okeys = [f"_o{i}" for i in range(len(order))]
     if delta > 0.0:
-        return _early_stop_chain(base, okeys, patience, delta)
+        return _early_stop_chain(base, okeys, patience, delta, strict)
     if delta < 0.0:
-        return _early_stop_fold(base, okeys, patience, delta)
+        return _early_stop_fold(base, okeys, patience, delta, strict)
     s = ordered_scan(base, ["trial_id"], okeys, index="_i",
                      running=[("max", "_score", "_best_prev", False)])
-    s = s.withColumn("_imp", F.when(F.col("_best_prev").isNull() |
-                                    (F.col("_score") >= F.col("_best_prev")), F.col("_i")))
+    better = (F.col("_score") > F.col("_best_prev")) if strict else \
+        (F.col("_score") >= F.col("_best_prev"))
+    s = s.withColumn("_imp", F.when(F.col("_best_prev").isNull() | better, F.col("_i")))
     s = ordered_scan(s, ["trial_id"], ["_i"], index=None,
                      running=[("max", "_imp", "_last_imp", True)])
     counter = F.col("_i") - F.col("_last_imp")
@@ -75,7 +77,8 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
                     F.coalesce("_best_at_stop", "_best_end").alias("best_loss")))
 
 
-def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: float) -> DataFrame:
+def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: float,
+                      strict: bool = False) -> DataFrame:
     """W1 with delta > 0, distributed and skew-safe.
 
     With delta > 0 each improvement beats every earlier score, so improvements are
@@ -98,15 +101,18 @@ def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: f
     rec = s.where(F.col("_prev").isNull() | (F.col("_score") > F.col("_prev"))).select(
         "trial_id", F.col("_i").alias("pos"), F.col("_score").alias("v"))
     rec = ordered_scan(rec, ["trial_id"], ["pos"], index="rid")
-    rows = (rec.select("trial_id", F.col("v").alias("_key"), F.lit(1).alias("_typ"),
+    # at equal keys a record sorts after its probe (>= improves) or before it (strict >)
+    rec_typ, probe_typ = (0, 1) if strict else (1, 0)
+    rows = (rec.select("trial_id", F.col("v").alias("_key"), F.lit(rec_typ).alias("_typ"),
                        F.col("rid").alias("_rrid"), F.lit(None).cast("long").alias("_src"))
             .unionByName(rec.select("trial_id", (F.col("v") + F.lit(delta)).alias("_key"),
-                                    F.lit(0).alias("_typ"), F.lit(None).cast("long").alias("_rrid"),
+                                    F.lit(probe_typ).alias("_typ"),
+                                    F.lit(None).cast("long").alias("_rrid"),
                                     F.col("rid").alias("_src"))))
     rows = rows.withColumn("_nk", -F.col("_key")).withColumn("_nt", -F.col("_typ"))
     succ = ordered_scan(rows, ["trial_id"], ["_nk", "_nt"], index=None,
                         running=[("min", "_rrid", "_succ", True)])
-    nxt = cut_lineage(succ.where(F.col("_typ") == 0).select(
+    nxt = cut_lineage(succ.where(F.col("_typ") == probe_typ).select(
         "trial_id", F.col("_src").alias("rid"), F.col("_succ").alias("nxt")))
     # pointer doubling from the first record of every trial
     members = cut_lineage(rec.where(F.col("rid") == 0).select("trial_id", "rid"))
@@ -138,14 +144,15 @@ def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: f
                     (-F.coalesce(F.col("_vs"), F.col("_vend"))).alias("best_loss")))
 
 
-def _early_stop_fold(base: DataFrame, okeys: list[str], patience: int, delta: float) -> DataFrame:
+def _early_stop_fold(base: DataFrame, okeys: list[str], patience: int, delta: float,
+                     strict: bool = False) -> DataFrame:
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(okeys, kind="mergesort")
         best, counter, stop = None, 0, None
         for i, sc in enumerate(pdf["_score"].to_numpy()):
             if best is None:
                 best = sc
-            elif sc < best + delta:
+            elif (sc <= best + delta) if strict else (sc < best + delta):
                 counter += 1
                 if counter >= patience:
                     stop = i

@@ -48,14 +48,14 @@ def test_running_max_matches_pandas(spark, data):
     assert same.all()
 
 
-def _fold(losses, patience, delta=0.0):
+def _fold(losses, patience, delta=0.0, strict=False):
     """Direct statement of the patience rule (score = -loss)."""
     best, counter = None, 0
     for i, loss in enumerate(losses):
         score = -loss
         if best is None:
             best = score
-        elif score < best + delta:
+        elif (score <= best + delta) if strict else (score < best + delta):
             counter += 1
             if counter >= patience:
                 return i, -best
@@ -70,14 +70,14 @@ seqs = st.dictionaries(st.integers(0, 4),
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(trials=seqs, patience=st.integers(1, 4))
-def test_early_stop_scan_equals_fold(spark, trials, patience):
+@given(trials=seqs, patience=st.integers(1, 4), strict=st.booleans())
+def test_early_stop_scan_equals_fold(spark, trials, patience, strict):
     from ratecraft.operators.trials import early_stop
     rows = [(t, i, v) for t, ls in trials.items() for i, v in enumerate(ls)]
     df = spark.createDataFrame(rows, "trial bigint, step bigint, loss double")
-    for delta in (0.0, 0.15):
+    for delta in (0.0, 0.15, -0.15):
         got = {r["trial_id"]: (r["stop_index"], r["best_loss"])
-               for r in early_stop(df, "trial", "step", "loss", patience, delta).collect()}
+               for r in early_stop(df, "trial", "step", "loss", patience, delta, strict).collect()}
         for t, ls in trials.items():
-            stop, best = _fold(ls, patience, delta)
+            stop, best = _fold(ls, patience, delta, strict)
             assert got[t][0] == stop and got[t][1] == pytest.approx(best)

@@ -18,6 +18,9 @@ def test_early_stop_fixture(spark):
     assert out[1] == (5, pytest.approx(0.3))
     assert out[2] == (None, 0.5)  # equal loss counts as improvement at delta 0
     assert out[3] == (None, 0.9)
+    strict = {r["trial_id"]: r["stop_index"]
+              for r in early_stop(m, "trial", "step", "loss", patience=3, strict=True).collect()}
+    assert strict[2] == 3  # strict variant: equal losses do not improve
 
 
 def test_early_stop_delta_fold(spark):
