@@ -326,6 +326,23 @@ def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round_doubles(TR.early_stop(m, "trial_id", ["ts", "event_id"], "loss", patience=3))
 
 
+def early_stop_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1, strict variant: only a strictly lower loss improves."""
+    m = T.trial_metrics(spark, sf_dir)
+    return _round_doubles(TR.early_stop(m, "trial_id", ["ts", "event_id"], "loss", patience=3,
+                                        strict=True))
+
+
+EARLY_STOP_DELTA = 0.5
+
+
+def early_stop_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 with a minimum improvement (delta 0.5, patience 3): record chain by pointer doubling."""
+    m = T.trial_metrics(spark, sf_dir)
+    return _round_doubles(TR.early_stop(m, "trial_id", ["ts", "event_id"], "loss", patience=3,
+                                        delta=EARLY_STOP_DELTA))
+
+
 def median_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First step where a trial's best-so-far loss is worse than the step median."""
     m = T.trial_metrics(spark, sf_dir)
@@ -556,6 +573,8 @@ CATALOGUE = {
     "state_counts": state_counts,
     "epoch_loss": epoch_loss,
     "early_stop": early_stop,
+    "early_stop_strict": early_stop_strict,
+    "early_stop_delta": early_stop_delta,
     "median_prune": median_prune,
     "resume": resume,
     "regression_metrics": regression_metrics_q,

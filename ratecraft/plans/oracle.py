@@ -10,7 +10,7 @@ cast to BIGINT; ``x / 0.0`` is infinity in DuckDB, so divisors go through
 from __future__ import annotations
 
 from ratecraft.plans.catalogue import (
-    FIXED_MODEL, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, SEARCH_SPACE, VIF_COLS,
+    EARLY_STOP_DELTA, FIXED_MODEL, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, SEARCH_SPACE, VIF_COLS,
 )
 from ratecraft.plans.tables import LINE_NUMERIC
 
@@ -424,6 +424,31 @@ SELECT o.trial_id, CAST(s.stop_index AS BIGINT) AS stop_index,
 FROM overall o LEFT JOIN stops s ON o.trial_id = s.trial_id
 """
 
+def _early_stop_recursive(patience: int, delta: float, strict: bool) -> str:
+    """The patience rule stated step by step (recursive CTE), an independent check."""
+    worse = (f"m.score <= r.best + CAST({delta!r} AS DOUBLE)" if strict
+             else f"m.score < r.best + CAST({delta!r} AS DOUBLE)")
+    return f"""
+WITH RECURSIVE m AS (
+  SELECT user_id AS trial_id, -value AS score,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i
+  FROM events WHERE value IS NOT NULL),
+r(trial_id, i, best, counter) AS (
+  SELECT trial_id, i, score, 0 FROM m WHERE i = 0
+  UNION ALL
+  SELECT m.trial_id, m.i,
+         CASE WHEN {worse} THEN r.best ELSE m.score END,
+         CASE WHEN {worse} THEN r.counter + 1 ELSE 0 END
+  FROM r JOIN m ON m.trial_id = r.trial_id AND m.i = r.i + 1
+  WHERE r.counter < {patience}),
+stops AS (SELECT trial_id, min(i) AS stop_index FROM r WHERE counter >= {patience} GROUP BY trial_id),
+fin AS (SELECT r.trial_id, s.stop_index,
+               arg_max(r.best, r.i) FILTER (WHERE s.stop_index IS NULL OR r.i <= s.stop_index) AS best
+        FROM r LEFT JOIN stops s ON r.trial_id = s.trial_id GROUP BY r.trial_id, s.stop_index)
+SELECT trial_id, CAST(stop_index AS BIGINT) AS stop_index, {sig('-best')} AS best_loss FROM fin
+"""
+
+
 MEDIAN_PRUNE = """
 WITH m AS (SELECT user_id AS trial_id, value AS v,
                   CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS step
@@ -552,6 +577,8 @@ SQL: dict[str, str] = {
     "state_counts": STATE_COUNTS,
     "epoch_loss": EPOCH_LOSS,
     "early_stop": EARLY_STOP,
+    "early_stop_strict": _early_stop_recursive(3, 0.0, True),
+    "early_stop_delta": _early_stop_recursive(3, EARLY_STOP_DELTA, False),
     "median_prune": MEDIAN_PRUNE,
     "resume": RESUME,
     "regression_metrics": _regression_metrics(),
