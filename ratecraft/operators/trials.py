@@ -167,13 +167,18 @@ def _early_stop_fold(base: DataFrame, okeys: list[str], patience: int, delta: fl
 
 
 def median_prune(metrics: DataFrame, trial: str, step: str | Sequence[str], value: str,
-                 warmup: int = 0, min_trials: int = 5) -> DataFrame:
+                 warmup: int = 0, min_trials: int = 5, completed: DataFrame | None = None,
+                 startup: int = 5) -> DataFrame:
     """(trial, pruned_step): first step index at which the trial's best value so far
-    (running minimum) is worse than the median of all trials' values at that step.
-
-    Only steps >= ``warmup`` that at least ``min_trials`` trials reached can prune.
-    The per-step median is an exact distributed quantile; the running minimum a
-    prefix scan. pruned_step is NULL when the trial is never pruned.
+    (running minimum) is worse than the median of the reference trials' values at
+    that step.
+
+    Reference trials are ``completed`` (a frame holding the ids of completed trials,
+    first column) or, when it is None, all trials. Only steps >= ``warmup`` that at
+    least ``min_trials`` reference trials reached can prune, and with ``completed``
+    nothing is pruned before ``startup`` trials have completed. The per-step median
+    is an exact distributed quantile; the running minimum a prefix scan. pruned_step
+    is NULL when the trial is never pruned.
     """
     order = _order_cols(step)
     base = metrics.select(F.col(trial).alias("trial_id"),
@@ -182,13 +187,19 @@ def median_prune(metrics: DataFrame, trial: str, step: str | Sequence[str], valu
     # one ordered pass gives both the 0-based step index and the running minimum
     run = ordered_scan(base, ["trial_id"], [f"_o{i}" for i in range(len(order))], index="step",
                        running=[("min", "_v", "_best", True)])
-    med = exact_quantiles(run, "_v", [0.5], keys=["step"]).select("step", F.col("q").alias("_med"))
-    cnt = run.groupBy("step").agg(F.count(F.lit(1)).alias("_k"))
+    trials = base.select("trial_id").distinct()
+    ref = run
+    if completed is not None:
+        done = completed.select(F.col(completed.columns[0]).alias("trial_id")).distinct()
+        if done.limit(startup).count() < startup:  # bounded probe
+            return trials.select("trial_id", F.lit(None).cast("long").alias("pruned_step"))
+        ref = run.join(done, "trial_id", "left_semi")
+    med = exact_quantiles(ref, "_v", [0.5], keys=["step"]).select("step", F.col("q").alias("_med"))
+    cnt = ref.groupBy("step").agg(F.count(F.lit(1)).alias("_k"))
     per_step = med.join(cnt, "step")
     flagged = run.join(per_step, "step").where(
         (F.col("step") >= warmup) & (F.col("_k") >= min_trials) & (F.col("_best") > F.col("_med")))
     first = flagged.groupBy("trial_id").agg(F.min("step").alias("pruned_step"))
-    trials = base.select("trial_id").distinct()
     return trials.join(first, "trial_id", "left").select(
         "trial_id", F.col("pruned_step").cast("long"))
 

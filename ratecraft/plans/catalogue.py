@@ -344,9 +344,12 @@ def early_stop_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def median_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First step where a trial's best-so-far loss is worse than the step median."""
+    """First step where a trial's best-so-far loss is worse than the median of the
+    completed trials at that step (pruning starts after 5 completed trials)."""
     m = T.trial_metrics(spark, sf_dir)
-    return TR.median_prune(m, "trial_id", ["ts", "event_id"], "loss", warmup=0, min_trials=5)
+    done = T.trial_results(spark, sf_dir).where(F.col("state") == "COMPLETE").select("trial_id")
+    return TR.median_prune(m, "trial_id", ["ts", "event_id"], "loss", warmup=0, min_trials=1,
+                           completed=done, startup=5)
 
 
 def resume(spark: SparkSession, sf_dir: str) -> DataFrame:

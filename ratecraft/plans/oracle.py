@@ -449,15 +449,18 @@ SELECT trial_id, CAST(stop_index AS BIGINT) AS stop_index, {sig('-best')} AS bes
 """
 
 
-MEDIAN_PRUNE = """
+MEDIAN_PRUNE = f"""
 WITH m AS (SELECT user_id AS trial_id, value AS v,
                   CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS step
            FROM events WHERE value IS NOT NULL),
+c AS (SELECT trial_id FROM ({_TRIAL_RESULTS}) WHERE state = 'COMPLETE'),
 r AS (SELECT *, min(v) OVER (PARTITION BY trial_id ORDER BY step
                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS best FROM m),
-s AS (SELECT step, quantile_cont(v, 0.5) AS med, count(*) AS k FROM m GROUP BY step),
+s AS (SELECT step, quantile_cont(v, 0.5) AS med, count(*) AS k FROM m
+      WHERE trial_id IN (SELECT trial_id FROM c) GROUP BY step),
 f AS (SELECT r.trial_id, min(r.step) AS pruned_step FROM r JOIN s ON r.step = s.step
-      WHERE r.step >= 0 AND s.k >= 5 AND r.best > s.med GROUP BY r.trial_id)
+      WHERE r.step >= 0 AND s.k >= 1 AND r.best > s.med AND (SELECT count(*) FROM c) >= 5
+      GROUP BY r.trial_id)
 SELECT t.trial_id, CAST(f.pruned_step AS BIGINT) AS pruned_step
 FROM (SELECT DISTINCT trial_id FROM m) t LEFT JOIN f ON t.trial_id = f.trial_id
 """

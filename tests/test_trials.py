@@ -88,3 +88,16 @@ def test_interval_null_key(spark):
     rows = [(None, float(v)) for v in range(11)]
     out = interval_summary(spark.createDataFrame(rows, "k string, v double"), ["k"], "v").first()
     assert out["k"] is None and out["lower_95"] == pytest.approx(0.25) and out["upper_95"] == pytest.approx(9.75)
+
+
+def test_median_prune_completed_reference(spark):
+    seqs = {t: [1.0, 1.0, 1.0] for t in range(6)}
+    seqs[9] = [5.0, 5.0, 0.5]
+    m = _metrics(spark, seqs)
+    done = spark.createDataFrame([(t,) for t in range(6)], "trial_id bigint")
+    out = {r["trial_id"]: r["pruned_step"]
+           for r in median_prune(m, "trial", "step", "loss", min_trials=1, completed=done).collect()}
+    assert out[9] == 0 and all(out[t] is None for t in range(6))
+    few = done.limit(3)  # fewer than `startup` completed trials: nothing is pruned
+    out = median_prune(m, "trial", "step", "loss", min_trials=1, completed=few, startup=5).collect()
+    assert all(r["pruned_step"] is None for r in out)
