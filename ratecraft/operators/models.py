@@ -142,6 +142,25 @@ def _prepared(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
     return prep, prep.transform(df)
 
 
+def _estimator(kind: str, target: str, params: Mapping, validation_col: str | None = None,
+               validation_tol: float = 0.01, weight_col: str | None = None):
+    """One Spark ML regressor for ``target`` on the assembled feature vector."""
+    if kind == "gbt":
+        extra = {}
+        if validation_col:
+            extra = {"validationIndicatorCol": validation_col, "validationTol": validation_tol}
+        est = GBTRegressor(featuresCol=FEATURES, labelCol=target, **gbt_params(params), **extra)
+    elif kind == "linear":
+        est = LinearRegression(featuresCol=FEATURES, labelCol=target,
+                               regParam=float(params.get("reg", 0.0)),
+                               elasticNetParam=float(params.get("mix", 0.0)))
+    else:
+        raise ValidationError(f"unknown model kind {kind!r}")
+    if weight_col:
+        est = est.setWeightCol(weight_col)
+    return est
+
+
 def fit_multi_target(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
                      params: Mapping | None = None, kind: str = "gbt",
                      weight_col: str | None = None, fit_on: DataFrame | None = None,
@@ -160,19 +179,7 @@ def fit_multi_target(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
 
     def one(t: str):
         rows = data.where(F.col(t).isNotNull())
-        if kind == "gbt":
-            extra = {}
-            if validation_col:
-                extra = {"validationIndicatorCol": validation_col, "validationTol": validation_tol}
-            est = GBTRegressor(featuresCol=FEATURES, labelCol=t, **gbt_params(params), **extra)
-        elif kind == "linear":
-            est = LinearRegression(featuresCol=FEATURES, labelCol=t,
-                                   regParam=float(params.get("reg", 0.0)),
-                                   elasticNetParam=float(params.get("mix", 0.0)))
-        else:
-            raise ValidationError(f"unknown model kind {kind!r}")
-        if weight_col:
-            est = est.setWeightCol(weight_col)
+        est = _estimator(kind, t, params, validation_col, validation_tol, weight_col)
         return t, est.fit(rows)
 
     try:
@@ -349,14 +356,23 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
     if done is not None:
         grid = remaining_trials(grid, done)
     todo = [(r["trial_id"], r["params"]) for r in grid.select("trial_id", "params").collect()]
-    data = spread(holdout_split(df, keys or df.columns[:1], fraction, seed, col="_is_test")).persist()
+    targets = list(targets)
+    _check(df, spec, targets)
+    split = holdout_split(df, keys or df.columns[:1], fraction, seed, col="_is_test")
+    # preprocessing does not depend on the candidate: fit it once on the training rows
+    # and cache the prepared rows for every candidate's fits
+    prep = preprocess_pipeline(split, spec, FEATURES, fit_on=split.where(~F.col("_is_test")))
+    data = spread(prep.transform(split).select(FEATURES, "_is_test", *targets)).persist()
     train, test = data.where(~F.col("_is_test")), data.where(F.col("_is_test"))
 
     def run(item):
         tid, p = item
         try:
-            model = fit_multi_target(train, spec, targets, _typed(p), kind=kind, fit_on=train)
-            m = regression_metrics(model.predict(test), {t: t + "_pred" for t in targets})
+            scored = test
+            for t in targets:
+                m = _estimator(kind, t, _typed(p)).fit(train.where(F.col(t).isNotNull()))
+                scored = m.setPredictionCol(t + "_pred").transform(scored)
+            m = regression_metrics(scored, {t: t + "_pred" for t in targets})
             value = m.agg(F.avg("rmse")).first()[0]
             return (int(tid), 0, float(value), "COMPLETE", dict(p))
         except Exception:  # a failed candidate is recorded, the search goes on

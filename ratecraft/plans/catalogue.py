@@ -458,7 +458,7 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4 + M8 + A17: 4 hash-sampled candidates scored by mean hold-out RMSE; trial log."""
     from ratecraft.operators.models import trial_search
     log = trial_search(model_table(spark, sf_dir), MODEL_SPEC, MODEL_SPEC.target, SEARCH_SPACE,
-                       n_trials=4, seed=11, keys=LINE_KEYS, parallelism=2)
+                       n_trials=4, seed=11, keys=LINE_KEYS, parallelism=4)
     return log.select("trial_id", "step", "value", "state",
                       F.to_json("params").alias("params"))
 
