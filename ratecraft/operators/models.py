@@ -225,13 +225,18 @@ def _uniform(trial: F.Column, name: str, seed: int) -> F.Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13))
 
 
-def sample_space(spark: SparkSession, space: Mapping, n: int, seed: int = 42) -> DataFrame:
-    """M4: trial table (trial_id, <param> columns, params map) of ``n`` candidates.
+def sample_space(spark: SparkSession, space: Mapping, n: int | None = None, seed: int = 42,
+                 ids: DataFrame | None = None) -> DataFrame:
+    """M4: trial table (trial_id, <param> columns, params map) of ``n`` candidates, or
+    one candidate per id of ``ids`` (a frame whose first column holds trial ids).
 
     ``space`` items: ``('int', lo, hi)`` inclusive, ``('int_excl', lo, hi)`` (hi
     excluded), ``('float', lo, hi)``, ``('logfloat', lo, hi)``, ``('choice', [v...])``.
     """
-    trials = spark.range(n).withColumnRenamed("id", "trial_id")
+    if ids is not None:
+        trials = ids.select(F.col(ids.columns[0]).cast("long").alias("trial_id"))
+    else:
+        trials = spark.range(n).withColumnRenamed("id", "trial_id")
     cols = {}
     for name, spec in space.items():
         kind = spec[0]

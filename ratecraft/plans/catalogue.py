@@ -464,10 +464,10 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4: the candidate table itself, one row per customer as a candidate id space."""
+    """M4: a hash-sampled parameter set for every trial of the log (events users)."""
     from ratecraft.operators.models import sample_space
-    n = T.table(spark, sf_dir, "customer").count()
-    return _round_doubles(sample_space(spark, SEARCH_SPACE, n, seed=11).select(
+    ids = T.trial_metrics(spark, sf_dir).select("trial_id").distinct()
+    return _round_doubles(sample_space(spark, SEARCH_SPACE, seed=11, ids=ids).select(
         "trial_id", *SEARCH_SPACE.keys()))
 
 

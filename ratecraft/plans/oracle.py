@@ -536,7 +536,7 @@ def _search_space() -> str:
             e = f"exp(ln(CAST({lo!r} AS DOUBLE)) + {u} * (ln(CAST({hi!r} AS DOUBLE)) - ln(CAST({lo!r} AS DOUBLE))))"
             cols.append(f"{sig(e)} AS {name}")
     return ("SELECT trial_id, " + ", ".join(cols)
-            + " FROM (SELECT CAST(range AS BIGINT) AS trial_id FROM range((SELECT count(*) FROM customer)))")
+            + " FROM (SELECT DISTINCT CAST(user_id AS BIGINT) AS trial_id FROM events)")
 
 
 SEARCH_SPACE_SQL = _search_space()
