@@ -6,10 +6,7 @@ import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import (
-    BooleanType, ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType, NumericType,
-    ShortType,
-)
+from pyspark.sql.types import BooleanType, DoubleType, LongType, NumericType
 
 from ratecraft.errors import MissingColumnsError, ValidationError
 
@@ -91,6 +88,5 @@ def split_features_targets(df: DataFrame, targets: Iterable[str]) -> tuple[DataF
 
 __all__ = [
     "normalize_name", "normalize_columns", "rename", "select_existing", "drop_columns",
-    "columns_of_type", "split_features_targets", "IntegerType", "ShortType", "ByteType",
-    "FloatType", "DecimalType",
+    "columns_of_type", "split_features_targets",
 ]

@@ -15,7 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 from ratecraft.errors import MissingColumnsError, UnknownCategoryError, ValidationError
 from ratecraft.functions.scalar import null_as_category
@@ -284,4 +284,4 @@ def feature_names(df: DataFrame, features_col: str = "features") -> list[str]:
 
 __all__ = ["StandardScaler", "MinMaxScaler", "OrdinalEncoder", "label_encode", "dummies",
            "fit_levels", "holdout_split", "kfold_assign", "hash_bucket", "FeatureSpec",
-           "preprocess_pipeline", "strip_helpers", "feature_names", "LongType"]
+           "preprocess_pipeline", "strip_helpers", "feature_names"]

@@ -29,7 +29,6 @@ from ratecraft.errors import AssetLoadError, MissingColumnsError, ValidationErro
 from ratecraft.operators.features import (
     FeatureSpec, hash_bucket, holdout_split, kfold_assign, preprocess_pipeline, strip_helpers,
 )
-from ratecraft.operators.ranking import hash_key
 
 FEATURES = "features"
 

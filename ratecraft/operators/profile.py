@@ -9,7 +9,6 @@ order statistics in :mod:`ratecraft.operators.ordered`, never from a single task
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -242,4 +241,4 @@ def mutual_information(df: DataFrame, features: Sequence[str], targets: Sequence
 
 
 __all__ = ["missing_summary", "describe", "profile", "correlation_matrix", "cross_correlation",
-           "variance_inflation", "mutual_information", "bin_index", "math"]
+           "variance_inflation", "mutual_information", "bin_index"]

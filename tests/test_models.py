@@ -11,7 +11,7 @@ from ratecraft.operators.explain import (
 from ratecraft.operators.features import FeatureSpec
 from ratecraft.operators.metrics import regression_metrics
 from ratecraft.operators.models import (
-    BootstrapEnsemble, MultiTargetModel, fit_linear, fit_multi_target, fit_with_validation,
+    BootstrapEnsemble, MultiTargetModel, fit_multi_target, fit_with_validation,
     gbt_params, random_search_cv, sample_space, trial_search,
 )
 

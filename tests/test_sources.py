@@ -10,7 +10,7 @@ from ratecraft.operators.checks import require_columns, require_rows, validate_f
 from ratecraft.operators.features import FeatureSpec
 from ratecraft.operators.models import fit_multi_target, read_run_metadata, write_run_metadata
 from ratecraft.plans.score_job import score, score_job
-from ratecraft.sources.files import column_from_filename, scan_json_records, scan_sectioned_tsv
+from ratecraft.sources.files import scan_json_records, scan_sectioned_tsv
 from ratecraft.sources.sinks import sink_csv, sink_parquet
 from ratecraft.sources.sqlite import scan_sqlite_table
 
