@@ -79,17 +79,21 @@ def mask_below(c, threshold: float) -> Column:
 
 
 def round_sig(c, digits: int = 6) -> Column:
-    """Round to ``digits`` significant digits (report presentation).
-
-    Scaling uses only exact powers of ten (multiply for small values, divide for
-    large), so two engines that agree to ~1e-13 relative agree after rounding.
+    """Round to ``digits`` significant digits (report presentation), half away from zero.
+
+    Written with IEEE operations only (a multiply by exact powers of ten, +0.5,
+    floor), so any engine evaluating the same expression on the same double gets
+    the same result; no engine-specific ``round``. Magnitudes are first nudged up
+    by a relative 1e-12, so a value sitting exactly on a half-way point (common for
+    means over power-of-two counts) rounds the same way even when two engines'
+    sums differ in the last bit.
     """
     x = _col(c).cast("double")
-    e = F.floor(F.log10(F.abs(x)))
-    up = F.pow(F.lit(10.0), -e)
-    down = F.pow(F.lit(10.0), e)
-    small = F.round(x * up, digits - 1) / up
-    large = F.round(x / down, digits - 1) * down
+    ax = F.abs(x) * F.lit(1.0 + 1e-12)
+    k = F.lit(float(digits - 1)) - F.floor(F.log10(F.abs(x)))
+    up = F.floor(ax * F.pow(F.lit(10.0), k) + F.lit(0.5)) / F.pow(F.lit(10.0), k)
+    down = F.floor(ax / F.pow(F.lit(10.0), -k) + F.lit(0.5)) * F.pow(F.lit(10.0), -k)
+    mag = F.when(k >= 0, up).otherwise(down)
     return (F.when(x.isNull(), F.lit(None).cast("double"))
             .when(F.isnan(x) | (x == 0), x)
-            .when(e < 0, small).otherwise(large))
+            .when(x < 0, -mag).otherwise(mag))

@@ -16,11 +16,14 @@ from ratecraft.plans.tables import LINE_NUMERIC
 
 
 def sig(x: str, d: int = 9) -> str:
-    """SQL twin of ``round_sig``."""
-    e = f"floor(log10(abs({x})))"
+    """SQL twin of ``round_sig`` (same IEEE operations, no engine ``round``)."""
+    ax = f"(abs({x}) * CAST({1.0 + 1e-12!r} AS DOUBLE))"
+    k = f"(CAST({float(d - 1)!r} AS DOUBLE) - floor(log10(abs({x}))))"
+    up = f"(floor({ax} * pow(10.0, {k}) + 0.5) / pow(10.0, {k}))"
+    down = f"(floor({ax} / pow(10.0, -{k}) + 0.5) * pow(10.0, -{k}))"
+    mag = f"(CASE WHEN {k} >= 0 THEN {up} ELSE {down} END)"
     return (f"(CASE WHEN ({x}) IS NULL THEN NULL WHEN isnan({x}) OR ({x}) = 0 THEN ({x}) "
-            f"WHEN {e} < 0 THEN round(({x}) * pow(10.0, -{e}), {d - 1}) / pow(10.0, -{e}) "
-            f"ELSE round(({x}) / pow(10.0, {e}), {d - 1}) * pow(10.0, {e}) END)")
+            f"WHEN ({x}) < 0 THEN -{mag} ELSE {mag} END)")
 
 
 def _union(parts: list[str]) -> str:
