@@ -68,18 +68,24 @@ def population(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("population")))
 
 
+def status_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(nk, yr, o_orderstatus, _n, _value): orders and order value per nation, year and
+    status; economy and survey are both rolled up from it (a small table)."""
+    return (order_facts(spark, sf_dir).groupBy("nk", "yr", "o_orderstatus")
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("o_totalprice").alias("_value")))
+
+
 def economy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(nk, yr, gdp, n_jobs): order value (2 decimals) and order count per nation-year."""
-    return (order_facts(spark, sf_dir).groupBy("nk", "yr")
-            .agg(F.round(F.sum("o_totalprice"), 2).alias("gdp"),
-                 F.count(F.lit(1)).alias("n_jobs")))
+    return (status_stats(spark, sf_dir).groupBy("nk", "yr")
+            .agg(F.round(F.sum("_value"), 2).alias("gdp"),
+                 F.sum("_n").cast("long").alias("n_jobs")))
 
 
 def survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(nk, yr, measure, response, data_value): share of each order status, in percent."""
     from pyspark.sql import Window
-    of = order_facts(spark, sf_dir)
-    per = of.groupBy("nk", "yr", "o_orderstatus").agg(F.count(F.lit(1)).alias("_n"))
+    per = status_stats(spark, sf_dir)
     # totals from the aggregated table (nations x years x statuses rows): no second
     # pass over the orders and no join
     tot = F.sum("_n").over(Window.partitionBy("nk", "yr"))
