@@ -54,8 +54,13 @@ def truncate_int(c) -> Column:
 
 
 def rate_per(count, population, scale: float = 100000.0) -> Column:
-    """Count / population * scale; NULL or zero population gives NULL."""
-    return F.try_divide(_col(count).cast("double"), _col(population).cast("double")) * F.lit(scale)
+    """Count / population * scale; NULL or zero population gives NULL.
+
+    Evaluated as (count * scale) / population: for integer counts the product is
+    exact, so a rate that is mathematically an integer (120 of 100,000 -> 120) is
+    exactly that integer and truncation cannot drop it to 119.
+    """
+    return F.try_divide(_col(count).cast("double") * F.lit(scale), _col(population).cast("double"))
 
 
 def null_as_category(c) -> Column:

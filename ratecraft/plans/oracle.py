@@ -47,7 +47,7 @@ _POPULATION = """
 
 _RATE_LONG = f"""
   SELECT c.*, p.population,
-         CAST(trunc(c.cnt / p.population * 100000) AS BIGINT) AS rate
+         CAST(trunc(CAST(c.cnt AS DOUBLE) * 100000 / p.population) AS BIGINT) AS rate
   FROM ({_COUNTS}) c LEFT JOIN ({_POPULATION}) p
     ON c.nk IS NOT DISTINCT FROM p.nk AND c.yr IS NOT DISTINCT FROM p.yr"""
 
