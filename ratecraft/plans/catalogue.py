@@ -538,10 +538,22 @@ def saved_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(spark, f"{sf_dir.rstrip('/')}/part.parquet", path)
 
 
+RANKING_GROUPS = ("nk", "pr")
+RANKING_TARGETS = ("a", "n", "r")
+
+
+def rate_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 + K1 over the model table: mean rate per nation and per priority for each flag,
+    ranked (the analysis job's ranking table)."""
+    from ratecraft.plans.analysis_job import group_rankings
+    return group_rankings(rate_with_survey(spark, sf_dir), RANKING_GROUPS, RANKING_TARGETS)
+
+
 CATALOGUE = {
     "rate_pivot": rate_pivot,
     "rate_with_economy": rate_with_economy,
     "rate_with_survey": rate_with_survey,
+    "rate_rankings": rate_rankings,
     "join_key_duplicates": join_key_duplicates,
     "recode_priority": recode_priority,
     "prefix_code": prefix_code,

@@ -10,7 +10,7 @@ cast to BIGINT; ``x / 0.0`` is infinity in DuckDB, so divisors go through
 from __future__ import annotations
 
 from ratecraft.plans.catalogue import (
-    EARLY_STOP_DELTA, FIXED_MODEL, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, SEARCH_SPACE, VIF_COLS,
+    EARLY_STOP_DELTA, FIXED_MODEL, RANKING_GROUPS, RANKING_TARGETS, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, SEARCH_SPACE, VIF_COLS,
 )
 from ratecraft.plans.tables import LINE_NUMERIC
 
@@ -545,10 +545,26 @@ def _search_space() -> str:
 SEARCH_SPACE_SQL = _search_space()
 
 
+def _rate_rankings() -> str:
+    parts = [f"SELECT '{g}' AS group_col, CAST({g} AS VARCHAR) AS \"group\", '{t}' AS target, "
+             f"CAST({t} AS DOUBLE) AS v FROM t" for g in RANKING_GROUPS for t in RANKING_TARGETS]
+    return f"""
+WITH t AS ({RATE_WITH_SURVEY}),
+long AS ({_union(parts)}),
+m AS (SELECT group_col, "group", target, avg(v) AS _mean FROM long
+      WHERE "group" IS NOT NULL GROUP BY group_col, "group", target)
+SELECT group_col, "group", target, CAST(trunc(_mean) AS BIGINT) AS mean_rate,
+       CAST(row_number() OVER (PARTITION BY group_col, target
+                               ORDER BY _mean IS NULL, -_mean, "group") AS BIGINT) AS rank
+FROM m
+"""
+
+
 SQL: dict[str, str] = {
     "rate_pivot": RATE_PIVOT,
     "rate_with_economy": RATE_WITH_ECONOMY,
     "rate_with_survey": RATE_WITH_SURVEY,
+    "rate_rankings": _rate_rankings(),
     "join_key_duplicates": JOIN_KEY_DUPLICATES,
     "recode_priority": RECODE_PRIORITY,
     "prefix_code": PREFIX_CODE,

@@ -85,3 +85,25 @@ def test_job_cli_writes_parquet(spark, inputs):
     out = os.path.join(d, "model.parquet")
     main(["--counts", os.path.join(d, "cnt_*.txt"), "--db", db, "--survey", js, "--output", out])
     assert spark.read.parquet(out).count() == 3
+
+
+def test_analysis_job(spark, inputs):
+    from ratecraft.plans.analysis_job import analyse, main as analysis_main
+    d, db, js = inputs
+    paths = [os.path.join(d, "cnt_agegte25lt45.txt"), os.path.join(d, "cnt_agegte65.txt")]
+    t = build_model_table(spark, paths, db, js)
+    out = analyse(t, ["breast", "lung_and_bronchus"])
+    ranks = {(r["group_col"], r["group"], r["target"]): (r["mean_rate"], r["rank"])
+             for r in out["rankings"].collect()}
+    # breast by state: Alaska 250, Alabama mean(120, 3) = 61.5 -> 61
+    assert ranks[("states", "Alaska", "breast")] == (250, 1)
+    assert ranks[("states", "Alabama", "breast")] == (61, 2)
+    assert ranks[("sex", "Female", "breast")] == (185, 1) and ranks[("sex", "Male", "breast")] == (3, 2)
+    cc = out["cross_correlation"].collect()
+    assert {r["group"] for r in cc} == {"25-44", "65+", "all"}
+    assert {r["target"] for r in cc} == {"breast", "lung_and_bronchus"}
+    table = os.path.join(d, "mt.parquet")
+    t.write.parquet(table)
+    analysis_main(["--table", table, "--targets", "breast,lung_and_bronchus",
+                   "--output", os.path.join(d, "analysis")])
+    assert spark.read.parquet(os.path.join(d, "analysis", "rankings")).count() == len(ranks)
