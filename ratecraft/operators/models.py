@@ -173,19 +173,28 @@ def fit_multi_target(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
     targets = list(targets)
     _check(df, spec, targets)
     params = dict(params or {})
-    prep, data = _prepared(df, spec, targets, fit_on)
-    data = spread(data).persist()
+    extra = [c for c in (weight_col, validation_col) if c]
+    # Only the columns the fits read are cached: the preprocessing fit passes and the
+    # prepared rows then evaluate the input's lineage once.
+    cols = list(dict.fromkeys([*spec.num, *spec.cat, *targets, *extra]))
+    narrow = df.select(*cols).persist()
+    data = None
+    try:
+        src = narrow if (fit_on is None or fit_on is df) else fit_on
+        prep = preprocess_pipeline(narrow, spec, FEATURES, fit_on=src)
+        data = spread(prep.transform(narrow).select(FEATURES, *targets, *extra)).persist()
 
-    def one(t: str):
-        rows = data.where(F.col(t).isNotNull())
-        est = _estimator(kind, t, params, validation_col, validation_tol, weight_col)
-        return t, est.fit(rows)
+        def one(t: str):
+            rows = data.where(F.col(t).isNotNull())
+            est = _estimator(kind, t, params, validation_col, validation_tol, weight_col)
+            return t, est.fit(rows)
 
-    try:
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
             models = dict(pool.map(one, targets))
     finally:
-        data.unpersist()
+        if data is not None:
+            data.unpersist()
+        narrow.unpersist()
     return MultiTargetModel(prep, models, spec, targets, kind, params)
 
 
@@ -481,6 +490,20 @@ class BootstrapEnsemble:
         if iterations < 2:
             raise ValidationError("an interval needs at least 2 iterations")
         reg = float((params or {}).get("reg", 0.0))
+        # cache only what the fit reads; preprocessing passes and the one pass of normal
+        # equations then evaluate the training rows' lineage once
+        train = train.select(*dict.fromkeys([*spec.num, *spec.cat, *targets, *keys])).persist()
+        try:
+            return cls._fit_cached(train, spec, targets, keys, iterations, reg, seed)
+        finally:
+            train.unpersist()
+
+    @classmethod
+    def _fit_cached(cls, train: DataFrame, spec: FeatureSpec, targets: list, keys: Sequence[str],
+                    iterations: int, reg: float, seed: int) -> "BootstrapEnsemble":
+        import numpy as np
+        from pyspark.ml.functions import vector_to_array
+
         prep = preprocess_pipeline(train, spec, FEATURES)
         feats = prep.transform(train)
         p = len(feats.select(FEATURES).schema[FEATURES].metadata["ml_attr"]["attrs"]
