@@ -40,6 +40,8 @@ SURVEY_SCHEMA = ("year bigint, locationabbr string, locationdesc string, gender
                  "measuredesc string, response string, data_value double")
 # raw count columns typed as integers; every other column (codes included) stays text
 COUNT_INT_COLUMNS = ("Year",)
+# normalised name of the count files' site column: its levels become the target columns
+SITE_COLUMN = "leading_cancer_sites"
 PIVOT_INDEX = ["states", "fips", "year", "sex", "sex_code", "age_group", "population"]
 
 
@@ -69,7 +71,7 @@ def build_model_table(spark: SparkSession, count_paths: list[str], db: str, surv
     rated = rated.withColumns({
         "crude_rate": truncate_int(rate_per("count", "population")),
         "population": truncate_int(F.col("population").cast("double"))})
-    wide = pivot_mean(rated, PIVOT_INDEX, "leading_cancer_sites", "crude_rate")
+    wide = pivot_mean(rated, PIVOT_INDEX, SITE_COLUMN, "crude_rate")
     sites = [c for c in wide.columns if c not in PIVOT_INDEX]
     wide = wide.withColumns({c: truncate_int(c) for c in sites})
     econ = scan_sqlite_table(spark, db, "economic_indicators").withColumn("fips", prefix("fips", 2))
