@@ -100,3 +100,11 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     if not frames:
         raise ValueError("union_all needs at least one frame")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def subset_by_group(df: DataFrame, column: str, value) -> DataFrame:
+    """P10: rows of one group (a pushed-down filter). To process every group, prefer one
+    grouped pass (e.g. ``cross_correlation(group_col=...)``) over a loop of subsets."""
+    if value is None:
+        return df.where(F.col(column).isNull())
+    return df.where(F.col(column) == F.lit(value))

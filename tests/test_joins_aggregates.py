@@ -77,3 +77,10 @@ def test_remaining_trials(spark):
     grid = spark.range(5).withColumnRenamed("id", "trial_id")
     done = spark.createDataFrame([(1,), (3,)], "trial_id bigint")
     assert sorted(r[0] for r in remaining_trials(grid, done).collect()) == [0, 2, 4]
+
+
+def test_subset_by_group(spark):
+    from ratecraft.operators.aggregates import subset_by_group
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "g string, v int")
+    assert [r["v"] for r in subset_by_group(df, "g", "b").collect()] == [2]
+    assert [r["v"] for r in subset_by_group(df, "g", None).collect()] == [3]
