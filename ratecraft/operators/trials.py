@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,9 +45,10 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
 
     At delta 0 best is the running maximum of score, so the rule is two prefix
     scans. With delta > 0 improvements are prefix-maximum records and the
-    improvement chain is found by pointer doubling (see ``_early_stop_chain``).
-    Both are skew-safe. A negative delta (best may fall) keeps the sequential fold
-    per trial in a grouped pandas function.
+    improvement chain is found by pointer doubling (``_early_stop_chain``); with
+    delta < 0 next-pointers come from a bounded look-ahead of ``patience`` rows
+    (``_early_stop_lookahead``). All three are skew-safe: no trial is processed in
+    one task.
     """
     order = _order_cols(step)
     base = metrics.select(F.col(trial).alias("trial_id"),
@@ -59,7 +59,7 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
     if delta > 0.0:
         return _early_stop_chain(base, okeys, patience, delta, strict)
     if delta < 0.0:
-        return _early_stop_fold(base, okeys, patience, delta, strict)
+        return _early_stop_lookahead(base, okeys, patience, delta, strict)
     s = ordered_scan(base, ["trial_id"], okeys, index="_i",
                      running=[("max", "_score", "_best_prev", False)])
     better = (F.col("_score") > F.col("_best_prev")) if strict else \
@@ -77,6 +77,61 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
                     F.coalesce("_best_at_stop", "_best_end").alias("best_loss")))
 
 
+def _chain_members(start: DataFrame, nxt: DataFrame) -> DataFrame:
+    """Members (trial_id, rid) of the chain start -> nxt -> nxt ... by pointer doubling:
+    after round k the first 2^k members are known; O(log length) rounds of joins on
+    unique (trial_id, rid) keys, each result checkpointed."""
+    from ratecraft.session import cut_lineage
+
+    members = cut_lineage(start)
+    jump = nxt.select("trial_id", "rid", F.col("nxt").alias("j"))
+    count = members.count()
+    while True:
+        new = (members.join(jump, ["trial_id", "rid"]).where(F.col("j").isNotNull())
+               .select("trial_id", F.col("j").alias("rid")))
+        grown = cut_lineage(members.unionByName(new).distinct())
+        grown_count = grown.count()
+        if grown_count == count:
+            return members
+        members, count = grown, grown_count
+        j2 = jump.select("trial_id", F.col("rid").alias("j"), F.col("j").alias("j2"))
+        jump = cut_lineage(jump.join(j2, ["trial_id", "j"], "left")
+                           .select("trial_id", "rid", F.col("j2").alias("j")))
+
+
+def _early_stop_lookahead(base: DataFrame, okeys: list[str], patience: int, delta: float,
+                          strict: bool = False) -> DataFrame:
+    """W1 for any delta (used for delta < 0, where the best may fall), skew-safe.
+
+    After an improvement at row j the next improvement must come within the next
+    ``patience`` rows, or the trial stops at j + patience. So next-pointers need only
+    a bounded look-ahead: every row offers itself as the m-th look-ahead of row i - m
+    (m = 1..patience), an equi-join on unique (trial, index) keys. The chain from the
+    first row is then found by pointer doubling; its last member decides the stop.
+    """
+    from ratecraft.session import cut_lineage
+
+    s = ordered_scan(base, ["trial_id"], okeys, index="_i")
+    pts = cut_lineage(s.select("trial_id", F.col("_i").alias("rid"), "_score"))
+    n_rows = pts.groupBy("trial_id").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = (pts.select("trial_id", "rid", F.col("_score").alias("_s2"),
+                        F.explode(F.sequence(F.lit(1), F.lit(patience))).alias("_m"))
+             .select("trial_id", (F.col("rid") - F.col("_m")).alias("rid"), "_m", "_s2")
+             .where(F.col("rid") >= 0))
+    thr = F.col("_score") + F.lit(delta)
+    improves = (F.col("_s2") > thr) if strict else (F.col("_s2") >= thr)
+    first = (pts.join(ahead, ["trial_id", "rid"]).where(improves)
+             .groupBy("trial_id", "rid").agg(F.min("_m").alias("_m")))
+    nxt = cut_lineage(pts.join(first, ["trial_id", "rid"], "left").select(
+        "trial_id", "rid", (F.col("rid") + F.col("_m")).alias("nxt")))
+    members = _chain_members(pts.where(F.col("rid") == 0).select("trial_id", "rid"), nxt)
+    last = members.groupBy("trial_id").agg(F.max("rid").alias("rid"))
+    out = last.join(pts, ["trial_id", "rid"]).join(n_rows, "trial_id")
+    stop = F.when(F.col("rid") + patience < F.col("_n"), F.col("rid") + patience)
+    return out.select("trial_id", stop.cast("long").alias("stop_index"),
+                      (-F.col("_score")).alias("best_loss"))
+
+
 def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: float,
                       strict: bool = False) -> DataFrame:
     """W1 with delta > 0, distributed and skew-safe.
@@ -114,21 +169,7 @@ def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: f
                         running=[("min", "_rrid", "_succ", True)])
     nxt = cut_lineage(succ.where(F.col("_typ") == probe_typ).select(
         "trial_id", F.col("_src").alias("rid"), F.col("_succ").alias("nxt")))
-    # pointer doubling from the first record of every trial
-    members = cut_lineage(rec.where(F.col("rid") == 0).select("trial_id", "rid"))
-    jump = nxt.select("trial_id", "rid", F.col("nxt").alias("j"))
-    count = members.count()
-    while True:
-        new = (members.join(jump, ["trial_id", "rid"]).where(F.col("j").isNotNull())
-               .select("trial_id", F.col("j").alias("rid")))
-        grown = cut_lineage(members.unionByName(new).distinct())
-        grown_count = grown.count()
-        if grown_count == count:
-            break
-        members, count = grown, grown_count
-        j2 = jump.select("trial_id", F.col("rid").alias("j"), F.col("j").alias("j2"))
-        jump = cut_lineage(jump.join(j2, ["trial_id", "j"], "left")
-                           .select("trial_id", "rid", F.col("j2").alias("j")))
+    members = _chain_members(rec.where(F.col("rid") == 0).select("trial_id", "rid"), nxt)
     m = (members.join(rec.select("trial_id", "rid", "pos", "v"), ["trial_id", "rid"])
          .join(nxt, ["trial_id", "rid"], "left")
          .join(rec.select("trial_id", F.col("rid").alias("nxt"), F.col("pos").alias("_npos")),
@@ -144,28 +185,6 @@ def _early_stop_chain(base: DataFrame, okeys: list[str], patience: int, delta: f
                     (-F.coalesce(F.col("_vs"), F.col("_vend"))).alias("best_loss")))
 
 
-def _early_stop_fold(base: DataFrame, okeys: list[str], patience: int, delta: float,
-                     strict: bool = False) -> DataFrame:
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(okeys, kind="mergesort")
-        best, counter, stop = None, 0, None
-        for i, sc in enumerate(pdf["_score"].to_numpy()):
-            if best is None:
-                best = sc
-            elif (sc <= best + delta) if strict else (sc < best + delta):
-                counter += 1
-                if counter >= patience:
-                    stop = i
-                    break
-            else:
-                best, counter = sc, 0
-        return pd.DataFrame({"trial_id": [pdf["trial_id"].iloc[0]], "stop_index": [stop],
-                             "best_loss": [None if best is None else -best]})
-
-    schema = f"trial_id {dict(base.dtypes)['trial_id']}, stop_index long, best_loss double"
-    return base.groupBy("trial_id").applyInPandas(fold, schema)
-
-
 def median_prune(metrics: DataFrame, trial: str, step: str | Sequence[str], value: str,
                  warmup: int = 0, min_trials: int = 5, completed: DataFrame | None = None,
                  startup: int = 5) -> DataFrame:

@@ -62,7 +62,7 @@ def test_interval_bounds(spark, bounded):
         assert r["lower_95"] <= r["mean"] <= r["upper_95"]
 
 
-@pytest.mark.parametrize("delta,patience", [(0.0, 5), (0.02, 3), (0.05, 8), (0.3, 2)])
+@pytest.mark.parametrize("delta,patience", [(0.0, 5), (0.02, 3), (0.05, 8), (0.3, 2), (-0.01, 3), (-0.05, 2)])
 def test_early_stop_long_hot_trial(spark, delta, patience):
     """One trial with most of the rows, spread over many range partitions."""
     import numpy as np
