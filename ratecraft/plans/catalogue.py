@@ -343,6 +343,17 @@ def early_stop_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         delta=EARLY_STOP_DELTA))
 
 
+EARLY_STOP_TOLERANCE = -0.5
+
+
+def early_stop_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 with a negative delta (a loss up to 0.5 worse still counts as improvement;
+    patience 3): bounded look-ahead next-pointers and pointer doubling."""
+    m = T.trial_metrics(spark, sf_dir)
+    return _round_doubles(TR.early_stop(m, "trial_id", ["ts", "event_id"], "loss", patience=3,
+                                        delta=EARLY_STOP_TOLERANCE))
+
+
 def median_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First step where a trial's best-so-far loss is worse than the median of the
     completed trials at that step (pruning starts after 5 completed trials)."""
@@ -590,6 +601,7 @@ CATALOGUE = {
     "early_stop": early_stop,
     "early_stop_strict": early_stop_strict,
     "early_stop_delta": early_stop_delta,
+    "early_stop_tolerant": early_stop_tolerant,
     "median_prune": median_prune,
     "resume": resume,
     "regression_metrics": regression_metrics_q,

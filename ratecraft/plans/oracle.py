@@ -10,7 +10,7 @@ cast to BIGINT; ``x / 0.0`` is infinity in DuckDB, so divisors go through
 from __future__ import annotations
 
 from ratecraft.plans.catalogue import (
-    EARLY_STOP_DELTA, FIXED_MODEL, RANKING_GROUPS, RANKING_TARGETS, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, SEARCH_SPACE, VIF_COLS,
+    EARLY_STOP_DELTA, EARLY_STOP_TOLERANCE, FIXED_MODEL, RANKING_GROUPS, RANKING_TARGETS, MI_FEATURES, MI_TARGETS, PRIORITY_CODES, PROFILE_NUMERIC, SEARCH_SPACE, VIF_COLS,
 )
 from ratecraft.plans.tables import LINE_NUMERIC
 
@@ -601,6 +601,7 @@ SQL: dict[str, str] = {
     "early_stop": EARLY_STOP,
     "early_stop_strict": _early_stop_recursive(3, 0.0, True),
     "early_stop_delta": _early_stop_recursive(3, EARLY_STOP_DELTA, False),
+    "early_stop_tolerant": _early_stop_recursive(3, EARLY_STOP_TOLERANCE, False),
     "median_prune": MEDIAN_PRUNE,
     "resume": RESUME,
     "regression_metrics": _regression_metrics(),
