@@ -47,4 +47,32 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM v
 """
 
-SQL = {"op1_warc": OP1, "op5_chat_format": OP5, "op10_url_filter": OP10}
+# Blocked by half lines: of two lines one edit apart, the first or the last half of the shorter
+# one's length (less one) is equal.
+OP9 = r"""
+WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+l AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS no FROM s),
+w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+f AS (SELECT line, min((doc_id, no)) AS first, length(line) AS n FROM w GROUP BY line),
+g AS (
+  SELECT line, first, n, m, (m - 1) // 2 AS h
+  FROM (SELECT *, unnest([n, n - 1]) AS m FROM f WHERE n >= 20) WHERE m >= 20),
+c AS (
+  SELECT a.line FROM g a JOIN g b ON a.m = b.m AND left(a.line, a.h) = left(b.line, b.h)
+  WHERE b.first < a.first AND (a.n = a.m OR b.n = b.m) AND levenshtein(a.line, b.line) = 1
+  UNION
+  SELECT a.line FROM g a JOIN g b ON a.m = b.m AND right(a.line, a.h) = right(b.line, b.h)
+  WHERE b.first < a.first AND (a.n = a.m OR b.n = b.m) AND levenshtein(a.line, b.line) = 1),
+k AS (
+  SELECT l.doc_id, l.no, l.line,
+         regexp_matches(l.line, '[^\x20\x09-\x0D]') AND (c.line IS NOT NULL OR (l.doc_id, l.no) <> f.first) AS gone
+  FROM l LEFT JOIN f ON f.line = l.line LEFT JOIN c ON c.line = l.line),
+d AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '') AS text,
+         count(*) FILTER (gone) AS lines_removed FROM k GROUP BY doc_id)
+SELECT s.doc_id, CASE WHEN s.text IS NULL THEN NULL ELSE d.text END AS text, coalesce(d.lines_removed, 0) AS lines_removed
+FROM s LEFT JOIN d USING (doc_id)
+"""
+
+SQL = {"op1_warc": OP1, "op5_chat_format": OP5, "op9_line_dedup": OP9, "op10_url_filter": OP10}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm import chat_format, fst_tokens, pair_bpe, simhash, url_rules, warc
+from ratecraft.llm import chat_format, fst_tokens, line_dedup, pair_bpe, simhash, url_rules, warc
 from ratecraft.llm.common import TOKENIZER_DIR, scratch_path
 from ratecraft.llm.oracle import SQL as SQL  # registered with the queries
 
@@ -65,6 +65,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fst_tokens.token_counts(_table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs, removed="lines_removed")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_rules.rules_frame(spark, URL_RULES)
     return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules) \
@@ -77,5 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
     "op8_token_counts": op8_token_counts,
+    "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
 }

@@ -60,7 +60,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow",
     r = rules.select(F.translate(F.coalesce("host", F.lit("")), UPPER, LOWER).alias("host"),
                      F.coalesce("path", F.lit("")).alias("path"), "verdict") \
         .withColumn("key", reversed_host(F.col("host")))
-    r = _to_partitions(r, ranges)
+    r = _to_partitions(r, ranges) if not u.isEmpty() else r.limit(0).withColumn("part", F.lit(0))
 
     one = u.select("part", "key", F.lit(1).alias("kind"), "row_id", "host", "path", F.lit(None).cast("string").alias("verdict"))
     two = r.select("part", "key", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("row_id"), "host", "path", "verdict")
@@ -72,14 +72,15 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow",
 def _to_partitions(rules: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each rule once for each url partition whose [lo, hi] meets the rule's interval.
 
-    The partitions lie in key order, so the ones a rule meets are a run of neighbours: those from
-    the first with hi >= key to the last with lo < end. ``ranges`` has one row per partition (as
-    many as shuffle partitions, a setting), so its bounds travel as one array.
+    The partitions lie in key order, so the ones a rule meets are a run of neighbours. ``ranges``
+    has a row per partition, as many as the shuffle partitions set for the session, so the driver
+    can hold them and they travel as one array.
     """
-    bounds = ranges.agg(F.array_sort(F.collect_list(F.struct("part", "lo", "hi"))).alias("bounds"))
-    end = F.when(F.col("key") == "", F.lit(None)).otherwise(F.concat(F.expr("left(key, length(key) - 1)"), F.lit("/")))
-    met = F.filter("bounds", lambda b: (b["hi"] >= F.col("key")) & (F.col("end").isNull() | (b["lo"] < F.col("end"))))
-    return rules.withColumn("end", end).join(F.broadcast(bounds)) \
+    bounds = F.array(*[F.struct(F.lit(r["part"]).alias("part"), F.lit(r["lo"]).alias("lo"), F.lit(r["hi"]).alias("hi"))
+                       for r in ranges.collect()])
+    end = F.when(F.col("key") != "", F.concat(F.expr("left(key, length(key) - 1)"), F.lit("/")))
+    met = F.filter(bounds, lambda b: (b["hi"] >= F.col("key")) & (F.col("end").isNull() | (b["lo"] < F.col("end"))))
+    return rules.withColumn("end", end) \
         .select("host", "path", "verdict", "key", F.explode(F.transform(met, lambda b: b["part"])).alias("part"))
 
 
