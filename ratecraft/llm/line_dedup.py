@@ -9,8 +9,9 @@ less one character. Emitting every variant of every line would cost a line's len
 line is first cut into blocks of about ``BLOCK`` characters. One edit lies in one block; the
 characters before that block, counted from the left, and after it, counted from the right, are
 the same in both lines. These make the block's *frame*, hashed once for the line's own length and
-once for a partner one character shorter. Only frames that two different lines share emit the
-variants of their block, and these are joined:
+once for a partner one character shorter. A first pass does so with lines cut in half, for all
+lines; those that share a half with a different line are read again and cut into blocks, and only
+frames that two of them share emit the variants of their block. These are joined:
 
 * lines of one length that share a frame and the block less the character at place i differ in
   that character only;
@@ -39,7 +40,7 @@ from ratecraft.llm.common import materialise
 BLOCK = 128
 HAS_WORD = r"[^\x20\x09-\x0D]"
 LAST = (1 << 63) - 1  # place of a null id
-BROADCAST_KEYS = 2_000_000  # 16 MB of frame keys
+BROADCAST_KEYS = 1_000_000  # 8 MB of keys
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -51,9 +52,22 @@ def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"))
 
 
+def _half_keys(min_chars: int) -> Column:
+    """Keys of the line's halves, for partners as long (m) and one character shorter: one edit leaves
+    the first m / 2 or the last m - m / 2 characters of both lines equal."""
+    keys = []
+    for shorter in (0, 1):
+        m = F.col("chars") - shorter
+        half = F.floor(m / 2).cast("int")
+        for side, part in ((0, F.substring(F.col("line"), F.lit(1), half)),
+                           (1, F.substring(F.col("line"), F.col("chars") - (m - half) + 1, m - half))):
+            keys.append(F.when(m >= min_chars, F.xxhash64(F.lit(side), m, part)))
+    return F.array(*keys)
+
+
 def _frames(lines: DataFrame, min_chars: int) -> DataFrame:
     """One row per line, partner length m (own or one less) and block: key, own (m is the line's
-    own length), lo, hi (the block is characters lo + 1 to hi)."""
+    own length), block."""
     def of(shorter: int) -> Column:
         m = F.col("chars") - shorter
         blocks = F.greatest(F.lit(2), F.ceil(m / BLOCK).cast("int"))
@@ -63,25 +77,33 @@ def _frames(lines: DataFrame, min_chars: int) -> DataFrame:
             after = m - F.floor((j + 1) * m / blocks).cast("int")
             hi = F.col("chars") - after
             key = F.xxhash64(j, m, F.substring(F.col("line"), F.lit(1), lo), F.substring(F.col("line"), hi + 1, after))
-            return F.struct(key.alias("key"), F.lit(shorter == 0).alias("own"), lo.alias("lo"), hi.alias("hi"))
+            return F.struct(key.alias("key"), F.lit(shorter == 0).alias("own"),
+                            F.substring(F.col("line"), lo + 1, hi - lo).alias("block"))
 
         return F.when(m >= min_chars, F.transform(F.sequence(F.lit(0), blocks - 1), frame))
 
-    none = F.array().cast("array<struct<key:bigint,own:boolean,lo:int,hi:int>>")
+    none = F.array().cast("array<struct<key:bigint,own:boolean,block:string>>")
     both = F.concat(F.coalesce(of(0), none), F.coalesce(of(1), none))
-    return lines.where(F.col("chars") >= min_chars).select("line", "h1", "h2", F.explode(both).alias("f")) \
-        .select("line", "h1", "h2", "f.*")
+    return lines.select("h1", "h2", "first", F.explode(both).alias("f")).select("h1", "h2", "first", "f.*")
+
+
+def _few(rows: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """``rows`` to be broadcast if they are at most ``most``, else as they are."""
+    return F.broadcast(rows) if rows.limit(most + 1).count() <= most else rows
 
 
-def _shared_blocks(lines: DataFrame, min_chars: int) -> DataFrame:
-    """key, own, h1, h2, block of each different line in each frame that another line shares."""
-    frames = _frames(lines, min_chars)
-    shared = materialise(frames.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
-                         .where(F.col("a") != F.col("b")).select("key"), "frames")
-    few = shared.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS
-    blocks = frames.join(F.broadcast(shared) if few else shared, "key", "left_semi").select(
-        "key", "own", "h1", "h2", F.substring(F.col("line"), F.col("lo") + 1, F.col("hi") - F.col("lo")).alias("block"))
-    return blocks.groupBy("key", "own", "h1", "h2").agg(F.min("block").alias("block"))
+def _shared_blocks(lines: DataFrame, slim: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame:
+    """key, own, h1, h2, first, block of each different line in each frame that another line shares."""
+    halves = slim.select("h1", "h2", F.explode("halves").alias("key")).where(F.col("key").isNotNull())
+    shared = materialise(halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
+                         .where(F.col("a") != F.col("b")).select("key"), "halves")
+    close = materialise(halves.join(_few(shared), "key", "left_semi").select("h1", "h2").distinct(), "close")
+    texts = lines.where(F.col("chars") >= min_chars).join(_few(close, BROADCAST_KEYS // 2), ["h1", "h2"], "left_semi")
+    texts = texts.groupBy("h1", "h2").agg(F.min("line").alias("line"), F.min("chars").alias("chars"))
+    frames = materialise(_frames(texts.join(firsts.select("h1", "h2", "first"), ["h1", "h2"]), min_chars), "frames")
+    shared = frames.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b")) \
+        .where(F.col("a") != F.col("b")).select("key")
+    return materialise(frames.join(shared, "key", "left_semi"), "blocks")
 
 
 def _variants(blocks: DataFrame) -> DataFrame:
@@ -99,12 +121,11 @@ def _variants(blocks: DataFrame) -> DataFrame:
                    F.transform(places, lambda i: tagged(0, F.xxhash64(F.col("key"), i, less(i)))))
     longer = F.transform(places, lambda i: tagged(2, F.xxhash64(F.col("key"), F.lit(0), less(i))))
     return blocks.select("key", "own", "h1", "h2", "first", F.explode(
-        F.array_distinct(F.when(F.col("own"), own).otherwise(longer))).alias("e")).select("key", "own", "h1", "h2", "first", "e.*")
+        F.when(F.col("own"), own).otherwise(longer)).alias("e")).select("key", "own", "h1", "h2", "first", "e.*")
 
 
-def _witnessed(lines: DataFrame, firsts: DataFrame, min_chars: int) -> DataFrame:
+def _witnessed(blocks: DataFrame) -> DataFrame:
     """(h1, h2) of the lines with an earlier line one edit away."""
-    blocks = materialise(_shared_blocks(lines, min_chars).join(firsts.select("h1", "h2", "first"), ["h1", "h2"]), "blocks")
     variants = _variants(blocks)
     line = F.struct("first", "h1", "h2", "own")
     least = variants.groupBy("v").agg(
@@ -130,10 +151,11 @@ def _mark(no: Column, line: Column) -> Column:
 def repeated_lines(docs: DataFrame, min_fuzzy_chars: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, marks: per document (null id: the largest long) the lines that go."""
     lines = _lines(docs, doc_id, text)
-    slim = materialise(lines.select("doc", "no", "h1", "h2"), "lines")
+    halves = F.when(F.col("chars") >= min_fuzzy_chars, _half_keys(min_fuzzy_chars))
+    slim = materialise(lines.select("doc", "no", "h1", "h2", halves.alias("halves")), "lines")
     firsts = slim.groupBy("h1", "h2").agg(F.min(F.struct("doc", "no")).alias("first"), F.count(F.lit(1)).alias("n"))
     firsts = materialise(firsts, "firsts")
-    near = _witnessed(lines, firsts, min_fuzzy_chars).withColumn("near", F.lit(True))
+    near = _witnessed(_shared_blocks(lines, slim, firsts, min_fuzzy_chars)).withColumn("near", F.lit(True))
     fate = firsts.join(near, ["h1", "h2"], "left").where(F.col("near").isNotNull() | (F.col("n") > 1))
     gone = slim.join(fate, ["h1", "h2"]).where(F.col("near").isNotNull() | (F.struct("doc", "no") != F.col("first")))
     mark = F.shiftleft(F.col("no").cast("long"), 32).bitwiseOR(F.col("h1").bitwiseAND(F.lit(0xFFFFFFFF)))

@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm import chat_format, fst_tokens, line_dedup, pair_bpe, simhash, url_rules, warc
+from ratecraft.llm import bayes_quality, chat_format, decontaminate, fertility, fst_tokens, line_dedup, pair_bpe, simhash, url_rules, warc
 from ratecraft.llm.common import TOKENIZER_DIR, scratch_path
 from ratecraft.llm.oracle import SQL as SQL  # registered with the queries
 
 BYTE_BPE = os.path.join(TOKENIZER_DIR, "byte_bpe_50k.json")
+PIECE_BPE = os.path.join(TOKENIZER_DIR, "piece_bpe_32k.model")
 WORD_BPE = os.path.join(TOKENIZER_DIR, "word_bpe_49k.json")
 
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -32,6 +33,20 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"), "refers_to")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.withColumn("contaminated", F.lit(True))
+
+
+def op3_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(_table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = bayes_quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.drop("text_hash")
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
@@ -78,6 +93,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_decontaminate": op2_decontaminate,
+    "op3_fertility": op3_fertility,
+    "op4_quality": op4_quality,
     "op5_chat_format": op5_chat_format,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
