@@ -1,10 +1,10 @@
 """Quality classifier with hierarchical empirical Bayes over sites (operator 4).
 
 Two logistic regressions read a document's text: one for quality, one for toxicity. Their features
-are byte shares (capitals, digits, marks, breaks ...) and the presence of the words that most
-separate the labelled classes. Together they give p, the probability that the text is good and not
-toxic. The text is then seen in its place: per host, and per first path below the host, the mean of p is
-shrunk to the level above,
+are byte shares (capitals, digits, marks, breaks ...), the presence of the words that most separate
+the labelled classes and the number of words with the word beginnings that do. Together they give p,
+the probability that the text is good and not toxic. The text is then seen in its place: per host, and
+per first path below the host, the mean of p is shrunk to the level above,
 
     host = (sum of p + k1 * global mean) / (n + k1),    path = (sum of p + k2 * host) / (n + k2),
 
@@ -40,6 +40,7 @@ from ratecraft.llm.common import materialise
 MAX_LABELLED, MAX_WORDS, MIN_SCORE = 20_000, 256, 5.0
 MAX_SHIFT, BROADCAST_SITES = 2.0, 200_000
 LETTERS = re.compile(r"[^\W\d_]+").findall
+STEM = 4  # letters of a word beginning
 WORD_SPLIT = r"[^\p{L}]+"
 # Byte classes whose shares are features.
 CLASSES = (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&<>", b"|", b"!?", b".,;:", b"\n", b" \t", b"@/\\_=+~^", b"()[]{}")
@@ -61,8 +62,14 @@ def vectors(texts: list[str], words: dict[str, int]) -> np.ndarray:
         found = LETTERS(text.lower())
         distinct = set(found)
         row[:N_SHAPE] = shape(text.encode(), len(found), len(distinct))
-        for w in distinct & words.keys():
-            row[N_SHAPE + words[w]] = 1.0
+        for w in distinct:
+            at = words.get(w)
+            if at is not None:
+                row[N_SHAPE + at] = 1.0
+            at = words.get("^" + w[:STEM])
+            if at is not None:
+                row[N_SHAPE + at] += 1.0
+        row[N_SHAPE:] = np.log1p(row[N_SHAPE:])
     return out
 
 
@@ -82,13 +89,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
 
 
 def _separating_words(sample: DataFrame) -> list[str]:
-    """The words whose share of documents differs most between the classes of a label, by the score
-    of two proportions."""
+    """The words and ("^...") word beginnings whose share of documents differs most between the
+    classes of a label, by the score of two proportions."""
     total = sample.agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic")).first()
     if not total["n"]:
         return []
-    words = sample.select("good", "toxic", F.explode(F.array_distinct(F.split(F.lower("text"), WORD_SPLIT))).alias("word")) \
-        .where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic"))
+    words = sample.select("good", "toxic", F.array_distinct(F.split(F.lower("text"), WORD_SPLIT)).alias("w")) \
+        .select("good", "toxic", F.explode(F.array_distinct(F.concat("w", F.transform("w", lambda w: F.concat(
+            F.lit("^"), F.substring(w, 1, STEM)))))).alias("word")).where(~F.col("word").isin("", "^")) \
+        .groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("good").alias("good"), F.sum("toxic").alias("toxic"))
 
     def score(label: str) -> Column:
         ones = float(total[label] or 0)
@@ -118,7 +127,7 @@ def fit_text_model(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_L
 
     rows = sample.select("doc_id", "text", F.col("good").cast("double"), F.col("toxic").cast("double")) \
         .mapInArrow(batches, "doc_id long, x binary, good double, toxic double").toPandas()
-    rows = rows.assign(x_order=rows["x"].map(hash)).sort_values(["doc_id", "x"]) if len(rows) else rows
+    rows = rows.sort_values(["doc_id", "x"])  # sums must not depend on the order of arrival
     width = N_SHAPE + len(words)
     x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, width) if len(rows) else np.zeros((0, width), np.float32)
     mean = x.mean(axis=0) if len(x) else np.zeros(width)
@@ -171,12 +180,13 @@ def _strength(groups: DataFrame, parent: str | None) -> float:
         of = groups.groupBy(parent).agg(F.sum("n").alias("pn"), F.sum("s").alias("ps"))
         groups = groups.join(of, parent)
     else:
-        groups = groups.join(F.broadcast(groups.agg(F.sum("n").alias("pn"), F.sum("s").alias("ps"))), F.lit(True))
+        whole = groups.agg(F.sum("n").alias("pn"), F.sum("s").alias("ps")).first()
+        groups = groups.withColumn("pn", F.lit(whole["pn"]).cast("long")).withColumn("ps", F.lit(whole["ps"]).cast("double"))
     r = groups.agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("within"),
         F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("ps") / F.col("pn"), 2)).alias("between"),
         F.sum(F.col("n") * F.col("n") / F.col("pn")).alias("even"),
-        F.sum(F.lit(1.0) / 1).alias("unused"), (F.count_distinct(parent) if parent else F.lit(1)).alias("parents")).first()
+        (F.count_distinct(parent) if parent else F.lit(1)).alias("parents")).first()
     if not r["n"] or r["n"] <= r["k"] or r["k"] <= r["parents"]:
         return 1e6
     within = max(r["within"] / (r["n"] - r["k"]), 1e-9)

@@ -37,7 +37,7 @@ FENCE, MIN_GROUP = 4.0, 30
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 # Measure: (step it is counted in, least width of half a band).
-MEASURES = {"chars_per_token": (0.01, 0.3), "fallback_share": (0.001, 0.02), "entropy_share": (0.002, 0.05)}
+MEASURES = {"chars_per_token": (0.01, 0.1), "fallback_share": (0.001, 0.02), "entropy_share": (0.002, 0.05)}
 # First code points of Unicode ranges and the script most of their letters have.
 SCRIPTS = ((0x0, "Latn"), (0x370, "Grek"), (0x400, "Cyrl"), (0x530, "Armn"), (0x590, "Hebr"), (0x600, "Arab"),
            (0x900, "Deva"), (0x980, "Beng"), (0xA00, "Zyyy"), (0xE00, "Thai"), (0xE80, "Zyyy"), (0x1100, "Hang"),
