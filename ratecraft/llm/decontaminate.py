@@ -46,89 +46,101 @@ STRIP = ".,;:!?\"'()[]{}*#&%$|<>…«»“”‘’¿¡-–—_~`"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Template:
-    """Texts to template words; classes of words are kept in a table."""
+BREAK = "\x00"  # stands for a line break among the words
+WORD, NUMBER, UNIT_WORD, CAPITALISED, NOTHING, LINE_END = range(6)
+
+
+class Template(dict):
+    """raw word -> number of its row in a table (hash of the core, class, ends a sentence).
+
+    A text is one array of numbers; what a word stands for in its place is array arithmetic.
+    """
 
     def __init__(self):
-        self.known: dict[str, tuple[str, int, bool]] = {}
+        super().__init__()
+        self.hash, self.cls, self.ends = np.zeros(1024, np.uint64), np.zeros(1024, np.int8), np.zeros(1024, bool)
+        self.cores: list[str] = []
+        self.placeholders = np.array([0, *(_hash(p) for p in (NUM, UNIT, NAME))], np.uint64)
 
-    def kind(self, word: str) -> tuple[str, int, bool]:
-        """(core, class, ends a sentence); classes: 0 word, 1 number, 2 unit, 3 capitalised, 4 nothing left."""
-        got = self.known.get(word)
-        if got is None:
-            core = word.strip(STRIP)
+    def __missing__(self, word: str) -> int:
+        n = len(self.cores)
+        if n == len(self.cls):
+            self.hash, self.cls, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hash, self.cls, self.ends))
+        core = word.strip(STRIP)
+        if word == BREAK:
+            cls, ends = LINE_END, True
+        else:
+            ends = word.rstrip("\"')]”’»")[-1:] in (".", "!", "?", ":")
             if not core:
-                cls = 4
+                cls = NOTHING
             elif IS_NUMBER(core):
-                cls = 1
+                cls = NUMBER
             elif core.lower() in UNITS:
-                cls = 2
-            elif core[0].isupper() and core[1:].islower():
-                cls = 3
+                cls = UNIT_WORD
             else:
-                cls = 0
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-            got = self.known[word] = core.casefold(), cls, word.rstrip("\"')]”’»")[-1:] in (".", "!", "?", ":")
-        return got
+                cls = CAPITALISED if core[0].isupper() and core[1:].islower() else WORD
+        core = core.casefold()
+        self.hash[n], self.cls[n], self.ends[n] = _hash(core), cls, ends
+        self.cores.append(core)
+        self[word] = n
+        return n
+
+    def scan(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the words, what each is in its place: 0 itself, 1 <num>, 2 <unit>, 3 <name>)."""
+        if len(self.cores) > CACHE_WORDS:
+            self.clear()
+            self.cores.clear()
+        raw = text.replace("\n", f" {BREAK} ").split()
+        numbers = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
+        cls = self.cls[numbers]
+        real = np.flatnonzero(cls < NOTHING)
+        if not len(real):
+            return real, np.zeros(0, np.int8)
+        ended = np.concatenate([[0], np.cumsum(self.ends[numbers])])[real]
+        line = np.cumsum(cls == LINE_END)[real]
+        numbers, cls = numbers[real], cls[real]
+        fresh = np.concatenate([[True], np.diff(ended) > 0])  # a line or a sentence starts here
+        after_number = np.concatenate([[False], (cls[:-1] == NUMBER) & (np.diff(line) == 0)])
+        kind = np.zeros(len(numbers), np.int8)
+        kind[cls == NUMBER] = 1
+        kind[(cls == UNIT_WORD) & after_number] = 2
+        kind[(cls == CAPITALISED) & ~fresh] = 3
+        return numbers, kind
+
+    def windows(self, text: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash of each window in order (0: a window of placeholders alone), the words' kinds and numbers."""
+        numbers, kind = self.scan(text)
+        if not len(numbers):
+            return np.zeros(0, np.int64), kind, numbers
+        h = np.where(kind > 0, self.placeholders[kind], self.hash[numbers])
+        size = min(width, len(numbers))
+        n = len(numbers) - size + 1
+        out = np.full(n, size, np.uint64)
+        for k in range(size):
+            out = (out ^ h[k:k + n]) * MULTIPLIER
+            out ^= out >> np.uint64(29)
+        literal = np.concatenate([[0], np.cumsum(kind == 0)])
+        out[literal[size:] == literal[:-size]] = 0
+        return out.view(np.int64), kind, numbers
 
     def words(self, text: str) -> tuple[list[str], list[str]]:
         """(template words, the values they stand for)."""
-        out, values = [], []
-        for line in text.split("\n"):
-            fresh, after_number = True, False  # a line starts a sentence
-            for word in line.split():
-                core, cls, ends = self.kind(word)
-                if cls == 4:
-                    fresh = fresh or ends
-                    continue
-                if cls == 1:
-                    out.append(NUM)
-                elif cls == 2 and after_number:
-                    out.append(UNIT)
-                elif cls == 3 and not fresh:
-                    out.append(NAME)
-                else:
-                    out.append(core)
-                values.append(core)
-                fresh, after_number = ends, cls == 1
-        return out, values
-
-
-class Hasher(dict):
-    """template word -> 64-bit hash (0 for placeholders' literal flag kept apart)."""
+        numbers, kind = self.scan(text)
+        values = [self.cores[n] for n in numbers.tolist()]
+        return [(v, NUM, UNIT, NAME)[k] for v, k in zip(values, kind.tolist())], values
 
-    def __missing__(self, word: str) -> int:
-        import xxhash
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word.encode(), 7)
-        return h
-
-
-def window_hashes(words: list[str], hashes: Hasher, width: int) -> np.ndarray:
-    """Hash of each window in order (0: a window of placeholders alone); int64."""
-    if not words:
-        return np.zeros(0, np.int64)
-    size = min(width, len(words))
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(words) - size + 1
-    out = np.full(n, size, np.uint64)
-    for k in range(size):
-        out = (out ^ h[k:k + n]) * MULTIPLIER
-        out ^= out >> np.uint64(29)
-    literal = np.fromiter((w not in (NUM, UNIT, NAME) for w in words), bool, len(words))
-    sums = np.concatenate([[0], np.cumsum(literal)])
-    out[sums[size:] - sums[:-size] == 0] = 0
-    return out.view(np.int64)
+
+def _hash(word: str) -> int:
+    import xxhash
+    return xxhash.xxh64_intdigest(word.encode(), 7)
 
 
 def _window_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    template, hashes = Template(), Hasher()
+    template = Template()
     for batch in batches:
         lists = []
         for text in batch.column(1):
-            windows = np.unique(window_hashes(template.words(text.as_py() or "")[0], hashes, width))
+            windows = np.unique(template.windows(text.as_py() or "", width)[0])
             lists.append(windows[windows != 0])
         ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
         values = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64), pa.int64())
@@ -144,12 +156,12 @@ def windows(texts: DataFrame, width: int, id_column: str, text: str = "text") ->
         .select("id", "text_hash", F.explode("windows").alias("window"))
 
 
-def aligned_share(doc: str, item: str, width: int, template: Template, hashes: Hasher) -> tuple[float, int]:
+def aligned_share(doc: str, item: str, width: int, template: Template) -> tuple[float, int]:
     """(share of the item's windows that consistent alignments cover, slots with another value)."""
-    d_words, d_values = template.words(doc)
     i_words, i_values = template.words(item)
-    d_hash = window_hashes(d_words, hashes, width)
-    i_hash = window_hashes(i_words, hashes, width)
+    i_hash = template.windows(item, width)[0]
+    d_hash, _, d_numbers = template.windows(doc, width)
+    d_values = [template.cores[n] for n in d_numbers]
     size = min(width, len(i_words))
     places: dict[int, list[int]] = {}
     for q, h in enumerate(i_hash.tolist()):
@@ -177,12 +189,12 @@ def aligned_share(doc: str, item: str, width: int, template: Template, hashes: H
 
 
 def _verify_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    template, hashes = Template(), Hasher()
+    template = Template()
     for batch in batches:
         ids, items, shares, slots = [], [], [], []
         for doc_id, text, candidates in zip(*(batch.column(k).to_pylist() for k in range(3))):
             for c in candidates:
-                share, changed = aligned_share(text or "", c["text"] or "", width, template, hashes)
+                share, changed = aligned_share(text or "", c["text"] or "", width, template)
                 ids.append(doc_id)
                 items.append(c["item_id"])
                 shares.append(share)
