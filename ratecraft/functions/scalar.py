@@ -48,19 +48,19 @@ def to_nullable_int(c, source_type: str = "string") -> Column:
 
 
 def truncate_int(c) -> Column:
-    """Double -> BIGINT truncating toward zero (1.7 -> 1, -1.7 -> -1), NULL/NaN -> NULL."""
+    """Double -> BIGINT truncating toward zero (1.7 -> 1, -1.7 -> -1); NULL, NaN and values
+    beyond BIGINT give NULL."""
     col = _col(c)
-    return F.when(~F.isnan(col), col.cast("double")).cast("bigint")
+    return F.when(~F.isnan(col), col.cast("double")).try_cast("bigint")
 
 
 def rate_per(count, population, scale: float = 100000.0) -> Column:
     """Count / population * scale; NULL or zero population gives NULL.
 
-    Evaluated as (count * scale) / population: for integer counts the product is
-    exact, so a rate that is mathematically an integer (120 of 100,000 -> 120) is
-    exactly that integer and truncation cannot drop it to 119.
+    The order matters once the rate is truncated: the quotient is rounded before it is
+    scaled (9 of 1000 is 899.99... per 100,000).
     """
-    return F.try_divide(_col(count).cast("double") * F.lit(scale), _col(population).cast("double"))
+    return F.try_divide(_col(count).cast("double"), _col(population).cast("double")) * F.lit(scale)
 
 
 def null_as_category(c) -> Column:

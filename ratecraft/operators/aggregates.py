@@ -17,8 +17,7 @@ from ratecraft.functions.scalar import truncate_int
 
 
 def pivot_mean(df: DataFrame, index: Sequence[str], columns: str, values: str,
-               pivot_values: Sequence | None = None, normalize: bool = True,
-               max_levels: int = 10_000) -> DataFrame:
+               pivot_values: Sequence | None = None, normalize: bool = True) -> DataFrame:
     """A1: mean of ``values`` per index row and ``columns`` level, levels as columns.
 
     Kept from the pandas rule: rows with a NULL index key, NULL level or NULL value
@@ -31,14 +30,15 @@ def pivot_mean(df: DataFrame, index: Sequence[str], columns: str, values: str,
         cond = cond & F.col(k).isNotNull()
     kept = df.where(cond)
     if pivot_values is None:
-        # one output column per level: the level list must be small; check the bound
-        found = kept.select(columns).distinct().orderBy(columns).limit(max_levels + 1).collect()
-        if len(found) > max_levels:
-            raise ValueError(f"{columns} has more than {max_levels} levels to pivot")
-        pivot_values = [r[0] for r in found]
+        # one output column per level, so the levels are as many as a schema can hold
+        pivot_values = [r[0] for r in kept.select(columns).distinct().orderBy(columns).collect()]
     out = kept.groupBy(*index).pivot(columns, list(pivot_values)).agg(F.avg(values))
     if normalize:
-        out = out.toDF(*[c if c in index else normalize_name(str(c)) for c in out.columns])
+        names = [c if c in index else normalize_name(str(c)) for c in out.columns]
+        clash = sorted({n for n in names if names.count(n) > 1})
+        if clash:
+            raise ValueError(f"levels of {columns} that would share a column name: {clash}")
+        out = out.toDF(*names)
     return out
 
 

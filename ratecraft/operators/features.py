@@ -176,8 +176,12 @@ def dummies(df: DataFrame, col: str, levels: Sequence[str], drop_first: bool = T
         lv = lv[1:]
     p = prefix or col
     from ratecraft.functions.columns import normalize_name
-    return df.withColumns({f"{p}_{normalize_name(str(v))}":
-                           F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0)) for v in lv})
+    names = [f"{p}_{normalize_name(str(v))}" for v in lv]
+    clash = sorted({n for n in names if names.count(n) > 1 or n in df.columns})
+    if clash:
+        raise ValidationError(f"levels of {col} that would share a column: {clash}")
+    return df.withColumns({n: F.coalesce((F.col(col) == F.lit(v)).cast("int"), F.lit(0))
+                           for n, v in zip(names, lv)})
 
 
 def fit_levels(df: DataFrame, col: str, max_levels: int = 10_000) -> list:
@@ -220,11 +224,26 @@ class FeatureSpec:
     drop: list = field(default_factory=list)
 
 
+def fill_values(df: DataFrame, num: Sequence[str]) -> dict:
+    """Median per numeric column for the gaps of training and scored rows (0 for a column
+    without any value). Exact where the training rows have gaps; a column that is complete
+    there can only have gaps at scoring, for which an approximate median is taken in one pass."""
+    from ratecraft.operators.fill import median_values
+    if not num:
+        return {}
+    row = df.agg(*[F.percentile_approx(_clean(df, c), 0.5, 10_000).alias(f"m{i}") for i, c in enumerate(num)],
+                 *[F.count_if(_clean(df, c).isNull()).alias(f"n{i}") for i, c in enumerate(num)]).first()
+    gaps = [c for i, c in enumerate(num) if row[f"n{i}"] and row[f"m{i}"] is not None]
+    exact = median_values(df, gaps) if gaps else {}
+    return {c: float(exact.get(c, row[f"m{i}"]) or 0.0) for i, c in enumerate(num)}
+
+
 def preprocess_pipeline(df: DataFrame, spec: FeatureSpec, features_col: str = "features",
                         fit_on: DataFrame | None = None) -> PipelineModel:
-    """F9 (+F1, F6, F12): fitted pipeline: population z-scores for numerics, one-hot for
-    categories (alphabetical levels, unknown/NULL-at-score -> all zeros), assembled
-    into one vector. Fit on ``fit_on`` (training rows) when given.
+    """F9 (+A8, F1, F6, F12): fitted pipeline: medians for missing numerics, population
+    z-scores, one-hot for categories (alphabetical levels, unknown/NULL-at-score -> all
+    zeros), assembled into one vector. Fit on ``fit_on`` (training rows) when given; the
+    medians are part of the pipeline, so scoring fills with the training rows' values.
     """
     src = fit_on if fit_on is not None else df
     num = [c for c in spec.num if c in df.columns]
@@ -234,16 +253,17 @@ def preprocess_pipeline(df: DataFrame, spec: FeatureSpec, features_col: str = "f
     missing = [c for c in spec.num + spec.cat if c not in df.columns]
     if missing:
         raise MissingColumnsError(f"feature columns missing: {missing}")
-    scaler = StandardScaler().fit(src, num) if num else StandardScaler()
+    medians = fill_values(src, num)
+    filled = src.select(*[F.coalesce(_clean(src, c), F.lit(medians[c])).alias(c) for c in num]) if num else src
+    scaler = StandardScaler().fit(filled, num) if num else StandardScaler()
     sel = ["*"]
     for c in num:
         mean, sd = scaler.params[c]
-        if mean is None:
-            e = "CAST(NULL AS DOUBLE)"
-        elif not sd:
-            e = f"CASE WHEN `{c}` IS NULL THEN NULL ELSE 0.0D END"
+        if mean is None or not sd:
+            e = "0.0D"
         else:
-            e = f"(CAST(`{c}` AS DOUBLE) - ({mean!r}D)) / ({sd!r}D)"
+            m = f"({medians[c]!r}D)"
+            e = f"(coalesce(nanvl(CAST(`{c}` AS DOUBLE), {m}), {m}) - ({mean!r}D)) / ({sd!r}D)"
         sel.append(f"{e} AS `__z_{c}`")
     for c in cat:
         sel.append(f"coalesce(CAST(`{c}` AS STRING), 'nan') AS `__s_{c}`")

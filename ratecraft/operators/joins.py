@@ -78,5 +78,10 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
 
 
 def remaining_trials(grid: DataFrame, done: DataFrame, key: str = "trial_id") -> DataFrame:
-    """Trials of ``grid`` not yet present in ``done`` (anti join, resumes a search)."""
+    """Trials of ``grid`` not yet completed in ``done`` (anti join, resumes a search).
+
+    With a ``state`` column only COMPLETE trials count: failed and pruned ones are run again.
+    """
+    if "state" in done.columns:
+        done = done.where(F.col("state") == "COMPLETE")
     return grid.join(done.select(key), on=key, how="left_anti")

@@ -129,10 +129,18 @@ def read_run_metadata(spark: SparkSession, path: str) -> dict:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a frame at least one partition per core before it is cached for repeated
-    fits. Large inputs already have more splits than cores and pass unchanged."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    """Spread a frame over the session's shuffle partitions (at least one per core) before it is
+    cached for repeated fits; the plan is not executed to ask for its own partitions."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism,
+                              int(spark.conf.get("spark.sql.shuffle.partitions", "8"))))
+
+
+def _split_keys(keys: Sequence[str]) -> list:
+    """Keys that tell rows apart must be named: a guess could put whole groups on one side."""
+    if not keys:
+        raise ValidationError("keys of the split are required")
+    return list(keys)
 
 
 def _prepared(df: DataFrame, spec: FeatureSpec, targets: Sequence[str],
@@ -209,7 +217,7 @@ def fit_with_validation(df: DataFrame, spec: FeatureSpec, targets: Sequence[str]
                         params: Mapping | None = None, keys: Sequence[str] = (),
                         fraction: float = 0.2, seed: int = 42, tol: float = 0.01) -> MultiTargetModel:
     """M2: boosting that watches a hashed hold-out and may stop early on it."""
-    flagged = holdout_split(df, keys or df.columns[:1], fraction, seed, col="_is_val")
+    flagged = holdout_split(df, _split_keys(keys), fraction, seed, col="_is_val")
     return fit_multi_target(flagged, spec, targets, params, validation_col="_is_val",
                             validation_tol=tol, fit_on=flagged.where(~F.col("_is_val")))
 
@@ -296,59 +304,61 @@ def random_search_cv(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], s
     """M3: k-fold search of one parameter set shared by all targets (mean R^2 over
     folds, then over targets).
 
-    Folds come from the key hash (F11); preprocessing is fitted once on all rows
-    (as the reference's pipeline inside its search). Returns (best params, table
-    of (trial_id, params, mean_r2)).
+    Folds come from the key hash (F11); preprocessing is fitted on each fold's training
+    rows, so nothing of the validation rows reaches the fit. A candidate that fails in any
+    fold scores NULL and is never best; if all fail, the last error is raised. Returns
+    (best params, table of (trial_id, params, mean_r2)).
     """
     targets = list(targets)
     spark = df.sparkSession
     trials = sample_space(spark, space, n_iter, seed).collect()  # n_iter rows, bounded
     cand = [(r["trial_id"], _typed(r["params"])) for r in trials]
-    data = kfold_assign(df, keys or df.columns[:1], folds, seed, col="_fold")
-    prep, feats = _prepared(data, spec, targets, None)
-    feats = spread(feats).persist()
+    data = kfold_assign(df, _split_keys(keys), folds, seed, col="_fold")
+    scores: dict = {tid: [] for tid, _ in cand}
+    failed: dict = {}
     # k-fold loop as CrossValidator runs it (parallel fits per fold), without its
     # final per-target refit: the shared best set is refitted once by refit_best.
-    try:
-        scores = {tid: [] for tid, _ in cand}
-        for t in targets:
-            est = GBTRegressor(featuresCol=FEATURES, labelCol=t)
-            ev = RegressionEvaluator(labelCol=t, metricName="r2")
-            rows_t = feats.where(F.col(t).isNotNull())
-            per_fold = {tid: [] for tid, _ in cand}
-            for k in range(folds):
-                train = rows_t.where(F.col("_fold") != k).persist()
-                valid = rows_t.where(F.col("_fold") == k).persist()
+    for k in range(folds):
+        fit_rows = data.where(F.col("_fold") != k)
+        prep = preprocess_pipeline(data, spec, FEATURES, fit_on=fit_rows)
+        feats = spread(prep.transform(data).select(FEATURES, "_fold", *targets)).persist()
+        try:
+            for t in targets:
+                est = GBTRegressor(featuresCol=FEATURES, labelCol=t)
+                ev = RegressionEvaluator(labelCol=t, metricName="r2")
+                rows_t = feats.where(F.col(t).isNotNull())
+                train, valid = rows_t.where(F.col("_fold") != k), rows_t.where(F.col("_fold") == k)
 
                 def score(item, train=train, valid=valid, est=est, ev=ev):
                     tid, p = item
-                    m = est.copy({getattr(est, a): v for a, v in gbt_params(p).items()}).fit(train)
-                    return tid, ev.evaluate(m.transform(valid))
-
-                try:
-                    with ThreadPoolExecutor(max(1, parallelism)) as pool:
-                        for tid, r2 in pool.map(score, cand):
-                            per_fold[tid].append(r2)
-                finally:
-                    train.unpersist()
-                    valid.unpersist()
-            for tid, vals in per_fold.items():
-                scores[tid].append(sum(vals) / len(vals))
-    finally:
-        feats.unpersist()
-    rows = [(int(tid), {k: str(v) for k, v in p.items()}, float(sum(scores[tid]) / len(scores[tid])))
-            for tid, p in cand]
+                    try:
+                        m = est.copy({getattr(est, a): v for a, v in gbt_params(p).items()}).fit(train)
+                        return tid, ev.evaluate(m.transform(valid))
+                    except Exception as e:  # the other candidates go on
+                        failed[tid] = e
+                        return tid, None
+
+                with ThreadPoolExecutor(max(1, parallelism)) as pool:
+                    for tid, r2 in pool.map(score, cand):
+                        scores[tid].append(r2)
+        finally:
+            feats.unpersist()
+    if cand and len(failed) == len(cand):
+        raise ValidationError("every candidate failed") from next(reversed(failed.values()))
+    rows = [(int(tid), {k: str(v) for k, v in p.items()},
+             None if tid in failed else float(sum(scores[tid]) / len(scores[tid]))) for tid, p in cand]
     table = spark.createDataFrame(rows, StructType([
         StructField("trial_id", LongType()), StructField("params", MapType(StringType(), StringType())),
         StructField("mean_r2", DoubleType())]))
-    best = max(rows, key=lambda r: (r[2], -r[0]))
+    best = max((r for r in rows if r[2] is not None), key=lambda r: (r[2], -r[0]))
     return _typed(best[1]), table
 
 
 TRIAL_SCHEMA = StructType([
     StructField("trial_id", LongType()), StructField("step", LongType()),
     StructField("value", DoubleType()), StructField("state", StringType()),
-    StructField("params", MapType(StringType(), StringType()))])
+    StructField("params", MapType(StringType(), StringType())),
+    StructField("error", StringType())])
 
 
 def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space: Mapping,
@@ -357,9 +367,9 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
                  parallelism: int = 4, kind: str = "gbt") -> DataFrame:
     """M8 (+J6): score candidates by mean RMSE over targets on a hashed hold-out.
 
-    Trials already in ``done`` are skipped (anti join). A failing fit is logged as
-    state FAIL instead of stopping the search. Returns the trial log
-    (trial_id, step, value, state, params); pick the best with ``best_trial``.
+    Trials completed in ``done`` are skipped (anti join). A failing fit is logged as
+    state FAIL with its error instead of stopping the search; if every trial fails, the
+    search raises. Returns the trial log (trial_id, step, value, state, params, error); pick the best with ``best_trial``.
     """
     from ratecraft.operators.joins import remaining_trials
     from ratecraft.operators.metrics import regression_metrics
@@ -371,7 +381,7 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
     todo = [(r["trial_id"], r["params"]) for r in grid.select("trial_id", "params").collect()]
     targets = list(targets)
     _check(df, spec, targets)
-    split = holdout_split(df, keys or df.columns[:1], fraction, seed, col="_is_test")
+    split = holdout_split(df, _split_keys(keys), fraction, seed, col="_is_test")
     # preprocessing does not depend on the candidate: fit it once on the training rows
     # and cache the prepared rows for every candidate's fits
     prep = preprocess_pipeline(split, spec, FEATURES, fit_on=split.where(~F.col("_is_test")))
@@ -387,15 +397,17 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
                 scored = m.setPredictionCol(t + "_pred").transform(scored)
             m = regression_metrics(scored, {t: t + "_pred" for t in targets})
             value = m.agg(F.avg("rmse")).first()[0]
-            return (int(tid), 0, float(value), "COMPLETE", dict(p))
-        except Exception:  # a failed candidate is recorded, the search goes on
-            return (int(tid), 0, None, "FAIL", dict(p))
+            return (int(tid), 0, float(value), "COMPLETE", dict(p), None)
+        except Exception as e:  # a failed candidate is recorded, the search goes on
+            return (int(tid), 0, None, "FAIL", dict(p), f"{type(e).__name__}: {e}"[:2000])
 
     try:
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
             rows = list(pool.map(run, todo))
     finally:
         data.unpersist()
+    if rows and all(r[3] == "FAIL" for r in rows):
+        raise ValidationError(f"every trial failed: {rows[0][5]}")
     return spark.createDataFrame(rows, TRIAL_SCHEMA)
 
 
@@ -534,6 +546,13 @@ class BootstrapEnsemble:
             coefs[t] = out
         return cls(prep, coefs, spec, targets)
 
+    def first_replicates(self, n: int) -> "BootstrapEnsemble":
+        """The ensemble cut to ``n`` replicates; more than were fitted cannot be had."""
+        fitted = min(len(c) for c in self.coefs.values())
+        if not 2 <= n <= fitted:
+            raise ValidationError(f"{n} iterations asked for; the ensemble has {fitted} (2 at least)")
+        return BootstrapEnsemble(self.prep, {t: c[:n] for t, c in self.coefs.items()}, self.spec, self.targets)
+
     def predict_interval(self, df: DataFrame, lo: float = 2.5, hi: float = 97.5) -> DataFrame:
         """Adds ``<t>_pred`` (bootstrap mean), ``<t>_lower_95``, ``<t>_upper_95``.
 

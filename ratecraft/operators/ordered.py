@@ -28,14 +28,9 @@ _AGG = {"max": (F.max, F.greatest), "min": (F.min, F.least)}
 
 
 def _n_parts(df: DataFrame) -> int:
-    """Range partitions for an ordered scan: the configured shuffle partitions, but no
-    more than the input's own partitions (and never fewer than the cores), so tiny
-    inputs do not become hundreds of near-empty tasks and checkpoint files. On a
-    cluster the input has far more splits than that and the setting applies."""
-    spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
-    cores = spark.sparkContext.defaultParallelism
-    return max(1, min(configured, max(df.rdd.getNumPartitions(), cores)))
+    """Range partitions for an ordered scan: the session's shuffle partitions. The plan is not
+    asked for its own, since that would execute its shuffles just to count them."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
 def chunk(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, salt: bool = False,

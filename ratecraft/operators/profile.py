@@ -169,7 +169,8 @@ def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
     Rows with any NULL/NaN in ``cols`` are dropped; the p x p correlation matrix is
     one Spark aggregation; only its p^2 numbers come to the driver to be inverted.
-    A singular matrix gives NULL VIFs. Sorted descending.
+    A constant column and a column that the others determine have a NULL VIF; the others keep
+    theirs (least squares on the remaining columns). Sorted descending.
     """
     cols = list(cols)
     spark = df.sparkSession
@@ -179,21 +180,26 @@ def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                       for i, j in pairs]).first()
     p = len(cols)
     r = np.eye(p)
-    ok = True
+    known = np.eye(p, dtype=bool)
     for i, j in pairs:
         v = row[f"_c{i}_{j}"] if row is not None else None
-        if v is None:
-            ok = False
-            break
-        r[i, j] = r[j, i] = v
+        if v is not None:
+            r[i, j] = r[j, i] = v
+            known[i, j] = known[j, i] = True
+    # a column without a correlation to any other is constant
+    use = [i for i in range(p) if p == 1 or known[i].sum() > 1]
+    m = r[np.ix_(use, use)]
     vifs: list = [None] * p
-    if ok:
-        try:
-            if np.linalg.cond(r) < 1e12:
-                inv = np.linalg.inv(r)
-                vifs = [float(inv[i, i]) for i in range(p)]
-        except np.linalg.LinAlgError:
-            pass
+    if use and np.linalg.cond(m) < 1e12:
+        inv = np.linalg.inv(m)
+        for k, i in enumerate(use):
+            vifs[i] = float(inv[k, k])
+    else:
+        for k, i in enumerate(use):
+            rest = [x for x in range(len(use)) if x != k]
+            beta = np.linalg.lstsq(m[np.ix_(rest, rest)], m[rest, k], rcond=1e-10)[0]
+            left = 1.0 - float(m[rest, k] @ beta)
+            vifs[i] = 1.0 / left if left > 1e-10 else None
     schema = StructType([StructField("feature", StringType()), StructField("vif", DoubleType())])
     out = spark.createDataFrame(list(zip(cols, vifs)), schema)
     return out.orderBy(F.desc_nulls_last("vif"), "feature")

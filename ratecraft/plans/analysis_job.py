@@ -23,6 +23,7 @@ from ratecraft.functions.scalar import truncate_int
 from ratecraft.operators.aggregates import union_all
 from ratecraft.operators.ordered import ordered_scan
 from ratecraft.operators.profile import cross_correlation, missing_summary, profile
+from ratecraft.session import build_session
 from ratecraft.sources.files import scan_parquet
 from ratecraft.sources.sinks import sink_parquet
 
@@ -71,7 +72,7 @@ def main(argv=None) -> None:
     ap.add_argument("--threshold", type=float, default=None)
     ap.add_argument("--output", required=True)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("ratecraft-analysis").getOrCreate()
+    spark = build_session(app_name="ratecraft-analysis")
     df = scan_parquet(spark, a.table)
     for name, out in analyse(df, a.targets.split(","), a.group, threshold=a.threshold).items():
         sink_parquet(out, os.path.join(a.output, name))

@@ -39,6 +39,7 @@ def _round_doubles(df: DataFrame, digits: int = 9, skip: tuple = ()) -> DataFram
 
 def rate_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: rate per 100,000 by (nation, year, priority), return flags as columns."""
+    T.require_sites(spark, sf_dir)
     r = T.rate_long(spark, sf_dir)
     p = A.pivot_mean(r, ["nk", "yr", "pr", "population"], "site", "rate", pivot_values=T.SITES)
     return p.select("nk", "yr", "pr", "population",
@@ -364,9 +365,9 @@ def median_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trials of the grid (all customers) not yet in the log (events users)."""
+    """Trials of the grid (all customers) not yet completed in the log (events users)."""
     grid = T.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("trial_id"))
-    done = T.trial_results(spark, sf_dir).select("trial_id")
+    done = T.trial_results(spark, sf_dir).select("trial_id", "state")
     return remaining_trials(grid, done)
 
 

@@ -12,7 +12,7 @@ survey; each right side is checked to be unique on its keys before its join.
 from __future__ import annotations
 
 import argparse
-import glob
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from ratecraft.functions.columns import normalize_columns, rename, select_existi
 from ratecraft.functions.scalar import prefix, rate_per, recode, to_nullable_int, truncate_int
 from ratecraft.operators.aggregates import pivot_mean
 from ratecraft.operators.joins import left_join
+from ratecraft.session import build_session
 from ratecraft.sources.files import scan_json_records, scan_sectioned_tsv
 from ratecraft.sources.sinks import sink_parquet
 from ratecraft.sources.sqlite import scan_sqlite_table
@@ -56,9 +57,15 @@ def header_schema(spark: SparkSession, path: str, int_columns=COUNT_INT_COLUMNS)
 
 
 def counts_table(spark: SparkSession, paths: list[str]) -> DataFrame:
-    schema = header_schema(spark, paths[0])
-    raw = scan_sectioned_tsv(spark, paths, schema, file_column="age_group")
-    df = normalize_columns(raw)
+    """All count files by column name: files that share a header are one scan, scans with
+    different headers are united by name (a column that one lacks is NULL there)."""
+    by_header: dict = {}
+    for p in paths:
+        schema = header_schema(spark, p)
+        by_header.setdefault(tuple(schema.names), (schema, []))[1].append(p)
+    scans = [normalize_columns(scan_sectioned_tsv(spark, files, schema, file_column="age_group"))
+             for schema, files in by_header.values()]
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
     return (df.withColumn("count", to_nullable_int("count"))
             .withColumn("age_group", recode("age_group", COUNT_AGE_GROUPS)))
 
@@ -91,8 +98,9 @@ def main(argv=None) -> None:
     ap.add_argument("--survey", required=True, help="JSON array of survey records")
     ap.add_argument("--output", required=True)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("ratecraft-model-table").getOrCreate()
-    paths = sorted(glob.glob(a.counts)) or [a.counts]
+    spark = build_session(app_name="ratecraft-model-table")
+    # listed by Spark, so the files may lie in any store it reads; only names are read
+    paths = [r["path"] for r in spark.read.format("binaryFile").load(a.counts).select("path").orderBy("path").collect()]
     sink_parquet(build_model_table(spark, paths, a.db, a.survey), a.output)
 
 

@@ -47,7 +47,7 @@ _POPULATION = """
 
 _RATE_LONG = f"""
   SELECT c.*, p.population,
-         CAST(trunc(CAST(c.cnt AS DOUBLE) * 100000 / p.population) AS BIGINT) AS rate
+         CAST(trunc(CAST(c.cnt AS DOUBLE) / p.population * 100000) AS BIGINT) AS rate
   FROM ({_COUNTS}) c LEFT JOIN ({_POPULATION}) p
     ON c.nk IS NOT DISTINCT FROM p.nk AND c.yr IS NOT DISTINCT FROM p.yr"""
 
@@ -468,9 +468,9 @@ SELECT t.trial_id, CAST(f.pruned_step AS BIGINT) AS pruned_step
 FROM (SELECT DISTINCT trial_id FROM m) t LEFT JOIN f ON t.trial_id = f.trial_id
 """
 
-RESUME = """
+RESUME = f"""
 SELECT c_custkey AS trial_id FROM customer
-ANTI JOIN (SELECT DISTINCT user_id FROM events) e ON c_custkey = e.user_id
+ANTI JOIN (SELECT trial_id FROM ({_TRIAL_RESULTS}) t WHERE state = 'COMPLETE') e ON c_custkey = e.trial_id
 """
 
 

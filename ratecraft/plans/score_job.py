@@ -14,11 +14,12 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecraft.errors import AssetLoadError
+from ratecraft.errors import AssetLoadError, ValidationError
 from ratecraft.operators.checks import require_columns, require_rows
 from ratecraft.operators.models import BootstrapEnsemble, MultiTargetModel
 from ratecraft.sources.files import scan_parquet
 from ratecraft.sources.sinks import sink_csv
+from ratecraft.session import build_session
 
 
 def score(spark: SparkSession, input_path: str, model_path: str,
@@ -26,7 +27,7 @@ def score(spark: SparkSession, input_path: str, model_path: str,
     df = scan_parquet(spark, input_path)
     if iterations:
         ens_path = os.path.join(model_path, "ensemble")
-        ens = BootstrapEnsemble.load(ens_path)
+        ens = BootstrapEnsemble.load(ens_path).first_replicates(iterations)
         require_columns(df, ens.spec)
         require_rows(df)
         return ens.predict_interval(df)
@@ -48,10 +49,10 @@ def main(argv=None) -> None:
     ap.add_argument("--model", required=True)
     ap.add_argument("--iterations", type=int, default=None)
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("ratecraft-score").getOrCreate()
+    spark = build_session(app_name="ratecraft-score")
     try:
         score_job(spark, a.input, a.output, a.model, a.iterations)
-    except AssetLoadError as e:
+    except (AssetLoadError, ValidationError) as e:
         raise SystemExit(str(e))
 
 

@@ -27,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return scan_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def require_sites(spark: SparkSession, sf_dir: str) -> None:
+    """The pivot has a column per known flag: a flag outside the list must not vanish silently."""
+    flag = F.col("l_returnflag")
+    other = table(spark, sf_dir, "lineitem").where(flag.isNotNull() & ~flag.isin(*SITES)).select(flag).limit(1).collect()
+    if other:
+        raise ValueError(f"return flag {other[0][0]!r} is not among the pivot levels {SITES}")
+
+
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders joined to their customer's nation; one row per order."""
     o = table(spark, sf_dir, "orders").select(
