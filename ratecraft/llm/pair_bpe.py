@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_WORDS = 400_000
-CHUNK_BYTES = 8 << 20  # text taken into one index
+CACHE_WORDS = 300_000
+CHUNK_BYTES = 4 << 20  # text taken into one index
 
 # Fixed value: the pre-token pattern of this family of byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
