@@ -39,6 +39,7 @@ from ratecraft.llm.common import materialise
 
 MAX_LABELLED, MAX_WORDS, MIN_SCORE = 20_000, 256, 5.0
 MAX_SHIFT, BROADCAST_SITES = 2.0, 200_000
+BROADCAST_REJECTED = 1_000_000  # rows of two numbers each
 LETTERS = re.compile(r"[^\W\d_]+").findall
 STEM = 4  # letters of a word beginning
 WORD_SPLIT = r"[^\p{L}]+"
@@ -231,7 +232,9 @@ def judge(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The rows of ``docs`` that are kept."""
-    gone = judge(docs, labels, max_labelled).where(~F.col("kept")) \
-        .select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct()
+    gone = materialise(judge(docs, labels, max_labelled).where(~F.col("kept"))
+                       .select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "rejected")
+    if gone.count() <= BROADCAST_REJECTED:  # then the texts are not shuffled
+        gone = F.broadcast(gone)
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__hash"))
     return docs.join(gone, same, "left_anti")
