@@ -27,3 +27,7 @@ class AssetLoadError(RatecraftError):
 
 class UnknownCategoryError(RatecraftError):
     """A strict encoder met a level it was not fitted on."""
+
+
+class CheckpointFolderError(RatecraftError):
+    """A cluster session names no shared folder for checkpoints."""

@@ -184,10 +184,15 @@ def dummies(df: DataFrame, col: str, levels: Sequence[str], drop_first: bool = T
                            for n, v in zip(names, lv)})
 
 
-def fit_levels(df: DataFrame, col: str, max_levels: int = 10_000) -> list:
-    """Distinct levels of one column, for column-per-level outputs (bounded, checked)."""
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(vals) > max_levels:
+def fit_levels(df: DataFrame, col: str, max_levels: int | None = None) -> list:
+    """Distinct levels of one column, for column-per-level outputs.
+
+    Each level becomes a column of the schema, so there are as many as a schema holds;
+    ``max_levels`` makes more of them an error.
+    """
+    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
+    vals = (vals if max_levels is None else vals.limit(max_levels + 1)).collect()
+    if max_levels is not None and len(vals) > max_levels:
         raise ValidationError(f"{col} has more than {max_levels} levels")
     return sorted(r[0] for r in vals)
 

@@ -27,8 +27,3 @@ def regression_metrics(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
                         (F.lit(1.0) - F.try_divide(F.col(f"mse{i}"), F.col(f"v{i}"))).alias("r2"))
                for t, i in items]
     return one.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
-
-
-def mean_rmse(metrics: DataFrame) -> DataFrame:
-    """Mean RMSE over targets (the search objective)."""
-    return metrics.agg(F.avg("rmse").alias("mean_rmse"))

@@ -622,8 +622,3 @@ def predict_interval(df: DataFrame, train: DataFrame, spec: FeatureSpec, targets
         return fit_multi_target(train, spec, targets, params, kind="linear").predict(df)
     ens = BootstrapEnsemble.fit(train, spec, targets, keys, iterations, params, seed)
     return ens.predict_interval(df)
-
-
-def hash_fraction(keys: Sequence[str], seed: int) -> F.Column:
-    """Hash bucket as a fraction in [0, 1)."""
-    return hash_bucket(keys, seed) / F.lit(10000.0)

@@ -12,6 +12,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratecraft.errors import CheckpointFolderError
+
 # Settings every job here relies on. AQE re-plans joins from runtime sizes
 # (this is what checks the size of a derived lookup before broadcasting it),
 # coalesces small shuffle partitions and splits skewed join partitions.
@@ -52,7 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Order: the SparkContext's folder if already set; else ``spark.checkpoint.dir``
     from the session conf (the shared folder a cluster names); else, only when
-    nothing is configured (local tests), a fresh temporary folder.
+    nothing is configured on a local master (tests), a fresh temporary folder.
+    On a cluster a machine's own folder would lose data, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or \
         spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise CheckpointFolderError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="ratecraft-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -26,8 +26,11 @@ def _affinity(declared: str) -> str:
         return "string"
     if any(k in d for k in ("REAL", "FLOA", "DOUB")):
         return "double"
-    if d == "" or "BLOB" in d:
+    # dates, times and flags have numeric affinity by SQLite's rule, but are stored as text or 0/1
+    if d == "" or "BLOB" in d or "DATE" in d or "TIME" in d:
         return "string"
+    if "BOOL" in d:
+        return "bigint"
     return "double"
 
 

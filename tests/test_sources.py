@@ -5,11 +5,12 @@ import sqlite3
 import pytest
 from pyspark.sql import functions as F
 
-from ratecraft.errors import AssetLoadError, EmptyFrameError, MissingColumnsError, ValidationError
+from ratecraft.errors import AssetLoadError, CheckpointFolderError, EmptyFrameError, MissingColumnsError, ValidationError
 from ratecraft.operators.checks import require_columns, require_rows, validate_frame
 from ratecraft.operators.features import FeatureSpec
 from ratecraft.operators.models import fit_multi_target, read_run_metadata, write_run_metadata
 from ratecraft.plans.score_job import score, score_job
+from ratecraft.session import ensure_checkpoint_dir
 from ratecraft.sources.files import scan_json_records, scan_sectioned_tsv
 from ratecraft.sources.sinks import sink_csv, sink_parquet
 from ratecraft.sources.sqlite import scan_sqlite_table
@@ -42,6 +43,39 @@ def test_sectioned_tsv_and_filename(spark, tmpdir_path, whole_file):
     assert rows[1]["Count"] == "Suppressed" and rows[2]["age_group"] == "agegte65"
 
 
+def test_sqlite_dates_and_flags(spark, tmpdir_path):
+    db = os.path.join(tmpdir_path, "typed.db")
+    con = sqlite3.connect(db)
+    con.execute("CREATE TABLE t (d DATE, ts TIMESTAMP, ok BOOLEAN, x NUMERIC)")
+    con.execute("INSERT INTO t VALUES ('2001-02-03', '2001-02-03 04:05:06', 1, 2.5), (NULL, NULL, NULL, NULL)")
+    con.commit()
+    con.close()
+    rows = scan_sqlite_table(spark, db, "t").orderBy(F.col("ok").asc_nulls_last()).collect()
+    assert tuple(rows[0]) == ("2001-02-03", "2001-02-03 04:05:06", 1, 2.5)
+    assert tuple(rows[1]) == (None, None, None, None)
+
+
+def test_local_checkpoint_folder_is_refused_on_a_cluster():
+    class Conf:
+        def get(self, name, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(CheckpointFolderError):
+        ensure_checkpoint_dir(Session())
+
+
 def test_json_records(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "survey.json")
     with open(p, "w") as f:
