@@ -12,8 +12,10 @@ question asked again with other numbers or names is caught, and a text that mere
 sentence pattern with values that change from place to place is not.
 
 Benchmark windows are broadcast up to ``BROADCAST_WINDOWS`` (their count is measured); beyond it the
-join shuffles. Windows of a document are distinct before the join. Only candidates are read a
-second time. Windows of placeholders alone carry no template and are not windows.
+join shuffles. Before the join a bitmap of the benchmark's hashes, 2 to the ``FILTER_BITS`` bits at any
+size of the benchmark, takes out document windows that cannot meet any (the join decides on the rest),
+and what is left is made distinct. Only candidates are read a second time. Windows of placeholders
+alone carry no template and are not windows.
 
 Defined cases: null and empty texts have no windows; a text of fewer words than a window is one
 window (of its own length); an item without a window matches nothing. Rows with one document id are
@@ -35,6 +37,7 @@ from ratecraft.llm.common import materialise
 
 WIDTH, MIN_SHARE = 5, 0.8  # five words, a share of 0.8
 BROADCAST_WINDOWS = 500_000  # 16 bytes each
+FILTER_BITS = 24  # 2 MB as a bitmap
 CACHE_WORDS = 400_000
 # Unit words that become <unit> after a number.
 UNITS = frozenset("""mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons ounce ounces pound
@@ -135,12 +138,16 @@ def _hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode(), 7)
 
 
-def _window_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _window_batches(batches: Iterable[pa.RecordBatch], width: int, bitmap: bytes | None) -> Iterator[pa.RecordBatch]:
     template = Template()
+    wanted = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
     for batch in batches:
         lists = []
         for text in batch.column(1):
-            windows = np.unique(template.windows(text.as_py() or "", width)[0])
+            windows = template.windows(text.as_py() or "", width)[0]
+            if wanted is not None:
+                windows = windows[wanted[windows.view(np.uint64) >> np.uint64(64 - FILTER_BITS)]]
+            windows = np.unique(windows)
             lists.append(windows[windows != 0])
         ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
         values = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64), pa.int64())
@@ -148,11 +155,21 @@ def _window_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[p
                                          names=["id", "windows", *batch.schema.names[2:]])
 
 
-def windows(texts: DataFrame, width: int, id_column: str, text: str = "text") -> DataFrame:
-    """id, text_hash, window: each distinct template window of each row."""
+def window_bitmap(found: DataFrame) -> bytes:
+    """A bit for every leading ``FILTER_BITS`` bits of a hash: set if ``found.window`` has it."""
+    place = F.shiftrightunsigned("window", 64 - FILTER_BITS) + 1
+    parts = found.groupBy(F.bitmap_bucket_number(place).alias("part")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()  # 512 parts of 4 kB at most
+    held = {r["part"]: bytes(r["bits"]) for r in parts}
+    return b"".join(held.get(k, bytes(4096)) for k in range(1, (1 << FILTER_BITS) // 32768 + 1))
+
+
+def windows(texts: DataFrame, width: int, id_column: str, text: str = "text", bitmap: bytes | None = None) -> DataFrame:
+    """id, text_hash, window: each distinct template window of each row (that ``bitmap`` may hold)."""
+    wanted = texts.sparkSession.sparkContext.broadcast(bitmap)
     slim = texts.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                         F.xxhash64(text).alias("text_hash"))
-    return slim.mapInArrow(lambda it: _window_batches(it, width), "id long, windows array<long>, text_hash long") \
+    return slim.mapInArrow(lambda it: _window_batches(it, width, wanted.value), "id long, windows array<long>, text_hash long") \
         .select("id", "text_hash", F.explode("windows").alias("window"))
 
 
@@ -214,7 +231,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
     sizes = iw.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
     iw = iw.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_WINDOWS else sizes, "item")
     few = iw.count() <= BROADCAST_WINDOWS
-    dw = windows(docs, width, doc_id, text)
+    dw = windows(docs, width, doc_id, text, window_bitmap(iw))
     hits = dw.join(F.broadcast(iw) if few else iw, "window").groupBy("id", "text_hash", "item").agg(
         F.count(F.lit(1)).alias("found"), F.max("item_windows").alias("item_windows"))
     hits = materialise(hits.where(F.col("found") >= F.lit(min_share) * F.col("item_windows")), "candidates")

@@ -324,3 +324,17 @@ def test_rules_equal_the_longest_fit(spark):
     assert got == collections.Counter(judge(i, u) for i, u in urls)
     empty = spark.createDataFrame([], "page_id long, url string")
     assert url_rules.judge_urls(empty, url_rules.rules_frame(spark, URL_RULES)).count() == 0
+
+
+def test_window_bitmap_holds_every_window_of_the_benchmark(spark):
+    import numpy as np
+    hashes = [-(1 << 63), -1, 0, 1, (1 << 63) - 1, 1 << 40, -(1 << 40), 123456789 << 30]
+    bitmap = decontaminate.window_bitmap(spark.createDataFrame([(h,) for h in hashes], "window long"))
+    assert len(bitmap) * 8 == 1 << decontaminate.FILTER_BITS
+    held = np.flatnonzero(np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little"))
+    assert held.tolist() == sorted({(h % (1 << 64)) >> (64 - decontaminate.FILTER_BITS) for h in hashes})
+    texts = spark.createDataFrame([(1, "Tom buys 3 apples for 4 euros on Monday."), (2, "one two three four five six")], "doc_id long, text string")
+    every = {tuple(r) for r in decontaminate.windows(texts, 5, "doc_id").collect()}
+    first = decontaminate.windows(texts.where("doc_id = 1"), 5, "doc_id")
+    among = {tuple(r) for r in decontaminate.windows(texts, 5, "doc_id", bitmap=decontaminate.window_bitmap(first)).collect()}
+    assert among == {r for r in every if r[0] == 1}
