@@ -26,6 +26,7 @@ Repeated items are items each. Other columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ from ratecraft.llm.common import materialise
 
 WIDTH, MIN_SHARE = 5, 0.8  # five words, a share of 0.8
 BROADCAST_WINDOWS = 500_000  # 16 bytes each
-FILTER_BITS = 24  # 2 MB as a bitmap
+FILTER_BITS = 22  # 512 kB as a bitmap, 4 MB unpacked in a task
 CACHE_WORDS = 400_000
 # Unit words that become <unit> after a number.
 UNITS = frozenset("""mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons ounce ounces pound
@@ -51,6 +52,8 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 BREAK = "\x00"  # stands for a line break among the words
 WORD, NUMBER, UNIT_WORD, CAPITALISED, NOTHING, LINE_END = range(6)
+CLASS, ENDS = 7, 8
+SEED = 7
 
 
 class Template(dict):
@@ -60,31 +63,32 @@ class Template(dict):
     """
 
     def __init__(self):
+        import xxhash
         super().__init__()
-        self.hash, self.cls, self.ends = np.zeros(1024, np.uint64), np.zeros(1024, np.int8), np.zeros(1024, bool)
+        self.hash, self.code = array("Q"), array("B")  # code: class, and ENDS if it ends a sentence
         self.cores: list[str] = []
-        self.placeholders = np.array([0, *(_hash(p) for p in (NUM, UNIT, NAME))], np.uint64)
+        self.digest = xxhash.xxh64_intdigest
+        self.placeholders = np.array([0, *(self.digest(p, SEED) for p in (NUM, UNIT, NAME))], np.uint64)
 
     def __missing__(self, word: str) -> int:
-        n = len(self.cores)
-        if n == len(self.cls):
-            self.hash, self.cls, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.hash, self.cls, self.ends))
-        core = word.strip(STRIP)
-        if word == BREAK:
-            cls, ends = LINE_END, True
-        else:
-            ends = word.rstrip("\"')]”’»")[-1:] in (".", "!", "?", ":")
-            if not core:
-                cls = NOTHING
-            elif IS_NUMBER(core):
-                cls = NUMBER
-            elif core.lower() in UNITS:
-                cls = UNIT_WORD
+        n, core, code = len(self.cores), word, WORD
+        if not word.isalpha():  # else there is nothing to strip and no number
+            if word == BREAK:
+                code = LINE_END | ENDS
             else:
-                cls = CAPITALISED if core[0].isupper() and core[1:].islower() else WORD
-        core = core.casefold()
-        self.hash[n], self.cls[n], self.ends[n] = _hash(core), cls, ends
-        self.cores.append(core)
+                core = word.strip(STRIP)
+                code = NOTHING if not core else NUMBER if IS_NUMBER(core) else WORD
+                if word.rstrip("\"')]”’»")[-1:] in (".", "!", "?", ":"):
+                    code |= ENDS
+        folded = core.lower() if core.isascii() else core.casefold()
+        if code & CLASS == WORD:
+            if core.lower() in UNITS:
+                code += UNIT_WORD
+            elif core[0].isupper() and core[1:].islower():
+                code += CAPITALISED
+        self.hash.append(self.digest(folded, SEED))
+        self.code.append(code)
+        self.cores.append(folded)
         self[word] = n
         return n
 
@@ -93,13 +97,17 @@ class Template(dict):
         if len(self.cores) > CACHE_WORDS:
             self.clear()
             self.cores.clear()
+            del self.hash[:], self.code[:]
         raw = text.replace("\n", f" {BREAK} ").split()
         numbers = np.fromiter(map(self.__getitem__, raw), np.int64, len(raw))
-        cls = self.cls[numbers]
+        if not raw:
+            return numbers, np.zeros(0, np.int8)
+        code = np.frombuffer(self.code, np.uint8)[numbers]  # no view may outlive this call: the arrays grow
+        cls = code & CLASS
         real = np.flatnonzero(cls < NOTHING)
         if not len(real):
             return real, np.zeros(0, np.int8)
-        ended = np.concatenate([[0], np.cumsum(self.ends[numbers])])[real]
+        ended = np.concatenate([[0], np.cumsum(code >= ENDS)])[real]
         line = np.cumsum(cls == LINE_END)[real]
         numbers, cls = numbers[real], cls[real]
         fresh = np.concatenate([[True], np.diff(ended) > 0])  # a line or a sentence starts here
@@ -115,7 +123,7 @@ class Template(dict):
         numbers, kind = self.scan(text)
         if not len(numbers):
             return np.zeros(0, np.int64), kind, numbers
-        h = np.where(kind > 0, self.placeholders[kind], self.hash[numbers])
+        h = np.where(kind > 0, self.placeholders[kind], np.frombuffer(self.hash, np.uint64)[numbers])
         size = min(width, len(numbers))
         n = len(numbers) - size + 1
         out = np.full(n, size, np.uint64)
@@ -133,11 +141,6 @@ class Template(dict):
         return [(v, NUM, UNIT, NAME)[k] for v, k in zip(values, kind.tolist())], values
 
 
-def _hash(word: str) -> int:
-    import xxhash
-    return xxhash.xxh64_intdigest(word.encode(), 7)
-
-
 def _window_batches(batches: Iterable[pa.RecordBatch], width: int, bitmap: bytes | None) -> Iterator[pa.RecordBatch]:
     template = Template()
     wanted = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
@@ -159,7 +162,7 @@ def window_bitmap(found: DataFrame) -> bytes:
     """A bit for every leading ``FILTER_BITS`` bits of a hash: set if ``found.window`` has it."""
     place = F.shiftrightunsigned("window", 64 - FILTER_BITS) + 1
     parts = found.groupBy(F.bitmap_bucket_number(place).alias("part")) \
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()  # 512 parts of 4 kB at most
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()  # 128 parts of 4 kB at most
     held = {r["part"]: bytes(r["bits"]) for r in parts}
     return b"".join(held.get(k, bytes(4096)) for k in range(1, (1 << FILTER_BITS) // 32768 + 1))
 
