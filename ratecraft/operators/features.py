@@ -207,9 +207,19 @@ def holdout_split(df: DataFrame, keys: Sequence[str], fraction: float = 0.2, see
                   col: str = "is_test") -> DataFrame:
     """flag a repeatable ~``fraction`` of rows as held out (hash of key and seed).
 
-    A pure projection: no shuffle, disjoint and complete by construction.
+    A pure projection: no shuffle, disjoint and complete by construction. Whole buckets of a
+    1/10000 of the rows are held out; of the next one the part that is left of the fraction, by
+    32 more bits of the hash.
     """
-    return df.withColumn(col, hash_bucket(keys, seed) < F.lit(int(round(fraction * 10000))))
+    if not 0 <= fraction <= 1:
+        raise ValidationError("fraction must be between 0 and 1")
+    share = round(fraction * 10000, 6)
+    bucket, rest = hash_bucket(keys, seed), int((share - int(share)) * 2**32)
+    held = bucket < F.lit(int(share))
+    if rest:
+        finer = F.conv(F.substring(hash_key(keys, seed), 9, 8), 16, 10).cast("long")
+        held = held | ((bucket == F.lit(int(share))) & (finer < F.lit(rest)))
+    return df.withColumn(col, held)
 
 
 def kfold_assign(df: DataFrame, keys: Sequence[str], k: int = 3, seed: int = 42,

@@ -72,3 +72,17 @@ def test_preprocess_needs_a_feature(spark):
     df = spark.createDataFrame([(1.0,)], "y double")
     with pytest.raises(ValidationError):
         preprocess_pipeline(df, FeatureSpec())
+
+
+def test_holdout_fraction_below_a_bucket(spark):
+    from pyspark.sql import functions as F
+
+    from ratecraft.operators.features import holdout_split
+    df = spark.range(400_000)
+    share = 0.00004
+    held = holdout_split(df, ["id"], share).where("is_test").count()
+    assert 4 <= held <= 32  # 16 expected
+    wider = holdout_split(df, ["id"], 0.00104).where("is_test")
+    assert 330 <= wider.count() <= 500  # 416 expected
+    whole = holdout_split(df, ["id"], 0.001).where("is_test")
+    assert whole.exceptAll(wider).count() == 0 and wider.agg(F.max("id")).first()[0] is not None
