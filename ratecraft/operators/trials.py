@@ -49,6 +49,10 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
     delta < 0 next-pointers come from a bounded look-ahead of ``patience`` rows
     (``_early_stop_lookahead``). All three are skew-safe: no trial is processed in
     one task.
+
+    NaN losses: no comparison with NaN holds, so a NaN counts as an improvement, and with NaN
+    as the best all later rows do too. A trial that has not stopped before its first NaN
+    never stops, and its best loss is NaN. With ``strict`` NaN is an error: clean it first.
     """
     order = _order_cols(step)
     base = metrics.select(F.col(trial).alias("trial_id"),
@@ -56,6 +60,23 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
                           (-F.col(loss).cast("double")).alias("_score")).where(
         F.col("_score").isNotNull())
     okeys = [f"_o{i}" for i in range(len(order))]
+    if strict:
+        no_nan = F.when(F.isnan("_score"), F.raise_error(F.lit("NaN loss under the strict rule"))).otherwise(F.col("_score"))
+        return _early_stop_rule(base.withColumn("_score", no_nan), okeys, patience, delta, strict)
+    # few trials have a NaN: AQE broadcasts their first ones, and drops the joins when there are none
+    place = F.struct(*okeys)
+    bad = base.where(F.isnan("_score") & F.col("trial_id").isNotNull()).groupBy("trial_id").agg(F.min(place).alias("_first_nan"))
+    sound = base.join(bad, "trial_id", "left").where(F.col("_first_nan").isNull() | (place < F.col("_first_nan"))) \
+        .drop("_first_nan")
+    told = _early_stop_rule(sound, okeys, patience, delta, strict)
+    return told.join(bad, "trial_id", "full_outer").select(
+        "trial_id", "stop_index",
+        F.when(F.col("_first_nan").isNotNull() & F.col("stop_index").isNull(), F.lit(float("nan")))
+        .otherwise(F.col("best_loss")).alias("best_loss"))
+
+
+def _early_stop_rule(base: DataFrame, okeys: list[str], patience: int, delta: float, strict: bool) -> DataFrame:
+    """``early_stop`` of (trial_id, order keys, _score) without NaN."""
     if delta > 0.0:
         return _early_stop_chain(base, okeys, patience, delta, strict)
     if delta < 0.0:

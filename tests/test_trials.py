@@ -101,3 +101,16 @@ def test_median_prune_completed_reference(spark):
     few = done.limit(3)  # fewer than `startup` completed trials: nothing is pruned
     out = median_prune(m, "trial", "step", "loss", min_trials=1, completed=few, startup=5).collect()
     assert all(r["pruned_step"] is None for r in out)
+
+
+def test_early_stop_nan_counts_as_improvement(spark):
+    import math
+    nan = float("nan")
+    rows = []
+    for trial, losses in {1: [3.0, 4.0, 4.0, nan], 2: [3.0, nan, 4.0, 4.0, 4.0], 3: [nan, 1.0, 2.0], 4: [1.0, 2.0, 0.5]}.items():
+        rows += [(trial, i, v) for i, v in enumerate(losses)]
+    df = spark.createDataFrame(rows, "t int, s int, l double")
+    for delta in (0.0, 0.25, -0.25):
+        got = {r.trial_id: (r.stop_index, r.best_loss) for r in early_stop(df, "t", "s", "l", patience=2, delta=delta).collect()}
+        assert got[1] == (2, 3.0) and got[4] == (None, 0.5)
+        assert all(got[t][0] is None and math.isnan(got[t][1]) for t in (2, 3))
