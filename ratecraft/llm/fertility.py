@@ -4,9 +4,10 @@ A public vocabulary with byte fallback cuts every word; per document this gives
 token, the share of byte-fallback tokens and the entropy of the tokens (bits, against the most that
 many tokens could have). Documents outside their language's bands are rejected. The bands come from the
 corpus: per language (per script where the language is unknown) the quartiles of each measure over
-all documents that pass the base rules, widened by ``FENCE`` times their distance. Measures are
-counted in steps, so the quartiles are exact counts over a bounded number of bins, the same in
-whatever order tasks finish.
+all documents that pass the base rules, widened by ``FENCE`` times their distance. Longer texts have
+a smaller entropy share, so its bands are per language and length (half octaves of the token count).
+Measures are counted in steps, so the quartiles are exact counts over a bounded number of bins, the
+same in whatever order tasks finish.
 
 Base rules: too few words, or too many words in repeated three-word windows.
 
@@ -15,7 +16,8 @@ texts are counted by numpy over the words' numbers. One row per row of the input
 
 Defined cases: null and empty texts have no words and fail the base rules. Documents without a language
 are judged with their script's; groups of fewer than ``MIN_GROUP`` documents with the bands of all
-documents; without any such document nothing is rejected beyond the base rules. Repeated rows
+documents. Where a language has fewer documents of a length, the length's band over all languages
+counts, and where these are fewer too, the language's over all lengths. Without any such document nothing is rejected beyond the base rules. Repeated rows
 and ids are judged row by row. Other columns are not read.
 """
 
@@ -25,7 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -33,11 +35,12 @@ from ratecraft.llm.common import materialise
 
 CACHE_WORDS = 400_000
 CHUNK_BYTES = 8 << 20
-FENCE, MIN_GROUP = 4.0, 30
+FENCE, MIN_GROUP = 2.5, 30  # the fence by labelled documents, see the README
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SYMBOLS = b"#*$%&|<>"
 # Measure: (step it is counted in, least width of half a band).
-MEASURES = {"chars_per_token": (0.01, 0.1), "fallback_share": (0.001, 0.02), "entropy_share": (0.002, 0.05)}
+MEASURES = {"chars_per_token": (0.01, 0.1), "fallback_share": (0.001, 0.02), "entropy_share": (0.002, 0.02)}
+BY_LENGTH = ("entropy_share",)
 # First code points of Unicode ranges and the script most of their letters have.
 SCRIPTS = ((0x0, "Latn"), (0x370, "Grek"), (0x400, "Cyrl"), (0x530, "Armn"), (0x590, "Hebr"), (0x600, "Arab"),
            (0x900, "Deva"), (0x980, "Beng"), (0xA00, "Zyyy"), (0xE00, "Thai"), (0xE80, "Zyyy"), (0x1100, "Hang"),
@@ -161,39 +164,58 @@ def features(docs: DataFrame, model_path: str, doc_id: str = "doc_id", lang: str
     return out.withColumn("base_failed", failed).withColumn("grp", F.coalesce("lang", F.concat(F.lit("script "), "script"), F.lit("")))
 
 
+def _length() -> Column:
+    """Half octaves of the number of tokens."""
+    return F.floor(2 * F.log2("n_tokens")).cast("int")
+
+
 def fit_bands(measured: DataFrame) -> DataFrame:
-    """grp, measure, lo, hi over documents that pass the base rules; grp null: all documents."""
-    steps = F.array(*[F.struct(F.lit(m).alias("measure"), F.lit(step).alias("step"), F.lit(least).alias("least"),
-                               F.floor(F.col(m) / step).cast("long").alias("bin")) for m, (step, least) in MEASURES.items()])
+    """grp, measure, len, lo, hi over documents that pass the base rules; grp null: all documents, len
+    null: all lengths."""
+    def step_of(m: str, length: Column) -> Column:
+        step, least = MEASURES[m]
+        return F.named_struct(F.lit("measure"), F.lit(m), F.lit("len"), length, F.lit("step"), F.lit(step), F.lit("least"), F.lit(least),
+                              F.lit("bin"), F.floor(F.col(m) / step).cast("long"))
+
+    steps = F.array(*[step_of(m, F.lit(None).cast("int")) for m in MEASURES], *[step_of(m, _length()) for m in BY_LENGTH])
     long = measured.where(~F.col("base_failed") & F.col("chars_per_token").isNotNull()) \
         .select(F.explode(F.array("grp", F.lit(None).cast("string"))).alias("grp"), steps.alias("s")) \
         .select("grp", F.explode("s").alias("s")).select("grp", "s.*")
-    bins = long.groupBy("grp", "measure", "step", "least", "bin").agg(F.count(F.lit(1)).alias("n"))
-    of = W.partitionBy("grp", "measure")
+    bins = long.groupBy("grp", "measure", "len", "step", "least", "bin").agg(F.count(F.lit(1)).alias("n"))
+    of = W.partitionBy("grp", "measure", "len")
     upto = F.sum("n").over(of.orderBy("bin"))
     ranked = bins.withColumn("upto", upto).withColumn("total", F.sum("n").over(of))
     quartile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), F.col("bin") * F.col("step")))
-    bands = ranked.groupBy("grp", "measure").agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"),
+    bands = ranked.groupBy("grp", "measure", "len").agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"),
                                                  F.max("total").alias("docs"), F.max("least").alias("least"))
+    general = F.col("grp").isNull() & F.col("len").isNull()
     slack = F.greatest(FENCE * (F.col("q3") - F.col("q1")), "least")
-    return bands.where((F.col("docs") >= MIN_GROUP) | F.col("grp").isNull()) \
-        .select("grp", "measure", (F.col("q1") - slack).alias("lo"), (F.col("q3") + slack).alias("hi"))
+    return bands.where((F.col("docs") >= MIN_GROUP) | general) \
+        .select("grp", "measure", "len", (F.col("q1") - slack).alias("lo"), (F.col("q3") + slack).alias("hi"))
 
 
-def judge(docs: DataFrame, model_path: str, doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """The features of every row, and kept: it passes the base rules and lies in all its bands."""
-    measured = materialise(features(docs, model_path, doc_id, lang, text), "fertility")
+def outside_bands(measured: DataFrame) -> DataFrame:
+    """``measured`` and, per measure, out_<measure>: it lies outside its band."""
+    key = F.concat_ws(" ", "measure", F.col("len").cast("string"))
     bands = fit_bands(measured).groupBy("grp").agg(F.map_from_entries(
-        F.collect_list(F.struct("measure", F.struct("lo", "hi")))).alias("band"))
+        F.collect_list(F.struct(key, F.struct("lo", "hi")))).alias("band"))
     # as many rows as languages and scripts, which are few; the plan decides how to join them
     own = bands.where(F.col("grp").isNotNull())
     common = bands.where(F.col("grp").isNull()).select(F.lit(1).alias("one"), F.col("band").alias("all_band"))
     joined = measured.join(own, "grp", "left").withColumn("one", F.lit(1)).join(F.broadcast(common), "one", "left")
-    band = F.coalesce("band", "all_band")
-    inside = F.lit(True)
     for m in MEASURES:
-        limits = F.element_at(band, F.lit(m))
-        inside &= F.coalesce((F.col(m) >= limits["lo"]) & (F.col(m) <= limits["hi"]), F.lit(True))
-    return joined.select("doc_id", "lang", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        keys = [F.concat_ws(" ", F.lit(m), _length().cast("string"))] if m in BY_LENGTH else []
+        limits = F.coalesce(*[F.try_element_at(band, k) for k in (*keys, F.lit(m)) for band in (F.col("band"), F.col("all_band"))])
+        joined = joined.withColumn(f"out_{m}", F.coalesce((F.col(m) < limits["lo"]) | (F.col(m) > limits["hi"]), F.lit(False)))
+    return joined
+
+
+def judge(docs: DataFrame, model_path: str, doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
+    """The features of every row, and kept: it passes the base rules and lies in all its bands."""
+    judged = outside_bands(materialise(features(docs, model_path, doc_id, lang, text), "fertility"))
+    rejected = F.col("base_failed")
+    for m in MEASURES:
+        rejected |= F.col(f"out_{m}")
+    return judged.select("doc_id", "lang", "script", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "n_tokens", "chars_per_token", "fallback_share", "entropy_share", "base_failed",
-                         (~F.col("base_failed") & inside).alias("kept"))
+                         (~rejected).alias("kept"))

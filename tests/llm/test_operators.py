@@ -116,6 +116,22 @@ def test_base_counts_and_bands(spark):
     assert fertility.judge(_docs(spark, ["a"], lang=None).limit(0), PIECE_BPE).count() == 0
 
 
+def test_entropy_is_judged_among_texts_of_its_length(spark):
+    """Entropy falls with the length: a short text of few words lies amid the long ones, not the short ones."""
+    rng = random.Random(5)
+    words = [a + b + c for a in ("ba", "ko", "ri", "tu") for b in ("len", "mas", "dir", "pol") for c in ("ta", "ne", "so", "gu", "vi")]
+    texts = [" ".join(rng.choices(words, k=n)) for n in (54, 1200) for _ in range(60)]
+    few = rng.sample(words, 12)
+    texts.append(" ".join(rng.choices(few, k=54)))
+    judged = fertility.outside_bands(fertility.features(_docs(spark, texts, lang="en"), PIECE_BPE)).collect()
+    few = next(r for r in judged if r.doc_id == 120)
+    assert not few.base_failed and few.out_entropy_share
+    assert few.entropy_share > min(r.entropy_share for r in judged if r.n_words == 1200)
+    assert sum(r.out_entropy_share for r in judged) <= 4
+    kept = {r.doc_id: r.kept for r in fertility.judge(_docs(spark, texts, lang="en"), PIECE_BPE).collect()}
+    assert not kept[120] and sum(kept.values()) > 100
+
+
 def test_repeat_words_agree_beyond_packing():
     rng = np.random.default_rng(3)
     for n in (0, 3, 4, 50, 400):
