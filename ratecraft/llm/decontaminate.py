@@ -5,9 +5,10 @@ unit right after a number <unit>, a capitalised word inside a sentence <name>. E
 ``width`` template words is hashed, and document windows meet benchmark windows in a join on the
 hash. An item whose distinct windows are found in a document to ``min_share`` or more makes a
 candidate; there the placeholders are compared. Windows are aligned by their distance in the two
-texts, the longest alignment first, and an alignment is taken only if its slots agree with those
-taken before: one benchmark value always stands for one document value, and the other way round. The
-document is contaminated if the alignments taken cover ``min_share`` of the item's windows. So a
+texts, the longest alignment first, and a window is taken only if its slots agree with those taken
+before and with most of its alignment: one benchmark value always stands for one document value, and
+one document name or unit for one of the benchmark (different numbers may become equal by chance). The
+document is contaminated if the windows taken are ``min_share`` of the item's. So a
 question asked again with other numbers or names is caught, and a text that merely has the same
 sentence pattern with values that change from place to place is not.
 
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -198,13 +200,26 @@ def aligned_share(doc: str, item: str, width: int, template: Template) -> tuple[
     for shift, starts in sorted(lines.items(), key=lambda x: (-len(x[1]), x[0])):
         if covered.issuperset(int(i_hash[q]) for q in starts):
             continue
-        slots = {q + k for q in starts for k in range(size) if i_words[q + k] in (NUM, UNIT, NAME)}
-        pairs = [(i_words[s], i_values[s], d_values[s + shift]) for s in slots]
-        new_there, new_back = dict(there), dict(back)
-        if all(new_there.setdefault((t, a), b) == b and new_back.setdefault((t, b), a) == a for t, a, b in pairs):
-            there, back = new_there, new_back
-            covered.update(int(i_hash[q]) for q in starts)
-            changed.update(s for s in slots if i_values[s] != d_values[s + shift])
+        slots = {q: [q + k for k in range(size) if i_words[q + k] in (NUM, UNIT, NAME)] for q in starts}
+        pair = {k: ((i_words[k], i_values[k]), d_values[k + shift]) for ks in slots.values() for k in ks}
+        # the values most windows of this alignment agree on, the earliest of equals
+        votes = Counter(pair[k] for q in starts for k in slots[q])
+        stands, taken = dict(there), dict(back)
+        for (a, b), _ in votes.most_common():
+            if a not in stands and (a[0] == NUM or taken.get((a[0], b), a) == a):
+                stands[a] = b
+                if a[0] != NUM:
+                    taken[a[0], b] = a
+        for q in starts:
+            if all(stands.get(pair[k][0]) == pair[k][1] for k in slots[q]):
+                covered.add(int(i_hash[q]))
+                for k in slots[q]:
+                    a, b = pair[k]
+                    there[a] = b
+                    if a[0] != NUM:
+                        back[a[0], b] = a
+                    if i_values[k] != b:
+                        changed.add(k)
     return len(covered) / max(1, len(places)), len(changed)
 
 

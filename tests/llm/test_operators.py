@@ -83,6 +83,20 @@ def test_reparameterised_question_is_found_and_inconsistent_slots_are_not(spark)
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_numbers_may_become_equal_and_a_clash_costs_its_windows_only(spark):
+    boxes = "There are {} boxes with {} pens in each of them and Tom takes 4 pens out"
+    long = "Every day {} trucks bring sand to the yard where men load it on ships that leave for {} ports and bring back " \
+           "coal from the mines in the hills far away across the sea, while {} more wait"
+    docs = _docs(spark, [boxes.format(5, 5), boxes.format(2, 3), long.format(8, 8, 9), boxes.format(7, 3).replace("4", "9")])
+    items = spark.createDataFrame([(1, boxes.format(2, 3)), (2, long.format(6, 6, 6))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, items).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 2), (3, 1)}
+    assert got[0, 1].share == 1 and got[0, 1].changed_slots == 2 and got[1, 1].changed_slots == 0
+    assert 0.8 <= got[2, 2].share < 1 and got[2, 2].changed_slots == 2
+    template = decontaminate.Template()
+    assert decontaminate.aligned_share("they say Tom met Tom on the road to town", "they say Ann met Sue on the road to town", 5, template)[0] < 1
+
+
 # -- 3 --------------------------------------------------------------------------------
 
 def _base(text):
