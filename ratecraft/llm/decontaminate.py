@@ -1,10 +1,12 @@
 """Benchmark decontamination by template canonicalisation (operator 2).
 
 Texts become templates: words are lower-cased and freed of punctuation, a number becomes <num>, a
-unit right after a number <unit>, a capitalised word inside a sentence <name>. Every window of
-``width`` template words is hashed, and document windows meet benchmark windows in a join on the
-hash. An item whose distinct windows are found in a document to ``min_share`` or more makes a
-candidate; there the placeholders are compared. Windows are aligned by their distance in the two
+unit right after a number <unit>, a capitalised word <name> unless it is a function word that opens a
+sentence or a line. Every window of ``width`` words is hashed twice, of template words and of the
+lower-cased words themselves, and document windows meet benchmark windows in a join on the
+hash. An item whose distinct windows of either kind are found in a document to ``min_share`` or more
+makes a candidate. If the literal windows reach the share, the document is contaminated, whatever its
+case; else the placeholders are compared. Windows are aligned by their distance in the two
 texts, the longest alignment first, and a window is taken only if its slots agree with those taken
 before and with most of its alignment: one benchmark value always stands for one document value, and
 one document name or unit for one of the benchmark (different numbers may become equal by chance). The
@@ -46,6 +48,30 @@ CACHE_WORDS = 400_000
 UNITS = frozenset("""mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons ounce ounces pound
 pounds ml l liter liters litre litres s sec second seconds min minute minutes h hour hours day days week weeks month
 months year years cent cents dollar dollars euro euros percent degree degrees mph kmh""".split())
+# Words that open sentences and are no names there (English, German, French, Spanish).
+FUNCTION_WORDS = frozenset("""the an this that these those there here he she it we you they his her its our your their my who whom
+whose what which when where why how if then than and or but nor so yet for as at by from in into of off on onto out over to under
+up with without within about above after again against all also although among any are aren't because been before being below
+between both can can't cannot could did didn't do does doesn't don't during each either every few had has have having is isn't
+just less let let's many may might more most much must neither next no none not now once one only other others per same several
+shall should since some still such through thus today together tomorrow too twice until upon was were while will would yesterday
+if else however therefore suppose assume given find compute calculate determine consider two three four five six seven eight nine ten
+der die das den dem des ein eine einen einem einer eines er sie es wir ihr ihre ihren ihrem ihrer sein seine seinen seinem seiner
+mein meine dein deine unser unsere dieser diese dieses diesen diesem jeder jede jedes jeden alle alles viele wenige mehr weniger wer
+wen wem was wann wo warum wie wieviel welche welcher welches wenn dann als und oder aber doch denn weil dass ob damit nachdem bevor
+während bis seit von vom zu zum zur aus bei beim mit nach in im ins an am ans auf für gegen ohne um unter über vor hinter neben
+zwischen durch ist sind war waren wird werden wurde wurden hat haben hatte hatten kann können soll sollen muss müssen nicht kein
+keine auch nur noch schon hier dort heute morgen gestern jetzt nun so man zwei drei vier fünf sechs sieben acht neun zehn
+le la les un une du de il elle ils elles on nous vous je tu ce cet cette ces son sa ses leur leurs mon ma mes notre nos votre vos qui
+que quoi quand où pourquoi comment combien quel quelle quels quelles si alors et ou mais donc car comme chaque tout tous toute toutes
+plusieurs quelques aucun aucune plus moins dans en sur sous avec sans pour par entre chez vers depuis pendant avant après contre
+est sont était étaient sera seront a ont avait avaient peut peuvent doit ne pas ici là aujourd'hui demain hier puis ensuite deux trois
+quatre cinq sept huit neuf dix
+el los las una unos unas él ella ellos ellas nosotros usted ustedes yo tú este esta estos estas ese esa esos esas aquel su sus mi mis
+nuestro nuestra quien quién qué cuando cuándo donde dónde cómo cuánto cuánta cuántos cuántas cuál cuáles si entonces y o pero pues
+porque como cada todo todos toda todas varios varias algunos algunas ningún ninguna más menos en sobre bajo con sin por para entre
+hacia desde hasta durante antes después contra es son era eran fue fueron será serán está están hay ha han había puede pueden debe no
+aquí allí hoy mañana ayer luego al del lo se dos tres cuatro seis siete ocho nueve diez""".split())
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 IS_NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?$").match
 STRIP = ".,;:!?\"'()[]{}*#&%$|<>…«»“”‘’¿¡-–—_~`"
@@ -53,7 +79,7 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 BREAK = "\x00"  # stands for a line break among the words
-WORD, NUMBER, UNIT_WORD, CAPITALISED, NOTHING, LINE_END = range(6)
+WORD, NUMBER, UNIT_WORD, CAPITALISED, OPENING, NOTHING, LINE_END = range(7)  # OPENING: capitalised function word
 CLASS, ENDS = 7, 8
 SEED = 7
 
@@ -86,8 +112,8 @@ class Template(dict):
         if code & CLASS == WORD:
             if core.lower() in UNITS:
                 code += UNIT_WORD
-            elif core[0].isupper() and core[1:].islower():
-                code += CAPITALISED
+            elif core[0].isupper() and len(core) > 1:
+                code += OPENING if core.lower() in FUNCTION_WORDS else CAPITALISED
         self.hash.append(self.digest(folded, SEED))
         self.code.append(code)
         self.cores.append(folded)
@@ -117,24 +143,22 @@ class Template(dict):
         kind = np.zeros(len(numbers), np.int8)
         kind[cls == NUMBER] = 1
         kind[(cls == UNIT_WORD) & after_number] = 2
-        kind[(cls == CAPITALISED) & ~fresh] = 3
+        kind[(cls == CAPITALISED) | (cls == OPENING) & ~fresh] = 3
         return numbers, kind
 
-    def windows(self, text: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash of each window in order (0: a window of placeholders alone), the words' kinds and numbers."""
+    def windows(self, text: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash of each template window in order (0: placeholders alone), of each literal window, the
+        words' kinds and numbers. Both hashes of a window without a placeholder are the same."""
         numbers, kind = self.scan(text)
         if not len(numbers):
-            return np.zeros(0, np.int64), kind, numbers
-        h = np.where(kind > 0, self.placeholders[kind], np.frombuffer(self.hash, np.uint64)[numbers])
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), kind, numbers
+        plain = np.frombuffer(self.hash, np.uint64)[numbers]
         size = min(width, len(numbers))
-        n = len(numbers) - size + 1
-        out = np.full(n, size, np.uint64)
-        for k in range(size):
-            out = (out ^ h[k:k + n]) * MULTIPLIER
-            out ^= out >> np.uint64(29)
         literal = np.concatenate([[0], np.cumsum(kind == 0)])
-        out[literal[size:] == literal[:-size]] = 0
-        return out.view(np.int64), kind, numbers
+        held = literal[size:] - literal[:-size]
+        out = rolled(np.where(kind > 0, self.placeholders[kind], plain), size)
+        out[held == 0] = 0
+        return out.view(np.int64), rolled(plain, size).view(np.int64), kind, numbers
 
     def words(self, text: str) -> tuple[list[str], list[str]]:
         """(template words, the values they stand for)."""
@@ -143,13 +167,25 @@ class Template(dict):
         return [(v, NUM, UNIT, NAME)[k] for v, k in zip(values, kind.tolist())], values
 
 
-def _window_batches(batches: Iterable[pa.RecordBatch], width: int, bitmap: bytes | None) -> Iterator[pa.RecordBatch]:
+def rolled(h: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every ``size`` neighbours of ``h``."""
+    n = len(h) - size + 1
+    out = np.full(n, size, np.uint64)
+    for k in range(size):
+        out = (out ^ h[k:k + n]) * MULTIPLIER
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def _window_batches(batches: Iterable[pa.RecordBatch], width: int, bitmap: bytes | None, literal: bool | None) -> Iterator[pa.RecordBatch]:
     template = Template()
     wanted = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
     for batch in batches:
         lists = []
         for text in batch.column(1):
-            windows = template.windows(text.as_py() or "", width)[0]
+            templates, literals = template.windows(text.as_py() or "", width)[:2]
+            windows = literals if literal else templates if literal is False else \
+                np.concatenate([templates, literals[literals != templates]])
             if wanted is not None:
                 windows = windows[wanted[windows.view(np.uint64) >> np.uint64(64 - FILTER_BITS)]]
             windows = np.unique(windows)
@@ -169,20 +205,22 @@ def window_bitmap(found: DataFrame) -> bytes:
     return b"".join(held.get(k, bytes(4096)) for k in range(1, (1 << FILTER_BITS) // 32768 + 1))
 
 
-def windows(texts: DataFrame, width: int, id_column: str, text: str = "text", bitmap: bytes | None = None) -> DataFrame:
-    """id, text_hash, window: each distinct template window of each row (that ``bitmap`` may hold)."""
+def windows(texts: DataFrame, width: int, id_column: str, text: str = "text", bitmap: bytes | None = None,
+            literal: bool | None = None) -> DataFrame:
+    """id, text_hash, window: each distinct window of each row (that ``bitmap`` may hold), literal
+    windows or template windows or, if ``literal`` is None, both."""
     wanted = texts.sparkSession.sparkContext.broadcast(bitmap)
     slim = texts.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                         F.xxhash64(text).alias("text_hash"))
-    return slim.mapInArrow(lambda it: _window_batches(it, width, wanted.value), "id long, windows array<long>, text_hash long") \
+    return slim.mapInArrow(lambda it: _window_batches(it, width, wanted.value, literal), "id long, windows array<long>, text_hash long") \
         .select("id", "text_hash", F.explode("windows").alias("window"))
 
 
 def aligned_share(doc: str, item: str, width: int, template: Template) -> tuple[float, int]:
-    """(share of the item's windows that consistent alignments cover, slots with another value)."""
+    """(share of the item's template windows that consistent alignments cover, slots with another value)."""
     i_words, i_values = template.words(item)
     i_hash = template.windows(item, width)[0]
-    d_hash, _, d_numbers = template.windows(doc, width)
+    d_hash, _, _, d_numbers = template.windows(doc, width)
     d_values = [template.cores[n] for n in d_numbers]
     size = min(width, len(i_words))
     places: dict[int, list[int]] = {}
@@ -223,13 +261,21 @@ def aligned_share(doc: str, item: str, width: int, template: Template) -> tuple[
     return len(covered) / max(1, len(places)), len(changed)
 
 
-def _verify_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def literal_share(doc: str, item: str, width: int, template: Template) -> float:
+    """Share of the item's distinct literal windows that the document has."""
+    wanted = np.unique(template.windows(item, width)[1])
+    return float(np.isin(wanted, template.windows(doc, width)[1]).sum()) / max(1, len(wanted))
+
+
+def _verify_batches(batches: Iterable[pa.RecordBatch], width: int, min_share: float) -> Iterator[pa.RecordBatch]:
     template = Template()
     for batch in batches:
         ids, items, shares, slots = [], [], [], []
         for doc_id, text, candidates in zip(*(batch.column(k).to_pylist() for k in range(3))):
             for c in candidates:
                 share, changed = aligned_share(text or "", c["text"] or "", width, template)
+                if share < min_share:
+                    share, changed = literal_share(text or "", c["text"] or "", width, template), 0
                 ids.append(doc_id)
                 items.append(c["item_id"])
                 shares.append(share)
@@ -241,18 +287,22 @@ def _verify_batches(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[p
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share: float = MIN_SHARE,
                  doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """One row per (document, item) found: doc_id, item_id, share, changed_slots (0: word for word)."""
+    """One row per (document, item) found: doc_id, item_id, share, changed_slots (0: word for word).
+
+    A document that has the literal windows only, as in another case, counts as word for word."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text"),
                              F.xxhash64(text).alias("text_hash"))
-    iw = materialise(windows(items, width, "item_id"), "item_windows") \
-        .select(F.struct(F.col("id"), F.col("text_hash")).alias("item"), "window").distinct()
-    sizes = iw.groupBy("item").agg(F.count(F.lit(1)).alias("item_windows"))
-    iw = iw.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_WINDOWS else sizes, "item")
+    both = [windows(items, width, "item_id", literal=x).withColumn("literal", F.lit(x)) for x in (False, True)]
+    iw = materialise(both[0].union(both[1]), "item_windows") \
+        .select(F.struct(F.col("id"), F.col("text_hash")).alias("item"), "window", "literal").distinct()
+    sizes = iw.groupBy("item", "literal").agg(F.count(F.lit(1)).alias("item_windows"))
+    iw = iw.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_WINDOWS else sizes, ["item", "literal"])
     few = iw.count() <= BROADCAST_WINDOWS
     dw = windows(docs, width, doc_id, text, window_bitmap(iw))
-    hits = dw.join(F.broadcast(iw) if few else iw, "window").groupBy("id", "text_hash", "item").agg(
+    hits = dw.join(F.broadcast(iw) if few else iw, "window").groupBy("id", "text_hash", "item", "literal").agg(
         F.count(F.lit(1)).alias("found"), F.max("item_windows").alias("item_windows"))
     hits = materialise(hits.where(F.col("found") >= F.lit(min_share) * F.col("item_windows")), "candidates")
+    hits = hits.select("id", "text_hash", "item").distinct()
     item_texts = items.select(F.struct(F.col("item_id").alias("id"), "text_hash").alias("item"), F.col("text").alias("item_text"))
     listed = hits.join(item_texts.distinct(), "item") \
         .groupBy("id", "text_hash").agg(F.collect_set(F.struct(F.col("item.id").alias("item_id"), F.col("item_text").alias("text"))).alias("items"))
@@ -262,7 +312,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
     listed = listed.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), "items")
     pairs = rows.join(F.broadcast(listed) if few else listed,
                       F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).select("id", "text", "items")
-    found = pairs.mapInArrow(lambda it: _verify_batches(it, width), "doc_id long, item_id long, share double, changed_slots int")
+    found = pairs.mapInArrow(lambda it: _verify_batches(it, width, min_share), "doc_id long, item_id long, share double, changed_slots int")
     return found.where(F.col("share") >= min_share).groupBy("doc_id", "item_id").agg(
         F.max("share").alias("share"), F.min("changed_slots").alias("changed_slots"))
 

@@ -83,6 +83,19 @@ def test_reparameterised_question_is_found_and_inconsistent_slots_are_not(spark)
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_names_that_open_sentences_and_copies_in_another_case_are_found(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more apples. Anna takes 2 of them. How many apples does Tom have left?"
+    other = tom.replace("Tom", "McDonald").replace("Anna", "USA").replace("5", "9").replace("3", "6")
+    ships = "Yesterday Mary Smith and John Brown sailed from Dover to Calais where Peter waited with Paul for the boats of Henry"
+    docs = _docs(spark, [f"Words before. {other} And after.", f"so it is said: {ships.upper()} and more", ships.lower(),
+                         other.replace("McDonald have", "Peter have").replace("McDonald buys", "Henry buys"), "How many apples does Tom have left? Tom has 5."])
+    items = spark.createDataFrame([(1, tom), (2, ships)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.changed_slots for r in decontaminate.contaminated(docs, items).collect()}
+    assert set(got) == {(0, 1), (1, 2), (2, 2)}
+    assert got[0, 1] > 0 and got[1, 2] == got[2, 2] == 0
+    assert "the" in decontaminate.Template().words("It rained. The train left.")[0]  # a function word opens the sentence
+
+
 def test_numbers_may_become_equal_and_a_clash_costs_its_windows_only(spark):
     boxes = "There are {} boxes with {} pens in each of them and Tom takes 4 pens out"
     long = "Every day {} trucks bring sand to the yard where men load it on ships that leave for {} ports and bring back " \
