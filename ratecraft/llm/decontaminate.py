@@ -21,7 +21,8 @@ and what is left is made distinct. Only candidates are read a second time. Windo
 alone carry no template and are not windows.
 
 Defined cases: null and empty texts have no windows; a text of fewer words than a window is one
-window (of its own length); an item without a window matches nothing. Rows with one document id are
+window (of its own length), and such an item is also looked for word for word inside documents, by
+literal windows of the lengths that the benchmark has; an item without a window matches nothing. Rows with one document id are
 separate texts, told apart by a hash of the text; the result names each (document, item) once.
 Repeated items are items each. Other columns are not read.
 """
@@ -177,15 +178,20 @@ def rolled(h: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _window_batches(batches: Iterable[pa.RecordBatch], width: int, bitmap: bytes | None, literal: bool | None) -> Iterator[pa.RecordBatch]:
+def _window_batches(batches: Iterable[pa.RecordBatch], width: int, bitmap: bytes | None, literal: bool | None,
+                    lengths: tuple[int, ...] = ()) -> Iterator[pa.RecordBatch]:
     template = Template()
     wanted = None if bitmap is None else np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").view(bool)
     for batch in batches:
         lists = []
         for text in batch.column(1):
-            templates, literals = template.windows(text.as_py() or "", width)[:2]
+            templates, literals, _, numbers = template.windows(text.as_py() or "", width)
             windows = literals if literal else templates if literal is False else \
                 np.concatenate([templates, literals[literals != templates]])
+            if lengths:
+                plain = np.frombuffer(template.hash, np.uint64)[numbers]
+                windows = np.concatenate([windows, *(rolled(plain, n).view(np.int64) for n in lengths if n < len(plain))])
+                del plain  # the array may grow again
             if wanted is not None:
                 windows = windows[wanted[windows.view(np.uint64) >> np.uint64(64 - FILTER_BITS)]]
             windows = np.unique(windows)
@@ -206,16 +212,29 @@ def window_bitmap(found: DataFrame) -> bytes:
 
 
 def windows(texts: DataFrame, width: int, id_column: str, text: str = "text", bitmap: bytes | None = None,
-            literal: bool | None = None) -> DataFrame:
+            literal: bool | None = None, lengths: tuple[int, ...] = ()) -> DataFrame:
     """id, text_hash, window: each distinct window of each row (that ``bitmap`` may hold), literal
-    windows or template windows or, if ``literal`` is None, both."""
+    windows or template windows or, if ``literal`` is None, both; and literal ones of ``lengths`` words."""
     wanted = texts.sparkSession.sparkContext.broadcast(bitmap)
     slim = texts.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("string").alias("text"),
                         F.xxhash64(text).alias("text_hash"))
-    return slim.mapInArrow(lambda it: _window_batches(it, width, wanted.value, literal), "id long, windows array<long>, text_hash long") \
+    return slim.mapInArrow(lambda it: _window_batches(it, width, wanted.value, literal, lengths), "id long, windows array<long>, text_hash long") \
         .select("id", "text_hash", F.explode("windows").alias("window"))
 
 
+def _length_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    template = Template()
+    for batch in batches:
+        found = sorted({len(template.scan(text.as_py() or "")[0]) for text in batch.column(0)})
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32())], names=["n"])
+
+
+def short_lengths(items: DataFrame, width: int) -> tuple[int, ...]:
+    """The numbers of words below ``width`` that items have."""
+    found = items.select("text").mapInArrow(_length_batches, "n int").where(F.col("n").between(1, width - 1)).distinct()
+    return tuple(sorted(r["n"] for r in found.collect()))  # width - 1 rows at most
+
+
 def aligned_share(doc: str, item: str, width: int, template: Template) -> tuple[float, int]:
     """(share of the item's template windows that consistent alignments cover, slots with another value)."""
     i_words, i_values = template.words(item)
@@ -263,8 +282,9 @@ def aligned_share(doc: str, item: str, width: int, template: Template) -> tuple[
 
 def literal_share(doc: str, item: str, width: int, template: Template) -> float:
     """Share of the item's distinct literal windows that the document has."""
-    wanted = np.unique(template.windows(item, width)[1])
-    return float(np.isin(wanted, template.windows(doc, width)[1]).sum()) / max(1, len(wanted))
+    _, wanted, _, words = template.windows(item, width)
+    wanted = np.unique(wanted)
+    return float(np.isin(wanted, template.windows(doc, min(width, max(1, len(words))))[1]).sum()) / max(1, len(wanted))
 
 
 def _verify_batches(batches: Iterable[pa.RecordBatch], width: int, min_share: float) -> Iterator[pa.RecordBatch]:
@@ -298,7 +318,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
     sizes = iw.groupBy("item", "literal").agg(F.count(F.lit(1)).alias("item_windows"))
     iw = iw.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_WINDOWS else sizes, ["item", "literal"])
     few = iw.count() <= BROADCAST_WINDOWS
-    dw = windows(docs, width, doc_id, text, window_bitmap(iw))
+    dw = windows(docs, width, doc_id, text, window_bitmap(iw), lengths=short_lengths(items, width))
     hits = dw.join(F.broadcast(iw) if few else iw, "window").groupBy("id", "text_hash", "item", "literal").agg(
         F.count(F.lit(1)).alias("found"), F.max("item_windows").alias("item_windows"))
     hits = materialise(hits.where(F.col("found") >= F.lit(min_share) * F.col("item_windows")), "candidates")

@@ -110,6 +110,14 @@ def test_numbers_may_become_equal_and_a_clash_costs_its_windows_only(spark):
     assert decontaminate.aligned_share("they say Tom met Tom on the road to town", "they say Ann met Sue on the road to town", 5, template)[0] < 1
 
 
+def test_short_items_are_found_inside_documents(spark):
+    docs = _docs(spark, ["They ask: What is 17 * 24? Nobody knew.", "What is 17 * 25?", "what is 17", "7 8 9 10 11 12", "7 8 9 10 11 13", "so it is"])
+    items = spark.createDataFrame([(1, "What is 17 * 24?"), (2, "7 8 9 10 11 12"), (3, "")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    assert {(0, 1), (3, 2)} <= got and not {d for d, _ in got} & {2, 4, 5}
+    assert decontaminate.short_lengths(items, 5) == (4,)
+
+
 # -- 3 --------------------------------------------------------------------------------
 
 def _base(text):
