@@ -290,19 +290,20 @@ def literal_share(doc: str, item: str, width: int, template: Template) -> float:
 def _verify_batches(batches: Iterable[pa.RecordBatch], width: int, min_share: float) -> Iterator[pa.RecordBatch]:
     template = Template()
     for batch in batches:
-        ids, items, shares, slots = [], [], [], []
-        for doc_id, text, candidates in zip(*(batch.column(k).to_pylist() for k in range(3))):
+        ids, hashes, items, shares, slots = [], [], [], [], []
+        for doc_id, text_hash, text, candidates in zip(*(batch.column(k).to_pylist() for k in range(4))):
             for c in candidates:
                 share, changed = aligned_share(text or "", c["text"] or "", width, template)
                 if share < min_share:
                     share, changed = literal_share(text or "", c["text"] or "", width, template), 0
                 ids.append(doc_id)
+                hashes.append(text_hash)
                 items.append(c["item_id"])
                 shares.append(share)
                 slots.append(changed)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(items, pa.int64()), pa.array(shares, pa.float64()), pa.array(slots, pa.int32())],
-            names=["doc_id", "item_id", "share", "changed_slots"])
+            [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(items, pa.int64()), pa.array(shares, pa.float64()), pa.array(slots, pa.int32())],
+            names=["doc_id", "text_hash", "item_id", "share", "changed_slots"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share: float = MIN_SHARE,
@@ -310,6 +311,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
     """One row per (document, item) found: doc_id, item_id, share, changed_slots (0: word for word).
 
     A document that has the literal windows only, as in another case, counts as word for word."""
+    return _found(docs, benchmark, width, min_share, doc_id, item_id, text).groupBy("doc_id", "item_id").agg(
+        F.max("share").alias("share"), F.min("changed_slots").alias("changed_slots"))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share: float = MIN_SHARE,
+           doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """doc_id, text_hash, item_id, share, changed_slots of each row that holds an item."""
     items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text"),
                              F.xxhash64(text).alias("text_hash"))
     both = [windows(items, width, "item_id", literal=x).withColumn("literal", F.lit(x)) for x in (False, True)]
@@ -331,13 +339,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_
     few = listed.count() <= BROADCAST_WINDOWS // 50  # items' texts included, some MB
     listed = listed.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), "items")
     pairs = rows.join(F.broadcast(listed) if few else listed,
-                      F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).select("id", "text", "items")
-    found = pairs.mapInArrow(lambda it: _verify_batches(it, width, min_share), "doc_id long, item_id long, share double, changed_slots int")
-    return found.where(F.col("share") >= min_share).groupBy("doc_id", "item_id").agg(
-        F.max("share").alias("share"), F.min("changed_slots").alias("changed_slots"))
-
-
-def clean_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id is not found to hold a benchmark item."""
-    found = contaminated(docs, benchmark, doc_id=doc_id).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.col(doc_id).eqNullSafe(F.col("__found")), "left_anti")
+                      F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).select("id", "text_hash", "text", "items")
+    found = pairs.mapInArrow(lambda it: _verify_batches(it, width, min_share),
+                             "doc_id long, text_hash long, item_id long, share double, changed_slots int")
+    return found.where(F.col("share") >= min_share)
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not found to hold a benchmark item, told apart by id and text."""
+    found = _found(docs, benchmark, doc_id=doc_id, text=text) \
+        .select(F.col("doc_id").alias("__found"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__found")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__hash"))
+    return docs.join(found, same, "left_anti")

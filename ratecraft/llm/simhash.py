@@ -121,12 +121,20 @@ def near_duplicate_groups(docs: DataFrame, width: int = 4, seed: int = 42,
     return marked.join(groups, "bits").select("doc_id", "bits", "component_id", "n_links")
 
 
-def keep_one_per_group(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+def keep_one_per_group(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                       width: int = 4, seed: int = 42) -> DataFrame:
     """The rows of ``docs`` whose id stands for its group (one row of each id); rows of a group
-    without any id are kept."""
+    without any id are kept. ``width`` and ``seed`` are those of ``groups``."""
     chosen = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(doc_id)).distinct()
     named = docs.join(chosen, doc_id, "left_semi")
     repeated = groups.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().where("count > 1")
     if not repeated.isEmpty():
         named = named.dropDuplicates([doc_id])
-    return named.unionByName(docs.where(F.col(doc_id).isNull()))
+    nameless = docs.where(F.col(doc_id).isNull())
+    if not nameless.isEmpty():  # a text tells these rows' groups
+        text_hash = F.xxhash64(F.col(text).cast("string"))
+        prints = fingerprints(nameless.select(text_hash.alias("__hash"), F.col(text)), width, seed, "__hash", text)
+        led = groups.where(F.col("doc_id").isNull() & F.col("component_id").isNotNull()).select("bits").distinct()
+        gone = prints.join(led, "bits", "left_semi").select(F.col("doc_id").alias("__hash")).distinct()
+        nameless = nameless.join(gone, text_hash == F.col("__hash"), "left_anti")
+    return named.unionByName(nameless)

@@ -118,6 +118,18 @@ def test_short_items_are_found_inside_documents(spark):
     assert decontaminate.short_lengths(items, 5) == (4,)
 
 
+def test_documents_without_an_id_are_told_apart_by_their_text(spark):
+    rows = [(None, f"Before it. {ITEM}"), (None, "a clean text without an id"), (7, "another clean text"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    assert sorted(map(tuple, decontaminate.clean_documents(docs, items).collect()), key=repr) == sorted(rows[1:], key=repr)
+    base = " ".join(f"word{i}" for i in range(400))
+    rows = [(3, base), (None, base.upper()), (None, base), (None, "quite another text here"), (4, "and one more that differs")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = simhash.keep_one_per_group(docs, simhash.near_duplicate_groups(docs)).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([rows[0], rows[3], rows[4]], key=repr)
+
+
 # -- 3 --------------------------------------------------------------------------------
 
 def _base(text):
