@@ -75,4 +75,27 @@ SELECT s.doc_id, CASE WHEN s.text IS NULL THEN NULL ELSE d.text END AS text, coa
 FROM s LEFT JOIN d USING (doc_id)
 """
 
-SQL = {"op1_warc": OP1, "op5_chat_format": OP5, "op9_line_dedup": OP9, "op10_url_filter": OP10}
+OP11 = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+f AS (
+  SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, docs),
+x AS (
+  SELECT f.doc_id, f.term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)) AS x
+  FROM f JOIN d USING (doc_id), s),
+r AS (
+  SELECT item_id, doc_id, CAST(sum(w * x) AS BIGINT) AS score FROM q JOIN w USING (term) JOIN x USING (term)
+  GROUP BY item_id, doc_id HAVING sum(w * x) > 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+SQL = {"op1_warc": OP1, "op5_chat_format": OP5, "op9_line_dedup": OP9, "op10_url_filter": OP10, "op11_ball_search": OP11}

@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecraft.llm import bayes_quality, chat_format, decontaminate, fertility, fst_tokens, line_dedup, pair_bpe, simhash, url_rules, warc
+from ratecraft.llm import (
+    ball_search, bayes_quality, chat_format, chat_repair, decontaminate, fertility, fst_tokens, line_dedup, nnls_packing, pair_bpe, simhash,
+    url_rules, warc,
+)
 from ratecraft.llm.common import TOKENIZER_DIR, scratch_path
 from ratecraft.llm.oracle import SQL as SQL  # registered with the queries
 
@@ -91,6 +94,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("row_id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op11_ball_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = nnls_packing.pack(_table(spark, sf_dir, "documents"), BYTE_BPE)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(chat_repair.damage(_table(spark, sf_dir, "conversations")), names_only="dropped")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontaminate": op2_decontaminate,
@@ -102,4 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_line_dedup": op9_line_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_ball_search": op11_ball_search,
+    "op12_packing": op12_packing,
+    "op13_chat_repair": op13_chat_repair,
 }
