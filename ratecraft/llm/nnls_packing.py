@@ -29,6 +29,7 @@ Only the columns named are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -39,8 +40,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratecraft.llm.pair_bpe import PATTERN, load_vocabulary
+
 SHARD_TOKENS = 8_000_000  # packed together; one longer document is taken whole
-PART_CHARS = 1 << 18      # text given to the tokeniser at once
+PART_CHARS = 1 << 18      # text given to the encoder at once
 DEPTH = 4                 # parts of a combination of two lengths
 KEPT_PER_LENGTH = 4       # combinations of three lengths kept for each length at hand
 STEPS = 300
@@ -192,13 +195,43 @@ def pack_lengths(sizes: list[int], window: int) -> list[list[tuple[int, int, int
     return sequences
 
 
-def _pack_task(batches: Iterable[pa.RecordBatch], vocabulary: str, window: int, end_id: int,
+class Coder:
+    """text -> ids of a byte-level vocabulary, as the tokenizers library gives them by default.
+
+    ``vocabulary`` is pair_bpe's plain data. Where its ids grow with the merge order, which makes the id of
+    a merged token its rank, and it cuts texts as this family does, tiktoken's encoder finds the same ids several times faster; texts that its
+    pattern matcher gives up on (very long runs of white space) and other vocabularies go to the
+    tokenizers library, made from the file's text ``spec`` when first needed.
+    """
+
+    def __init__(self, vocabulary: dict, spec: str):
+        import tiktoken
+        self.spec, self.library, self.quick = spec, None, None
+        merged, special, rules = [new for *_, new in vocabulary["merges"]], vocabulary["special"], json.loads(spec)
+        cutter = rules.get("pre_tokenizer") or {}
+        same_cuts = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+        if same_cuts and not rules.get("normalizer") and all(a < b for a, b in zip(merged, merged[1:])):
+            ranks = {piece: i for i, piece in enumerate(vocabulary["pieces"]) if i not in special.values()}
+            self.quick = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def __call__(self, text: str) -> np.ndarray:
+        if self.quick is not None:
+            try:
+                return self.quick.encode_to_numpy(text, allowed_special="all")
+            except ValueError:  # the matcher's stack is full
+                pass
+        if self.library is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_str(self.spec)
+            self.library.no_truncation()
+            self.library.no_padding()
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+
+def _pack_task(batches: Iterable[pa.RecordBatch], vocabulary: dict, spec: str, window: int, end_id: int,
                shard_tokens: int) -> Iterator[pa.RecordBatch]:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-    tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    code = Coder(vocabulary, spec)
     next_id = TaskContext.get().partitionId() << 33
     docs: list = []
     ids: list[np.ndarray] = []
@@ -224,27 +257,14 @@ def _pack_task(batches: Iterable[pa.RecordBatch], vocabulary: str, window: int,
         return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), pa.array(pieces, pa.binary())],
                                           names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    def encode(texts: list[str]) -> Iterator[np.ndarray]:
-        for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield np.array(e.ids, "<u4")
-
     end, held = np.array([end_id], "<u4"), 0
     for batch in batches:
-        names, begun = batch.column(0).to_pylist(), 0
-        while begun < len(batch):
-            group, chars, stop = [], 0, begun
-            while stop < len(batch) and (chars < PART_CHARS or stop == begun):
-                text = batch.column(1)[stop].as_py() or ""
-                group.append(text)
-                chars, stop = chars + len(text), stop + 1
-            if chars <= 2 * PART_CHARS:
-                coded = [np.concatenate([x, end]) for x in encode(group)]
-            else:
-                coded = [np.concatenate([*(x for part in text_parts(t) for x in encode([part])), end]) for t in group]
-            docs += names[begun:stop]
-            ids += coded
-            held += sum(map(len, coded))
-            begun = stop
+        names = batch.column(0).to_pylist()
+        for name, text in zip(names, batch.column(1)):
+            coded = np.concatenate([*map(code, text_parts(text.as_py() or "")), end]).astype("<u4")
+            docs.append(name)
+            ids.append(coded)
+            held += len(coded)
             if held >= shard_tokens:
                 yield from packed()
                 docs.clear()
@@ -258,6 +278,6 @@ def pack(docs: DataFrame, vocabulary_path: str, window: int = 2048, end_id: int
     """One row per piece: doc_id, start (the document's ids before it), length, doc_tokens (with the end
     id), sequence_id, offset in the sequence, ids (little-endian unsigned 32-bit)."""
     with open(vocabulary_path, encoding="utf-8") as f:
-        vocabulary = docs.sparkSession.sparkContext.broadcast(f.read())
+        shipped = docs.sparkSession.sparkContext.broadcast((load_vocabulary(vocabulary_path), f.read()))
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
-        .mapInArrow(lambda it: _pack_task(it, vocabulary.value, window, end_id, shard_tokens), PIECES)
+        .mapInArrow(lambda it: _pack_task(it, *shipped.value, window, end_id, shard_tokens), PIECES)
