@@ -1,26 +1,32 @@
 """Token counts by a compiled finite-state transducer (operator 8).
 
-White space always ends a token here, so it puts the tokenizer into one known state whatever came
-before: the transducer's states are that state and the partial pieces (runs without white space)
-read since. It is determinised as the data ask for it, and its paths are compressed: one transition
-per piece, leading back to the known state and annotated with the number of tokens the tokenizer
-emits for the piece. A transition is compiled once per task (normalise, cut into pre-tokens, merge
-by rank) and looked up from then on.
-
-A text is cut into chunks of ``chunk_chars`` at any place. A chunk's state map, for whatever state
-it is entered in, is (head, tokens, tail): the characters before its first white space complete the
-piece that the entry state holds, the tokens between are counted, and the characters after its last
-white space are the state it leaves in; a chunk without white space only adds to the state. Maps
-compose associatively. Spark composes them by a prefix scan over each text's chunks: a running
-count of the chunks with white space tells which heads and tails form one piece, and the pieces so
-joined pass through the same transducer. A text's count is the sum of all parts.
-
-Chunks of one text go to different tasks (they are rows); the table of transitions is emptied
-beyond ``CACHE_PIECES``. Memory is bounded by these, by the Arrow batch and by the longest piece.
+The transducer reads the bytes of a pre-token. After some bytes its state is all that the rest can depend on:
+
+* the longest suffix read that begins a vocabulary entry, and
+* for each place in that suffix, and its start, the last token of the encoding up to there and how many tokens that
+  encoding has more or less than the present one.
+
+That suffices because every prefix of a rank-merged encoding is the encoding of its own text, and a list of
+tokens is an encoding if each two neighbours are: reading a byte, the new last token is the one entry
+that ends there and may stand beside the last token before it (``may_follow`` undoes merges at
+the border, latest first). A transition is annotated with the change in the number of tokens; a word's last byte,
+which carries the end-of-word mark, leads back to the start. States are of bounded size and made when first
+reached (the full table would be large); a transition is compiled once and looked up from then on. Paths from start to
+start over whole words and over whole pieces without white space are compressed to one
+transition. All tables are emptied beyond a bound in bytes.
+
+Texts longer than ``chunk_chars`` are cut into chunks that go to different tasks, also within a word: at white space, beside
+digits, or between two letters or two marks of one run, where normalising and pre-tokenising cannot reach across. A chunk's state
+map takes the state it is entered in to tokens and the state it leaves in; a chunk that holds the
+end of the entered word maps all states to one. Maps are first made for the state that the
+text just before the chunk suggests, and a prefix scan composes them. Where the scan meets a state that the
+next chunk has no map for, that state is asked of it, as is every state its
+predecessor is known to leave in, all chunks at once, until none is missing.
 
 Defined cases: a null or empty text has no tokens. The vocabulary's special strings count one token
 each and part the text around them, as in the tokenizers library's default. Repeated rows are counted
-each (rows are told apart by a number given when the chunks are written). Other columns are not read.
+each. A stretch without a place to cut (runs of combining marks or apostrophes) stays in one chunk. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -30,177 +36,452 @@ import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecraft.llm.common import materialise
 from ratecraft.llm.pair_bpe import byte_symbols
 
-CACHE_PIECES = 500_000
+TABLE_BYTES = 48 << 20  # of each table of a task
+LONG_WORD = 256         # longer words and pieces are read, not remembered
+GUESS_CHARS = 64        # read before a chunk to guess the state it is entered in
 # Fixed value: white space as the tokenizer's patterns have it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+START = ("", ((-1, 0),))
+
 
 def load_vocabulary(path: str) -> dict:
+    """Plain data: tokens are numbered; ``plain`` and ``ending`` give the number of a byte string without and with
+    the end-of-word mark, ``made`` the merge (rank, left, right) that makes a token."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    end, byte_of = spec["model"]["end_of_word_suffix"] or "", {c: b for b, c in enumerate(byte_symbols())}
+    names = list(spec["model"]["vocab"])
+    number = {t: i for i, t in enumerate(names)}
     pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
-    return {"ranks": {p: r for r, p in enumerate(pairs)}, "vocab": set(spec["model"]["vocab"]),
-            "end": spec["model"]["end_of_word_suffix"] or "",
+    made, ranks = [(-1, -1, -1)] * len(names), {}
+    for rank, (a, b) in enumerate(pairs):
+        new = number[a + b]
+        if new in (number[a], number[b]) or made[new][0] >= 0:
+            raise ValueError(f"two merges make {a + b!r}; the transducer needs one for each entry")
+        made[new], ranks[number[a] << 20 | number[b]] = (rank, number[a], number[b]), rank
+    plain, ending = {}, {}
+    for name, i in number.items():
+        ends = bool(end) and name.endswith(end)
+        text = name[:-len(end)] if ends else name
+        if all(c in byte_of for c in text):
+            (ending if ends else plain)["".join(chr(byte_of[c]) for c in text)] = i
+    if not end:
+        ending = plain
+    if any(chr(b) not in table for b in range(256) for table in (plain, ending)):
+        raise ValueError("the vocabulary lacks a byte")
+    begins = {t[:k] for table in (plain, ending) for t in table for k in range(len(t))}
+    return {"plain": plain, "ending": ending, "made": made, "ranks": ranks, "begins": begins,
             "special": [t["content"] for t in spec.get("added_tokens", [])]}
 
 
-class Transducer(dict):
-    """piece -> tokens emitted on it; a transition is compiled when it is first taken."""
+class Transducer:
+    """States, compiled transitions and the counts of words and pieces."""
 
     def __init__(self, vocabulary: dict):
         import regex
-        super().__init__()
-        self.ranks, self.vocab, self.end = vocabulary["ranks"], vocabulary["vocab"], vocabulary["end"]
-        special = vocabulary["special"]
-        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.find, self.symbols, self.words = regex.compile(PATTERN).findall, byte_symbols(), {}
+        self.plain, self.ending, self.begins = vocabulary["plain"], vocabulary["ending"], vocabulary["begins"]
+        self.made, self.ranks = vocabulary["made"], vocabulary["ranks"]
+        self.special = re.compile("(" + "|".join(map(re.escape, vocabulary["special"])) + ")") if vocabulary["special"] else None
+        self.find = regex.compile(PATTERN).findall
         self.ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII).findall
         self.cut = re.compile(f"[{SPACE}]+").split
+        self.sound: dict[int, bool] = {}
+        self.beside: dict[int, bool] = {}
+        self.pieces: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        self.word_bytes = self.state_bytes = 0
+        self._no_states()
 
-    def __missing__(self, piece: str) -> int:
-        emitted = 0
-        parts = self.special.split(piece) if self.special and "<|" in piece else [piece]
-        for k, part in enumerate(parts):
-            if k % 2:
-                emitted += 1
-            elif part:
-                if part.isascii():
-                    words = self.ascii(part.lower())
-                else:
-                    words = self.find(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
-                for word in words:
-                    if word not in self.words:
-                        self.words[word] = self.merged(word)
-                    emitted += self.words[word]
-        self[piece] = emitted
-        return emitted
-
-    def merged(self, word: str) -> int:
-        """Tokens of a pre-token after all merges; a symbol that is in no vocabulary entry emits none."""
-        parts = [self.symbols[b] for b in word.encode()]
-        parts[-1] += self.end
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best = min(ranks.get(p, none) for p in zip(parts, parts[1:]))
-            if best == none:
-                break
-            out, k = [], 0
-            while k < len(parts):
-                if k + 1 < len(parts) and ranks.get((parts[k], parts[k + 1])) == best:
-                    out.append(parts[k] + parts[k + 1])
-                    k += 2
-                else:
-                    out.append(parts[k])
-                    k += 1
-            parts = out
-        return sum(p in self.vocab for p in parts)
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of a text; the first and the last are the open ends, maybe empty."""
-        return self.cut(text)
+    # -- states and transitions ---------------------------------------------------------
+
+    def _no_states(self) -> None:
+        self.states, self.number = [START], {START: 0}
+        self.moves: list[dict] = [{}]
+        self.ends: list[dict] = [{}]
+        self.state_bytes = 0
+
+    def enter(self, state: tuple) -> int:
+        """The number of a state, made if it is new."""
+        if state not in self.number:
+            self.number[state] = len(self.states)
+            self.states.append(state)
+            self.moves.append({})
+            self.ends.append({})
+            self.state_bytes += 600 + 150 * len(state[1])
+        return self.number[state]
+
+    def crosses(self, left: int, right: int, before: float) -> bool:
+        """Would a merge over the border of two tokens be made before rank ``before``? Merges at the
+        border are undone, latest first; of two of equal rank the left one was made first."""
+        made, ranks = self.made, self.ranks
+        while True:
+            if ranks.get(left << 20 | right, before) < before:
+                return True
+            if made[left][0] > made[right][0]:
+                before, left = made[left][0], made[left][2]
+            elif made[right][0] < 0:
+                return False
+            else:
+                before, right = made[right][0] + 1, made[right][1]
+
+    def stands(self, token: int) -> bool:
+        """Is the token the encoding of its own text?"""
+        if token not in self.sound:
+            rank, left, right = self.made[token]
+            self.sound[token] = rank < 0 or self.stands(left) and self.stands(right) and not self.crosses(left, right, rank)
+        return self.sound[token]
+
+    def may_follow(self, left: int, right: int) -> bool:
+        if left < 0:
+            return self.stands(right)
+        key = left << 20 | right
+        if key not in self.beside:
+            self.beside[key] = self.stands(right) and not self.crosses(left, right, float("inf"))
+        return self.beside[key]
+
+    def _last(self, suffix: str, window: tuple, table: dict) -> tuple[int, int]:
+        """(token, tokens more than before) of the encoding that ends with ``suffix``."""
+        for length in range(len(suffix), 0, -1):
+            token = table.get(suffix[-length:])
+            if token is not None and self.may_follow(window[length - 1][0], token):
+                return token, window[length - 1][1] + 1
+        raise AssertionError("no token ends here")
+
+    def compile(self, state: int, byte: str) -> tuple[int, int]:
+        """The transition of a state on a byte within a word: (next state, change in the number of tokens)."""
+        suffix, window = self.states[state]
+        read = suffix + byte
+        token, more = self._last(read, window, self.plain)
+        at = 0
+        while read[at:] not in self.begins:
+            at += 1
+        kept = len(read) - at
+        now = ((token, 0), *((t, n - more) for t, n in window[:kept]))
+        move = self.moves[state][byte] = (self.enter((read[at:], now)), more)
+        return move
+
+    def compile_end(self, state: int, byte: str) -> int:
+        """The change in the number of tokens on a word's last byte."""
+        suffix, window = self.states[state]
+        self.ends[state][byte] = more = self._last(suffix + byte, window, self.ending)[1]
+        return more
+
+    def read(self, state: int, data: str) -> tuple[int, int]:
+        """(state, tokens) after bytes within a word (one character per byte)."""
+        total = 0
+        for at in range(0, len(data), 4096):
+            moves = self.moves
+            for byte in data[at:at + 4096] if len(data) > 4096 else data:
+                state, more = moves[state].get(byte) or self.compile(state, byte)
+                total += more
+            if self.state_bytes > TABLE_BYTES:  # begin a new table with the state reached
+                reached = self.states[state]
+                self._no_states()
+                state = self.enter(reached)
+        return state, total
+
+    def finish(self, state: int, data: str) -> int:
+        """Tokens added by the rest of a word."""
+        state, total = self.read(state, data[:-1])
+        more = self.ends[state].get(data[-1])
+        return total + (self.compile_end(state, data[-1]) if more is None else more)
+
+    # -- words, pieces, texts ----------------------------------------------------------
+
+    def word(self, word: str) -> int:
+        found = self.words.get(word)
+        if found is None:
+            found = self.finish(0, as_bytes(word))
+            if len(word) <= LONG_WORD:
+                self.words[word] = found
+                self.word_bytes += 100 + len(word)
+        return found
+
+    def normal(self, text: str) -> list[str]:
+        """The pre-tokens of a text without special strings."""
+        if text.isascii():
+            return self.ascii(text.lower())
+        return self.find(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+
+    def piece(self, piece: str) -> int:
+        """Tokens of a run without white space."""
+        found = self.pieces.get(piece)
+        if found is None:
+            found = 0
+            for k, part in enumerate(self.special.split(piece) if self.special and "<|" in piece else [piece]):
+                found += 1 if k % 2 else sum(map(self.word, self.normal(part)))
+            if len(piece) <= LONG_WORD:
+                self.pieces[piece] = found
+                self.word_bytes += 100 + len(piece)
+        return found
+
+    def text(self, text: str) -> int:
+        known, total = self.pieces, 0
+        for piece in self.cut(text):
+            found = known.get(piece)
+            total += self.piece(piece) if found is None else found
+        return total
 
     def trim(self) -> None:
-        if len(self) > CACHE_PIECES:
-            self.clear()
-        if len(self.words) > CACHE_PIECES:
+        if self.word_bytes > TABLE_BYTES:
+            self.pieces.clear()
             self.words.clear()
+            self.word_bytes = 0
+        if self.state_bytes > TABLE_BYTES:
+            self._no_states()
+        if len(self.beside) * 100 > TABLE_BYTES:
+            self.beside.clear()
+
+    # -- chunks ------------------------------------------------------------------------------
+
+    def cuts(self, text: str, chunk_chars: int) -> list[tuple[int, bool]]:
+        """(place, within a word?) of the cuts of a text: the first safe place from each multiple of ``chunk_chars`` on."""
+        taken = [m.span() for m in self.special.finditer(text)] if self.special and "<|" in text else []
+        out, at, k = [], chunk_chars, 0
+        while at < len(text):
+            while k < len(taken) and taken[k][1] <= at:
+                k += 1
+            if k < len(taken) and taken[k][0] < at:
+                at = taken[k][1]
+                if at >= len(text):
+                    break
+                out.append((at, False))  # behind a special string
+                at += chunk_chars
+                continue
+            kind = _border(text, at)
+            if kind is None:
+                at += 1
+                continue
+            out.append((at, kind))
+            at += chunk_chars
+        return out
+
+    def chunk(self, text: str, entered: bool, left: bool, before: str) -> dict:
+        """A chunk's state map. ``entered`` and ``left`` tell whether its ends lie within a word, ``before`` is the
+        text just before it."""
+        head = tail = None
+        total = 0
+        parts = self.special.split(text) if self.special and "<|" in text else [text]
+        for k, part in enumerate(parts):
+            if k % 2:
+                total += 1
+                continue
+            pieces = self.cut(part)
+            for j, piece in enumerate(pieces):
+                first, last = entered and k == 0 and j == 0, left and k == len(parts) - 1 and j == len(pieces) - 1
+                if not first and not last:
+                    found = self.pieces.get(piece)
+                    total += self.piece(piece) if found is None else found
+                    continue
+                words = self.normal(piece)
+                if first:
+                    head, words = words[0], words[1:]
+                if last and words:
+                    tail, words = words[-1], words[:-1]
+                total += sum(map(self.word, words))
+        through = entered and left and tail is None
+        out = {"tokens": total, "head": "" if head is None else as_bytes(head), "through": through, "exit": b"", "maps": []}
+        if tail is not None:
+            state, more = self.read(0, as_bytes(tail))
+            out["tokens"] += more
+            out["exit"] = pack_state(self.states[state])
+        if entered:
+            run = self.normal(before)
+            state, _ = self.read(0, as_bytes(run[-1])) if run else (0, 0)
+            out["maps"] = [self.map_of(self.states[state], out["head"], through)]
+        return out
+
+    def map_of(self, state: tuple, head: str, through: bool) -> tuple[bytes, bytes, int]:
+        """(entry, exit, tokens) of a chunk's entered word for one entry state; the exit is empty if the word ends."""
+        at = self.enter(state)
+        if not through:
+            return pack_state(state), b"", self.finish(at, head)
+        end, more = self.read(at, head)
+        return pack_state(state), pack_state(self.states[end]), more
+
+
+def as_bytes(word: str) -> str:
+    """The UTF-8 bytes of a word, one character each."""
+    return word if word.isascii() else word.encode().decode("latin-1")
+
 
+def pack_state(state: tuple) -> bytes:
+    suffix, window = state
+    return np.array([x for entry in window for x in entry], "<i4").tobytes() + suffix.encode("latin-1")
 
-def _state_maps(batches: Iterable[pa.RecordBatch], vocabulary: dict, chunk_chars: int) -> Iterator[pa.RecordBatch]:
-    """(row, text) -> chunks' maps. A whole text in one chunk is closed at once: its ends are known."""
+
+def unpack_state(data: bytes) -> tuple:
+    """The window has one entry more than the suffix has bytes: 8 (n + 1) + n bytes in all."""
+    n = (len(data) - 8) // 9
+    flat = np.frombuffer(data[:8 * (n + 1)], "<i4").tolist()
+    return data[8 * (n + 1):].decode("latin-1"), tuple(zip(flat[::2], flat[1::2]))
+
+
+def _letter(c: str) -> bool:
+    return "a" <= c <= "z" or "A" <= c <= "Z"
+
+
+def _steady(c: str) -> bool:
+    """A letter without case and composition (ideographs and the like)."""
+    return c > "\xff" and unicodedata.category(c) == "Lo" and not unicodedata.combining(c) and not unicodedata.decomposition(c)
+
+
+def _mark(c: str) -> bool:
+    return c in "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
+
+def _border(text: str, at: int) -> bool | None:
+    """Is the place safe to cut at: False between words, True within one, None not safe."""
+    p, q = text[at - 1], text[at]
+    if q in " \t\n\r" or p in " \t\n\r" and q.isascii():
+        return False
+    if _letter(p) and _letter(q):
+        return True if at >= 4 and all(map(_letter, text[at - 4:at])) else None  # clear of 's, 'll and so on
+    if p.isascii() and q.isascii() and (p.isdigit() and (q.isdigit() or _letter(q)) or _letter(p) and q.isdigit()):
+        return False
+    if _mark(p) and _mark(q):
+        return True
+    if _steady(p) and _steady(q) and unicodedata.normalize("NFC", p + q) == p + q:
+        return True
+    return None
+
+
+ROWS = "row long, doc_id long, n_bytes long, tokens long, no int, entered boolean, left boolean, before string, text string"
+MAPS = "row long, no int, tokens long, entered boolean, through boolean, head string, exit binary, maps array<struct<entry: binary, exit: binary, tokens: long>>"
+ASKED = "row long, no int, entry binary, tokens long"
+
+
+def _count_task(batches: Iterable[pa.RecordBatch], vocabulary: dict, chunk_chars: int) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> a row per document, with its tokens if it is short, and a row per chunk of long ones."""
+    t, next_row = Transducer(vocabulary), TaskContext.get().partitionId() << 33
+    for batch in batches:
+        rows, size = [], 0
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            text = text.as_py() or ""
+            n_bytes = len(text) if text.isascii() else len(text.encode())
+            cuts = t.cuts(text, chunk_chars) if len(text) > chunk_chars else []
+            rows.append((next_row, doc_id, n_bytes, 0 if cuts else t.text(text), None, None, None, None, None))
+            if cuts:
+                edges = [(0, False), *cuts, (len(text), False)]
+                for no, ((a, entered), (b, left)) in enumerate(zip(edges, edges[1:])):
+                    before = text[max(0, a - GUESS_CHARS):a] if entered else ""
+                    rows.append((next_row, None, None, 0, no, entered, left, before, text[a:b]))
+                    size += b - a
+                    if size > 1 << 24:
+                        yield _rows_batch(rows)
+                        rows, size = [], 0
+            next_row += 1
+            t.trim()
+        if rows:
+            yield _rows_batch(rows)
+
+
+def _rows_batch(rows: list) -> pa.RecordBatch:
+    types = [pa.int64()] * 4 + [pa.int32(), pa.bool_(), pa.bool_(), pa.string(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)],
+                                      names=["row", "doc_id", "n_bytes", "tokens", "no", "entered", "left", "before", "text"])
+
+
+def _maps_batch(rows: list) -> pa.RecordBatch:
+    pair = pa.list_(pa.struct([("entry", pa.binary()), ("exit", pa.binary()), ("tokens", pa.int64())]))
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.binary(), pair]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)],
+                                      names=["row", "no", "tokens", "entered", "through", "head", "exit", "maps"])
+
+
+def _maps_list(maps: list) -> list[dict]:
+    return [{"entry": a, "exit": b, "tokens": n} for a, b, n in maps]
+
+
+def _map_task(batches: Iterable[pa.RecordBatch], vocabulary: dict) -> Iterator[pa.RecordBatch]:
+    """(row, no, entered, left, before, text) -> the chunks' state maps."""
     t = Transducer(vocabulary)
     for batch in batches:
-        rows, nos, spaced, heads, counts, tails = [], [], [], [], [], []
-        for row, no, last, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            pieces = t.pieces(text)
-            if no == 0 and last:
-                head, inner, tail = "", pieces, ""
-            elif len(pieces) == 1:
-                head, inner, tail = pieces[0], [], None
-            else:
-                head, inner, tail = pieces[0], pieces[1:-1], pieces[-1]
-            rows.append(row)
-            nos.append(no)
-            spaced.append(tail is not None)
-            heads.append(head)
-            counts.append(sum(map(t.__getitem__, inner)))
-            tails.append(tail or "")
+        for row, no, entered, left, before, text in zip(*(c.to_pylist() for c in batch.columns)):
+            m = t.chunk(text, entered, left, before)
+            yield _maps_batch([(row, no, m["tokens"], entered, m["through"], m["head"], m["exit"], _maps_list(m["maps"]))])
             t.trim()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(nos, pa.int32()), pa.array(spaced, pa.bool_()),
-             pa.array(heads, pa.string()), pa.array(counts, pa.int64()), pa.array(tails, pa.string())],
-            names=["row", "no", "spaced", "head", "tokens", "tail"])
 
 
-def _piece_tokens(batches: Iterable[pa.RecordBatch], vocabulary: dict) -> Iterator[pa.RecordBatch]:
+def _ask_task(batches: Iterable[pa.RecordBatch], vocabulary: dict) -> Iterator[pa.RecordBatch]:
+    """Map rows with a column ``asked`` of entry states: the rows with maps for those too."""
     t = Transducer(vocabulary)
     for batch in batches:
-        counts = [t[p] for p in batch.column(1).to_pylist()]
-        t.trim()
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["row", "tokens"])
+        for *fixed, head, exit_, maps, asked in zip(*(c.to_pylist() for c in batch.columns)):
+            new = [t.map_of(unpack_state(a), head, fixed[4]) for a in asked or []]
+            yield _maps_batch([(*fixed, head, exit_, maps + _maps_list(new))])
+            t.trim()
+
+
+def _scan_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map rows sorted by (row, no) -> per row its tokens (entry null), or the states asked of chunks."""
+    current, state, total, out, open_, leaves = None, b"", 0, [], False, set()
+
+    def close() -> None:
+        if current is not None and not open_:
+            out.append((current, None, None, total))
+
+    def batch_of() -> pa.RecordBatch:
+        done = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.int64()))],
+                                          names=["row", "no", "entry", "tokens"])
+        out.clear()
+        return done
+
+    for batch in batches:
+        for row, no, tokens, entered, through, exit_, maps in zip(*(c.to_pylist() for c in batch.columns)):
+            if row != current:
+                close()
+                current, state, total, open_, leaves = row, b"", 0, False, set()
+            known = {m["entry"]: (m["exit"], m["tokens"]) for m in maps}
+            if entered:
+                wanted = (leaves if open_ else {state}) - known.keys()
+                if wanted:
+                    out += [(row, no, w, None) for w in sorted(wanted)]
+                    open_ = True
+                elif not open_:
+                    total += known[state][1]
+                if through:
+                    leaves = {e for e, _ in known.values()}
+                    state = known[state][0] if not open_ else state
+            if not through:
+                state, leaves = exit_, {exit_}
+            total += tokens
+        if len(out) > 5000:
+            yield batch_of()
+    close()
+    if out:
+        yield batch_of()
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str, chunk_chars: int = 32768, max_tokens: int = 2048,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs``."""
     v = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
-                       whole.alias("text"))
-    last = F.greatest(F.lit(0), F.floor((F.length("text") - 1) / chunk_chars)).cast("int")
-    chunks = rows.select("row", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
-                         F.explode(F.sequence(F.lit(0), last)).alias("no"), last.alias("last"), "text")
-    piece = F.when(F.col("last") == 0, F.col("text")).otherwise(F.substring("text", F.col("no") * chunk_chars + 1, F.lit(chunk_chars)))
-    maps = _with_maps(chunks, piece, v, chunk_chars)
-    return _composed(materialise(maps, "state_maps"), v, max_tokens)
-
-
-def _with_maps(chunks: DataFrame, piece, v, chunk_chars: int) -> DataFrame:
-    """row, doc_id, n_bytes, no and the chunk's map; ids and sizes pass through the Arrow batch."""
-    slim = chunks.select("row", "no", (F.col("last") == 0).alias("whole"), piece.alias("text"), "doc_id", "n_bytes")
-
-    def maps(batches):
-        held: list[pa.RecordBatch] = []
-
-        def tee():
-            for b in batches:
-                held.append(b)
-                yield b
-        for out in _state_maps(tee(), v.value, chunk_chars):
-            b = held.pop()
-            yield pa.RecordBatch.from_arrays([*out.columns, b.column(4), b.column(5)],
-                                             names=[*out.schema.names, "doc_id", "n_bytes"])
-
-    return slim.mapInArrow(maps, "row long, no int, spaced boolean, head string, tokens long, tail string, doc_id long, n_bytes long")
-
-
-def _composed(maps: DataFrame, v, max_tokens: int) -> DataFrame:
-    """The prefix scan over each row's chunks, and the totals."""
-    from pyspark.sql import Window as W
-    # texts of one chunk need no scan
-    cut = maps.where((F.col("head") != "") | (F.col("tail") != "") | ~F.col("spaced") | (F.col("no") > 0))
-    before = F.coalesce(F.sum(F.col("spaced").cast("int")).over(
-        W.partitionBy("row").orderBy("no").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    scanned = cut.withColumn("open", before)
-    # a head belongs to the piece open at the chunk's start, a tail to the piece open at its end
-    ends = scanned.select("row", "no", F.explode(F.array(
-        F.struct(F.col("open").alias("piece"), F.lit(0).alias("side"), F.col("head").alias("part")),
-        F.struct((F.col("open") + 1).alias("piece"), F.lit(1).alias("side"), F.col("tail").alias("part")))).alias("e")) \
-        .select("row", "no", "e.*").where(F.col("part") != "")
-    pieces = ends.groupBy("row", "piece").agg(F.array_sort(F.collect_list(F.struct("no", "side", "part"))).alias("parts")) \
-        .select("row", F.array_join(F.transform("parts", lambda p: p["part"]), "").alias("piece"))
-    joined = pieces.mapInArrow(lambda it: _piece_tokens(it, v.value), "row long, tokens long")
-    known = maps.select("row", "tokens", "doc_id", "n_bytes")
-    late = joined.select("row", "tokens", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_bytes"))
-    total = known.union(late).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"),
-                                                 F.sum("tokens").alias("n_tokens"))
-    return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > max_tokens).alias("over_limit"))
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    counted = materialise(slim.mapInArrow(lambda it: _count_task(it, v.value, chunk_chars), ROWS), "counted")
+    whole, chunks = counted.where("no IS NULL").select("row", "doc_id", "n_bytes", "tokens"), counted.where("no IS NOT NULL")
+    if not chunks.isEmpty():
+        maps = materialise(chunks.select("row", "no", "entered", "left", "before", "text").repartition("row", "no")
+                           .mapInArrow(lambda it: _map_task(it, v.value), MAPS), "state_maps")
+        while True:
+            scanned = materialise(maps.drop("head").repartition("row").sortWithinPartitions("row", "no").mapInArrow(_scan_task, ASKED), "scan")
+            asked = scanned.where("entry IS NOT NULL").groupBy("row", "no").agg(F.collect_set("entry").alias("asked"))  # a few states a chunk
+            if asked.isEmpty():
+                break
+            maps = materialise(maps.join(asked, ["row", "no"], "left").select(*maps.columns, "asked")
+                               .mapInArrow(lambda it: _ask_task(it, v.value), MAPS), "state_maps")
+        long = scanned.select("row", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_bytes"), "tokens")
+        whole = whole.union(long).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("tokens"))
+    return whole.select("doc_id", "n_bytes", F.col("tokens").alias("n_tokens"), (F.col("tokens") > max_tokens).alias("over_limit"))
