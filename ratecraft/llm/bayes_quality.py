@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import materialise
+from ratecraft.llm.common import materialise, spare_names
 
 MAX_LABELLED, MAX_WORDS, MIN_SCORE = 20_000, 256, 5.0
 MAX_SHIFT, BROADCAST_SITES = 2.0, 200_000
@@ -232,9 +232,10 @@ def judge(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
 def keep_good(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
     """The rows of ``docs`` that are kept."""
+    doc, text_hash = spare_names(docs, "rejected_id", "rejected_hash")
     gone = materialise(judge(docs, labels, max_labelled).where(~F.col("kept"))
-                       .select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "rejected")
+                       .select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text_hash)).distinct(), "rejected")
     if gone.count() <= BROADCAST_REJECTED:  # then the texts are not shuffled
         gone = F.broadcast(gone)
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(docs["text"].cast("string")) == F.col("__hash"))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"].cast("string")) == F.col(text_hash))
     return docs.join(gone, same, "left_anti")

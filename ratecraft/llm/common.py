@@ -16,6 +16,17 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def spare_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it new to ``df`` (in any case of letters)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the session's checkpoint folder and read it again.
 

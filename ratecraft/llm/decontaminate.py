@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import materialise
+from ratecraft.llm.common import materialise, spare_names
 
 WIDTH, MIN_SHARE = 5, 0.8  # five words, a share of 0.8
 BROADCAST_WINDOWS = 500_000  # 16 bytes each
@@ -347,7 +347,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_share:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not found to hold a benchmark item, told apart by id and text."""
+    found_id, found_hash = spare_names(docs, "found_id", "found_hash")
     found = _found(docs, benchmark, doc_id=doc_id, text=text) \
-        .select(F.col("doc_id").alias("__found"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col(doc_id).cast("long").eqNullSafe(F.col("__found")) & (F.xxhash64(F.col(text).cast("string")) == F.col("__hash"))
+        .select(F.col("doc_id").alias(found_id), F.col("text_hash").alias(found_hash)).distinct()
+    same = F.col(doc_id).cast("long").eqNullSafe(F.col(found_id)) & (F.xxhash64(F.col(text).cast("string")) == F.col(found_hash))
     return docs.join(found, same, "left_anti")

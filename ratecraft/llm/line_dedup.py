@@ -24,10 +24,12 @@ its witness's block is verified before a line goes.
 Equal lines collapse by partial aggregation before anything is joined, so a line that stands in a
 third of all documents costs one row a task. Lines travel as 128 hash bits, place and length.
 
-Defined cases: null and empty texts stay as they are, a null id is later than any other. Rows with
+Defined cases: null and empty texts stay as they are, a null id is later than any other; rows without an id
+are documents of their own, told apart and ordered by a hash of their text. Rows with
 one id are one document: lines at the same place are not earlier than each other, so a repeated
 row stays. A text that loses all its lines becomes empty. Ties cannot decide anything: places are
-ordered. An empty table gives an empty table. Other columns pass through.
+ordered. An empty table gives an empty table. Other columns pass through,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import materialise
+from ratecraft.llm.common import materialise, spare_names
 
 BLOCK = 128
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -43,9 +45,15 @@ LAST = (1 << 63) - 1  # place of a null id
 BROADCAST_KEYS = 1_000_000  # 8 MB of keys
 
 
+def _place(doc_id: str, text: str) -> Column:
+    """A document's place in the order: its id; without one, behind all others, told apart by the text."""
+    known = F.col(doc_id).cast("long")
+    return F.struct(F.coalesce(known, F.lit(LAST)).alias("id"), F.when(known.isNull(), F.xxhash64(F.col(text).cast("string"))).otherwise(0).alias("h"))
+
+
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc, no, line, chars and the line's hash (h1, h2) of every line with a word."""
-    split = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc"),
+    split = docs.select(_place(doc_id, text).alias("doc"),
                         F.posexplode(F.split(F.col(text), "\n", -1)).alias("no", "line"))
     return split.where(F.col("line").rlike(HAS_WORD)).select(
         "doc", "no", "line", F.length("line").alias("chars"),
@@ -149,7 +157,7 @@ def _mark(no: Column, line: Column) -> Column:
 
 
 def repeated_lines(docs: DataFrame, min_fuzzy_chars: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, marks: per document (null id: the largest long) the lines that go."""
+    """doc, marks: per document (see ``_place``) the lines that go."""
     lines = _lines(docs, doc_id, text)
     halves = F.when(F.col("chars") >= min_fuzzy_chars, _half_keys(min_fuzzy_chars))
     slim = materialise(lines.select("doc", "no", "h1", "h2", halves.alias("halves")), "lines")
@@ -166,15 +174,16 @@ def dedup_lines(docs: DataFrame, min_fuzzy_chars: int = 20, doc_id: str = "doc_i
                 removed: str | None = None) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``; ``removed`` names a column for their
     number per document."""
-    gone = repeated_lines(docs, min_fuzzy_chars, doc_id, text).select(F.col("doc").alias("__doc"), F.col("marks").alias("__marks"))
-    keyed = docs.withColumn("__key", F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)))
-    joined = keyed.join(gone, F.col("__key") == F.col("__doc"), "left")
+    doc, marks, key, parts, rest = spare_names(docs, "gone_doc", "gone_marks", "own_key", "own_lines", "left_text")
+    gone = repeated_lines(docs, min_fuzzy_chars, doc_id, text).select(F.col("doc").alias(doc), F.col("marks").alias(marks))
+    keyed = docs.withColumn(key, _place(doc_id, text))
+    joined = keyed.join(gone, F.col(key) == F.col(doc), "left")
     lines = F.split(F.col(text), "\n", -1)
     all_marks = F.transform(lines, lambda line, i: _mark(i, line))
-    kept = F.array_except(all_marks, F.col("__marks"))
-    left = F.array_join(F.transform(kept, lambda k: F.get(F.col("__lines"), F.shiftright(k, 32).cast("int"))), "\n")
-    out = joined.withColumn("__lines", lines).withColumn("__left", F.when(F.col("__marks").isNull(), F.col(text)).otherwise(left))
-    columns = [F.col("__left").alias(c) if c == text else F.col(c) for c in docs.columns]
+    kept = F.array_except(all_marks, F.col(marks))
+    left = F.array_join(F.transform(kept, lambda k: F.get(F.col(parts), F.shiftright(k, 32).cast("int"))), "\n")
+    out = joined.withColumn(parts, lines).withColumn(rest, F.when(F.col(marks).isNull(), F.col(text)).otherwise(left))
+    columns = [F.col(rest).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     if removed:
-        columns.append(F.when(F.col("__marks").isNull(), 0).otherwise(F.size("__lines") - F.size(kept)).cast("long").alias(removed))
+        columns.append(F.when(F.col(marks).isNull(), 0).otherwise(F.size(parts) - F.size(kept)).cast("long").alias(removed))
     return out.select(*columns)

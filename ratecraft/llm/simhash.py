@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.llm.common import materialise, smallest_reachable
+from ratecraft.llm.common import materialise, smallest_reachable, spare_names
 
 SEGMENTS = ((0, 22, 1), (22, 22, 1), (44, 20, 0))  # first bit, bits, radius of the ball
 MAX_BITS = 4
@@ -133,8 +133,9 @@ def keep_one_per_group(docs: DataFrame, groups: DataFrame, doc_id: str = "doc_id
     nameless = docs.where(F.col(doc_id).isNull())
     if not nameless.isEmpty():  # a text tells these rows' groups
         text_hash = F.xxhash64(F.col(text).cast("string"))
-        prints = fingerprints(nameless.select(text_hash.alias("__hash"), F.col(text)), width, seed, "__hash", text)
+        [spare] = spare_names(docs, "led_hash")
+        prints = fingerprints(nameless.select(text_hash.alias(spare), F.col(text)), width, seed, spare, text)
         led = groups.where(F.col("doc_id").isNull() & F.col("component_id").isNotNull()).select("bits").distinct()
-        gone = prints.join(led, "bits", "left_semi").select(F.col("doc_id").alias("__hash")).distinct()
-        nameless = nameless.join(gone, text_hash == F.col("__hash"), "left_anti")
+        gone = prints.join(led, "bits", "left_semi").select(F.col("doc_id").alias(spare)).distinct()
+        nameless = nameless.join(gone, text_hash == F.col(spare), "left_anti")
     return named.unionByName(nameless)
