@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratecraft.llm import bayes_quality, decontaminate, line_dedup, pair_bpe, simhash
-from ratecraft.llm.common import materialise
+from ratecraft.llm.common import materialise, spare_names
 from ratecraft.llm.queries import BYTE_BPE
 
 
@@ -23,8 +23,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go (operator 9), and with them documents of nothing but repeated lines; n_chars
     follows the text. Documents without a line to remove stay as they are."""
-    out = line_dedup.dedup_lines(docs, removed="__removed")
-    changed = F.col("__removed") > 0
+    [removed] = spare_names(docs, "lines_removed")
+    out = line_dedup.dedup_lines(docs, removed=removed)
+    changed = F.col(removed) > 0
     out = out.where(~changed | F.col("text").rlike(line_dedup.HAS_WORD))
     return out.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)) \
         .select(*docs.columns)
