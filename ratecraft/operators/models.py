@@ -364,12 +364,14 @@ TRIAL_SCHEMA = StructType([
 def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space: Mapping,
                  n_trials: int = 10, seed: int = 42, keys: Sequence[str] = (),
                  fraction: float = 0.2, done: DataFrame | None = None,
-                 parallelism: int = 4, kind: str = "gbt") -> DataFrame:
+                 parallelism: int = 4, kind: str = "gbt", log=None) -> DataFrame:
     """M8 (+J6): score candidates by mean RMSE over targets on a hashed hold-out.
 
     Trials completed in ``done`` are skipped (anti join). A failing fit is logged as
     state FAIL with its error instead of stopping the search; if every trial fails, the
     search raises. Returns the trial log (trial_id, step, value, state, params, error); pick the best with ``best_trial``.
+    With a ``TrialLog`` as ``log`` each trial is written when it ends, what the log holds is not run again,
+    and the log's results are returned.
     """
     from ratecraft.operators.joins import remaining_trials
     from ratecraft.operators.metrics import regression_metrics
@@ -378,6 +380,8 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
     grid = sample_space(spark, space, n_trials, seed)
     if done is not None:
         grid = remaining_trials(grid, done)
+    if log is not None:
+        grid = remaining_trials(grid, log.results().select("trial_id"))
     todo = [(r["trial_id"], r["params"]) for r in grid.select("trial_id", "params").collect()]
     targets = list(targets)
     _check(df, spec, targets)
@@ -401,11 +405,19 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
         except Exception as e:  # a failed candidate is recorded, the search goes on
             return (int(tid), 0, None, "FAIL", dict(p), f"{type(e).__name__}: {e}"[:2000])
 
+    def finish(item):
+        row = run(item)
+        if log is not None:
+            log.append(row[0], log.END, [row[1:]])
+        return row
+
     try:
         with ThreadPoolExecutor(max(1, parallelism)) as pool:
-            rows = list(pool.map(run, todo))
+            rows = list(pool.map(finish, todo))
     finally:
         data.unpersist()
+    if log is not None:
+        return log.results()
     if rows and all(r[3] == "FAIL" for r in rows):
         raise ValidationError(f"every trial failed: {rows[0][5]}")
     return spark.createDataFrame(rows, TRIAL_SCHEMA)
@@ -413,62 +425,33 @@ def trial_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], space
 
 # -- intervals (M7) -------------------------------------------------------------------
 
-def poisson_weight(keys: Sequence[str], replicate: int, seed: int) -> F.Column:
-    """Bootstrap weight ~ Poisson(1) per (row, replicate): inverse CDF of a uniform
-    taken from a 64-bit hash of (seed, replicate, key). Deterministic on recompute."""
-    import math
-    h = F.xxhash64(F.lit(seed), F.lit(replicate), *[F.col(k) for k in keys])
-    u = (h.bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / F.lit(float(1 << 53))
-    cdf, acc, term = [], 0.0, math.exp(-1.0)
-    for k in range(12):
-        acc += term
-        cdf.append(acc)
-        term /= (k + 1)
-    w = F.lit(12.0)
-    for k in reversed(range(12)):
-        w = F.when(u < F.lit(cdf[k]), F.lit(float(k))).otherwise(w)
-    return w
-
-
-def _gram_partials(q: int, n_boot: int, n_targets: int):
-    """Per-task weighted normal equations for every (replicate, target) pair.
-
-    Emits long rows (b, t, idx, v): idx < q*q are entries of X'WX, the next q are
-    X'Wy, the last is the weighted row count. Rows with a NULL target are left out
-    of that target's system; rows with a non-finite feature are left out entirely.
+def bootstrap_coefficients(feats: DataFrame, targets: Sequence[str], keys: Sequence[str], iterations: int,
+                           reg: float = 0.0, seed: int = 42) -> DataFrame:
+    """(b, target, coefficients): ``iterations`` weighted refits of a linear model on the vector ``features``.
+
+    One pass: every task adds up one block of normal equations per replicate, X'X shared by targets that miss
+    the same rows; blocks merge as a tree and are solved on executors (see ``normal_equations``). Replicate b
+    weighs a row by Poisson(1) drawn from md5 of (keys, seed, b). The first coefficient is the intercept; ``reg`` is a
+    ridge penalty reg * sum(w) on the others. Rows with a non-finite feature are left out, rows without a target for
+    that target only.
     """
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        G = np.zeros((n_boot, n_targets, q, q))
-        R = np.zeros((n_boot, n_targets, q))
-        N = np.zeros((n_boot, n_targets))
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = np.column_stack([np.ones(len(pdf)), np.stack(pdf["_x"].to_numpy())])
-            W = np.stack(pdf["_w"].to_numpy()).astype(float)
-            ok = np.isfinite(X).all(axis=1)
-            for t in range(n_targets):
-                y = pdf[f"_y{t}"].to_numpy(dtype=float)
-                m = ok & np.isfinite(y)
-                Xm, Wm, ym = X[m], W[m], y[m]
-                for b in range(n_boot):
-                    xw = Xm * Wm[:, b:b + 1]
-                    G[b, t] += xw.T @ Xm
-                    R[b, t] += xw.T @ ym
-                    N[b, t] += Wm[:, b].sum()
-        bb, tt = np.meshgrid(np.arange(n_boot), np.arange(n_targets), indexing="ij")
-        vals = np.concatenate([G.reshape(n_boot, n_targets, -1), R, N[..., None]], axis=2)
-        k = vals.shape[2]
-        yield pd.DataFrame({
-            "b": np.repeat(bb.ravel(), k).astype("int32"),
-            "t": np.repeat(tt.ravel(), k).astype("int32"),
-            "idx": np.tile(np.arange(k), n_boot * n_targets).astype("int32"),
-            "v": vals.reshape(-1)})
-
-    return run
+    from pyspark.ml.functions import vector_to_array
+    from ratecraft.operators.normal_equations import Blocks, bootstrap_bits, merged_blocks, ridge, solved
+
+    attrs = feats.schema[FEATURES].metadata["ml_attr"]["attrs"]
+    blocks = Blocks(1 + sum(len(v) for v in attrs.values()), len(targets))
+    rows = feats.select(F.lit(0).alias("_g"), F.concat(F.array(F.lit(1.0)), vector_to_array(F.col(FEATURES))).alias("_x"),
+                        F.array(*[F.col(t).cast("double") for t in targets]).alias("_y"),
+                        bootstrap_bits(keys, iterations, seed).alias("_bits"))
+    names = list(targets)
+
+    def solve(g, b, block):
+        for t, name in enumerate(names):
+            gram, right, *_, weight = blocks.parts(block, t)
+            yield b, name, ridge(gram, right, weight, reg).tolist()
+
+    return solved(merged_blocks(rows, blocks, iterations), blocks, solve,
+                  "b int, target string, coefficients array<double>")
 
 
 @dataclass
@@ -486,17 +469,9 @@ class BootstrapEnsemble:
     @classmethod
     def fit(cls, train: DataFrame, spec: FeatureSpec, targets: Sequence[str], keys: Sequence[str],
             iterations: int = 50, params: Mapping | None = None, seed: int = 42) -> "BootstrapEnsemble":
-        """All B replicates in ONE pass over the data.
-
-        Replicate b weighs each row by Poisson(1) drawn from a hash of (seed, b, key),
-        so nothing is copied or resampled. Every task accumulates the weighted normal
-        equations of all B x T systems (numpy, per partition); Spark sums the partials
-        (parameter-sized: B x T x (p+1)^2 numbers) and the driver solves them.
-        ``params['reg']`` adds a ridge penalty reg * sum(w) on the slopes.
+        """All B replicates in one pass over the data (``bootstrap_coefficients``); the driver gets
+        their B x T coefficient rows. ``params['reg']`` is the ridge penalty.
         """
-        import numpy as np
-        from pyspark.ml.functions import vector_to_array
-
         targets = list(targets)
         _check(train, spec, targets)
         if iterations < 2:
@@ -514,36 +489,13 @@ class BootstrapEnsemble:
     def _fit_cached(cls, train: DataFrame, spec: FeatureSpec, targets: list, keys: Sequence[str],
                     iterations: int, reg: float, seed: int) -> "BootstrapEnsemble":
         import numpy as np
-        from pyspark.ml.functions import vector_to_array
 
         prep = preprocess_pipeline(train, spec, FEATURES)
-        feats = prep.transform(train)
-        p = len(feats.select(FEATURES).schema[FEATURES].metadata["ml_attr"]["attrs"]
-                .get("numeric", [])) + sum(
-            len(v) for k, v in feats.schema[FEATURES].metadata["ml_attr"]["attrs"].items()
-            if k != "numeric")
-        q = p + 1
-        tr = feats.select(
-            vector_to_array(F.col(FEATURES)).alias("_x"),
-            F.array(*[poisson_weight(keys, b, seed) for b in range(iterations)]).alias("_w"),
-            *[F.col(t).cast("double").alias(f"_y{i}") for i, t in enumerate(targets)])
-        stats = (tr.mapInPandas(_gram_partials(q, iterations, len(targets)),
-                                "b int, t int, idx int, v double")
-                 .groupBy("b", "t", "idx").agg(F.sum("v").alias("v")))
-        k = q * q + q + 1
-        arr = np.zeros((iterations, len(targets), k))
-        for r in stats.collect():  # iterations x targets x k numbers
-            arr[r["b"], r["t"], r["idx"]] = r["v"]
-        coefs = {}
-        for ti, t in enumerate(targets):
-            out = np.zeros((iterations, q))
-            for b in range(iterations):
-                G = arr[b, ti, :q * q].reshape(q, q)
-                rhs = arr[b, ti, q * q:q * q + q]
-                pen = np.eye(q) * reg * arr[b, ti, -1]
-                pen[0, 0] = 0.0
-                out[b] = np.linalg.lstsq(G + pen, rhs, rcond=None)[0]
-            coefs[t] = out
+        found = {(r["b"], r["target"]): r["coefficients"] for r in
+                 bootstrap_coefficients(prep.transform(train), targets, keys, iterations, reg, seed).collect()}
+        if len(found) < iterations * len(targets):
+            raise ValidationError("no training row")
+        coefs = {t: np.array([found[b, t] for b in range(iterations)]) for t in targets}
         return cls(prep, coefs, spec, targets)
 
     def first_replicates(self, n: int) -> "BootstrapEnsemble":
