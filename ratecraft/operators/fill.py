@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ratecraft.functions.scalar import truncate_int
-from ratecraft.operators.ordered import quantile_values
+from ratecraft.operators.quantiles import quantile_values
 
 
 def _missing(df: DataFrame, c: str) -> F.Column:

@@ -1,4 +1,4 @@
-"""Skew-safe ordered work inside groups: row index, running min/max, exact quantiles.
+"""Skew-safe ordered work inside groups: row index and running min/max (quantiles: ``quantiles.py``).
 
 A window ``PARTITION BY key ORDER BY ...`` sends a whole group to one task; if one
 key holds a third of the rows, one task does a third of the work. Here a group is
@@ -22,12 +22,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratecraft.operators.quantiles import exact_quantiles, quantile_values
 from ratecraft.session import cut_lineage
 
+__all__ = ["chunk", "partitions_of", "ordered_scan", "exact_quantiles", "quantile_values"]
+
 _AGG = {"max": (F.max, F.greatest), "min": (F.min, F.least)}
 
 
-def _n_parts(df: DataFrame) -> int:
+def partitions_of(df: DataFrame) -> int:
     """Range partitions for an ordered scan: the session's shuffle partitions. The plan is not
     asked for its own, since that would execute its shuffles just to count them."""
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8")))
@@ -37,7 +40,7 @@ def chunk(df: DataFrame, keys: Sequence[str], order: Sequence[str], *, salt: boo
           num_partitions: int | None = None) -> DataFrame:
     """Step 1: range-partition by (keys, order[, salt]), sort, tag ``_pid``/``_pos``,
     and write a reliable checkpoint. Returns the checkpointed frame."""
-    n = num_partitions or _n_parts(df)
+    n = num_partitions or partitions_of(df)
     sort_cols = list(keys) + list(order)
     work = df
     if salt:
@@ -99,156 +102,3 @@ def ordered_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
             # greatest/least skip NULLs, so an empty side does not erase the other.
             extra.append(_AGG[how][1](F.col(f"_carry{i}"), loc).alias(out))
     return joined.select(*out_cols, *extra)
-
-
-# Above this many (key, distinct value) pairs, order statistics come from a sort.
-HISTOGRAM_LIMIT = 200_000
-
-
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    keys: Sequence[str] = (), *, prob_col: str = "p",
-                    out_col: str = "q", histogram_limit: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles of ``value`` per key group (long output).
-
-    Same definition as Spark ``percentile`` / DuckDB ``quantile_cont``:
-    position = p * (n - 1) over the non-NULL, non-NaN values; the two neighbouring
-    order statistics are interpolated. Groups with no value produce no row.
-
-    Two exact strategies, neither of which puts a whole group in one task:
-    few distinct values (estimated with HyperLogLog in one pass, total under
-    ``histogram_limit``) -> a (key, value, count) histogram built with partial
-    aggregation, ranks from cumulative counts; otherwise -> ranks from
-    :func:`ordered_scan` over range partitions.
-    """
-    keys = list(keys)
-    limit = HISTOGRAM_LIMIT if histogram_limit is None else histogram_limit
-    v = F.col(value).cast("double")
-    data = df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    # The eager steps below (cardinality estimate, histogram, range sampling, sorted
-    # chunks) all read this narrow input: keep it cached while they run; the plan
-    # returned reads only checkpoints, so the cache is released before returning.
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _exact_quantiles(data, keys, probs, prob_col, out_col, limit)
-    finally:
-        data.unpersist()
-
-
-def _exact_quantiles(data: DataFrame, keys: list, probs: Sequence[float], prob_col: str,
-                     out_col: str, limit: int) -> DataFrame:
-    if limit > 0:
-        card = data.groupBy(*keys).agg(F.approx_count_distinct("_v", 0.05).alias("_nd"))
-        if len(keys) == 1:
-            # few keys (e.g. profiled columns): decide per key
-            rows = card.limit(MAX_KEYS_PER_KEY_CHOICE + 1).collect()
-            if len(rows) <= MAX_KEYS_PER_KEY_CHOICE:
-                low = [r[0] for r in rows if r["_nd"] <= limit]
-                high = [r[0] for r in rows if r["_nd"] > limit]
-                if not high:
-                    return _histogram_quantiles(data, keys, probs, prob_col, out_col)
-                if low:
-                    k = F.col(keys[0])
-
-                    def member(vals):  # isin never matches NULL: test it separately
-                        cond = k.isin([x for x in vals if x is not None])
-                        return cond | k.isNull() if None in vals else cond
-
-                    a = _histogram_quantiles(data.where(member(low)), keys, probs, prob_col, out_col)
-                    b = _sorted_quantiles(data.where(member(high)), keys, probs, prob_col, out_col)
-                    return a.unionByName(b)
-                return _sorted_quantiles(data, keys, probs, prob_col, out_col)
-        est = card.agg(F.sum("_nd")).first()[0]
-        if est is None or est <= limit:
-            return _histogram_quantiles(data, keys, probs, prob_col, out_col)
-    return _sorted_quantiles(data, keys, probs, prob_col, out_col)
-
-
-# Per-key strategy choice is made on the driver only for at most this many keys.
-MAX_KEYS_PER_KEY_CHOICE = 1000
-
-
-def _sorted_quantiles(data: DataFrame, keys: list, probs: Sequence[float], prob_col: str,
-                      out_col: str) -> DataFrame:
-    ranked = ordered_scan(data, keys, ["_v"], index="_r", salt=True)
-    counts = ranked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    probe = F.array(*[F.lit(float(p)) for p in probs])
-    need = (counts.select(*keys, "_cnt", F.explode(probe).alias(prob_col))
-            .withColumn("_pos", F.col(prob_col) * (F.col("_cnt") - 1))
-            .withColumn("_lo", F.floor("_pos").cast("long"))
-            .withColumn("_hi", F.ceil("_pos").cast("long"))
-            .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    wanted = need.select(*keys, prob_col, "_lo", "_hi", "_frac",
-                         F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
-    tag = "__q_"
-    w = wanted.select(*[F.col(c).alias(tag + c) if c in keys else F.col(c) for c in wanted.columns])
-    cond = ranked["_r"] == w["_r"]
-    for k in keys:
-        cond = cond & ranked[k].eqNullSafe(w[tag + k])
-    picked = ranked.join(w, cond, "inner").select(
-        *[F.col(tag + k).alias(k) for k in keys], prob_col, "_frac",
-        F.when(ranked["_r"] == F.col("_lo"), F.col("_v")).alias("_vlo"),
-        F.when(ranked["_r"] == F.col("_hi"), F.col("_v")).alias("_vhi"))
-    res = picked.groupBy(*keys, prob_col).agg(
-        F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi"), F.first("_frac").alias("_frac"))
-    q = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
-    return res.select(*keys, prob_col, F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(q)
-                      .alias(out_col))
-
-
-def _histogram_quantiles(data: DataFrame, keys: list, probs: Sequence[float], prob_col: str,
-                         out_col: str) -> DataFrame:
-    """Order statistics from a small exact histogram: value v covers the ranks
-    [cum - cnt, cum - 1] of its group; the rank-lo and rank-hi values are picked by
-    an equi-join on the group and a range test on the small histogram."""
-    gk = keys or ["_g"]
-    if not keys:
-        data = data.withColumn("_g", F.lit(0))
-    # small by construction (bounded by the histogram limit): pin it with a checkpoint
-    hist = cut_lineage(data.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*gk).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    hist = (hist.withColumn("_cum", F.sum("_c").over(w))
-            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*gk))))
-    probe = F.array(*[F.lit(float(p)) for p in probs])
-    need = (hist.select(*gk, "_n").distinct()
-            .select(*gk, "_n", F.explode(probe).alias(prob_col))
-            .withColumn("_pos", F.col(prob_col) * (F.col("_n") - 1))
-            .withColumn("_lo", F.floor("_pos").cast("long"))
-            .withColumn("_hi", F.ceil("_pos").cast("long"))
-            .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    tag = "__h_"
-    h = hist.select(*[F.col(c).alias(tag + c) if c in gk else F.col(c) for c in hist.columns if c != "_n"])
-    cond = None
-    for k in gk:
-        c = need[k].eqNullSafe(h[tag + k])
-        cond = c if cond is None else cond & c
-    first = F.col("_cum") - F.col("_c")
-    has_lo = (first <= F.col("_lo")) & (F.col("_lo") < F.col("_cum"))
-    has_hi = (first <= F.col("_hi")) & (F.col("_hi") < F.col("_cum"))
-    picked = need.join(h, cond, "inner").where(has_lo | has_hi).select(
-        *gk, prob_col, "_frac",
-        F.when(has_lo, F.col("_v")).alias("_vlo"), F.when(has_hi, F.col("_v")).alias("_vhi"))
-    res = picked.groupBy(*gk, prob_col).agg(
-        F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi"), F.first("_frac").alias("_frac"))
-    q = F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))
-    return res.select(*keys, prob_col, F.when(F.col("_frac") == 0, F.col("_vlo")).otherwise(q)
-                      .alias(out_col))
-
-
-def quantile_values(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict:
-    """Exact quantiles of several columns in one distributed pass.
-
-    Returns ``{column: [q(p) for p in probs]}`` (None for an all-missing column).
-    The result is parameter-sized (columns x probs) so it comes back to the driver.
-    """
-    columns = list(columns)
-    # integer column ids keep the shuffled and checkpointed rows narrow
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_col"), F.col(c).cast("double").alias("_val"))
-        for i, c in enumerate(columns)]))
-    long = df.select(stack.alias("_s")).select("_s._col", "_s._val")
-    res = exact_quantiles(long, "_val", probs, keys=["_col"]).collect()
-    out = {c: [None] * len(probs) for c in columns}
-    index = {float(p): i for i, p in enumerate(probs)}
-    for r in res:
-        out[columns[r["_col"]]][index[float(r["p"])]] = r["q"]
-    return out

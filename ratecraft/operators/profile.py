@@ -3,12 +3,11 @@
 Each profile is one aggregation pass over the data (partial aggregation per task,
 one row out) followed by an unpivot of that single row, so the cost is one scan
 however many columns are profiled. Exact quartiles come from the distributed
-order statistics in :mod:`ratecraft.operators.ordered`, never from a single task.
+order statistics in :mod:`ratecraft.operators.quantiles`, never from a single task.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 import numpy as np
@@ -18,7 +17,8 @@ from pyspark.sql.types import DoubleType, FloatType, StructField, StructType, St
 
 from ratecraft.functions.columns import columns_of_type
 from ratecraft.functions.scalar import mask_below
-from ratecraft.operators.ordered import exact_quantiles, quantile_values
+from ratecraft.operators.comoments import correlations
+from ratecraft.operators.quantiles import quantile_values
 
 
 def _is_float(df: DataFrame, c: str) -> bool:
@@ -84,13 +84,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                   "std": F.col(f"_s{i}"), "min": F.col(f"_lo{i}"), "max": F.col(f"_hi{i}")})
              for i, c in enumerate(cols)]
     moments = _unpivot_row(one, items)
-    # integer column ids keep the shuffled and checkpointed rows narrow
-    stack = F.explode(F.array(*[F.struct(F.lit(i).alias("position"), F.col(c).alias("_val"))
-                                for i, c in enumerate(cols)]))
-    long = clean.select(stack.alias("_s")).select("_s.position", "_s._val")
-    q = (exact_quantiles(long, "_val", [0.25, 0.5, 0.75], keys=["position"])
-         .groupBy("position").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q")))
-    q = q.toDF("position", "p25", "p50", "p75")
+    found = quantile_values(clean, cols, [0.25, 0.5, 0.75])  # three numbers a column
+    q = df.sparkSession.createDataFrame([(i, *found[c]) for i, c in enumerate(cols)], "position int, p25 double, p50 double, p75 double")
     return (moments.join(q, "position", "left").orderBy("position")
             .select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
@@ -107,32 +102,19 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None
         "missing_count", "missing_percent")
 
 
-def _pair_corr(a: F.Column, b: F.Column) -> F.Column:
-    """ANSI-safe pairwise-complete Pearson correlation (NULL when a side is constant)."""
-    both = a.isNotNull() & b.isNotNull()
-    a2, b2 = F.when(both, a), F.when(both, b)
-    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))
+def _names(cols: Sequence[str], index: str) -> F.Column:
+    return F.element_at(F.array(*[F.lit(c) for c in cols]), F.col(index) + 1)
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every column pair, long form (col_a, col_b, corr).
+    """Pearson correlation of every column pair, long form (col_a, col_b, corr), pairwise-complete.
 
-    p(p+1)/2 aggregates in a single pass; the matrix is symmetric so both orders
-    are emitted. Constant columns give NULL (pandas NaN) instead of an ANSI error.
+    One pass of co-moment blocks (see ``comoments``), both orders of a pair emitted. Constant columns give
+    NULL (pandas NaN) instead of an ANSI error; so does an empty frame, which gives no row otherwise.
     """
     cols = list(cols) if cols is not None else columns_of_type(df, "number")
-    clean = df.select(*[_clean(df, c).alias(c) for c in cols])
-    pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
-    one = clean.agg(*[_pair_corr(F.col(cols[i]), F.col(cols[j])).alias(f"_c{i}_{j}")
-                      for i, j in pairs])
-    structs = []
-    for i, j in pairs:
-        structs.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                                F.col(f"_c{i}_{j}").alias("corr")))
-        if i != j:
-            structs.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"),
-                                    F.col(f"_c{i}_{j}").alias("corr")))
-    return one.select(F.explode(F.array(*structs)).alias("_s")).select("_s.*")
+    values = [_clean(df, c) for c in cols]
+    return correlations(df, values, values).select(_names(cols, "i").alias("col_a"), _names(cols, "j").alias("col_b"), "corr")
 
 
 def cross_correlation(df: DataFrame, targets: Sequence[str], group_col: str,
@@ -140,9 +122,9 @@ def cross_correlation(df: DataFrame, targets: Sequence[str], group_col: str,
                       features: Sequence[str] | None = None) -> DataFrame:
     """A7 (+P15): correlation of each target with each other numeric column, per group.
 
-    One grouped pass (``groupBy(group_col)`` with partial aggregation) replaces the
-    per-group driver loop. NULL groups are dropped; with ``threshold`` cells with
-    |corr| below it become NULL. Output: (group, target, feature, corr).
+    One pass with a co-moment block per group and task replaces the per-group driver loop. NULL groups
+    are dropped; with ``threshold`` cells with |corr| below it become NULL. Output: (group, target, feature,
+    corr).
     """
     targets = list(targets)
     if features is None:
@@ -151,14 +133,8 @@ def cross_correlation(df: DataFrame, targets: Sequence[str], group_col: str,
     base = df.where(F.col(group_col).isNotNull())
     if groups is not None:
         base = base.where(F.col(group_col).isin(list(groups)))
-    clean = base.select(F.col(group_col).alias("group"),
-                        *[_clean(df, c).alias(c) for c in targets + features])
-    cells = [(t, f) for t in targets for f in features]
-    agg = clean.groupBy("group").agg(*[_pair_corr(F.col(t), F.col(f)).alias(f"_c{k}")
-                                       for k, (t, f) in enumerate(cells)])
-    structs = [F.struct(F.lit(t).alias("target"), F.lit(f).alias("feature"),
-                        F.col(f"_c{k}").alias("corr")) for k, (t, f) in enumerate(cells)]
-    out = agg.select("group", F.explode(F.array(*structs)).alias("_s")).select("group", "_s.*")
+    out = correlations(base, [_clean(df, t) for t in targets], [_clean(df, f) for f in features], F.col(group_col)).select(
+        F.col("g").alias("group"), _names(targets, "i").alias("target"), _names(features, "j").alias("feature"), "corr")
     if threshold is not None:
         out = out.withColumn("corr", mask_below("corr", threshold))
     return out
@@ -168,24 +144,19 @@ def variance_inflation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """VIF per column = diagonal of the inverse correlation matrix (intercept model).
 
     Rows with any NULL/NaN in ``cols`` are dropped; the p x p correlation matrix is
-    one Spark aggregation; only its p^2 numbers come to the driver to be inverted.
+    one pass of co-moment blocks; only its p^2 numbers come to the driver to be inverted.
     A constant column and a column that the others determine have a NULL VIF; the others keep
     theirs (least squares on the remaining columns). Sorted descending.
     """
     cols = list(cols)
     spark = df.sparkSession
     clean = df.select(*[_clean(df, c).alias(c) for c in cols]).dropna()
-    pairs = list(itertools.combinations(range(len(cols)), 2))
-    row = clean.agg(*[_pair_corr(F.col(cols[i]), F.col(cols[j])).alias(f"_c{i}_{j}")
-                      for i, j in pairs]).first()
     p = len(cols)
-    r = np.eye(p)
-    known = np.eye(p, dtype=bool)
-    for i, j in pairs:
-        v = row[f"_c{i}_{j}"] if row is not None else None
-        if v is not None:
-            r[i, j] = r[j, i] = v
-            known[i, j] = known[j, i] = True
+    r, known = np.eye(p), np.eye(p, dtype=bool)
+    for x in correlations(clean, [F.col(c) for c in cols], [F.col(c) for c in cols]).collect():  # p x p
+        if x["i"] != x["j"] and x["corr"] is not None:
+            r[x["i"], x["j"]], known[x["i"], x["j"]] = x["corr"], True
+    r = (r + r.T) / 2
     # a column without a correlation to any other is constant
     use = [i for i in range(p) if p == 1 or known[i].sum() > 1]
     m = r[np.ix_(use, use)]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,3 +86,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for intermediate written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and read it again. Unlike a checkpoint the
+    result has a known size in bytes, by which Spark decides whether a join may broadcast it."""
+    path = scratch_dir(df.sparkSession, f"tables/{uuid.uuid4().hex}/{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
