@@ -13,7 +13,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecraft.operators.ordered import exact_quantiles, ordered_scan
+from ratecraft.operators.joins import left_join
+from ratecraft.operators.ordered import ordered_scan, partitions_of
+from ratecraft.operators.patience import early_stops
+from ratecraft.operators.quantiles import exact_quantiles
 
 
 def step_index(metrics: DataFrame, trial: str, order: Sequence[str], out: str = "step") -> DataFrame:
@@ -43,16 +46,16 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
     when the trial never stops); ``best_loss`` is the best loss at the stop (or at
     the end).
 
-    At delta 0 best is the running maximum of score, so the rule is two prefix
-    scans. With delta > 0 improvements are prefix-maximum records and the
+    At delta 0 best is the running maximum of score; sorted chunks are reduced to summaries
+    that compose (``patience.py``). With delta > 0 improvements are prefix-maximum records and the
     improvement chain is found by pointer doubling (``_early_stop_chain``); with
     delta < 0 next-pointers come from a bounded look-ahead of ``patience`` rows
     (``_early_stop_lookahead``). All three are skew-safe: no trial is processed in
     one task.
 
-    NaN losses: no comparison with NaN holds, so a NaN counts as an improvement, and with NaN
-    as the best all later rows do too. A trial that has not stopped before its first NaN
-    never stops, and its best loss is NaN. With ``strict`` NaN is an error: clean it first.
+    NaN losses: no comparison with NaN holds, so a NaN counts as an improvement, and so does the loss after it,
+    which is the best from then on. ``best_loss`` is NaN where the last loss is. With ``strict`` NaN is an error:
+    clean it first. Rows without a loss are left out; rows without a trial id are one trial.
     """
     order = _order_cols(step)
     base = metrics.select(F.col(trial).alias("trial_id"),
@@ -62,40 +65,40 @@ def early_stop(metrics: DataFrame, trial: str, step: str | Sequence[str], loss:
     okeys = [f"_o{i}" for i in range(len(order))]
     if strict:
         no_nan = F.when(F.isnan("_score"), F.raise_error(F.lit("NaN loss under the strict rule"))).otherwise(F.col("_score"))
-        return _early_stop_rule(base.withColumn("_score", no_nan), okeys, patience, delta, strict)
-    # few trials have a NaN: AQE broadcasts their first ones, and drops the joins when there are none
-    place = F.struct(*okeys)
-    bad = base.where(F.isnan("_score") & F.col("trial_id").isNotNull()).groupBy("trial_id").agg(F.min(place).alias("_first_nan"))
-    sound = base.join(bad, "trial_id", "left").where(F.col("_first_nan").isNull() | (place < F.col("_first_nan"))) \
-        .drop("_first_nan")
-    told = _early_stop_rule(sound, okeys, patience, delta, strict)
-    return told.join(bad, "trial_id", "full_outer").select(
-        "trial_id", "stop_index",
-        F.when(F.col("_first_nan").isNotNull() & F.col("stop_index").isNull(), F.lit(float("nan")))
-        .otherwise(F.col("best_loss")).alias("best_loss"))
+        base = base.withColumn("_score", no_nan)
+    if delta == 0.0:
+        return early_stops(base, okeys, patience, strict, partitions_of(base))
+    if strict or base.where(F.isnan("_score")).isEmpty():
+        return _early_stop_rule(base, okeys, patience, delta, strict)
+    return _early_stop_after_nan(base, okeys, patience, delta)
+
+
+def _early_stop_after_nan(base: DataFrame, okeys: list[str], patience: int, delta: float) -> DataFrame:
+    """``early_stop`` with a delta where losses are NaN: each stretch between NaN rows is a trial of its own;
+    the first stretch that stops is the trial's."""
+    from ratecraft.session import cut_lineage
+
+    s = ordered_scan(base, ["trial_id"], okeys, index="_i")
+    # the stretch of a row is named by the last NaN row before it
+    s = ordered_scan(s.withColumn("_nan", F.when(F.isnan("_score"), F.col("_i"))), ["trial_id"], ["_i"], index=None,
+                     running=[("max", "_nan", "_after", True)])
+    s = cut_lineage(s.select("trial_id", "_i", "_score", F.coalesce("_after", F.lit(-1)).cast("long").alias("_after")))
+    stretch = F.struct("trial_id", "_after").alias("trial_id")
+    told = _early_stop_rule(s.where(~F.isnan("_score")).select(stretch, F.col("_i").alias("_o0"), "_score"), ["_o0"], patience, delta, False)
+    told = told.select("trial_id.*", (F.col("stop_index") + F.col("_after") + 1).alias("stop_index"), "best_loss")
+    ends = s.groupBy("trial_id").agg(F.max_by("_score", "_i").alias("_last"))
+    first = told.groupBy("trial_id").agg(F.min("stop_index").alias("stop_index"), F.min_by("best_loss", "stop_index").alias("_stopped"),
+                                         F.max_by("best_loss", "_after").alias("_end"))
+    return left_join(ends, first, ["trial_id"]).select(
+        "trial_id", "stop_index", F.when(F.col("stop_index").isNotNull(), F.col("_stopped"))
+        .when(F.isnan("_last"), F.lit(float("nan"))).otherwise(F.col("_end")).alias("best_loss"))
 
 
 def _early_stop_rule(base: DataFrame, okeys: list[str], patience: int, delta: float, strict: bool) -> DataFrame:
-    """``early_stop`` of (trial_id, order keys, _score) without NaN."""
+    """``early_stop`` with a delta of (trial_id, order keys, _score) without NaN."""
     if delta > 0.0:
         return _early_stop_chain(base, okeys, patience, delta, strict)
-    if delta < 0.0:
-        return _early_stop_lookahead(base, okeys, patience, delta, strict)
-    s = ordered_scan(base, ["trial_id"], okeys, index="_i",
-                     running=[("max", "_score", "_best_prev", False)])
-    better = (F.col("_score") > F.col("_best_prev")) if strict else \
-        (F.col("_score") >= F.col("_best_prev"))
-    s = s.withColumn("_imp", F.when(F.col("_best_prev").isNull() | better, F.col("_i")))
-    s = ordered_scan(s, ["trial_id"], ["_i"], index=None,
-                     running=[("max", "_imp", "_last_imp", True)])
-    counter = F.col("_i") - F.col("_last_imp")
-    stops = (s.where(counter >= patience).groupBy("trial_id")
-             .agg(F.min("_i").alias("stop_index"),
-                  F.min_by(-F.col("_best_prev"), F.col("_i")).alias("_best_at_stop")))
-    overall = base.groupBy("trial_id").agg((-F.max("_score")).alias("_best_end"))
-    return (overall.join(stops, "trial_id", "left")
-            .select("trial_id", F.col("stop_index").cast("long"),
-                    F.coalesce("_best_at_stop", "_best_end").alias("best_loss")))
+    return _early_stop_lookahead(base, okeys, patience, delta, strict)
 
 
 def _chain_members(start: DataFrame, nxt: DataFrame) -> DataFrame:
@@ -287,5 +290,4 @@ def interval_summary(samples: DataFrame, keys: Sequence[str], value: str, lo: fl
     q = (exact_quantiles(clean, "_v", [lo / 100, hi / 100], keys=keys)
          .groupBy(*keys).pivot("p", [lo / 100, hi / 100]).agg(F.first("q")))
     q = q.toDF(*keys, "lower_95", "upper_95")
-    from ratecraft.operators.joins import left_join
     return left_join(means, q, keys)  # null-safe: a NULL key keeps its bounds
