@@ -77,11 +77,15 @@ def background_kmeans(df: DataFrame, num: Sequence[str], cat: Sequence[str] = ()
     centres = (assigned.groupBy("_cluster")
                .agg(F.count(F.lit(1)).alias("_n"), *[F.avg(c).alias(c) for c in num]))
     centres = centres.withColumn("_weight", F.col("_n") / total)
-    for c in cat:
-        counts = assigned.groupBy("_cluster", c).agg(F.count(F.lit(1)).alias("_k"))
-        mode = counts.groupBy("_cluster").agg(
-            F.max_by(F.col(c), F.struct(F.col("_k"), -F.hash(F.col(c)))).alias(c))
-        centres = centres.join(mode, "_cluster", "left")
+    if cat:
+        # one count of (cluster, column, level) for all categories; the least level of the greatest count
+        levels = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("level")) for i, c in enumerate(cat)]))
+        modes = (assigned.select("_cluster", levels.alias("_s")).groupBy("_cluster", "_s.i", "_s.level")
+                 .agg(F.count(F.lit(1)).alias("_k")).groupBy("_cluster", "i")
+                 .agg(F.min_by(F.struct("level"), F.struct((-F.col("_k")).alias("k"), "level")).alias("_m")))
+        wide = modes.groupBy("_cluster").agg(*[F.max(F.when(F.col("i") == i, F.col("_m.level"))).cast(assigned.schema[c].dataType).alias(c)
+                                               for i, c in enumerate(cat)])
+        centres = centres.join(wide, "_cluster", "left")
     return centres.drop("_n")
 
 

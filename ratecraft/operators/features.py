@@ -2,8 +2,8 @@
 
 Fitted state is parameter-sized (a mean and deviation per column, a level table
 per category) and kept as a DataFrame so it can be saved beside a model. Numeric
-transforms are literal projections (whole-stage codegen); level tables are joined,
-broadcast only when their checked row count is under a bound.
+transforms are literal projections (whole-stage codegen); level tables are written, so
+Spark knows their bytes when it decides whether their join may broadcast them.
 """
 
 from __future__ import annotations
@@ -21,9 +21,7 @@ from ratecraft.errors import MissingColumnsError, UnknownCategoryError, Validati
 from ratecraft.functions.scalar import null_as_category
 from ratecraft.operators.ordered import ordered_scan
 from ratecraft.operators.ranking import hash_key
-
-# Level tables with at most this many rows are broadcast to every task.
-BROADCAST_LEVELS = 1_000_000
+from ratecraft.session import written
 
 
 def _clean(df: DataFrame, c: str) -> F.Column:
@@ -118,7 +116,7 @@ class OrdinalEncoder:
     """Level -> code in byte order of the level text, unknown -> -1.
 
     The level table (column, level, code) is built with distributed ranks (range
-    partitioning, no single-partition window) and checkpointed. A missing value is
+    partitioning, no single-partition window) and written. A missing value is
     the level 'nan'.
     """
 
@@ -132,7 +130,7 @@ class OrdinalEncoder:
                                              null_as_category(c).alias("level")) for c in cols]))
         distinct = df.select(stack.alias("_s")).select("_s.column", "_s.level").distinct()
         ranked = ordered_scan(distinct, ["column"], ["level"], index="code")
-        self.levels = ranked.select("column", "level", F.col("code").cast("long").alias("code"))
+        self.levels = written(ranked.select("column", "level", F.col("code").cast("long").alias("code")), "levels")
         self.n_levels = self.levels.count()
         return self
 
@@ -143,12 +141,9 @@ class OrdinalEncoder:
         cols = list(cols) if cols is not None else [
             r[0] for r in self.levels.select("column").distinct().collect()]
         out = df
-        small = self.n_levels is not None and self.n_levels <= BROADCAST_LEVELS
         for c in cols:
             m = self.levels.where(F.col("column") == c).select(
                 F.col("level").alias(f"__lvl_{c}"), F.col("code").alias(c + suffix))
-            if small:
-                m = F.broadcast(m)
             out = (out.join(m, null_as_category(c) == F.col(f"__lvl_{c}"), "left")
                    .drop(f"__lvl_{c}")
                    .withColumn(c + suffix, F.coalesce(F.col(c + suffix), F.lit(unknown).cast("long"))))

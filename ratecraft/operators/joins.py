@@ -1,8 +1,8 @@
 """Joins (J1-J6).
 
 Physical strategy is left to Catalyst and AQE. A side is broadcast explicitly only
-when the caller states a row bound and a cheap bounded count (``limit(n+1)``)
-proves it; otherwise AQE measures the materialised side at runtime and converts
+when the caller states a row bound and a probe of ``limit(n+1)`` rows proves it and
+a bound on their bytes; otherwise AQE measures the materialised side at runtime and converts
 to a broadcast join only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
 AQE's skew-join split handles a hot key on the large side.
 """
@@ -18,9 +18,15 @@ from pyspark.sql import functions as F
 from ratecraft.errors import DuplicateKeyError, MissingColumnsError
 
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most max_rows+1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+BROADCAST_BYTES = 32 << 20
+
+
+def fits(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and, written as JSON, ``max_bytes`` bytes. Reads at most
+    max_rows + 1 rows."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows, used = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return rows <= max_rows and used <= max_bytes
 
 
 def duplicate_keys(right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -65,12 +71,12 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
         raise ValueError(f"unsupported validate={validate!r}")
     if not null_safe:
         r = right
-        if broadcast_max_rows is not None and fits_rows(right, broadcast_max_rows):
+        if broadcast_max_rows is not None and fits(right, broadcast_max_rows):
             r = F.broadcast(right)
         return left.join(r, on=keys, how=how)
     tag = "__r_"
     r = right.select(*[F.col(c).alias(tag + c) if c in keys else F.col(c) for c in right.columns])
-    if broadcast_max_rows is not None and fits_rows(right, broadcast_max_rows):
+    if broadcast_max_rows is not None and fits(right, broadcast_max_rows):
         r = F.broadcast(r)
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[tag + k]) for k in keys])
     out = left.join(r, cond, how)

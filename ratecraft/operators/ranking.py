@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -43,6 +43,15 @@ def bottom_n(df: DataFrame, key: str, value: str, n: int = 5) -> DataFrame:
     return low.orderBy(F.desc(value), F.asc_nulls_last(key))
 
 
+def top_n_by(df: DataFrame, by: Sequence[str], key: str, value: str, n: int = 5, largest: bool = True) -> DataFrame:
+    """K2/K3 per group: the rows of the ``n`` largest (or smallest non-NULL) values of each group ``by``, with
+    a 1-based ``rank``. Tasks keep n rows per group before the shuffle (window group limit)."""
+    value_order = F.desc_nulls_last(value) if largest else F.asc(value)
+    rows = df if largest else df.where(F.col(value).isNotNull())
+    w = Window.partitionBy(*by).orderBy(value_order, F.asc_nulls_last(key) if largest else F.desc_nulls_last(key))
+    return rows.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)
+
+
 def sort_stable(df: DataFrame, value: str, position: str, descending: bool = True) -> DataFrame:
     """K4: sort by ``value`` with an explicit tie-break on an original position column."""
     v = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)

@@ -26,9 +26,6 @@ from ratecraft.operators.joins import duplicate_keys, left_join, remaining_trial
 from ratecraft.operators.metrics import regression_metrics
 from ratecraft.plans import tables as T
 
-NATION_ROWS = 10_000  # explicit broadcast bound for the nation dimension
-
-
 def _round_doubles(df: DataFrame, digits: int = 9, skip: tuple = ()) -> DataFrame:
     return df.select(*[round_sig(c, digits).alias(c)
                        if isinstance(df.schema[c].dataType, (DoubleType, FloatType)) and c not in skip
@@ -39,7 +36,6 @@ def _round_doubles(df: DataFrame, digits: int = 9, skip: tuple = ()) -> DataFram
 
 def rate_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: rate per 100,000 by (nation, year, priority), return flags as columns."""
-    T.require_sites(spark, sf_dir)
     r = T.rate_long(spark, sf_dir)
     p = A.pivot_mean(r, ["nk", "yr", "pr", "population"], "site", "rate", pivot_values=T.SITES)
     return p.select("nk", "yr", "pr", "population",
@@ -107,20 +103,21 @@ def coerce_int(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- ranking --------------------------------------------------------------------------
 
 def _nation_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = T.rate_long(spark, sf_dir).where(F.col("site") == "R")
-    m = A.group_mean(r, ["nk"], "rate", alias="mean_rate")
+    r = T.rate_long(spark, sf_dir).where(F.col("site").isNotNull())
+    m = A.group_mean(r, ["site", "nk"], "rate", alias="mean_rate")
     n = T.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nk"), "n_name")
-    return left_join(m, n, ["nk"], null_safe=False, broadcast_max_rows=NATION_ROWS)
+    return left_join(m, n, ["nk"], null_safe=False)
 
 
 def top5_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2 + K2: five nations with the highest mean rate of returned items."""
-    return K.top_n(_nation_means(spark, sf_dir), "nk", "_mean", 5).select("nk", "n_name", "mean_rate")
+    """A2 + K2: per return flag the five nations with the highest mean rate."""
+    return K.top_n_by(_nation_means(spark, sf_dir), ["site"], "nk", "_mean", 5).select("site", "rank", "nk", "n_name", "mean_rate")
 
 
 def bottom5_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A2 + K3: five nations with the lowest mean rate, listed worst last."""
-    return K.bottom_n(_nation_means(spark, sf_dir), "nk", "_mean", 5).select("nk", "n_name", "mean_rate")
+    """A2 + K3: per return flag the five nations with the lowest mean rate, the lowest with rank 1."""
+    return K.top_n_by(_nation_means(spark, sf_dir), ["site"], "nk", "_mean", 5, largest=False) \
+        .select("site", "rank", "nk", "n_name", "mean_rate")
 
 
 def rank_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,20 +277,20 @@ def first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- dependence -----------------------------------------------------------------------
 
-VIF_COLS = ("l_quantity", "l_extendedprice", "l_discount")
+VIF_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 def vif(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Variance inflation of three line-item measures."""
+    """Variance inflation of the line-item measures."""
     return _round_doubles(PR.variance_inflation(T.table(spark, sf_dir, "lineitem"), VIF_COLS))
 
 
-MI_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
-MI_TARGETS = ("l_extendedprice",)
+MI_FEATURES = ("l_quantity", "l_discount", "l_linenumber")
+MI_TARGETS = ("l_extendedprice", "l_tax")
 
 
 def mutual_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Binned (quartile) mutual information of measures with price."""
+    """Binned (quartile) mutual information of measures, averaged over price and tax."""
     li = T.table(spark, sf_dir, "lineitem")
     return _round_doubles(PR.mutual_information(li, MI_FEATURES, MI_TARGETS, bins=4))
 
@@ -401,12 +398,7 @@ def regression_metrics_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _line_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratecraft.operators.explain import linear_attribution as x1
     li = T.table(spark, sf_dir, "lineitem")
-    feats = sorted({f for c in FIXED_MODEL.values() for f in c if f != "intercept"})
-    # Centre at the column means rounded to 6 decimals (a fixed reference point).
-    row = li.agg(*[F.round(F.avg(f), 6).alias(f) for f in feats]).first()
-    means = {f: row[f] for f in feats}
-    parts = [x1(li, coefs, ["l_orderkey", "l_linenumber"], means=means, target=t)
-             for t, coefs in FIXED_MODEL.items()]
+    parts = [x1(li, coefs, ["l_orderkey", "l_linenumber"], target=t) for t, coefs in FIXED_MODEL.items()]
     out = parts[0]
     for q in parts[1:]:
         out = out.unionByName(q)
@@ -415,7 +407,7 @@ def _line_attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def linear_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per line item and target, phi = w * (x - mean(x)) of the fixed scorer."""
-    return _line_attributions(spark, sf_dir)
+    return _line_attributions(spark, sf_dir).withColumn("phi", F.round("phi", 6))
 
 
 def topk_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,11 +446,11 @@ def fit_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7: 95% bootstrap intervals (20 weighted linear refits) for every row."""
+    """M7: 95% bootstrap intervals (100 weighted linear refits) for every row."""
     from ratecraft.operators.models import predict_interval
     df = FE.holdout_split(model_table(spark, sf_dir), LINE_KEYS, 0.2, 42)
     train = df.where(~F.col("is_test"))
-    out = predict_interval(df, train, MODEL_SPEC, MODEL_SPEC.target, LINE_KEYS, iterations=20)
+    out = predict_interval(df, train, MODEL_SPEC, MODEL_SPEC.target, LINE_KEYS, iterations=100)
     return out.select(*LINE_KEYS, *[c for c in out.columns if c.endswith(("_pred", "_95"))])
 
 
@@ -525,17 +517,19 @@ def fit_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M3 + M5: 3 candidates x 2 hashed folds by mean R^2, best refitted on all rows;
-    returns the candidate table with the chosen one flagged."""
+    """M3 + M5: 3 candidates x 2 hashed folds by mean R^2, best refitted on all rows; returns the
+    candidate table with the chosen one flagged and the refit's R^2 on all rows beside it."""
     from ratecraft.operators.models import random_search_cv, refit_best
     p = T.table(spark, sf_dir, "part")
     space = {"n_estimators": ("int", 3, 6), "max_depth": ("int", 2, 4)}
     best, table = random_search_cv(p, PART_SPEC, PART_SPEC.target, space, n_iter=3, folds=2,
                                    seed=5, keys=["p_partkey"], parallelism=3)
-    refit_best(p, PART_SPEC, PART_SPEC.target, best, rows="all")
+    refit = refit_best(p, PART_SPEC, PART_SPEC.target, best, rows="all").predict(p)
+    r2 = regression_metrics(refit, {t: t + "_pred" for t in PART_SPEC.target}).agg(F.avg("r2")).first()[0]
     chosen = F.create_map(*[x for k, v in best.items() for x in (F.lit(k), F.lit(str(v)))])
     return table.select("trial_id", F.to_json("params").alias("params"), "mean_r2",
-                        (F.to_json("params") == F.to_json(chosen)).alias("chosen"))
+                        (F.to_json("params") == F.to_json(chosen)).alias("chosen"),
+                        F.when(F.to_json("params") == F.to_json(chosen), F.lit(r2)).alias("refit_r2"))
 
 
 def saved_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,19 +114,19 @@ FROM (SELECT o_orderkey, o_totalprice,
 """
 
 _NATION_MEANS = f"""
-  SELECT m.nk, n.n_name, m._mean, CAST(trunc(m._mean) AS BIGINT) AS mean_rate
-  FROM (SELECT nk, avg(rate) AS _mean FROM ({_RATE_LONG}) r
-        WHERE site = 'R' AND nk IS NOT NULL GROUP BY nk) m
+  SELECT m.site, m.nk, n.n_name, m._mean, CAST(trunc(m._mean) AS BIGINT) AS mean_rate
+  FROM (SELECT site, nk, avg(rate) AS _mean FROM ({_RATE_LONG}) r
+        WHERE site IS NOT NULL AND nk IS NOT NULL GROUP BY site, nk) m
   LEFT JOIN nation n ON m.nk = n.n_nationkey"""
 
 TOP5_NATIONS = f"""
-SELECT nk, n_name, mean_rate FROM ({_NATION_MEANS})
-ORDER BY _mean DESC NULLS LAST, nk LIMIT 5
+SELECT site, CAST(row_number() OVER (PARTITION BY site ORDER BY _mean DESC NULLS LAST, nk) AS BIGINT) AS rank, nk, n_name, mean_rate
+FROM ({_NATION_MEANS}) QUALIFY rank <= 5
 """
 
 BOTTOM5_NATIONS = f"""
-SELECT nk, n_name, mean_rate FROM ({_NATION_MEANS}) WHERE _mean IS NOT NULL
-ORDER BY _mean ASC, nk DESC LIMIT 5
+SELECT site, CAST(row_number() OVER (PARTITION BY site ORDER BY _mean, nk DESC) AS BIGINT) AS rank, nk, n_name, mean_rate
+FROM ({_NATION_MEANS}) WHERE _mean IS NOT NULL QUALIFY rank <= 5
 """
 
 RANK_SEGMENTS = """
@@ -343,18 +343,26 @@ LIMIT 100
 FIRST_N = "SELECT o_orderkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 20"
 
 
+def _determinant(m: list) -> str:
+    """Laplace expansion of a matrix of SQL terms along its first row."""
+    if len(m) == 1:
+        return m[0][0]
+    minors = [_determinant([r[:j] + r[j + 1:] for r in m[1:]]) for j in range(len(m))]
+    return "(" + " ".join(f"{'-' if j % 2 else '+'} {m[0][j]} * {d}" for j, d in enumerate(minors)) + ")"
+
+
 def _vif() -> str:
-    a, b, c = VIF_COLS
-    src = f"(SELECT {a} AS x1, {b} AS x2, {c} AS x3 FROM lineitem WHERE {a} IS NOT NULL AND {b} IS NOT NULL AND {c} IS NOT NULL)"
-    r = {k: f"covar_pop({u}, {v}) / nullif(stddev_pop({u}) * stddev_pop({v}), 0)"
-         for k, (u, v) in {"r12": ("x1", "x2"), "r13": ("x1", "x3"), "r23": ("x2", "x3")}.items()}
-    det = "(1 + 2 * r12 * r13 * r23 - r12 * r12 - r13 * r13 - r23 * r23)"
-    return f"""
-WITH r AS (SELECT {r['r12']} AS r12, {r['r13']} AS r13, {r['r23']} AS r23 FROM {src})
-SELECT '{a}' AS feature, {sig(f'(1 - r23 * r23) / {det}')} AS vif FROM r
-UNION ALL SELECT '{b}', {sig(f'(1 - r13 * r13) / {det}')} FROM r
-UNION ALL SELECT '{c}', {sig(f'(1 - r12 * r12) / {det}')} FROM r
-"""
+    """VIF of column i: determinant of the correlations without it over that of all."""
+    n = len(VIF_COLS)
+    known = " AND ".join(f"{c} IS NOT NULL" for c in VIF_COLS)
+    corr = ", ".join(f"covar_pop({VIF_COLS[i]}, {VIF_COLS[j]}) / nullif(stddev_pop({VIF_COLS[i]}) * stddev_pop({VIF_COLS[j]}), 0) AS r{i}{j}"
+                     for i in range(n) for j in range(i + 1, n))
+    m = [["1.0" if i == j else f"r{min(i, j)}{max(i, j)}" for j in range(n)] for i in range(n)]
+    parts = []
+    for i, c in enumerate(VIF_COLS):
+        rest = [[v for k, v in enumerate(row) if k != i] for j, row in enumerate(m) if j != i]
+        parts.append(f"SELECT '{c}' AS feature, {sig(f'({_determinant(rest)} / {_determinant(m)})')} AS vif FROM r")
+    return f"WITH r AS (SELECT {corr} FROM lineitem WHERE {known})\n" + _union(parts)
 
 
 def _mutual_info() -> str:
@@ -498,7 +506,7 @@ def _regression_metrics() -> str:
 
 def _linear_attribution() -> str:
     feats = sorted({f for c in FIXED_MODEL.values() for f in c if f != "intercept"})
-    mu = ", ".join(f"round(avg({f}), 6) AS m_{f}" for f in feats)
+    mu = ", ".join(f"avg({f}) AS m_{f}" for f in feats)
     parts = []
     for t, coefs in FIXED_MODEL.items():
         for f in coefs:
@@ -510,7 +518,7 @@ def _linear_attribution() -> str:
 
 
 LINEAR_ATTRIBUTION = _linear_attribution() + f"""
-SELECT l_orderkey, l_linenumber, target, feature, phi FROM a
+SELECT l_orderkey, l_linenumber, target, feature, round(phi, 6) AS phi FROM a
 """
 
 TOPK_FEATURES = _linear_attribution() + f"""
