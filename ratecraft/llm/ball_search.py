@@ -12,7 +12,7 @@ Steps, for each block of items (at most ``BLOCK_BYTES`` of item text; blocks are
    as Parquet; N, L and the df of the block's terms are grouped sums over that table.
 2. Each task takes its documents in chunks of bounded size, scales x by sqrt(w) and builds a balanced
    ball tree: a node has a centroid and a radius that covers its documents. By the Cauchy-Schwarz
-   inequality no document of a node scores above q.c + |q| r. All rounding errors of c, r and that
+   inequality no document of a node scores above q.c + |q| r, q being cut to the terms that occur in the node. All rounding errors of c, r and that
    bound are covered (all quantities are non-negative, so errors are relative and bounded by the
    number of terms). Nodes are visited best bound first and the search ends when the best bound left is
    below the k-th score found by this task so far; equal bounds are still visited, so ties are exact.
@@ -158,8 +158,10 @@ class BallTree:
 
     def bounds(self, terms: np.ndarray, w: np.ndarray) -> np.ndarray:
         """For every node a number that no document's score in it exceeds."""
-        q = np.sqrt(w)
-        return (q @ self.centres[terms] + math.sqrt(w.sum()) * self.radii) * (1 + 4 * self.slack)
+        centres = self.centres[terms]
+        # terms that no document of a node holds (their centre is 0) add nothing to any score there
+        norm = np.sqrt(w @ (centres > 0))
+        return (np.sqrt(w) @ centres + norm * self.radii) * (1 + 4 * self.slack)
 
     def search(self, terms: np.ndarray, w: np.ndarray, best: Best, ids: np.ndarray, no_id: np.ndarray) -> None:
         if not len(terms):
@@ -255,7 +257,8 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, doc_id: str = "doc_id
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").cast("binary").alias("text"))
     items = items.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")) \
         .where(F.length("text") > 0).distinct()
-    blocks = max(1, math.ceil((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / block_bytes))
+    count, size = items.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    blocks = max(1, min(count, math.ceil((size or 0) / block_bytes)))
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
     out = []
     for b in range(blocks):
