@@ -31,9 +31,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(_table(spark, sf_dir, "pages"), path)
-    return warc.read_archive(spark, path).select(
-        F.col("key").alias("page_id"), "payload_bytes", "payload_digest",
-        F.col("type").alias("record_type"), "refers_to")
+    payload = warc.payload_of(F.col("record"))
+    return warc.original_record(warc.read_archive(spark, path)).select(
+        F.col("key").alias("page_id"), F.octet_length(payload).cast("long").alias("payload_bytes"),
+        F.sha2(payload, 256).alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ in an independent 64-bit hash; on reading, every stored payload is hashed again.
 ends the job with an error, so two different payloads never become one.
 
 Defined cases: a null payload is the empty payload; a null url has no WARC-Target-URI line; line
-breaks in a url are percent-encoded in the header; a null key counts as larger than any other.
+breaks in a url are percent-encoded in the header, and the exact url is kept beside it; a null key counts as larger than any other.
 Repeated rows are records of their own: all but one revisit. An empty table makes an empty
 archive. Other columns of the input are not read, so their names cannot clash.
 """
@@ -67,13 +67,13 @@ def write_archive(records: DataFrame, path: str, key: str = "page_id", url: str
     first = first.select("digest", "first", F.when(clash, F.raise_error(F.lit(
         "two payloads share a SHA-256 digest"))).otherwise(F.col("copies")).cast("long").alias("copies"),
         "n_bytes").where((F.col("copies") > 1) & (F.col("n_bytes") >= min_revisit_bytes))
-    typed = index.join(first.select("digest", "first"), "digest", "left")
+    typed = index.join(first.select("digest", "first"), "digest", "left").withColumnRenamed("url", "exact_url")
     revisit = F.col("first").isNotNull() & (F.col("first.no") != F.col("no"))
     typed = typed.select(
         "key", "no", "digest", "n_bytes", F.when(revisit, "revisit").otherwise("response").alias("type"),
         F.when(revisit, F.col("first.key")).alias("refers_to"),
         F.when(revisit, _record_urn(F.col("first.key"), F.col("first.no"))).alias("refers_urn"),
-        F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")).alias("target"))
+        "exact_url", F.replace(F.replace(F.col("exact_url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A")).alias("target"))
     header = F.concat(
         F.lit(f"WARC/1.1{CRLF}"), _header_line("WARC-Type", F.col("type")),
         _header_line("WARC-Record-ID", _record_urn(F.col("key"), F.col("no"))),
@@ -84,7 +84,7 @@ def write_archive(records: DataFrame, path: str, key: str = "page_id", url: str
         _header_line("Content-Type", F.lit(content_type)),
         _header_line("Content-Length", F.when(F.col("type") == "revisit", "0")
                      .otherwise(F.col("n_bytes").cast("string"))), F.lit(CRLF))
-    typed.select("key", "no", "digest", header.alias("header")).write.parquet(f"{path}/headers")
+    typed.select("key", "no", "digest", "exact_url", header.alias("header")).write.parquet(f"{path}/headers")
 
 
 def _field(name: str) -> Column:
@@ -94,7 +94,7 @@ def _field(name: str) -> Column:
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """One row per record: key, type, refers_to (key of the response), header, payload (full
-    bytes), payload_bytes and payload_digest (of the stored bytes, hashed again), target.
+    bytes), payload_bytes and payload_digest (of the stored bytes, hashed again), target (the exact url).
 
     Fields come from the header block; the payload from the payload table through its digest.
     """
@@ -105,7 +105,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
                                .otherwise(F.raise_error(F.lit("a stored payload does not match its digest"))))
     headers = spark.read.parquet(f"{path}/headers").select(
         "digest", "key", "no", "header", _field("WARC-Type").alias("type"),
-        _field("WARC-Target-URI").alias("target"), _field("WARC-Refers-To").alias("urn"))
+        F.col("exact_url").alias("target"), _field("WARC-Refers-To").alias("urn"))
     # a digest without its payload is a damaged archive: the left join shows it, the check ends the job
     out = headers.join(stored, "digest", "left")
     lost = F.raise_error(F.lit("a record's payload is missing from the archive"))
@@ -116,7 +116,19 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def original_record(archive: DataFrame) -> DataFrame:
-    """``archive`` with ``record``: the record's bytes as they were first fetched, header block,
-    full payload and the two closing line breaks (a revisit's payload is its response's)."""
-    return archive.withColumn("record", F.concat(
-        F.encode("header", "UTF-8"), F.col("payload"), F.encode(F.lit(CRLF * 2), "UTF-8")))
+    """``archive`` with ``record``: the record's bytes as they were before equal payloads were stored once: header
+    block, full payload and the two closing line breaks. A revisit becomes the response that it was: its type,
+    its length, and no reference."""
+    own = F.col("header")
+    for pattern, by in (("WARC-Type: revisit", "WARC-Type: response"), (r"WARC-Refers-To: [^\r]*\r\n", ""), (r"WARC-Profile: [^\r]*\r\n", "")):
+        own = F.regexp_replace(own, F.lit(rf"(?<=\r\n){pattern}"), F.lit(by))
+    own = F.regexp_replace(own, F.lit(r"(?<=\r\nContent-Length: )0(?=\r\n)"), F.col("payload_bytes").cast("string"))
+    header = F.when(F.col("type") == "revisit", own).otherwise(F.col("header"))
+    return archive.withColumn("record", F.concat(F.encode(header, "UTF-8"), F.col("payload"), F.encode(F.lit(CRLF * 2), "UTF-8")))
+
+
+def payload_of(record: Column) -> Column:
+    """The payload read from a rebuilt record: as many bytes behind its header block as the block says."""
+    head = F.substring_index(F.decode(record, "UTF-8"), CRLF * 2, 1)
+    length = F.regexp_extract(head, r"\r\nContent-Length: (\d+)$", 1).cast("int")
+    return F.substring(record, F.octet_length(head) + 5, length)
