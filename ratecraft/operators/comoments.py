@@ -97,6 +97,9 @@ def correlations(df: DataFrame, left: Sequence[Column], right: Sequence[Column],
                      pa.array(corr, mask=~known.ravel())], schema=out)
 
     partials = rows.where(F.col("g").isNotNull()).mapInArrow(reduce, f"g {kind}, part int, block binary")
+    if group is None:  # the block of no rows, so that an empty frame has its cells too
+        none = df.sparkSession.createDataFrame([(0, 0, bytes(48 * ni * nj))], "g int, part int, block binary")
+        partials = partials.unionByName(none)
     return merge_tree(partials, ["g"], merged).mapInArrow(finish, f"g {kind}, i int, j int, corr double")
 
 

@@ -109,8 +109,8 @@ def _names(cols: Sequence[str], index: str) -> F.Column:
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every column pair, long form (col_a, col_b, corr), pairwise-complete.
 
-    One pass of co-moment blocks (see ``comoments``), both orders of a pair emitted. Constant columns give
-    NULL (pandas NaN) instead of an ANSI error; so does an empty frame, which gives no row otherwise.
+    One pass of co-moment blocks (see ``comoments``), both orders of a pair emitted. Constant columns and
+    empty frames give NULL (pandas NaN) instead of an ANSI error.
     """
     cols = list(cols) if cols is not None else columns_of_type(df, "number")
     values = [_clean(df, c) for c in cols]

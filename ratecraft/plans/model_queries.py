@@ -18,7 +18,7 @@ from ratecraft.plans.catalogue import LINE_KEYS, MODEL_SPEC, PART_SPEC, model_ta
 from ratecraft.plans.oracle import _hash_bucket, sig
 from ratecraft.session import scratch_dir
 
-TREE_PARAMS = {"n_estimators": 8, "max_depth": 4, "learning_rate": 0.2, "seed": 7}
+TREE_PARAMS = {"n_estimators": 5, "max_depth": 4, "learning_rate": 0.2, "seed": 7}
 
 
 def _line_model(spark: SparkSession, sf_dir: str):
@@ -49,7 +49,7 @@ def tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_abs_topk(tree_attribution(df, model, ["l_orderkey", "l_linenumber"]), 10)
 
 
-STAGED_SPACE = {"n_estimators": ("int", 4, 12), "max_depth": ("int", 2, 4), "learning_rate": ("logfloat", 0.02, 0.6)}
+STAGED_SPACE = {"n_estimators": ("int", 4, 8), "max_depth": ("int", 2, 4), "learning_rate": ("logfloat", 0.02, 0.6)}
 
 
 def staged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def staged_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ratecraft.operators.trial_log import TrialLog, staged_search as search
     from ratecraft.operators.trials import early_stop, median_prune
     log = TrialLog(spark, scratch_dir(spark, f"trials/{uuid.uuid4().hex}"))
-    search(T.table(spark, sf_dir, "part"), PART_SPEC, PART_SPEC.target, STAGED_SPACE, log, n_trials=10, rungs=(4, 12),
+    search(T.table(spark, sf_dir, "part"), PART_SPEC, PART_SPEC.target, STAGED_SPACE, log, n_trials=6, rungs=(3, 8),
            keys=["p_partkey"], seed=11, patience=2, min_trials=5)
     steps = log.steps()
     stops = early_stop(steps, "trial_id", "step", "value", patience=2)
