@@ -3,8 +3,8 @@
 The transducer reads the bytes of a pre-token. After some bytes its state is all that the rest can depend on:
 
 * the longest suffix read that begins a vocabulary entry, and
-* for each place in that suffix, and its start, the last token of the encoding up to there and how many tokens that
-  encoding has more or less than the present one.
+* for each place in that suffix from which an entry may begin, the last token of the encoding up to there and how many
+  tokens that encoding has more or less than the present one.
 
 That suffices because every prefix of a rank-merged encoding is the encoding of its own text, and a list of
 tokens is an encoding if each two neighbours are: reading a byte, the new last token is the one entry
@@ -45,15 +45,19 @@ from pyspark.sql import functions as F
 from ratecraft.llm.common import materialise
 from ratecraft.llm.pair_bpe import byte_symbols
 
-TABLE_BYTES = 48 << 20  # of each table of a task
+TABLE_BYTES = 128 << 20  # of each table of a task
+CHUNK_CHARS = 1 << 18   # longer texts are cut
 LONG_WORD = 256         # longer words and pieces are read, not remembered
+BYTES = [bytes([b]) for b in range(256)]
 GUESS_CHARS = 64        # read before a chunk to guess the state it is entered in
 # Fixed value: white space as the tokenizer's patterns have it.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 # Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-START = ("", ((-1, 0),))
+# A state: the longest suffix read that begins an entry, and for each place that an entry may begin at (farthest
+# first) how far back it is, the last token up to there (-1 at a word's start), and its tokens less the present ones.
+START = (b"", ((0, -1, 0),))
 
 
 def load_vocabulary(path: str) -> dict:
@@ -76,10 +80,10 @@ def load_vocabulary(path: str) -> dict:
         ends = bool(end) and name.endswith(end)
         text = name[:-len(end)] if ends else name
         if all(c in byte_of for c in text):
-            (ending if ends else plain)["".join(chr(byte_of[c]) for c in text)] = i
+            (ending if ends else plain)[bytes(byte_of[c] for c in text)] = i
     if not end:
         ending = plain
-    if any(chr(b) not in table for b in range(256) for table in (plain, ending)):
+    if any(bytes([b]) not in table for b in range(256) for table in (plain, ending)):
         raise ValueError("the vocabulary lacks a byte")
     begins = {t[:k] for table in (plain, ending) for t in table for k in range(len(t))}
     return {"plain": plain, "ending": ending, "made": made, "ranks": ranks, "begins": begins,
@@ -108,19 +112,18 @@ class Transducer:
 
     def _no_states(self) -> None:
         self.states, self.number = [START], {START: 0}
-        self.moves: list[dict] = [{}]
-        self.ends: list[dict] = [{}]
+        self.moves: dict[int, tuple[int, int]] = {}  # by state * 256 + byte
+        self.ends: dict[int, int] = {}
         self.state_bytes = 0
 
     def enter(self, state: tuple) -> int:
         """The number of a state, made if it is new."""
-        if state not in self.number:
-            self.number[state] = len(self.states)
+        found = self.number.get(state)
+        if found is None:
+            found = self.number[state] = len(self.states)
             self.states.append(state)
-            self.moves.append({})
-            self.ends.append({})
-            self.state_bytes += 600 + 150 * len(state[1])
-        return self.number[state]
+            self.state_bytes += 400 + 100 * len(state[1])
+        return found
 
     def crosses(self, left: int, right: int, before: float) -> bool:
         """Would a merge over the border of two tokens be made before rank ``before``? Merges at the
@@ -151,40 +154,46 @@ class Transducer:
             self.beside[key] = self.stands(right) and not self.crosses(left, right, float("inf"))
         return self.beside[key]
 
-    def _last(self, suffix: str, window: tuple, table: dict) -> tuple[int, int]:
-        """(token, tokens more than before) of the encoding that ends with ``suffix``."""
-        for length in range(len(suffix), 0, -1):
-            token = table.get(suffix[-length:])
-            if token is not None and self.may_follow(window[length - 1][0], token):
-                return token, window[length - 1][1] + 1
+    def _last(self, read: bytes, window: tuple, table: dict) -> tuple[int, int]:
+        """(token, tokens more than before) of the encoding that ends with ``read``."""
+        size = len(read) - 1
+        for back, left, more in window:
+            token = table.get(read[size - back:])
+            if token is not None:
+                if left < 0:
+                    if self.stands(token):
+                        return token, more + 1
+                else:
+                    fits = self.beside.get(left << 20 | token)
+                    if self.may_follow(left, token) if fits is None else fits:
+                        return token, more + 1
         raise AssertionError("no token ends here")
 
-    def compile(self, state: int, byte: str) -> tuple[int, int]:
+    def compile(self, state: int, byte: int) -> tuple[int, int]:
         """The transition of a state on a byte within a word: (next state, change in the number of tokens)."""
         suffix, window = self.states[state]
-        read = suffix + byte
+        read, begins, size = suffix + BYTES[byte], self.begins, len(suffix)
         token, more = self._last(read, window, self.plain)
-        at = 0
-        while read[at:] not in self.begins:
-            at += 1
-        kept = len(read) - at
-        now = ((token, 0), *((t, n - more) for t, n in window[:kept]))
-        move = self.moves[state][byte] = (self.enter((read[at:], now)), more)
+        now = [(back + 1, t, n - more) for back, t, n in window if read[size - back:] in begins]
+        now.append((0, token, 0))
+        move = self.moves[state << 8 | byte] = (self.enter((read[size + 1 - now[0][0]:], tuple(now))), more)
+        self.state_bytes += 150
         return move
 
-    def compile_end(self, state: int, byte: str) -> int:
+    def compile_end(self, state: int, byte: int) -> int:
         """The change in the number of tokens on a word's last byte."""
         suffix, window = self.states[state]
-        self.ends[state][byte] = more = self._last(suffix + byte, window, self.ending)[1]
+        self.ends[state << 8 | byte] = more = self._last(suffix + BYTES[byte], window, self.ending)[1]
+        self.state_bytes += 100
         return more
 
-    def read(self, state: int, data: str) -> tuple[int, int]:
-        """(state, tokens) after bytes within a word (one character per byte)."""
+    def read(self, state: int, data: bytes) -> tuple[int, int]:
+        """(state, tokens) after bytes within a word."""
         total = 0
         for at in range(0, len(data), 4096):
             moves = self.moves
-            for byte in data[at:at + 4096] if len(data) > 4096 else data:
-                state, more = moves[state].get(byte) or self.compile(state, byte)
+            for byte in data[at:at + 4096]:
+                state, more = moves.get(state << 8 | byte) or self.compile(state, byte)
                 total += more
             if self.state_bytes > TABLE_BYTES:  # begin a new table with the state reached
                 reached = self.states[state]
@@ -192,10 +201,10 @@ class Transducer:
                 state = self.enter(reached)
         return state, total
 
-    def finish(self, state: int, data: str) -> int:
+    def finish(self, state: int, data: bytes) -> int:
         """Tokens added by the rest of a word."""
         state, total = self.read(state, data[:-1])
-        more = self.ends[state].get(data[-1])
+        more = self.ends.get(state << 8 | data[-1])
         return total + (self.compile_end(state, data[-1]) if more is None else more)
 
     # -- words, pieces, texts ----------------------------------------------------------
@@ -203,7 +212,7 @@ class Transducer:
     def word(self, word: str) -> int:
         found = self.words.get(word)
         if found is None:
-            found = self.finish(0, as_bytes(word))
+            found = self.finish(0, word.encode())
             if len(word) <= LONG_WORD:
                 self.words[word] = found
                 self.word_bytes += 100 + len(word)
@@ -292,18 +301,18 @@ class Transducer:
                     tail, words = words[-1], words[:-1]
                 total += sum(map(self.word, words))
         through = entered and left and tail is None
-        out = {"tokens": total, "head": "" if head is None else as_bytes(head), "through": through, "exit": b"", "maps": []}
+        out = {"tokens": total, "head": b"" if head is None else head.encode(), "through": through, "exit": b"", "maps": []}
         if tail is not None:
-            state, more = self.read(0, as_bytes(tail))
+            state, more = self.read(0, tail.encode())
             out["tokens"] += more
             out["exit"] = pack_state(self.states[state])
         if entered:
             run = self.normal(before)
-            state, _ = self.read(0, as_bytes(run[-1])) if run else (0, 0)
+            state, _ = self.read(0, run[-1].encode()) if run else (0, 0)
             out["maps"] = [self.map_of(self.states[state], out["head"], through)]
         return out
 
-    def map_of(self, state: tuple, head: str, through: bool) -> tuple[bytes, bytes, int]:
+    def map_of(self, state: tuple, head: bytes, through: bool) -> tuple[bytes, bytes, int]:
         """(entry, exit, tokens) of a chunk's entered word for one entry state; the exit is empty if the word ends."""
         at = self.enter(state)
         if not through:
@@ -312,21 +321,15 @@ class Transducer:
         return pack_state(state), pack_state(self.states[end]), more
 
 
-def as_bytes(word: str) -> str:
-    """The UTF-8 bytes of a word, one character each."""
-    return word if word.isascii() else word.encode().decode("latin-1")
-
-
 def pack_state(state: tuple) -> bytes:
     suffix, window = state
-    return np.array([x for entry in window for x in entry], "<i4").tobytes() + suffix.encode("latin-1")
+    return np.array([len(window), *(x for entry in window for x in entry)], "<i4").tobytes() + suffix
 
 
 def unpack_state(data: bytes) -> tuple:
-    """The window has one entry more than the suffix has bytes: 8 (n + 1) + n bytes in all."""
-    n = (len(data) - 8) // 9
-    flat = np.frombuffer(data[:8 * (n + 1)], "<i4").tolist()
-    return data[8 * (n + 1):].decode("latin-1"), tuple(zip(flat[::2], flat[1::2]))
+    size = 3 * int.from_bytes(data[:4], "little")
+    flat = np.frombuffer(data[4:4 + 4 * size], "<i4").tolist()
+    return data[4 + 4 * size:], tuple(zip(flat[::3], flat[1::3], flat[2::3]))
 
 
 def _letter(c: str) -> bool:
@@ -359,7 +362,7 @@ def _border(text: str, at: int) -> bool | None:
 
 
 ROWS = "row long, doc_id long, n_bytes long, tokens long, no int, entered boolean, left boolean, before string, text string"
-MAPS = "row long, no int, tokens long, entered boolean, through boolean, head string, exit binary, maps array<struct<entry: binary, exit: binary, tokens: long>>"
+MAPS = "row long, no int, tokens long, entered boolean, through boolean, head binary, exit binary, maps array<struct<entry: binary, exit: binary, tokens: long>>"
 ASKED = "row long, no int, entry binary, tokens long"
 
 
@@ -396,7 +399,7 @@ def _rows_batch(rows: list) -> pa.RecordBatch:
 
 def _maps_batch(rows: list) -> pa.RecordBatch:
     pair = pa.list_(pa.struct([("entry", pa.binary()), ("exit", pa.binary()), ("tokens", pa.int64())]))
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.string(), pa.binary(), pair]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary(), pair]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)],
                                       names=["row", "no", "tokens", "entered", "through", "head", "exit", "maps"])
 
@@ -465,7 +468,7 @@ def _scan_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of()
 
 
-def token_counts(docs: DataFrame, vocabulary_path: str, chunk_chars: int = 32768, max_tokens: int = 2048,
+def token_counts(docs: DataFrame, vocabulary_path: str, chunk_chars: int = CHUNK_CHARS, max_tokens: int = 2048,
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row of ``docs``."""
     v = docs.sparkSession.sparkContext.broadcast(load_vocabulary(vocabulary_path))
