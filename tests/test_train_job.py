@@ -14,7 +14,7 @@ from ratecraft.plans.score_job import score
 from ratecraft.plans.train_job import run_metadata, train
 
 SPEC = FeatureSpec(num=["x1", "x2"], cat=["c"], target=["y1", "y2"], drop=["junk"])
-SPACE = {"n_estimators": ("int", 2, 6), "max_depth": ("int", 2, 3), "learning_rate": ("float", 0.2, 0.9)}
+SPACE = {"n_estimators": ("int", 2, 3), "max_depth": ("int", 2, 2), "learning_rate": ("float", 0.5, 0.9)}
 
 
 @pytest.fixture(scope="module")
@@ -30,11 +30,11 @@ def table(spark, tmp_path_factory):
 def test_table_to_model_to_scores_to_attributions(spark, table, tmpdir_path):
     model_path = os.path.join(tmpdir_path, "model")
     df = spark.read.parquet(table)
-    fitted = train(df, SPEC, model_path, ["id"], space=SPACE, trials=4, rungs=(2, 6), iterations=30, seed=5)
+    fitted = train(df, SPEC, model_path, ["id"], space=SPACE, trials=2, rungs=(2, 3), iterations=30, seed=5)
     meta = run_metadata(spark, model_path)
     assert meta["cardinalities"] == {"c": {"levels": 3, "embedding": 2}}
-    assert meta["best_params"]["n_estimators"] <= 6 and set(meta["holdout_metrics"]) == {"y1", "y2"}
-    assert all(m["r2"] > 0.3 for m in meta["holdout_metrics"].values()) and sum(meta["trials"].values()) == 4
+    assert meta["best_params"]["n_estimators"] <= 3 and set(meta["holdout_metrics"]) == {"y1", "y2"}
+    assert all(m["r2"] > 0.3 for m in meta["holdout_metrics"].values()) and sum(meta["trials"].values()) == 2
     plain = score(spark, table, model_path)
     assert plain.columns == [*df.columns, "y1_pred", "y2_pred"]
     want = {r.id: r.y1_pred for r in fitted.predict(df).collect()}
@@ -57,14 +57,15 @@ def test_table_to_model_to_scores_to_attributions(spark, table, tmpdir_path):
 def test_a_job_started_again_fits_no_trial_twice(spark, table, tmpdir_path, monkeypatch):
     model_path = os.path.join(tmpdir_path, "model")
     df = spark.read.parquet(table)
-    train(df, SPEC, model_path, ["id"], space=SPACE, trials=2, rungs=(2,), seed=5)
+    spec = FeatureSpec(num=["x1"], target=["y1"])
+    train(df, spec, model_path, ["id"], space=SPACE, trials=2, rungs=(2,), seed=5)
     first = run_metadata(spark, model_path)
 
     def append(self, *args):
         raise AssertionError("a trial was run again")
 
     monkeypatch.setattr(TrialLog, "append", append)
-    train(df, SPEC, model_path, ["id"], space=SPACE, trials=2, rungs=(2,), seed=5)
+    train(df, spec, model_path, ["id"], space=SPACE, trials=2, rungs=(2,), seed=5)
     again = run_metadata(spark, model_path)
     assert again["best_params"] == first["best_params"] and again["best_value"] == first["best_value"]
     assert {t for t, r in TrialLog(spark, os.path.join(model_path, "trials")).entries() if r == END} == {0, 1}

@@ -13,7 +13,7 @@ from ratecraft.operators.trial_log import END, TrialLog, staged_search, step_los
 from ratecraft.operators.trials import best_trial, early_stop, median_prune, trial_state_counts
 
 SPEC = FeatureSpec(num=["x1", "x2"], target=["y1", "y2"])
-SPACE = {"n_estimators": ("int", 2, 6), "max_depth": ("int", 1, 3), "learning_rate": ("float", 0.01, 1.0)}
+SPACE = {"n_estimators": ("int", 2, 4), "max_depth": ("int", 1, 2), "learning_rate": ("float", 0.01, 1.0)}
 
 
 class Ended(Exception):
@@ -29,8 +29,8 @@ def data(spark):
 
 def _search(spark, data, path, **more):
     log = TrialLog(spark, path)
-    staged_search(data, SPEC, SPEC.target, SPACE, log, n_trials=5, rungs=(2, 5), keys=["id"], seed=3, patience=2,
-                  min_trials=3, parallelism=1, **more)
+    staged_search(data, SPEC, ["y1"], SPACE, log, n_trials=4, rungs=(2, 4), keys=["id"], seed=3, patience=2,
+                  min_trials=2, parallelism=1, **more)
     return log
 
 
@@ -66,7 +66,7 @@ def test_losses_of_steps_are_those_of_shorter_fits(spark, data):
     ready.unpersist()
 
 
-@pytest.mark.parametrize("after", [2, 7])
+@pytest.mark.parametrize("after", [2, 5])
 def test_a_search_that_was_ended_goes_on_as_an_unbroken_one(spark, data, tmpdir_path, unbroken, monkeypatch, after):
     path, written = os.path.join(tmpdir_path, "log"), TrialLog.append
 
@@ -96,7 +96,7 @@ def unbroken(spark, data, tmp_path_factory):
 def test_rules_run_on_the_log(spark, data, tmpdir_path):
     log = _search(spark, data, os.path.join(tmpdir_path, "log"))
     ends = {r.trial_id: r for r in log.results().collect()}
-    assert set(ends) == set(range(5))
+    assert set(ends) == set(range(4))
     states = {r["state"]: r["n"] for r in trial_state_counts(log.results()).collect()}
     assert states.get("PRUNED", 0) >= 1 and states["COMPLETE"] >= 1 and set(states) <= {"PRUNED", "COMPLETE"}
     steps = log.steps()
@@ -104,8 +104,8 @@ def test_rules_run_on_the_log(spark, data, tmpdir_path):
     for t, r in per.items():
         assert r.s == list(range(len(r.s)))  # every step once
         assert ends[t].value == r.m
-    assert early_stop(steps, "trial_id", "step", "value", patience=2).count() == 5
-    pruned = {r.trial_id for r in median_prune(steps, "trial_id", "step", "value", min_trials=3).where("pruned_step is not null").collect()}
+    assert early_stop(steps, "trial_id", "step", "value", patience=2).count() == 4
+    pruned = {r.trial_id for r in median_prune(steps, "trial_id", "step", "value", min_trials=2).where("pruned_step is not null").collect()}
     assert {t for t, r in ends.items() if r.state == "PRUNED"} <= pruned
     # a second call finds everything done
     before = _rows(log)
@@ -115,7 +115,7 @@ def test_rules_run_on_the_log(spark, data, tmpdir_path):
 def test_failed_fits_end_their_trial_only(spark, data, tmpdir_path):
     space = {"max_depth": ("choice", [2, 99]), "n_estimators": ("int", 2, 2)}
     log = TrialLog(spark, os.path.join(tmpdir_path, "log"))
-    staged_search(data, SPEC, ["y1"], space, log, n_trials=6, rungs=(2,), keys=["id"], seed=1)
+    staged_search(data, SPEC, ["y1"], space, log, n_trials=4, rungs=(2,), keys=["id"], seed=1)
     got = {(r.params["max_depth"], r.state) for r in log.results().collect()}
     assert got == {("2", "COMPLETE"), ("99", "FAIL")}
 
@@ -129,12 +129,12 @@ def test_trial_search_with_a_log_resumes(spark, data, tmpdir_path, monkeypatch):
         written(self, *args)
 
     def run():
-        return trial_search(data, SPEC, SPEC.target, SPACE, n_trials=4, seed=2, keys=["id"], parallelism=1, log=TrialLog(spark, path))
+        return trial_search(data, SPEC, ["y1"], SPACE, n_trials=3, seed=2, keys=["id"], parallelism=1, log=TrialLog(spark, path))
 
     monkeypatch.setattr(TrialLog, "append", append)
     with pytest.raises(Ended):
         run()
     monkeypatch.setattr(TrialLog, "append", written)
-    whole = trial_search(data, SPEC, SPEC.target, SPACE, n_trials=4, seed=2, keys=["id"], parallelism=1)
+    whole = trial_search(data, SPEC, ["y1"], SPACE, n_trials=3, seed=2, keys=["id"], parallelism=1)
     got = {r.trial_id: (r.value, r.state) for r in run().collect()}
     assert got == {r.trial_id: (pytest.approx(r.value), r.state) for r in whole.collect()}
