@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructField, StructType
 
 from ratecraft.errors import ValidationError
-from ratecraft.operators.features import FeatureSpec, holdout_split, preprocess_pipeline
-from ratecraft.operators.models import FEATURES, _check, _estimator, _split_keys, _typed, sample_space, spread
+from ratecraft.operators.features import FeatureSpec
+from ratecraft.operators.models import _check, _estimator, _prepared_split, _typed, sample_space
 from ratecraft.operators.trials import early_stop, median_prune
 
 LOG_SCHEMA = StructType([
@@ -104,10 +104,7 @@ def staged_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], spac
     live = [t for t in params if (t, END) not in written]
     if not live:
         return log.read()
-    split = holdout_split(df.select(*dict.fromkeys([*spec.num, *spec.cat, *targets, *keys])), _split_keys(keys), fraction, seed, col="_is_test")
-    split = split.persist()
-    prep = preprocess_pipeline(split, spec, FEATURES, fit_on=split.where(~F.col("_is_test")))
-    data = spread(prep.transform(split).select(FEATURES, "_is_test", *targets)).persist()
+    data = _prepared_split(df, spec, targets, keys, fraction, seed)
     train, test = data.where(~F.col("_is_test")), data.where(F.col("_is_test"))
 
     def fit(trial: int, rung: int, before: int, count: int) -> None:
@@ -136,7 +133,6 @@ def staged_search(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], spac
             live = [t for t in live if t not in ended]
     finally:
         data.unpersist()
-        split.unpersist()
     out = log.read()
     if out.where((F.col("rung") == END) & (F.col("state") != FAIL)).isEmpty():
         raise ValidationError(f"every trial failed: {log.results().select('error').first()[0]}")
