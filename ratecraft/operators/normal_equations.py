@@ -8,6 +8,7 @@ the blocks is solved on executors, one key's block at a time; the driver receive
 
 * ``bootstrap_weights``: Poisson(1) weights by inversion of a 52-bit uniform from md5 of (keys, seed,
   replicate), so any engine can repeat them. The table ends where the distribution function is 1 in doubles.
+  Rows come with their name only (keys and seed); ``pair_bits`` hashes a batch of names for all replicates at once.
 * ``cv_linear``: rows carry their fold as group; the training block of a fold is the sum of the other
   folds' blocks. Scaler moments, mean fills and every ridge candidate come from the training
   block, and the hold-out error from the fold's own block, so no second pass over the rows is made and
@@ -47,9 +48,88 @@ def bootstrap_bits(keys: Sequence[str], replicates: int, seed: int) -> Column:
     return F.concat(*pairs) if len(pairs) > 1 else pairs[0]
 
 
+def bootstrap_names(keys: Sequence[str], seed: int) -> Column:
+    """The text that ``bootstrap_bits`` hashes, but for the number of the pair at its end."""
+    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)), F.lit(""))
+
+
+_MD5_SHIFTS = [s for four in ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)) for s in four * 4]
+_MD5_WORDS = [[k, (5 * k + 1) % 16, (3 * k + 5) % 16, 7 * k % 16][k // 16] % 16 for k in range(64)]
+_MD5_SINES = [np.uint32(int(abs(math.sin(k + 1)) * 2 ** 32)) for k in range(64)]
+_MD5_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+
+
+def _md5_block(state: list[np.ndarray], words: np.ndarray) -> list[np.ndarray]:
+    """The md5 states of many messages after one more block, ``words`` [16, message]."""
+    a, b, c, d = (v.copy() for v in state)
+    f, g = np.empty_like(a), np.empty_like(a)
+    for k in range(64):
+        if k < 16:
+            np.bitwise_xor(c, d, out=f); np.bitwise_and(f, b, out=f); np.bitwise_xor(f, d, out=f)  # noqa: E702
+        elif k < 32:
+            np.bitwise_xor(b, c, out=f); np.bitwise_and(f, d, out=f); np.bitwise_xor(f, c, out=f)  # noqa: E702
+        elif k < 48:
+            np.bitwise_xor(b, c, out=f); np.bitwise_xor(f, d, out=f)  # noqa: E702
+        else:
+            np.bitwise_not(d, out=f); np.bitwise_or(f, b, out=f); np.bitwise_xor(f, c, out=f)  # noqa: E702
+        f += a
+        f += words[_MD5_WORDS[k]]
+        f += _MD5_SINES[k]
+        np.left_shift(f, np.uint32(_MD5_SHIFTS[k]), out=g)
+        np.right_shift(f, np.uint32(32 - _MD5_SHIFTS[k]), out=f)
+        f |= g
+        f += b
+        a, b, c, d, f = d, f, b, c, a
+    return [v + s for v, s in zip((a, b, c, d), state)]
+
+
+def pair_bits(names: pa.Array, replicates: int) -> np.ndarray:
+    """[row, replicate] 64-bit words: those of ``bootstrap_bits`` for rows of these ``bootstrap_names``."""
+    raw = [v.encode() for v in names.to_pylist()]
+    lengths = np.array([len(v) for v in raw], np.int64)
+    ends = [str(p).encode() for p in range((replicates + 1) // 2)]
+    out = np.empty((len(raw), 2 * len(ends)), np.uint64)
+    for digits in sorted({len(e) for e in ends}):
+        some = [p for p, e in enumerate(ends) if len(e) == digits]
+        sizes = lengths + digits
+        width = (sizes + 72) // 64 * 64  # the message, a one bit and its own length, in whole blocks
+        for w in np.unique(width).tolist():
+            at = np.flatnonzero(width == w)
+            plain = np.frombuffer(b"".join(raw[i].ljust(w, b"\0") for i in at), np.uint8).reshape(len(at), w).copy()
+            rows, size = np.arange(len(at)), sizes[at]
+            plain[rows, size] = 0x80
+            plain[:, -8:] = (8 * size).astype("<u8").view(np.uint8).reshape(-1, 8)
+            step = max(1, (1 << 16) // len(at))
+            for first in range(0, len(some), step):
+                part = some[first:first + step]
+                text = np.repeat(plain[None], len(part), 0)
+                for i, p in enumerate(part):
+                    for k, byte in enumerate(ends[p]):
+                        text[i, rows, size - digits + k] = byte
+                words = np.ascontiguousarray(text.reshape(-1, w).view("<u4").T)
+                state = [np.full(words.shape[1], v, np.uint32) for v in _MD5_START]
+                for block in range(0, len(words), 16):
+                    state = _md5_block(state, words[block:block + 16])
+                big = np.stack(state, 1).astype("<u4").view(">u8").reshape(len(part), len(at), 2)  # digest bytes as two words
+                for i, p in enumerate(part):
+                    out[at, 2 * p], out[at, 2 * p + 1] = big[i, :, 0], big[i, :, 1]
+    return out[:, :replicates]
+
+
 def bootstrap_weights(bits: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Weights from the 64-bit words of ``bootstrap_bits``: the first 52 bits are the uniform."""
-    return np.searchsorted(table, (bits >> np.uint64(12)).astype(float) / 2.0 ** 52, "right").astype(float)
+    """Weights from the 64-bit words of ``bootstrap_bits``: the first 52 bits are the uniform.
+
+    Its first 16 bits settle the weight unless a step of ``table`` lies among the uniforms that begin so."""
+    starts = np.arange((1 << 16) + 1) / 2.0 ** 16
+    least, most = np.searchsorted(table, starts[:-1], "right"), np.searchsorted(table, starts[1:], "left")
+    first = (bits >> np.uint64(48)).astype(np.intp)
+    out = least.astype(float)[first]
+    open_ = (most > least)[first]
+    out[open_] = np.searchsorted(table, (bits[open_] >> np.uint64(12)).astype(float) / 2.0 ** 52, "right")
+    return out
+
+
+BLOCK_CELLS = 1 << 20  # products of a task's rows held at once
 
 
 class Blocks:
@@ -59,19 +139,26 @@ class Blocks:
         self.q, self.targets, self.size = q, targets, q * q + q + 3
 
     def of(self, x: np.ndarray, y: np.ndarray, w: np.ndarray | None) -> np.ndarray:
-        """The block of rows ``x`` [n, q], ``y`` [n, targets] (NaN: not a row of that target)."""
-        out, known = np.empty((self.targets, self.size)), {}
+        """[replicate, target, size]: the blocks of rows ``x`` [n, q], ``y`` [n, targets] (NaN: not a row of that
+        target) for every column of the weights ``w`` [n, replicates] (None: one replicate of weight 1).
+
+        A row's products are formed once for all replicates and targets; the weighted sums are one matrix product."""
+        w = np.ones((len(x), 1)) if w is None else w
+        upper, known = np.triu_indices(self.q), {}
+        out = np.zeros((w.shape[1], self.targets, self.size))
+        step = max(1, BLOCK_CELLS // len(upper[0]))
         for t in range(self.targets):
             rows = np.isfinite(y[:, t])
             key = rows.tobytes()
+            xr, wr, yr = x[rows], w[rows], y[rows, t]
             if key not in known:
-                xr = x[rows]
-                wr = np.ones(len(xr)) if w is None else w[rows]
-                xw = xr * wr[:, None]
-                known[key] = (xw.T @ xr, xw, wr)
-            gram, xw, wr = known[key]
-            yr = y[rows, t]
-            out[t] = np.concatenate([gram.ravel(), xw.T @ yr, [wr @ (yr * yr), wr @ yr, wr.sum()]])
+                half = sum((wr[at:at + step].T @ (xr[at:at + step, upper[0]] * xr[at:at + step, upper[1]])
+                            for at in range(0, len(xr), step)), np.zeros((w.shape[1], len(upper[0]))))
+                gram = np.empty((w.shape[1], self.q, self.q))
+                gram[:, upper[0], upper[1]] = gram[:, upper[1], upper[0]] = half
+                known[key] = gram.reshape(len(gram), -1)
+            sides = np.column_stack([xr * yr[:, None], yr * yr, yr, np.ones(len(yr))])
+            out[:, t] = np.concatenate([known[key], wr.T @ sides], 1)
         return out
 
     def parts(self, block: np.ndarray, t: int) -> tuple:
@@ -82,8 +169,8 @@ class Blocks:
 
 def _block_task(batches: Iterable[pa.RecordBatch], blocks: Blocks, replicates: int, table: np.ndarray,
                 schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """(_g, _x, _y[, _bits]) -> a task's (g, b, part, block)."""
-    total: dict[tuple, np.ndarray] = {}
+    """(_g, _x, _y[, _name]) -> a task's (g, b, part, block)."""
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
         n = len(batch)
         if not n:
@@ -93,25 +180,21 @@ def _block_task(batches: Iterable[pa.RecordBatch], blocks: Blocks, replicates: i
         y = batch.column(2).flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).reshape(n, -1).astype(float)
         w = None
         if replicates:
-            bits = np.frombuffer(b"".join(batch.column(3).to_pylist()), ">u8").reshape(n, -1)[:, :replicates]
-            w = bootstrap_weights(bits.astype(np.uint64), table)
+            w = bootstrap_weights(pair_bits(batch.column(3), replicates), table)
         sound = np.isfinite(x).all(1)
         for g in np.unique(group[sound]):
             rows = sound & (group == g)
-            xg, yg, wg = x[rows], y[rows], None if w is None else w[rows]
-            for b in range(max(replicates, 1)):
-                one = blocks.of(xg, yg, None if wg is None else wg[:, b])
-                key = (int(g), b)
-                total[key] = total[key] + one if key in total else one
+            one = blocks.of(x[rows], y[rows], None if w is None else w[rows])
+            total[int(g)] = total[int(g)] + one if int(g) in total else one
     if total:
-        yield blocks_batch([(g, b, v) for (g, b), v in total.items()], schema)
+        yield blocks_batch([(g, b, v) for g, many in total.items() for b, v in enumerate(many)], schema)
 
 
 PARTIALS = "g int, b int, part int, block binary"
 
 
 def merged_blocks(rows: DataFrame, blocks: Blocks, replicates: int = 0) -> DataFrame:
-    """One (g, b, block) row per group and replicate of ``rows`` (_g, _x, _y[, _bits])."""
+    """One (g, b, block) row per group and replicate of ``rows`` (_g, _x, _y[, _name])."""
     table, schema = poisson_table(), arrow_schema(PARTIALS)
     partials = rows.mapInArrow(lambda it: _block_task(it, blocks, replicates, table, schema), PARTIALS)
     return merge_tree(partials, ["g", "b"], np.add)
@@ -234,4 +317,4 @@ def cv_linear(df: DataFrame, spec: FeatureSpec, targets: Sequence[str], keys: Se
     return spread.mapInArrow(score, CV_SCHEMA)
 
 
-__all__ = ["Blocks", "merged_blocks", "solved", "ridge", "cv_linear", "bootstrap_bits", "bootstrap_weights", "poisson_table"]
+__all__ = ["Blocks", "merged_blocks", "solved", "ridge", "cv_linear", "bootstrap_bits", "bootstrap_names", "pair_bits", "bootstrap_weights", "poisson_table"]
