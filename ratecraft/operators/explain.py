@@ -108,6 +108,8 @@ def sampled_attribution(df: DataFrame, model, features: Sequence[str], keys: Seq
     marginal changes sum to f(x) - f(background), so sum(phi) = f(x) - weighted
     mean background prediction.
     """
+    from ratecraft.operators.models import spread
+
     features, keys = list(features), list(keys)
     targets = list(targets or model.targets)
     bg = _collect_background(background, features)
@@ -116,7 +118,9 @@ def sampled_attribution(df: DataFrame, model, features: Sequence[str], keys: Seq
                                 *[F.lit(r[f]).alias(f"bg_{j}") for j, f in enumerate(features)])
                        for i, r in enumerate(bg)])
     base = df.select(*keys, *[F.col(f).alias(f"x_{j}") for j, f in enumerate(features)])
-    base = base.withColumn("_row", hash_key(keys, seed))
+    # a small file is few tasks: spread the rows by what they fan out to, or the whole fan-out runs in those
+    fan_out = len(bg) * permutations * (p + 1)
+    base = spread(base, df.count(), fan_out * (p + len(keys))).withColumn("_row", hash_key(keys, seed))
     # One feature order per (row, permutation): sort feature ids by a seeded hash.
     perm = F.transform(
         F.array_sort(F.array(*[F.struct(F.md5(F.concat_ws("|", F.col("_row"), F.col("_perm").cast("string"),
