@@ -13,6 +13,10 @@ polynomial of degree below the number m of features on the path, so Gauss-Legend
 many as m, give the integral exactly: the cost per leaf is quadratic in the depth, without coalitions,
 background rows or a fan-out. sum(phi) + base = prediction, base being the cover-weighted mean.
 
+All o_j of a few neighbouring leaves follow from the outcomes of the splits on their paths, so the values of a group
+of leaves with at most ``GROUP_SPLITS`` splits are computed once per outcome in a task and then looked up: a row
+costs one comparison per split and one look-up per group and feature. There are 2^splits outcomes, whatever the rows.
+
 The node table of a fitted model comes from the model's own saved form (one row per node; a model's
 size is set by its parameters); rows are explained in Arrow batches where they lie, without a shuffle.
 """
@@ -35,6 +39,7 @@ from ratecraft.operators.features import feature_names
 from ratecraft.session import scratch_dir
 
 BLOCK_CELLS = 1 << 20  # rows x leaves x path features evaluated at once in a task
+GROUP_SPLITS = 16  # splits of a group of leaves; a task keeps at most 2^16 outcomes of a group
 
 
 @dataclass
@@ -71,20 +76,58 @@ def node_tables(model) -> list[tuple[float, list[Node]]]:
     return [(float(w), trees[t]) for t, w in enumerate(model.treeWeights)]
 
 
+class LeafGroup:
+    """Neighbouring leaves of a tree, the splits on their paths, and the values of the outcomes met so far."""
+
+    def __init__(self, first: int, last: int):
+        self.first, self.last = first, last
+        self.splits: dict[tuple, int] = {}
+        self.row_of: np.ndarray | None = None
+
+    def add(self, splits: Iterable[tuple]) -> None:
+        self.last += 1
+        for s in splits:
+            self.splits.setdefault(s, len(self.splits))
+
+    def looked_up(self, columns: np.ndarray, compute) -> tuple[np.ndarray, list[int], np.ndarray]:
+        """(row of the table per row, features, table [feature, row]); ``compute(rows)`` gives the values of new outcomes."""
+        if self.row_of is None:
+            self.row_of = np.full(1 << len(self.splits), -1, np.int32)
+            self.features = sorted({f for f, _ in self.splits})
+            self.phi = np.zeros((len(self.features), 0))
+        code = np.zeros(columns.shape[1], np.int32)
+        for (f, rule), bit in self.splits.items():
+            left = np.isin(columns[f], list(rule)) if isinstance(rule, frozenset) else columns[f] <= rule
+            code |= left.astype(np.int32) << np.int32(bit)
+        rows = self.row_of[code]
+        unmet = np.flatnonzero(rows < 0)
+        if len(unmet):
+            new, at = np.unique(code[unmet], return_index=True)
+            self.row_of[new] = self.phi.shape[1] + np.arange(len(new), dtype=np.int32)
+            self.phi = np.concatenate([self.phi, compute(unmet[at])[:, self.features].T], 1)
+            rows = self.row_of[code]
+        return rows, self.features, self.phi
+
+
 class PathTable:
     """The leaves of an ensemble as arrays: per leaf a value and per path feature its cover
     share and the interval (or level set) that leads to the leaf."""
 
     def __init__(self, trees: Sequence[tuple[float, list[Node]]], n_features: int):
-        leaves = []
+        leaves, groups = [], []
         for weight, nodes in trees:
-            todo = [(0, {})]
+            todo = [(0, {}, ())]
+            groups.append(LeafGroup(len(leaves), len(leaves)))
             while todo:
-                at, path = todo.pop()
+                at, path, splits = todo.pop()
                 node = nodes[at]
                 if node.feature < 0:
+                    if groups[-1].last > groups[-1].first and len(groups[-1].splits.keys() | set(splits)) > GROUP_SPLITS:
+                        groups.append(LeafGroup(len(leaves), len(leaves)))
+                    groups[-1].add(splits)
                     leaves.append((weight * node.value, path))
                     continue
+                splits += ((node.feature, node.threshold if node.left_levels is None else node.left_levels),)
                 for child, is_left in ((node.left, True), (node.right, False)):
                     share, low, high, levels = path.get(node.feature, (1.0, -np.inf, np.inf, None))
                     share *= nodes[child].cover / (nodes[node.left].cover + nodes[node.right].cover)
@@ -94,7 +137,8 @@ class PathTable:
                         high = min(high, node.threshold)
                     else:
                         low = max(low, node.threshold)
-                    todo.append((child, path | {node.feature: (share, low, high, levels)}))
+                    todo.append((child, path | {node.feature: (share, low, high, levels)}, splits))
+        self.groups = groups
         self.n_features = n_features
         self.width = max((len(p) for _, p in leaves), default=0)
         shape = (len(leaves), max(self.width, 1))
@@ -116,29 +160,45 @@ class PathTable:
         to_feature[np.arange(len(to_feature)), self.feature.ravel()] = self.used.ravel()
         self.to_feature = to_feature
 
-    def passes(self, x: np.ndarray) -> np.ndarray:
-        """[row, leaf, path feature]: 1.0 where the row takes all the feature's splits to the leaf."""
-        v = x[:, self.feature]
-        ok = ((v <= self.high) | np.isposinf(self.high)) & (~(v <= self.low) | np.isneginf(self.low))
+    def passes(self, x: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+        """[row, leaf, path feature]: 1.0 where the row takes all the feature's splits to the leaf; leaves ``first`` to ``last``."""
+        feature, low, high, used = (a[first:last] for a in (self.feature, self.low, self.high, self.used))
+        v = x[:, feature]
+        ok = ((v <= high) | np.isposinf(high)) & (~(v <= low) | np.isneginf(low))
         for i, j, levels in self.levels:
-            for left, is_left in levels:
-                ok[:, i, j] &= np.isin(v[:, i, j], list(left)) == is_left
-        return np.where(self.used, ok, True).astype(float)
+            if first <= i < first + len(feature):
+                for left, is_left in levels:
+                    ok[:, i - first, j] &= np.isin(v[:, i - first, j], list(left)) == is_left
+        return np.where(used, ok, True).astype(float)
 
-    def attribute(self, x: np.ndarray) -> np.ndarray:
-        """[row, feature]: the Shapley values of the rows of ``x``."""
+    def by_paths(self, x: np.ndarray, first: int, last: int) -> np.ndarray:
+        """[row, feature]: what the leaves ``first`` to ``last`` add to the Shapley values of the rows of ``x``."""
         out = np.zeros((len(x), self.n_features))
-        step = max(1, BLOCK_CELLS // self.feature.size)
+        value, share = self.value[first:last], self.share[first:last]
+        to_feature = self.to_feature[first * share.shape[1]:last * share.shape[1]]
+        step = max(1, BLOCK_CELLS // share.size)
         for at in range(0, len(x), step):
-            o = self.passes(x[at:at + step])
+            o = self.passes(x[at:at + step], first, last)
             total = np.zeros_like(o)
             for t, w in zip(self.points, self.weights):
-                term = self.share * (1 - t) + o * t  # positive: every fitted node covers a row; 1 where unused
+                term = share * (1 - t) + o * t  # positive: every fitted node covers a row; 1 where unused
                 total += w * term.prod(2, keepdims=True) / term
-            part = self.value[:, None] * (o - self.share) * total
-            out[at:at + step] = part.reshape(len(o), -1) @ self.to_feature
+            part = value[:, None] * (o - share) * total
+            out[at:at + step] = part.reshape(len(o), -1) @ to_feature
         return out
 
+    def attribute(self, x: np.ndarray) -> np.ndarray:
+        """[row, feature]: the Shapley values of the rows of ``x``."""
+        columns, out = np.ascontiguousarray(x.T), np.zeros((self.n_features, len(x)))
+        for group in self.groups:
+            if len(group.splits) > GROUP_SPLITS:  # a path longer than that
+                out += self.by_paths(x, group.first, group.last).T
+                continue
+            rows, features, phi = group.looked_up(columns, lambda new, g=group: self.by_paths(x[new], g.first, g.last))
+            for f, values in zip(features, phi):
+                out[f] += values[rows]
+        return out.T
+
 
 def _explain(batches: Iterable[pa.RecordBatch], tables: list[PathTable]) -> Iterator[pa.RecordBatch]:
     """(keys ..., features array) -> (keys ..., one array of Shapley values per table)."""
