@@ -123,7 +123,9 @@ def checks_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         except RatecraftError as e:
             out.append((name, type(e).__name__))
     said = spark.createDataFrame(out, "case string, outcome string")
-    return said.join(o.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("case", F.lit("whole")), "case", "left")
+    counted = o.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("case", F.lit("whole"))
+    return said.unionByName(counted, allowMissingColumns=True).groupBy("case").agg(
+        F.max("outcome").alias("outcome"), F.max("n_rows").alias("n_rows"))
 
 
 def linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
