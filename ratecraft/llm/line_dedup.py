@@ -133,21 +133,24 @@ def _variants(blocks: DataFrame) -> DataFrame:
 
 
 def _witnessed(blocks: DataFrame) -> DataFrame:
-    """(h1, h2) of the lines with an earlier line one edit away."""
-    variants = _variants(blocks)
+    """(h1, h2) of the lines with an earlier line one edit away.
+
+    Spark takes the variants for about as many bytes as the file of blocks that they are exploded from, though they
+    are a hundred times as many rows: the hints keep them, and what is joined to them, from being broadcast."""
+    variants = _variants(blocks).hint("merge")
     line = F.struct("first", "h1", "h2", "own")
     least = variants.groupBy("v").agg(
         F.min(F.when(F.col("kind") == 0, line)).alias("w0"), F.min(F.when(F.col("kind") == 1, line)).alias("w1"),
         F.min(F.when(F.col("kind") == 2, line)).alias("w2"), F.min("h1").alias("a"), F.max("h1").alias("b")) \
         .where(F.col("a") != F.col("b"))
     witness = F.when(F.col("kind") == 0, F.col("w0")).when(F.col("kind") == 1, F.col("w2")).otherwise(F.col("w1"))
-    found = variants.join(least, "v").select("key", "own", "h1", "h2", "first", witness.alias("w")) \
+    found = variants.join(least.hint("merge"), "v").select("key", "own", "h1", "h2", "first", witness.alias("w")) \
         .where(F.col("w.first") < F.col("first")).select("key", "own", "h1", "h2", "w.first", F.col("w.h1").alias("w1"),
                                                          F.col("w.h2").alias("w2"), F.col("w.own").alias("wown")).distinct()
     mine = blocks.select("key", "own", "h1", "h2", "block")
     other = blocks.select("key", F.col("own").alias("wown"), F.col("h1").alias("w1"), F.col("h2").alias("w2"),
                           F.col("block").alias("other"))
-    return found.join(mine, ["key", "own", "h1", "h2"]).join(other, ["key", "wown", "w1", "w2"]) \
+    return found.join(mine.hint("merge"), ["key", "own", "h1", "h2"]).join(other.hint("merge"), ["key", "wown", "w1", "w2"]) \
         .where(F.levenshtein("block", "other", 1) == 1).select("h1", "h2").distinct()
 
 

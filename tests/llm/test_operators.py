@@ -362,6 +362,16 @@ def test_lines_equal_the_rule(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_variants_of_lines_are_not_broadcast(spark):
+    """By their estimate, that of the file of blocks they are exploded from, they would be."""
+    first = "CAST(named_struct('doc', named_struct('id', id, 'h', 0L), 'no', 0) AS struct<doc:struct<id:bigint,h:bigint>,no:int>)"
+    rows = spark.range(3).selectExpr("7L AS key", "true AS own", "id AS h1", "id AS h2", f"{first} AS first", "concat('a line of words ', id) AS block")
+    blocks = line_dedup.materialise(rows, "blocks")
+    near = line_dedup._witnessed(blocks)
+    assert "BroadcastHashJoin" not in spark._jvm.PythonSQLUtils.explainString(near._jdf.queryExecution(), "formatted")
+    assert sorted(r.h1 for r in near.collect()) == [1, 2]
+
+
 # -- 10 -------------------------------------------------------------------------------
 
 def test_rules_equal_the_longest_fit(spark):
