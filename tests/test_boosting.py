@@ -9,6 +9,7 @@ from ratecraft.operators import boosting, models
 from ratecraft.operators.features import FeatureSpec
 from ratecraft.operators.metrics import regression_metrics
 from ratecraft.operators.models import _estimator, _prepared_split, trial_search
+from ratecraft.plans import catalogue
 
 SPEC = FeatureSpec(num=["a", "b"], cat=["c", "d"], target=["y1", "y2"])
 SPACE = {"n_estimators": ("int", 2, 3), "max_depth": ("int", 2, 3), "learning_rate": ("float", 0.1, 0.9),
@@ -51,6 +52,60 @@ def test_trials_equal_the_fits_of_spark_ml(data, monkeypatch):
         assert r.value == pytest.approx(_spark_ml(data, r.params, SPEC.target), rel=1e-9)
 
 
+def test_models_on_all_rows_equal_those_of_spark_ml(spark, data, monkeypatch, tmpdir_path):
+    """``fit_multi_target`` grows the trees of all targets together; what it returns are models of Spark ML, saved and loaded as such."""
+    params = {"n_estimators": 4, "max_depth": 3, "learning_rate": 0.3, "max_bins": 16, "min_child_weight": 3, "seed": 7}
+    train = data.where("id % 5 > 0")
+    with monkeypatch.context() as m:
+        m.setattr(models, "_estimator", _no_spark_ml)
+        model = models.fit_multi_target(train, SPEC, SPEC.target, params, fit_on=train)
+    model.save(f"{tmpdir_path}/model")
+    loaded = models.MultiTargetModel.load(f"{tmpdir_path}/model").predict(data)
+    ready, both = model.prep.transform(data), model.predict(data).join(loaded.select("id", *[F.col(t + "_pred").alias(t + "_loaded") for t in SPEC.target]), "id")
+    for t in SPEC.target:
+        plain = _estimator("gbt", t, params).fit(model.prep.transform(train).where(F.col(t).isNotNull()))
+        ours, theirs = (m.featureImportances.toArray() for m in (model.models[t], plain))
+        # the two levels of d split alike: Spark ML takes either of them, by rounding
+        assert ours[:-2] == pytest.approx(theirs[:-2], abs=1e-9) and sum(ours[-2:]) == pytest.approx(sum(theirs[-2:]), abs=1e-9)
+        assert model.models[t].treeWeights == plain.treeWeights and model.models[t].numFeatures == plain.numFeatures
+        assert [x.depth for x in model.models[t].trees] == [x.depth for x in plain.trees]
+        both = both.join(plain.setPredictionCol(t + "_plain").transform(ready).select("id", t + "_plain"), "id")
+    off = [F.max(F.abs(F.col(f"{t}_pred") - F.col(f"{t}_{x}"))) for t in SPEC.target for x in ("plain", "loaded")]
+    assert both.count() == 3000 and max(both.agg(*off).first()) < 1e-9
+
+
+def test_a_fit_that_draws_rows_is_left_to_spark_ml(data, monkeypatch):
+    monkeypatch.setattr(models, "_estimator", _no_spark_ml)
+    for params in ({"subsample": 0.5}, {"colsample_bytree": 0.5}):
+        with pytest.raises(AssertionError, match="a fit of Spark ML"):
+            models.fit_multi_target(data, SPEC, SPEC.target, {"n_estimators": 1, **params})
+
+
+def test_more_trials_than_asked_at_a_time_change_nothing(data, monkeypatch):
+    space = {"n_estimators": ("int", 1, 3), "max_depth": ("int", 2, 3), "subsample": ("choice", [0.5, 1.0])}
+    sizes, plain = [], boosting.Boosted.__init__
+    monkeypatch.setattr(boosting.Boosted, "__init__", lambda self, *a: sizes.append(len(a[5])) or plain(self, *a))
+    got = []
+    for cells in (1 << 26, 0):
+        monkeypatch.setattr(models, "BATCH_CELLS", cells)
+        log = trial_search(data, SPEC, SPEC.target, space, n_trials=5, keys=["id"], parallelism=2).collect()
+        got.append({r.trial_id: r.value for r in log})
+    assert sizes == [5, 2, 2, 1] and got[0] == {k: pytest.approx(v, rel=1e-9) for k, v in got[1].items()}
+
+
+def test_the_search_query_runs_the_trials_of_the_reference(spark, monkeypatch):
+    asked = {}
+
+    def told(df, spec, targets, space, **more):
+        asked.update(more, trials=models.sample_space(spark, space, more["n_trials"], more["seed"]).drop("params").distinct().count())
+        return spark.createDataFrame([], models.TRIAL_SCHEMA)
+
+    monkeypatch.setattr(models, "trial_search", told)
+    monkeypatch.setattr(catalogue, "model_table", lambda *_: None)
+    assert catalogue.search(spark, "").count() == 0
+    assert asked["n_trials"] == asked["trials"] == 50
+
+
 def test_a_draw_of_rows_repeats(data):
     space = {"n_estimators": ("int", 2, 2), "max_depth": ("int", 2, 2), "subsample": ("choice", [0.3, 1.0])}
     got = [{r.trial_id: (r.params["subsample"], r.value) for r in
