@@ -58,6 +58,9 @@ def test_models_on_all_rows_equal_those_of_spark_ml(spark, data, monkeypatch, tm
     train = data.where("id % 5 > 0")
     with monkeypatch.context() as m:
         m.setattr(models, "_estimator", _no_spark_ml)
+        with pytest.raises(AssertionError, match="a fit of Spark ML"):  # these are too few rows
+            models.fit_multi_target(train, SPEC, SPEC.target, params, fit_on=train)
+        m.setattr(models, "SHARED_ROWS", 1)
         model = models.fit_multi_target(train, SPEC, SPEC.target, params, fit_on=train)
     model.save(f"{tmpdir_path}/model")
     loaded = models.MultiTargetModel.load(f"{tmpdir_path}/model").predict(data)
@@ -76,6 +79,7 @@ def test_models_on_all_rows_equal_those_of_spark_ml(spark, data, monkeypatch, tm
 
 def test_a_fit_that_draws_rows_is_left_to_spark_ml(data, monkeypatch):
     monkeypatch.setattr(models, "_estimator", _no_spark_ml)
+    monkeypatch.setattr(models, "SHARED_ROWS", 1)
     for params in ({"subsample": 0.5}, {"colsample_bytree": 0.5}):
         with pytest.raises(AssertionError, match="a fit of Spark ML"):
             models.fit_multi_target(data, SPEC, SPEC.target, {"n_estimators": 1, **params})
